@@ -178,7 +178,8 @@ def compile_pipelines(object_attr: DataFrame, target_attr: DataFrame, column_att
     w = Window.partitionBy("process").orderBy("phase", "target")
     numbered = steps.withColumn("step_id", F.row_number().over(w) * STEP_GAP)
     return (numbered.groupBy("process")
-                    .agg(F.array_sort(F.collect_list(F.struct("step_id", "func", "args"))).alias("steps"))
+                    .agg(F.array_sort(F.collect_list(F.struct("step_id", "func", "args")),
+                                      lambda a, b: (a["step_id"] - b["step_id"]).cast("int")).alias("steps"))
                     .select(F.col("process").alias("process_name"), "steps",
                             F.to_json(F.struct(F.col("process").alias("pipeline_name"),
                                                F.col("steps").alias("data_flow"))).alias("pipeline_config")))
