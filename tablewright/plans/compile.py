@@ -137,7 +137,9 @@ def compile_pipelines(object_attr: DataFrame, target_attr: DataFrame, column_att
     o = object_attr.withColumn("process", _lkey("process_name"))
     inc = F.coalesce(F.col("incremental_capture_flag"), F.lit(False))
     is_view = F.lower("object_type") == "view"
-    source = F.when(is_view | ~inc, F.col("object_name")).otherwise(F.col("transient_stg_table"))
+    # The staged delta is bound under the staging table's short name.
+    source = F.when(is_view | ~inc, F.col("object_name")).otherwise(
+        F.element_at(F.split("transient_stg_table", r"\."), -1))
     fixed = o.select("process", F.explode(F.array_compact(F.array(
         F.when(inc, _step(1, "consume_stream", stream_name=F.col("stream_name"),
                           transient_table=F.col("transient_stg_table"))),
