@@ -31,15 +31,19 @@ def threshold_status(total: Column, failed: Column, threshold: Column) -> tuple[
     return F.when(total > 0, pct), status, reason
 
 
-def run_counts(result: DataFrame, threshold: int | None, by: list[str] | None = None) -> DataFrame:
-    """A3 + A4 over a delivery result (``ok`` per request), per group."""
+def run_counts(result: DataFrame, threshold: int | None, by: list[str] | None = None,
+               extra: dict[str, Column] | None = None) -> DataFrame:
+    """A3 + A4 over a delivery result (``ok`` per request), per group, in one
+    aggregation (``extra`` aggregates ride along; no second pass)."""
     by = by or []
+    extra = extra or {}
     agg = (result.groupBy(*by)
                  .agg(F.count(F.lit(1)).alias("total_records_processed"),
-                      F.sum(F.when(F.col("ok"), 0).otherwise(1)).cast("long").alias("failed_record_count")))
+                      F.sum(F.when(F.col("ok"), 0).otherwise(1)).cast("long").alias("failed_record_count"),
+                      *[c.alias(n) for n, c in extra.items()]))
     total, failed = F.col("total_records_processed"), F.col("failed_record_count")
     pct, status, reason = threshold_status(total, failed, F.lit(threshold).cast("int"))
-    return agg.select(*by, F.lit(threshold).cast("int").alias("threshold_percentage"),
+    return agg.select(*by, *extra, F.lit(threshold).cast("int").alias("threshold_percentage"),
                       total.alias("total_records_processed"),
                       (total - failed).alias("successful_record_count"),
                       failed.alias("failed_record_count"),

@@ -30,24 +30,39 @@ def _alias(categorised: bool):
     return F.col("target_column_name")
 
 
-def select_exprs(column_attr: DataFrame, process: str, target: str,
-                 categorised: bool = False) -> list[str]:
-    """``transform_rule AS alias`` (or the plain column when the rule is
-    null); rows without a target column are skipped. Categorised targets get
-    the constant column first and aliases ``<target without $>_<category>``."""
-    rows = mapping_rows(column_attr, process, target)
-    if not rows.limit(1).count():
+def mapping_spec(column_attr: DataFrame, process: str, target: str,
+                 categorised: bool = False) -> tuple[list[str], dict]:
+    """The projection and the category map of one target from a single
+    collect of its (few) mapping rows.
+
+    Projection: ``transform_rule AS alias`` (or the plain column when the
+    rule is null); rows without a target column are skipped; none at all is
+    an error. Categorised targets get the constant column first, aliases
+    ``<target without $>_<category>``, and a null category is an error.
+    Category map: category → {alias → target column}."""
+    rows = (mapping_rows(column_attr, process, target)
+            .select("column_name", "transform_rule", "target_column_name",
+                    F.lower("object_category").alias("category"),
+                    _alias(categorised).alias("alias"))
+            .collect())
+    if not rows:
         raise ValueError(f"no column mapping for process {process}, target {target}")
-    rows = rows.where(F.col("target_column_name").isNotNull())
-    if categorised and rows.where(F.col("object_category").isNull()).limit(1).count():
+    rows = [r for r in rows if r.target_column_name is not None]
+    if categorised and any(r.category is None for r in rows):
         raise ValueError(f"object category missing in the mapping of {process}/{target}")
-    expr = F.concat(F.coalesce("transform_rule", "column_name"), F.lit(" AS `"),
-                    _alias(categorised), F.lit("`"))
-    # Order: configuration order is not defined by a table; sort by alias so
-    # the projection is stable.
-    exprs = [r[0] for r in rows.select(expr.alias("e"), _alias(categorised).alias("a"))
-                                .orderBy("a").select("e").collect()]
-    return ([DUMMY_COLUMN] if categorised else []) + exprs
+    # Sorted by alias: the configuration table defines no order.
+    rows.sort(key=lambda r: r.alias)
+    exprs = [f"{r.transform_rule or r.column_name} AS `{r.alias}`" for r in rows]
+    cmap: dict[str, dict] = {}
+    for r in rows:
+        if r.category is not None:
+            cmap.setdefault(r.category, {})[r.alias] = r.target_column_name
+    return ([DUMMY_COLUMN] if categorised else []) + exprs, cmap
+
+
+def select_exprs(column_attr: DataFrame, process: str, target: str,
+                 categorised: bool = False) -> list[str]:
+    return mapping_spec(column_attr, process, target, categorised)[0]
 
 
 def map_columns(df: DataFrame, column_attr: DataFrame, process: str, target: str,
@@ -69,5 +84,4 @@ def category_map(column_attr: DataFrame) -> DataFrame:
 
 def category_map_dict(column_attr: DataFrame, process: str, target: str) -> dict:
     """The category map of one target as a driver dict (configuration only)."""
-    rows = category_map(mapping_rows(column_attr, process, target)).collect()
-    return {r["category"]: dict(r["mapping"]) for r in rows}
+    return mapping_spec(column_attr, process, target, categorised=True)[1]

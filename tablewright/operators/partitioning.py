@@ -1,0 +1,31 @@
+"""Parallelism for the Python stages (payload building, sending).
+
+A stage that runs Python per Arrow batch is only as parallel as its input's
+partitions. Large inputs arrive in thousands of splits and are left alone; a
+small or unsplittable input (one file, one row group) would run in a single
+task, so it is spread round-robin over the cluster's default parallelism.
+The check looks at the planned partition count; no job runs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def min_parallelism(df: DataFrame) -> int:
+    spark = df.sparkSession
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ensure_parallelism(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``df`` itself when it already has at least ``partitions`` partitions
+    (default: the cluster's parallelism), else a round-robin repartition."""
+    want = partitions or min_parallelism(df)
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    return df if have >= want else df.repartition(want)

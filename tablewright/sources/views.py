@@ -18,6 +18,17 @@ def _rows_for(cfg: DataFrame, key: str, value: str):
     return cfg.where(F.lower(F.col(key)) == F.lower(F.lit(value)))
 
 
+def _template_text(templates, name, cache):
+    """Template texts, collected once per view build (configuration only)."""
+    if "_all" not in cache:
+        cache["_all"] = {} if templates is None else {
+            r[0].lower(): r[1] for r in templates.select("query_template_name", "query_template").collect()}
+    text = cache["_all"].get(name.lower())
+    if text is None:
+        raise ValueError(f"query template '{name}' is not configured")
+    return text
+
+
 def _template_views(spark, text, params, templates, done):
     """Register every template the text refers to; returns name → view."""
     names = {}
@@ -25,12 +36,7 @@ def _template_views(spark, text, params, templates, done):
         if name in done:
             names[name] = done[name]
             continue
-        if templates is None:
-            raise ValueError(f"query template '{name}' is not configured")
-        rows = _rows_for(templates, "query_template_name", name).select("query_template").collect()
-        if not rows:
-            raise ValueError(f"query template '{name}' is not configured")
-        inner = rows[0][0]
+        inner = _template_text(templates, name, done.setdefault("_texts", {}))
         inner_names = _template_views(spark, inner, params, templates, done)
         view = f"tpl_{name}"
         bind_sql(spark, replace_template_refs(inner, inner_names), params).createOrReplaceTempView(view)

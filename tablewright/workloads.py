@@ -21,6 +21,7 @@ from tablewright.functions.scalars import epoch_millis
 from tablewright.operators import audit, delivery, mapping
 from tablewright.operators.dedup import keep_one, priority
 from tablewright.operators.joins import bounded_broadcast, flag_exists, left_chain
+from tablewright.operators.partitioning import ensure_parallelism
 from tablewright.operators.payload import build_payload
 from tablewright.operators.upsert import upsert
 from tablewright.session import work_path
@@ -157,22 +158,22 @@ def _open_orders_latest(orders: DataFrame) -> DataFrame:
 
 
 def _events_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events → categorised projection → outbound documents."""
+    """events → categorised projection → category map."""
     events = _read(spark, sf_dir, "events")
     cattr = _cfg(spark, EVENTS_MAPPING, schemas.COLUMN_ATTR)
-    projected = mapping.map_columns(events, cattr, "events_feed", "engage", categorised=True)
-    cmap = mapping.category_map_dict(cattr, "events_feed", "engage")
-    return projected, cmap
+    exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
+    return events.selectExpr(*exprs), cmap
 
 
 def _delivery_attempts(spark: SparkSession, sf_dir: str, carry=()) -> DataFrame:
-    """Documents of every event sent through the deterministic endpoint."""
-    events = _read(spark, sf_dir, "events")
+    """Documents of every event (N1–N4) sent through the deterministic
+    endpoint (K3). Rows are spread before the Python-heavy stages when the
+    scan alone would not give every core a partition."""
+    events = ensure_parallelism(_read(spark, sf_dir, "events"))
     cattr = _cfg(spark, EVENTS_MAPPING, schemas.COLUMN_ATTR)
-    exprs = mapping.select_exprs(cattr, "events_feed", "engage", categorised=True)
+    exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
     extra = [f"`{c}`" for c in carry]
     projected = events.selectExpr("event_id", *extra, *exprs)
-    cmap = mapping.category_map_dict(cattr, "events_feed", "engage")
     docs = build_payload(projected, cmap, TARGET_PROPERTIES, ENVIRONMENT, RUN_ID, "event_id",
                          carry=tuple(carry))
     return delivery.deliver(docs, rule_sender, max_retries=MAX_RETRIES, base_wait=BASE_WAIT,
@@ -255,7 +256,10 @@ def q_categorised_project(spark, sf_dir):
 
 def q_payload_fields(spark, sf_dir):
     _prep(spark)
-    projected, cmap = _events_payload(spark, sf_dir)
+    events = ensure_parallelism(_read(spark, sf_dir, "events"))
+    cattr = _cfg(spark, EVENTS_MAPPING, schemas.COLUMN_ATTR)
+    exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
+    projected = events.selectExpr(*exprs)
     docs = build_payload(projected.withColumn("event_id", F.col("category_app_event_attributes")),
                          cmap, TARGET_PROPERTIES, ENVIRONMENT, RUN_ID, "event_id")
     # Read the fields back from the JSON text (never compare JSON as text).
@@ -345,10 +349,8 @@ def _run_latest(spark, sf_dir):
     attempts = _delivery_attempts(spark, sf_dir, carry=("event_type", "ts"))
     final = delivery.final_outcome(attempts).withColumn(
         "run_id", F.date_format("ts", "yyyyMMdd").cast("long"))
-    counts = (audit.run_counts(final, THRESHOLD, by=["event_type", "run_id"])
-                   .join(final.groupBy("event_type", "run_id")
-                              .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts")),
-                         ["event_type", "run_id"]))
+    counts = audit.run_counts(final, THRESHOLD, by=["event_type", "run_id"],
+                              extra={"start_ts": F.min("ts"), "end_ts": F.max("ts")})
     events = audit.run_events(counts, F.col("event_type"), F.col("run_id"),
                               F.col("start_ts"), F.col("end_ts"))
     return audit.latest_runs(events)
