@@ -196,6 +196,37 @@ def envelope_batches(df: DataFrame, key: str, payload: str = "data",
                  F.max(key).alias("last_key"), F.collect_list(payload).alias("records")))
 
 
+def bulk_requests(docs: DataFrame, key: str, run_id: int, size: int = DEFAULT_ENVELOPE_SIZE,
+                  buckets: int = 8) -> DataFrame:
+    """K4 for sending: one request per envelope of at most ``size`` documents
+    (a bounded group). ``data`` is the JSON array of the documents; ``members``
+    lists the record request ids in the same order. Request id of an
+    envelope = ``sha256(run_id|bucket|envelope)``; key = ``bucket-envelope``."""
+    env = envelopes(docs.select(key, "request_id", "data"), key, size, buckets)
+    recs = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), "request_id", "data")))
+    return (env.groupBy("bucket", "envelope").agg(recs.alias("recs"))
+               .select(F.sha2(F.concat_ws("|", F.lit(run_id).cast("string"), "bucket", "envelope"), 256)
+                        .alias("request_id"),
+                       F.concat_ws("-", "bucket", "envelope").alias("key"),
+                       F.concat(F.lit("["), F.array_join(F.transform("recs", lambda r: r["data"]), ","),
+                                F.lit("]")).alias("data"),
+                       F.transform("recs", lambda r: r["request_id"]).alias("members")))
+
+
+def per_record(envelope_result: DataFrame) -> DataFrame:
+    """The outcome of each record of a bulk send: an envelope's outcome applies
+    to all its members; a failed envelope hands each member its own document
+    (one dead letter per record, never one per envelope)."""
+    docs = F.coalesce(F.from_json("data", "array<string>"),
+                      F.array_repeat(F.lit(None).cast("string"), F.size("members")))
+    return (envelope_result
+            .select(F.col("request_id").alias("envelope_request_id"), "n_attempts", "status_code",
+                    "reason", "ok", F.explode(F.arrays_zip(F.col("members").alias("rid"),
+                                                           docs.alias("doc"))).alias("m"))
+            .select(F.col("m.rid").alias("request_id"), "envelope_request_id", "n_attempts",
+                    "status_code", "reason", "ok", F.col("m.doc").alias("data")))
+
+
 def canary_split(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """The first record by key is sent alone before the fan-out; the rest
     is everything else. ``orderBy().limit(1)`` is a per-partition top-1 and a

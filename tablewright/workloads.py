@@ -148,6 +148,15 @@ def rule_sender(requests: pd.DataFrame, attempt: int) -> pd.DataFrame:
                          "retry_after": retry_after})
 
 
+def bulk_rule_sender(requests: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    """Deterministic bulk endpoint. An envelope ``bucket-n``
+    fails with 500 when (bucket + n) is a multiple of 5, else 202."""
+    be = requests["key"].str.split("-", expand=True).astype("int64")
+    status = np.where((be[0] + be[1]) % 5 == 0, 500, 202)
+    return pd.DataFrame({"status": status, "reason": [REASONS[s] for s in status],
+                         "retry_after": np.zeros(len(status), dtype="int64")})
+
+
 # ----------------------------------------------------- shared building blocks
 def _open_orders_latest(orders: DataFrame) -> DataFrame:
     """Latest open order per customer by status priority."""
@@ -331,6 +340,22 @@ def q_replay(spark, sf_dir):
                         F.get_json_object("data", "$.user_identities.customerid").alias("customerid"))
 
 
+def q_bulk_delivery(spark, sf_dir):
+    _prep(spark)
+    events = ensure_parallelism(_read(spark, sf_dir, "events"))
+    cattr = _cfg(spark, EVENTS_MAPPING, schemas.COLUMN_ATTR)
+    exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
+    docs = build_payload(events.selectExpr("event_id", *exprs), cmap, TARGET_PROPERTIES, ENVIRONMENT,
+                         RUN_ID, "event_id")
+    buckets = delivery.envelope_buckets(events, ROWS_PER_BUCKET, MIN_BUCKETS)
+    bulk = delivery.bulk_requests(docs, "event_id", RUN_ID, ENVELOPE_SIZE, buckets)
+    sent = delivery.deliver(bulk, bulk_rule_sender, max_retries=MAX_RETRIES, base_wait=BASE_WAIT,
+                            max_wait=MAX_WAIT, carry=("members",))
+    recs = delivery.per_record(delivery.final_outcome(sent))
+    return recs.select("request_id", "envelope_request_id", "n_attempts", "status_code", "ok",
+                       F.get_json_object("data", "$.user_identities.customerid").alias("customerid"))
+
+
 def q_canary_split(spark, sf_dir):
     events = _read(spark, sf_dir, "events").select("event_id", "user_id")
     canary, rest = delivery.canary_split(events, "event_id")
@@ -461,6 +486,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retry_schedule": q_retry_schedule,
     "dead_letters": q_dead_letters,
     "replay": q_replay,
+    "bulk_delivery": q_bulk_delivery,
     "canary_split": q_canary_split,
     "threshold": q_threshold,
     "latest_run": q_latest_run,
@@ -599,6 +625,20 @@ FROM ({_DELIVERED}) WHERE status_code NOT IN (200, 202)""",
 SELECT sha256('20240102000000000|' || request_id) AS request_id, request_id AS replayed_request_id,
        CAST(status_code AS INTEGER) AS previous_status, CAST(user_id AS VARCHAR) AS customerid
 FROM ({_DELIVERED}) WHERE status_code IN (500, 999)""",
+    "bulk_delivery": """
+WITH b AS (SELECT CAST(greatest(8, ceil(count(*) / 1000000.0)) AS BIGINT) AS nb FROM events),
+e AS (SELECT event_id, user_id, CAST(((event_id % nb) + nb) % nb AS INTEGER) AS bucket FROM events, b),
+n AS (SELECT *, CAST((row_number() OVER (PARTITION BY bucket ORDER BY event_id) - 1) // 100 AS INTEGER)
+                AS envelope
+      FROM e)
+SELECT sha256('20240101000000000|' || CAST(event_id AS VARCHAR)) AS request_id,
+       sha256('20240101000000000|' || CAST(bucket AS VARCHAR) || '|' || CAST(envelope AS VARCHAR))
+         AS envelope_request_id,
+       CAST(CASE WHEN (bucket + envelope) % 5 = 0 THEN 3 ELSE 1 END AS INTEGER) AS n_attempts,
+       CAST(CASE WHEN (bucket + envelope) % 5 = 0 THEN 500 ELSE 202 END AS INTEGER) AS status_code,
+       (bucket + envelope) % 5 <> 0 AS ok,
+       CASE WHEN (bucket + envelope) % 5 = 0 THEN CAST(user_id AS VARCHAR) END AS customerid
+FROM n""",
     "canary_split": """
 SELECT event_id, user_id, event_id = (SELECT min(event_id) FROM events) AS is_canary FROM events""",
     "threshold": f"""

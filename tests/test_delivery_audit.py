@@ -119,3 +119,25 @@ def test_observe_count(spark, tmp):
     df, obs = audit.observe_count(spark.range(123))
     df.write.parquet(tmp + "/o")
     assert obs.get["n"] == 123
+
+
+def _bulk_sender(req: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    be = req["key"].str.split("-", expand=True).astype(int)
+    status = ((be[0] + be[1]) % 5 == 0).map({True: 500, False: 202})
+    return pd.DataFrame({"status": status.to_numpy(), "reason": ["x"] * len(req), "retry_after": [0] * len(req)})
+
+
+def test_bulk_delivery_per_record(spark):
+    keys = list(range(0, 1234))
+    docs = _requests(spark, keys)
+    bulk = delivery.bulk_requests(docs, "key", run_id=7, size=100, buckets=3)
+    assert bulk.where(F.size("members") > 100).count() == 0
+    final = delivery.final_outcome(delivery.deliver(bulk, _bulk_sender, max_retries=1, carry=("members",)))
+    recs = delivery.per_record(final)
+    assert recs.count() == len(keys) and recs.select("request_id").distinct().count() == len(keys)
+    dead = delivery.dead_letters(recs, 7)
+    ok = recs.where("ok").count()
+    assert ok + dead.count() == len(keys) and dead.count() > 0
+    # every dead letter holds exactly its own record's document
+    ids = {json.loads(r.data)["id"] for r in dead.collect()}
+    assert len(ids) == dead.count()
