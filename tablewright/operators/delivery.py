@@ -26,7 +26,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.functions.scalars import backoff_wait, date_text, ts_text
-from tablewright.operators.partitioning import ensure_parallelism
 from tablewright.schemas import ATTEMPT_DDL
 
 # Status codes and reasons of the delivery protocol.
@@ -105,13 +104,15 @@ def deliver(requests: DataFrame, sender, max_retries: int = DEFAULT_MAX_RETRIES,
             key: str = "key", carry: tuple = ()) -> DataFrame:
     """K3: send every request; one row per attempt (``schemas.ATTEMPT``).
 
-    Parallelism is the number of partitions; an input with fewer partitions
-    than ``partitions`` (default: the cluster's parallelism) is spread
-    round-robin first. Only the attempt that ends a request in failure
-    carries the payload, for the dead-letter table. Columns named in
-    ``carry`` pass through to every attempt row."""
-    src = ensure_parallelism(
-        requests.select("request_id", F.col(key).cast("string").alias("key"), "data", *carry), partitions)
+    Parallelism is the number of partitions of ``requests``; ``partitions``
+    spreads them round-robin first (spread a small source scan with
+    ``partitioning.ensure_parallelism`` instead, before the payload is built).
+    Only the attempt that ends a request in failure carries the payload, for
+    the dead-letter table. Columns named in ``carry`` pass through to every
+    attempt row."""
+    src = requests.select("request_id", F.col(key).cast("string").alias("key"), "data", *carry)
+    if partitions:
+        src = src.repartition(partitions)
     ddl = ATTEMPT_DDL + "".join(
         f", `{c}` {requests.schema[c].dataType.simpleString()}" for c in carry)
     def run(batches):

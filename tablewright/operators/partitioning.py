@@ -4,7 +4,9 @@ A stage that runs Python per Arrow batch is only as parallel as its input's
 partitions. Large inputs arrive in thousands of splits and are left alone; a
 small or unsplittable input (one file, one row group) would run in a single
 task, so it is spread round-robin over the cluster's default parallelism.
-The check looks at the planned partition count; no job runs.
+Apply it to a source scan: there the partition count is the number of file
+splits and no job runs. (On a plan with a shuffle, asking for the partition
+count under adaptive execution would run the shuffle stages.)
 """
 
 from __future__ import annotations
