@@ -63,11 +63,26 @@ def _classify_np(status: np.ndarray, reason: np.ndarray) -> np.ndarray:
     return np.select([ok, final, retry], ["ok", "final", "retry"], "abort")
 
 
+def _send_groups(sender, pending: pd.DataFrame, attempt: int, group_size: int | None,
+                 group_pause: float, sleep: bool) -> pd.DataFrame:
+    """Call the sender on groups of at most ``group_size`` requests with a
+    pause after each group (a rate limit per task)."""
+    if not group_size or len(pending) <= group_size:
+        return sender(pending, attempt).reset_index(drop=True)
+    parts = []
+    for start in range(0, len(pending), group_size):
+        parts.append(sender(pending.iloc[start:start + group_size].reset_index(drop=True), attempt))
+        if sleep and group_pause and start + group_size < len(pending):
+            time.sleep(group_pause)
+    return pd.concat(parts, ignore_index=True)
+
+
 def _send_batch(pdf: pd.DataFrame, sender, max_retries: int, base: float,
-                cap: float, sleep: bool, carry: tuple = ()):
+                cap: float, sleep: bool, carry: tuple = (), group_size: int | None = None,
+                group_pause: float = 0.0):
     pending = pdf.reset_index(drop=True)
     for attempt in range(1, max_retries + 2):
-        res = sender(pending, attempt)
+        res = _send_groups(sender, pending, attempt, group_size, group_pause, sleep)
         status = res["status"].to_numpy(dtype="int64")
         reason = res["reason"].astype(object).to_numpy()
         retry_after = res["retry_after"].fillna(0).to_numpy(dtype="int64")
@@ -101,7 +116,8 @@ def _send_batch(pdf: pd.DataFrame, sender, max_retries: int, base: float,
 def deliver(requests: DataFrame, sender, max_retries: int = DEFAULT_MAX_RETRIES,
             base_wait: float = DEFAULT_BASE_WAIT, max_wait: float = DEFAULT_MAX_WAIT,
             sleep: bool = False, partitions: int | None = None,
-            key: str = "key", carry: tuple = ()) -> DataFrame:
+            key: str = "key", carry: tuple = (), group_size: int | None = None,
+            group_pause: float = 0.0) -> DataFrame:
     """K3: send every request; one row per attempt (``schemas.ATTEMPT``).
 
     Parallelism is the number of partitions of ``requests``; ``partitions``
@@ -109,7 +125,9 @@ def deliver(requests: DataFrame, sender, max_retries: int = DEFAULT_MAX_RETRIES,
     ``partitioning.ensure_parallelism`` instead, before the payload is built).
     Only the attempt that ends a request in failure carries the payload, for
     the dead-letter table. Columns named in ``carry`` pass through to every
-    attempt row."""
+    attempt row. ``group_size``/``group_pause`` limit the rate per task: the
+    sender sees at most ``group_size`` requests per call, with a pause after
+    each group when ``sleep`` is on."""
     src = requests.select("request_id", F.col(key).cast("string").alias("key"), "data", *carry)
     if partitions:
         src = src.repartition(partitions)
@@ -117,7 +135,8 @@ def deliver(requests: DataFrame, sender, max_retries: int = DEFAULT_MAX_RETRIES,
         f", `{c}` {requests.schema[c].dataType.simpleString()}" for c in carry)
     def run(batches):
         for pdf in batches:
-            yield from _send_batch(pdf, sender, max_retries, base_wait, max_wait, sleep, carry)
+            yield from _send_batch(pdf, sender, max_retries, base_wait, max_wait, sleep, carry,
+                                   group_size, group_pause)
 
     return src.mapInPandas(run, ddl)
 
