@@ -68,12 +68,14 @@ class Runner:
                  max_retries: int = delivery.DEFAULT_MAX_RETRIES,
                  base_wait: float = delivery.DEFAULT_BASE_WAIT,
                  max_wait: float = delivery.DEFAULT_MAX_WAIT, sleep: bool = False,
-                 partitions: int | None = None):
+                 partitions: int | None = None, work_root: str | None = None):
         self.spark = spark
         self.session = spark
         self.config = config
         self.tables = tables            # table name → parquet location
         self.sender = sender
+        # staged deltas, stream checkpoints and attempts live under work_root
+        self.work_root = work_root or work_path(spark)
         self.history = history or work_path(spark, "run_history")
         self.dead_root = dead_letter_root or work_path(spark, "dead_letters")
         self.retry = dict(max_retries=max_retries, base_wait=base_wait, max_wait=max_wait,
@@ -149,7 +151,7 @@ class Runner:
 
     # --------------------------------------------------------------- steps
     def _stage_root(self) -> str:
-        return work_path(self.spark, "staging", self.ctx.process.lower())
+        return f"{self.work_root}/staging/{self.ctx.process.lower()}"
 
     def consume_stream(self, args: dict, step_id: int) -> None:
         """Stage what is new; on restart use the staged batches."""
@@ -163,7 +165,7 @@ class Runner:
             glob = props.get("source_glob", source)
             since = props.get("time_travel")
             ts_col = props.get("time_column")
-            ckpt = checkpoint_location(self.spark, self.ctx.process)
+            ckpt = checkpoint_location(self.spark, self.ctx.process, root=f"{self.work_root}/checkpoints")
             batches = capture_changes(self.spark, glob, schema, stage, ckpt,
                                       since=F.lit(since).cast("timestamp_ntz") if since else None,
                                       ts_col=ts_col)
@@ -191,7 +193,7 @@ class Runner:
         """Configuration rows as a DataFrame of the current session."""
         if df is None or df.sparkSession is self.session:
             return df
-        return self.session.createDataFrame(df.collect(), df.schema)
+        return self.session.createDataFrame(df.toPandas(), df.schema)
 
     def sql(self, args: dict, step_id: int) -> None:
         self.env[args["output_df"]] = bind_sql(self.session, args["query"], self.ctx.args)
@@ -233,7 +235,7 @@ class Runner:
                 df = df.withColumn("_record_key", F.sha2(F.to_json(F.struct(*df.columns)), 256))
             requests = build_payload(df, cmap, props, lower.get("environment", "development"),
                                      ctx.run_id, "_record_key").withColumnRenamed("_record_key", "key")
-        attempts_path = work_path(self.spark, "attempts", ctx.process.lower(), str(ctx.run_id), target)
+        attempts_path = f"{self.work_root}/attempts/{ctx.process.lower()}/{ctx.run_id}/{target}"
         # Exactly once per run: the send happens in this one write; every
         # later read uses the staged attempts, never the live send.
         delivery.deliver(requests, self.sender, **self.retry).write.mode("overwrite").parquet(attempts_path)

@@ -44,9 +44,10 @@ def _list_dirs(spark, path) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def checkpoint_location(spark: SparkSession, process: str, replace: bool = False) -> str:
+def checkpoint_location(spark: SparkSession, process: str, replace: bool = False,
+                        root: str | None = None) -> str:
     """T5: ``<shared>/checkpoints/<process>/v<N>``; ``replace`` opens N+1."""
-    base = work_path(spark, "checkpoints", process.lower())
+    base = f"{root or work_path(spark, 'checkpoints')}/{process.lower()}"
     versions = [int(d[1:]) for d in _list_dirs(spark, base) if d.startswith("v") and d[1:].isdigit()]
     current = max(versions) if versions else 1
     return f"{base}/v{current + 1 if (replace and versions) else current}"

@@ -472,6 +472,70 @@ def q_file_sink(spark, sf_dir):
                      F.round(F.sum("value"), 2).alias("total_value")))
 
 
+def _compiled(cfg) -> dict:
+    from tablewright.plans.compile import compile_pipelines
+    import json
+    return json.loads(compile_pipelines(cfg.object_attr, cfg.target_attr, cfg.column_attr)
+                      .first().pipeline_config)
+
+
+def q_process_run(spark, sf_dir):
+    """The whole process on the events table: configuration compiled to a
+    pipeline (N6), run by the step runner — extract, documents to the
+    endpoint with retries and dead letters, a table copy — then the run's
+    final state from the history (K7) with the threshold (A4)."""
+    from tablewright.plans.runner import Config, RunContext, Runner
+    _prep(spark)
+    work = work_path(spark, "runs", unique=True)
+    archive = "tw_archive_" + work.rsplit("/", 1)[-1][:12]
+    props = {**TARGET_PROPERTIES, "key_column": "event_id", "threshold_percentage": str(THRESHOLD)}
+    cfg = Config(
+        _cfg(spark, [("events_feed", "events to the engagement endpoint", "db", "sch", "events", "table",
+                      None, None, {"engage": "endpoint", "archive": "table"}, False, None, None)],
+             schemas.OBJECT_ATTR),
+        _cfg(spark, [("Events_Feed", "ENGAGE", props),
+                     ("events_feed", "archive", {"table": archive, "path": f"{work}/tables/{archive}"})],
+             schemas.TARGET_ATTR),
+        _cfg(spark, EVENTS_MAPPING, schemas.COLUMN_ATTR))
+    runner = Runner(spark, cfg, {"events": _path(sf_dir, "events")}, sender=rule_sender,
+                    max_retries=MAX_RETRIES, base_wait=BASE_WAIT, max_wait=MAX_WAIT,
+                    history=f"{work}/history", dead_letter_root=f"{work}/dead", work_root=work)
+    runner.run(_compiled(cfg), RunContext("events_feed", run_id=RUN_ID))
+    return runner.latest_runs().select("process_name", "run_id", "status", "successful_record_count",
+                                       "failed_record_count", "failure_reason")
+
+
+def q_process_incremental(spark, sf_dir):
+    """An incremental view process: the orders stream is consumed once and
+    staged (S6, T1), bound under the name ``orders`` (S5) for the configured
+    view (S4, F3, F4), projected by the mapping (P2) into a table (K1), and
+    the staged batch is committed (K8)."""
+    from tablewright.plans.runner import Config, RunContext, Runner
+    _prep(spark)
+    work = work_path(spark, "runs", unique=True)
+    table = "tw_orders_view_" + work.rsplit("/", 1)[-1][:12]
+    cfg = Config(
+        _cfg(spark, [("orders_cdc", "customer order totals", "db", "sch", "v_customer_orders", "view",
+                      "db.sch.orders_stream", None, {"warehouse": "table"}, True, "orders",
+                      "db.sch.orders_stg")], schemas.OBJECT_ATTR),
+        _cfg(spark, [("orders_cdc", "warehouse", {"table": table, "mode": "overwrite",
+                                                  "path": f"{work}/tables/{table}"})], schemas.TARGET_ATTR),
+        _cfg(spark, [("orders_cdc", "warehouse", "c_custkey", None, "customer_key", None),
+                     ("orders_cdc", "warehouse", "c_name", None, "customer_name", None),
+                     ("orders_cdc", "warehouse", "n_name", "upper(n_name)", "nation", None),
+                     ("orders_cdc", "warehouse", "n_orders", None, "n_orders", None),
+                     ("orders_cdc", "warehouse", "total", None, "total", None)], schemas.COLUMN_ATTR),
+        _cfg(spark, VIEW_CONFIG, schemas.QUERY_VIEW_CONFIG),
+        _cfg(spark, ORDER_CONFIG, schemas.QUERY_ORDER_CONFIG),
+        _cfg(spark, TEMPLATE_CONFIG, schemas.QUERY_TEMPLATE_CONFIG))
+    orders_glob = _path(sf_dir, "orders")[:-1] + "[t]"   # stream sources list a folder
+    runner = Runner(spark, cfg, {"orders": orders_glob, "customer": _path(sf_dir, "customer"),
+                                 "nation": _path(sf_dir, "nation")},
+                    history=f"{work}/history", work_root=work)
+    runner.run(_compiled(cfg), RunContext("orders_cdc", run_id=RUN_ID))
+    return spark.table(table)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_priority": q_dedup_priority,
     "left_join_chain": q_left_join_chain,
@@ -502,6 +566,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_keys": q_duplicate_keys,
     "table_sink": q_table_sink,
     "file_sink": q_file_sink,
+    "process_run": q_process_run,
+    "process_incremental": q_process_incremental,
 }
 
 
@@ -702,6 +768,19 @@ SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY o_custkey HAVING count
     "table_sink": """
 SELECT lower(event_type) AS event_type, count(*) AS n_rows, round(sum(value), 2) AS total_value
 FROM events GROUP BY 1""",
+    "process_run": f"""
+WITH d AS ({_DELIVERED}),
+g AS (SELECT count(*) AS total, sum(CASE WHEN status_code IN (200, 202) THEN 0 ELSE 1 END) AS failed FROM d)
+SELECT 'events_feed' AS process_name, CAST(20240101000000000 AS BIGINT) AS run_id,
+       CASE WHEN (total - failed)::DOUBLE / total::DOUBLE * 100.0 >= 95 THEN 'SUCCEEDED' ELSE 'FAILED' END
+         AS status,
+       total - failed AS successful_record_count, failed AS failed_record_count,
+       CASE WHEN (total - failed)::DOUBLE / total::DOUBLE * 100.0 >= 95 THEN NULL
+            ELSE 'Threshold percentage is not met' END AS failure_reason
+FROM g""",
+    "process_incremental": "SELECT c_custkey AS customer_key, c_name AS customer_name, "
+                           "upper(n_name) AS nation, n_orders, total FROM (" + _VIEW_WITH.format(orders="orders")
+                           + ")",
     "file_sink": """
 SELECT lower(event_type) AS event_type, count(*) AS n_rows, round(sum(value), 2) AS total_value
 FROM events GROUP BY 1""",
