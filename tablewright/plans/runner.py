@@ -22,6 +22,7 @@ import traceback
 from dataclasses import dataclass, field
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions.params import bind_sql
@@ -235,11 +236,36 @@ class Runner:
                 df = df.withColumn("_record_key", F.sha2(F.to_json(F.struct(*df.columns)), 256))
             requests = build_payload(df, cmap, props, lower.get("environment", "development"),
                                      ctx.run_id, "_record_key").withColumnRenamed("_record_key", "key")
+        requests = requests.select("request_id", "key", "data")
         attempts_path = f"{self.work_root}/attempts/{ctx.process.lower()}/{ctx.run_id}/{target}"
-        # Exactly once per run: the send happens in this one write; every
-        # later read uses the staged attempts, never the live send.
-        delivery.deliver(requests, self.sender, **self.retry).write.mode("overwrite").parquet(attempts_path)
+        bulk = int(lower["bulk_size"]) if lower.get("bulk_size") else None
+        carry = ()
+        if bulk:
+            # K4: envelopes of `bulk_size` records, one request each
+            buckets = delivery.envelope_buckets(requests)
+            requests = delivery.bulk_requests(requests, "key", ctx.run_id, bulk, buckets)
+            carry = ("members",)
+
+        # Exactly once per run: the send happens in these writes; every later
+        # read uses the staged attempts, never the live send.
+        def send(reqs: DataFrame, mode: str) -> None:
+            delivery.deliver(reqs, self.sender, carry=carry, **self.retry) \
+                .write.mode(mode).parquet(attempts_path)
+
+        canary = str(lower.get("canary", "true")).lower() != "false"
+        first = requests.limit(1).collect() if canary else []
+        if first:
+            # One record alone first; an abort (e.g. rejected credentials)
+            # fails the run before the fan-out. The canary row is taken once
+            # to the driver, so the rest is a plain filter — no second lookup.
+            row = first[0].asDict()
+            send(self.spark.createDataFrame(pd.DataFrame([row]), requests.schema), "overwrite")
+            send(requests.where(~F.col("key").eqNullSafe(F.lit(row["key"]))), "append")
+        else:
+            send(requests, "overwrite")
         final = delivery.final_outcome(self.spark.read.parquet(attempts_path))
+        if bulk:
+            final = delivery.per_record(final)
         dead = delivery.dead_letters(final, ctx.run_id)
         append_dead_letters(dead, dead_path)
         row = final.agg(F.count(F.lit(1)).alias("t"),

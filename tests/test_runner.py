@@ -3,6 +3,7 @@ import os  # noqa: F401
 import uuid
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tablewright import schemas
@@ -97,3 +98,43 @@ def test_incremental_run_skips_without_new_data(spark, tmp):
     state = r.run(pipe, RunContext(proc, run_id=3))       # nothing new: steps skipped
     assert state["status"] == "SUCCEEDED" and state["successful_record_count"] == 0
     assert spark.table("tw_runner_copy").count() == 10
+
+
+def test_bulk_mode_and_canary_abort(spark, tmp):
+    path = _events(spark, tmp)
+    cfg = _config(spark)
+    cfg.target_attr = spark.createDataFrame(
+        [("events_feed", "engage", {**PROPS, "bulk_size": "40"}),
+         ("events_feed", "copy", {"table": "tw_runner_copy2", "mode": "overwrite"})], schemas.TARGET_ATTR)
+    pipe = json.loads(compile_pipelines(cfg.object_attr, cfg.target_attr, cfg.column_attr).first().pipeline_config)
+
+    def every_third_envelope(req: pd.DataFrame, attempt: int) -> pd.DataFrame:
+        env = req["key"].str.split("-").str[1].astype(int)
+        st = (env % 3 == 0).map({True: 500, False: 202}).to_numpy()
+        return pd.DataFrame({"status": st, "reason": ["r"] * len(req), "retry_after": [0] * len(req)})
+
+    r = Runner(spark, cfg, {"events": path + "/*"}, sender=every_third_envelope, max_retries=0,
+               history=tmp + "/hist", dead_letter_root=tmp + "/dead", work_root=tmp + "/work")
+    state = r.run(pipe, RunContext("events_feed", run_id=11))
+    dead = spark.read.parquet(tmp + "/dead/fails").where("run_id = 11")
+    assert state["successful_record_count"] + state["failed_record_count"] == 300
+    assert dead.count() == state["failed_record_count"] > 0              # one dead letter per record
+    assert dead.select("source_request_id").distinct().count() == dead.count()
+
+    def rejected(req: pd.DataFrame, attempt: int) -> pd.DataFrame:
+        return pd.DataFrame({"status": [401] * len(req), "reason": ["Unauthorized"] * len(req),
+                             "retry_after": [0] * len(req)})
+    cfg.target_attr = spark.createDataFrame([("events_feed", "engage", PROPS),
+                                             ("events_feed", "copy", {"table": "tw_runner_copy2",
+                                                                      "mode": "overwrite"})],
+                                            schemas.TARGET_ATTR)
+    r2 = Runner(spark, cfg, {"events": path + "/*"}, sender=rejected, history=tmp + "/hist",
+                dead_letter_root=tmp + "/dead", work_root=tmp + "/work")
+    with pytest.raises(Exception, match="401"):
+        r2.run(pipe, RunContext("events_feed", run_id=12))
+    latest = {row.run_id: row.status for row in r2.latest_runs().collect()}
+    assert latest[12] == "FAILED"
+    # the canary's job aborted, so nothing was committed and no fan-out ran
+    folder = tmp + "/work/attempts/events_feed/12/engage"
+    parts = [f for f in os.listdir(folder) if f.startswith("part-")] if os.path.isdir(folder) else []
+    assert parts == []
