@@ -44,8 +44,10 @@ def lookup_config(object_attr: DataFrame, target_attr: DataFrame, column_attr: D
             .groupBy(_lkey("process_name").alias("process"), _lkey("target_name").alias("target"))
             .agg(F.count(F.lit(1)).alias("n_columns")))
     t = targets.withColumn("target", F.lower("target"))
-    return (t.join(F.broadcast(props), ["process", "target"], "left")
-             .join(F.broadcast(cols), ["process", "target"], "left")
+    # No broadcast hints: configuration tables have no proven size bound, so
+    # Spark's size estimate (and AQE at run time) picks the join.
+    return (t.join(props, ["process", "target"], "left")
+             .join(cols, ["process", "target"], "left")
              .select("process", "target", F.lower("kind").alias("kind"), "target_properties",
                      F.coalesce("n_columns", F.lit(0)).alias("n_columns"),
                      F.col("target_properties").isNull().alias("missing_properties"),
@@ -165,7 +167,7 @@ def compile_pipelines(object_attr: DataFrame, target_attr: DataFrame, column_att
                                "target_properties")
     targets = (o.select("process", "object_name", F.explode("target_name_list").alias("target", "kind"))
                 .withColumn("target", F.lower("target"))
-                .join(F.broadcast(props), ["process", "target"], "left")
+                .join(props, ["process", "target"], "left")
                 .join(mapped, ["process", "target"], "left")
                 .select("process", F.lit(4).alias("phase"), "target",
                         F.coalesce(F.element_at(F.create_map(*[x for k, v in TARGET_KINDS.items()

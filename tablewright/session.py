@@ -43,8 +43,9 @@ def build_session(master: str | None = None, app: str = "tablewright",
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for staged data, checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir``; a machine-local folder is created only
-    when the session names none (tests)."""
+    Read from ``spark.checkpoint.dir``. Only a local-mode session without one
+    (tests, a laptop) gets a temporary folder; on a cluster the setting is
+    required, never a machine-local folder."""
     global _LOCAL_FALLBACK
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -53,6 +54,10 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(staged deltas, attempts and run history are written there)")
         if _LOCAL_FALLBACK is None:
             _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="tablewright-")
             try:
