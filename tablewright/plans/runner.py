@@ -24,6 +24,7 @@ from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tablewright.functions.params import bind_sql
 from tablewright.functions.scalars import run_id_now
@@ -35,8 +36,8 @@ from tablewright.sinks.writers import append_dead_letters, run_statements, write
 from tablewright.sources.scan import replay
 from tablewright.sources.views import build_view, register_tables
 from tablewright.streaming.capture import (
-    capture_changes, checkpoint_location, mark_committed, read_staged, staged_batches,
-    uncommitted_batches,
+    capture_changes, capture_snapshot_changes, checkpoint_location, mark_committed, purge_committed,
+    read_staged, staged_batches, uncommitted_batches,
 )
 
 log = logging.getLogger(__name__)
@@ -155,26 +156,36 @@ class Runner:
         return f"{self.work_root}/staging/{self.ctx.process.lower()}"
 
     def consume_stream(self, args: dict, step_id: int) -> None:
-        """Stage what is new; on restart use the staged batches."""
+        """S6/T1–T3 (append-only) or S7 (full change feed, when the stream
+        properties say ``append_only: false`` and name ``key_columns``): stage
+        what is new; on restart use the staged batches."""
         stage = self._stage_root()
-        source = self.tables[self.obj["primary_table"] or self.obj["object_name"]]
+        primary = self.obj["primary_table"] or self.obj["object_name"]
+        source = self.tables[primary]
         schema = self.spark.read.parquet(source).schema
+        props = {k.lower(): v for k, v in (self.obj.get("stream_properties") or {}).items()}
+        append_only = str(props.get("append_only", "true")).lower() != "false"
+        if not append_only:
+            schema = StructType(schema.fields + [StructField("action", StringType()),
+                                                 StructField("is_update", BooleanType())])
         if self.ctx.restart_run_id is not None:
             batches = uncommitted_batches(self.spark, stage)
-        else:
-            props = self.obj.get("stream_properties") or {}
-            glob = props.get("source_glob", source)
+        elif append_only:
             since = props.get("time_travel")
-            ts_col = props.get("time_column")
             ckpt = checkpoint_location(self.spark, self.ctx.process, root=f"{self.work_root}/checkpoints")
-            batches = capture_changes(self.spark, glob, schema, stage, ckpt,
+            batches = capture_changes(self.spark, props.get("source_glob", source), schema, stage, ckpt,
                                       since=F.lit(since).cast("timestamp_ntz") if since else None,
-                                      ts_col=ts_col)
+                                      ts_col=props.get("time_column"))
+        else:
+            keys = [k.strip() for k in str(props.get("key_columns", "")).split(",") if k.strip()]
+            if not keys:
+                raise ValueError("a change-feed stream needs key_columns in its stream properties")
+            batches = capture_snapshot_changes(self.spark, source, keys, stage,
+                                               f"{self.work_root}/snapshots/{self.ctx.process.lower()}")
         self.stream_has_data = bool(batches)
         self.batches = batches
         if batches:
-            delta = read_staged(self.spark, stage, schema, batches)
-            primary = self.obj["primary_table"] or self.obj["object_name"]
+            self.env["_delta"] = read_staged(self.spark, stage, schema, batches)
             # bind the delta by name in a child session
             child = self.spark.newSession()
             register_tables(child, {k: v for k, v in self.tables.items() if k != primary})
@@ -183,7 +194,6 @@ class Runner:
             if name:
                 read_staged(child, stage, schema, batches).createOrReplaceTempView(name)
             self.session = child
-            self.env["_delta"] = delta
 
     def create_view(self, args: dict, step_id: int) -> None:
         c = self.config
@@ -296,6 +306,7 @@ class Runner:
         """K8: after success the consumed batches are committed."""
         if getattr(self, "batches", None):
             mark_committed(self.spark, self._stage_root(), self.batches)
+            purge_committed(self.spark, self._stage_root(), self.batches)
         self.session = self.spark
 
 

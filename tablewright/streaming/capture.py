@@ -74,6 +74,19 @@ def mark_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -
         fs.create(p, True).close()
 
 
+def purge_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -> None:
+    """K8: drop the staged data of committed batches; the commit marker stays,
+    so a replayed batch id is still recognised as done."""
+    for b in batch_ids:
+        folder = f"{stage_root}/batch_id={b}"
+        if not _exists(spark, f"{folder}/{_COMMIT}"):
+            continue
+        p, fs = _fs(spark, folder)
+        for st in fs.listStatus(p):
+            if st.getPath().getName() not in (_COMMIT, f".{_COMMIT}.crc"):
+                fs.delete(st.getPath(), True)
+
+
 def read_staged(spark: SparkSession, stage_root: str, schema: StructType,
                 batch_ids: list[int] | None = None) -> DataFrame:
     """The staged delta (all batches or the given ones) as one DataFrame;
@@ -117,3 +130,35 @@ def capture_changes(spark: SparkSession, source: str, schema: StructType,
                .trigger(availableNow=True).start())
     q.awaitTermination()
     return sorted(set(staged_batches(spark, stage_root)) - before)
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(d.split("=")[1]) for d in _list_dirs(spark, root) if d.startswith("version="))
+
+
+def capture_snapshot_changes(spark: SparkSession, source: str, keys: list[str], stage_root: str,
+                             snapshot_root: str, block_unfinished: bool = True) -> list[int]:
+    """S7 for a stream that is not append-only: the full change feed of the
+    table since the snapshot the previous run kept (inserts, deletes, and
+    updates as DELETE + INSERT images, ``action`` / ``is_update``).
+
+    The current table is first written as snapshot ``version=<batch id>`` and
+    the feed is computed from that copy (a consistent read, lineage cut), then
+    staged like any captured batch. The diff is one full outer join on the
+    key. Returns ``[batch id]``, or ``[]`` when nothing changed."""
+    from tablewright.sources.changes import change_feed
+    if block_unfinished and uncommitted_batches(spark, stage_root):
+        raise RuntimeError("a previous run's staged data is not processed yet; restart that run first")
+    staged = staged_batches(spark, stage_root)
+    batch = max(staged) + 1 if staged else 0
+    spark.read.parquet(source).write.mode("overwrite").parquet(f"{snapshot_root}/version={batch}")
+    current = spark.read.parquet(f"{snapshot_root}/version={batch}")
+    older = [v for v in _versions(spark, snapshot_root) if v < batch]
+    previous = (spark.read.parquet(f"{snapshot_root}/version={older[-1]}") if older
+                else spark.createDataFrame([], current.schema))
+    folder = f"{stage_root}/batch_id={batch}"
+    change_feed(previous, current, keys).write.mode("overwrite").parquet(folder)
+    if spark.read.parquet(folder).limit(1).count() == 0:
+        mark_committed(spark, stage_root, [batch])      # nothing changed: nothing to process
+        return []
+    return [batch]

@@ -18,7 +18,7 @@ from tablewright.operators.upsert import upsert
 from tablewright.plans.compile import compile_pipelines, config_violations
 from tablewright.plans.runner import Config
 from tablewright.schemas import DEPLOY_ATTR, PIPELINE
-from tablewright.streaming.capture import _list_dirs
+from tablewright.streaming.capture import _list_dirs, checkpoint_location
 
 
 def pipeline_versions(spark: SparkSession, root: str) -> list[int]:
@@ -32,8 +32,22 @@ def current_pipelines(spark: SparkSession, root: str, below: int | None = None)
     return spark.read.schema(PIPELINE).parquet(f"{root}/version={vs[-1]}")
 
 
+def replace_streams(spark: SparkSession, deploys: DataFrame, checkpoint_root: str) -> list[str]:
+    """T5: a deploy row asking to replace its process's stream opens a new
+    checkpoint version (the next run starts a new stream; with a time-travel
+    property it starts at that point). Others keep their stream position."""
+    from tablewright.streaming.capture import _fs
+    procs = [r[0] for r in deploys.where(F.coalesce("replace_existing_stream", F.lit(False)))
+                                  .select(F.lower("process_name")).distinct().collect()]
+    for proc in procs:
+        p, fs = _fs(spark, checkpoint_location(spark, proc, replace=True, root=checkpoint_root))
+        fs.mkdirs(p)
+    return procs
+
+
 def compile_deploy_batch(spark: SparkSession, deploys: DataFrame, config: Config,
-                         pipeline_root: str, version: int, status_root: str) -> None:
+                         pipeline_root: str, version: int, status_root: str,
+                         checkpoint_root: str | None = None) -> None:
     procs = deploys.select(F.lower("process_name").alias("process")).distinct()
     objs = config.object_attr.join(procs, F.lower(config.object_attr.process_name) == procs.process, "left_semi")
     bad = (config_violations(objs, config.target_attr, config.column_attr, config.query_view)
@@ -66,16 +80,20 @@ def compile_deploy_batch(spark: SparkSession, deploys: DataFrame, config: Config
                        .otherwise(F.col("log")).alias("log_message"),
                       F.current_timestamp().cast("timestamp_ntz").alias("completion_date_time")))
     status.write.mode("append").parquet(status_root)
+    if checkpoint_root:
+        replace_streams(spark, deploys, checkpoint_root)
 
 
 def run_deploy_stream(spark: SparkSession, deploy_source: str, config: Config,
-                      pipeline_root: str, status_root: str, checkpoint: str) -> list[int]:
+                      pipeline_root: str, status_root: str, checkpoint: str,
+                      stream_checkpoint_root: str | None = None) -> list[int]:
     """Process every new deploy row (availableNow); returns the batch ids."""
     seen: list[int] = []
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         seen.append(batch_id)
-        compile_deploy_batch(batch.sparkSession, batch, config, pipeline_root, batch_id + 1, status_root)
+        compile_deploy_batch(batch.sparkSession, batch, config, pipeline_root, batch_id + 1, status_root,
+                             stream_checkpoint_root)
 
     reader = spark.readStream.schema(DEPLOY_ATTR)
     if any(ch in deploy_source for ch in "*?["):

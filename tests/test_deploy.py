@@ -38,3 +38,18 @@ def test_deploy_stream_compiles_upserts_and_reports(spark, tmp):
     assert p2["proc_a"].comment_text == "second" and p2["proc_a"].create_date_time == created
     assert json.loads(p2["proc_a"].pipeline_config)["pipeline_name"] == "proc_a"
     assert run_deploy_stream(spark, src + "/*", cfg, out, status, ck) == []   # nothing new
+
+
+def test_replace_existing_stream_opens_new_checkpoint(spark, tmp):
+    from tablewright.streaming.capture import checkpoint_location
+    from tablewright.streaming.deploy import replace_streams
+    rows = spark.createDataFrame([(1, "Proc_R", True), (2, "proc_k", False)],
+                                 "sequence_number long, process_name string, replace_existing_stream boolean")
+    root = tmp + "/ckpts"
+    assert checkpoint_location(spark, "proc_r", root=root).endswith("/v1")
+    import os
+    os.makedirs(root + "/proc_r/v1")
+    os.makedirs(root + "/proc_k/v1")
+    assert replace_streams(spark, rows, root) == ["proc_r"]
+    assert checkpoint_location(spark, "proc_r", root=root).endswith("/v2")
+    assert checkpoint_location(spark, "proc_k", root=root).endswith("/v1")   # kept its position

@@ -138,3 +138,37 @@ def test_bulk_mode_and_canary_abort(spark, tmp):
     folder = tmp + "/work/attempts/events_feed/12/engage"
     parts = [f for f in os.listdir(folder) if f.startswith("part-")] if os.path.isdir(folder) else []
     assert parts == []
+
+
+def test_change_feed_stream_process(spark, tmp):
+    src = tmp + "/accounts"
+    spark.createDataFrame([(1, "a", 10.0), (2, "b", 20.0), (3, "c", 30.0)], "id long, name string, bal double") \
+        .write.parquet(src)
+    obj = spark.createDataFrame([
+        ("acct_feed", "d", "db", "sch", "accounts", "table", "db.sch.acct_stream",
+         {"append_only": "false", "key_columns": "id"}, {"copy": "table"}, True, None, "db.sch.acct_stg")],
+        schemas.OBJECT_ATTR)
+    tgt = spark.createDataFrame([("acct_feed", "copy", {"table": "tw_acct_changes", "mode": "overwrite"})],
+                                schemas.TARGET_ATTR)
+    col = spark.createDataFrame([("acct_feed", "copy", "id", None, "id", None),
+                                 ("acct_feed", "copy", "bal", None, "bal", None),
+                                 ("acct_feed", "copy", "action", None, "action", None),
+                                 ("acct_feed", "copy", "is_update", None, "is_update", None)], schemas.COLUMN_ATTR)
+    cfg = Config(obj, tgt, col)
+    pipe = json.loads(compile_pipelines(obj, tgt, col).first().pipeline_config)
+    r = Runner(spark, cfg, {"accounts": src}, history=tmp + "/hist", work_root=tmp + "/work")
+    r.run(pipe, RunContext("acct_feed", run_id=1))
+    assert sorted(x.action for x in spark.table("tw_acct_changes").collect()) == ["INSERT"] * 3
+    # staged data of a committed batch is dropped; the marker stays
+    left = [f for f in os.listdir(tmp + "/work/staging/acct_feed/batch_id=0") if not f.endswith(".crc")]
+    assert left == ["_committed"]
+    # the table changes: 1 deleted, 2 updated, 4 inserted, 3 unchanged
+    spark.createDataFrame([(2, "b", 25.0), (3, "c", 30.0), (4, "d", 40.0)], "id long, name string, bal double") \
+        .write.mode("overwrite").parquet(src)
+    r.run(pipe, RunContext("acct_feed", run_id=2))
+    got = sorted((x.id, x.action, x.is_update, x.bal) for x in spark.table("tw_acct_changes").collect())
+    assert got == [(1, "DELETE", False, 10.0), (2, "DELETE", True, 20.0), (2, "INSERT", True, 25.0),
+                   (4, "INSERT", False, 40.0)]
+    state = r.run(pipe, RunContext("acct_feed", run_id=3))        # no change: nothing to do
+    assert state["status"] == "SUCCEEDED"
+    assert spark.table("tw_acct_changes").count() == 4
