@@ -29,6 +29,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from tablewright.functions.params import bind_sql
 from tablewright.functions.scalars import run_id_now
 from tablewright.operators import audit, delivery, mapping
+from tablewright.operators.partitioning import ensure_parallelism
 from tablewright.operators.payload import build_payload
 from tablewright.schemas import RUN_EVENT
 from tablewright.session import work_path
@@ -106,6 +107,11 @@ class Runner:
             raise ValueError(f"process {ctx.process}: {len(obj)} rows in object_attr")
         self.obj = obj[0].asDict()
         register_tables(self.spark, self.tables)
+        if (self.obj.get("object_type") or "").lower() == "table" and self.obj["object_name"] in self.tables:
+            # the process's own source: give every core a split when the
+            # files alone would not (large inputs are left as they are)
+            ensure_parallelism(self.spark.table(self.obj["object_name"])) \
+                .createOrReplaceTempView(self.obj["object_name"])
         start = datetime.now()
         self._history([(1, "STARTED", None, None, None, None)], start)
         state = {"status": audit.FAILED, "failure_reason": None}
@@ -146,7 +152,9 @@ class Runner:
         ctx = self.ctx
         rows = [(ctx.process, ctx.run_id, seq, ctx.restart_run_id, start, end, status, ok, failed, reason)
                 for seq, status, ok, failed, reason, end in events]
-        self.spark.createDataFrame(rows, RUN_EVENT).coalesce(1).write.mode("append").parquet(self.history)
+        pdf = pd.DataFrame(rows, columns=RUN_EVENT.fieldNames()).astype(
+            {"successful_record_count": "Int64", "failed_record_count": "Int64", "restart_run_id": "Int64"})
+        self.spark.createDataFrame(pdf, RUN_EVENT).coalesce(1).write.mode("append").parquet(self.history)
 
     def latest_runs(self) -> DataFrame:
         return audit.latest_runs(self.spark.read.parquet(self.history))
