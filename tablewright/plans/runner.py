@@ -152,8 +152,8 @@ class Runner:
         ctx = self.ctx
         rows = [(ctx.process, ctx.run_id, seq, ctx.restart_run_id, start, end, status, ok, failed, reason)
                 for seq, status, ok, failed, reason, end in events]
-        pdf = pd.DataFrame(rows, columns=RUN_EVENT.fieldNames()).astype(
-            {"successful_record_count": "Int64", "failed_record_count": "Int64", "restart_run_id": "Int64"})
+        # object columns keep None as None on both the Arrow and the row path
+        pdf = pd.DataFrame(rows, columns=RUN_EVENT.fieldNames(), dtype=object)
         self.spark.createDataFrame(pdf, RUN_EVENT).coalesce(1).write.mode("append").parquet(self.history)
 
     def latest_runs(self) -> DataFrame:

@@ -129,7 +129,7 @@ def _cfg(spark, rows, schema):
     """Inline configuration rows as a DataFrame. Built from pandas so that,
     with Arrow enabled, the rows go to the JVM directly instead of running as
     Python tasks."""
-    return spark.createDataFrame(pd.DataFrame(rows, columns=schema.fieldNames()), schema)
+    return spark.createDataFrame(pd.DataFrame(rows, columns=schema.fieldNames(), dtype=object), schema)
 
 
 # ------------------------------------------------------------- test sender
