@@ -35,7 +35,7 @@ from tablewright.schemas import RUN_EVENT
 from tablewright.session import work_path
 from tablewright.sinks.writers import append_dead_letters, run_statements, write_files, write_table
 from tablewright.sources.scan import replay
-from tablewright.sources.views import build_view, register_tables
+from tablewright.sources.views import build_view, child_session, register_tables
 from tablewright.streaming.capture import (
     capture_changes, capture_snapshot_changes, checkpoint_location, mark_committed, purge_committed,
     read_staged, staged_batches, uncommitted_batches,
@@ -195,7 +195,7 @@ class Runner:
         if batches:
             self.env["_delta"] = read_staged(self.spark, stage, schema, batches)
             # bind the delta by name in a child session
-            child = self.spark.newSession()
+            child = child_session(self.spark)
             register_tables(child, {k: v for k, v in self.tables.items() if k != primary})
             read_staged(child, stage, schema, batches).createOrReplaceTempView(primary)
             name = (args.get("transient_table") or "").split(".")[-1]

@@ -88,6 +88,26 @@ def register_tables(spark: SparkSession, tables: dict[str, str]) -> SparkSession
     return spark
 
 
+def child_session(spark: SparkSession) -> SparkSession:
+    """A new session (own temporary views) with the parent's run-time SQL
+    settings — time zone, ANSI mode, shuffle partitions, ... — which a bare
+    ``newSession()`` would reset to the defaults."""
+    child = spark.newSession()
+    try:
+        settings = spark.conf.getAll
+        items = settings.items() if isinstance(settings, dict) else settings
+    except Exception:
+        items = []
+    for key, value in items:
+        if key.startswith("spark.sql.") and value is not None:
+            try:
+                if spark.conf.isModifiable(key):
+                    child.conf.set(key, value)
+            except Exception:
+                pass
+    return child
+
+
 def with_delta(spark: SparkSession, staged_path: str, primary_table: str,
                tables: dict[str, str] | None = None) -> SparkSession:
     """A child session in which ``primary_table`` names the staged delta.
@@ -96,7 +116,7 @@ def with_delta(spark: SparkSession, staged_path: str, primary_table: str,
     own temporary views, so the parent keeps seeing the full table; the delta
     is re-read from its staged location through the child (a DataFrame of the
     parent cannot be registered in another session)."""
-    child = spark.newSession()
+    child = child_session(spark)
     register_tables(child, tables or {})
     child.read.parquet(staged_path).createOrReplaceTempView(primary_table)
     return child

