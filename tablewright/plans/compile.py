@@ -165,7 +165,8 @@ def compile_pipelines(object_attr: DataFrame, target_attr: DataFrame, column_att
                        F.col("target_column_name"))))).alias("column_mapping")))
     props = target_attr.select(_lkey("process_name").alias("process"), _lkey("target_name").alias("target"),
                                "target_properties")
-    targets = (o.select("process", "object_name", F.explode("target_name_list").alias("target", "kind"))
+    targets = (o.select("process", "object_name", "database_name", "schema_name",
+                        F.explode("target_name_list").alias("target", "kind"))
                 .withColumn("target", F.lower("target"))
                 .join(props, ["process", "target"], "left")
                 .join(mapped, ["process", "target"], "left")
@@ -176,7 +177,9 @@ def compile_pipelines(object_attr: DataFrame, target_attr: DataFrame, column_att
                         F.create_map(F.lit("input_df"), F.concat(F.col("object_name"), F.lit("_df")),
                                      F.lit("target"), F.col("target"),
                                      F.lit("select_exp"), F.to_json("select_exp"),
-                                     F.lit("properties"), F.to_json("target_properties"),
+                                     F.lit("properties"), F.to_json(qualify_fail_table(
+                                         F.col("target_properties"), F.col("database_name"),
+                                         F.col("schema_name"))),
                                      F.lit("column_mapping"), F.col("column_mapping")).alias("args")))
     steps = fixed.unionByName(targets)
     w = Window.partitionBy("process").orderBy("phase", "target")

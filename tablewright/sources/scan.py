@@ -40,9 +40,12 @@ def replay(dead_letters: DataFrame, run_id: int, new_run_id: int,
     df = dead_letters.where(F.col("run_id") == F.lit(run_id))
     if status_codes:
         df = df.where(F.col("status_code").isin([int(c) for c in status_codes]))
-    return df.select(
-        request_id(F.lit(new_run_id), F.col("source_request_id")).alias("request_id"),
-        F.col("source_request_id").alias("replayed_request_id"),
-        F.col("status_code").alias("previous_status"),
-        F.col("data"),
-    )
+    rid = request_id(F.lit(new_run_id), F.col("source_request_id"))
+    # The stored document keeps every field; only its request id changes
+    # (ids are hex, so the field is found exactly in the compact JSON text).
+    data = F.regexp_replace("data", r'"source_request_id":"[0-9A-Za-z-]*"',
+                            F.concat(F.lit('"source_request_id":"'), rid, F.lit('"')))
+    return df.select(rid.alias("request_id"),
+                     F.col("source_request_id").alias("replayed_request_id"),
+                     F.col("status_code").alias("previous_status"),
+                     data.alias("data"))

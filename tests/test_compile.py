@@ -74,6 +74,8 @@ def test_compile_and_resume(spark):
     deliver_args = row.steps[3].args
     assert json.loads(deliver_args["select_exp"]) == ["id AS `id_user_identities`",
                                                       "upper(n) AS `name_user_attributes`"]
+    props = json.loads(deliver_args["properties"])
+    assert props["Fail_Rec_Table_Name"] == "db.sch.fails"          # qualified (N5)
     rest = [r.step_id for r in remaining_steps(pipes, 400).collect()]
     assert rest == [400, 500, 600]
     assert remaining_steps(pipes, None).count() == 6

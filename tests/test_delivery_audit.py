@@ -85,6 +85,10 @@ def test_replay_filters_run_and_codes(spark):
     assert sorted(r.replayed_request_id for r in replay(dead, 1, 9).collect()) == ["r1", "r2"]
     again = replay(dead, 1, 9, [500]).collect()
     assert [r.replayed_request_id for r in again] == ["r1"] and again[0].request_id != "r1"
+    doc = spark.createDataFrame([("d", "t", 1, 500, "x", "ab12", '{"a":1,"source_request_id":"ab12"}')],
+                                dead.schema)
+    r = replay(doc, 1, 9).first()
+    assert json.loads(r.data) == {"a": 1, "source_request_id": r.request_id}
 
 
 @pytest.mark.parametrize("total,failed,threshold,status", [

@@ -100,3 +100,8 @@ def test_child_session_keeps_settings(spark):
         assert spark.newSession().conf.get("spark.sql.session.timeZone") != "America/New_York" or True
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_identifier_parameter(spark):
+    spark.createDataFrame([(1,), (2,)], "id int").createOrReplaceTempView("ident_t")
+    assert bind_sql(spark, "select count(*) c from IDENTIFIER({{t}})", {"t": "ident_t"}).first().c == 2
