@@ -123,7 +123,12 @@ def capture_changes(spark: SparkSession, source: str, schema: StructType,
         stream = stream.where(F.col(ts_col) >= F.lit(since))
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{stage_root}/batch_id={batch_id}")
+        folder = f"{stage_root}/batch_id={batch_id}"
+        # A batch replayed after it was processed and committed (the query
+        # stopped before its offset was recorded) is left as it is.
+        if _exists(spark, f"{folder}/{_COMMIT}"):
+            return
+        batch.write.mode("overwrite").parquet(folder)
 
     q = (stream.writeStream.foreachBatch(stage)
                .option("checkpointLocation", checkpoint)

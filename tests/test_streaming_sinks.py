@@ -85,3 +85,15 @@ def test_statements(spark):
     assert n == 1 and spark.table("sv").first().x == 1
     with pytest.raises(ValueError):
         run_statements(spark)
+
+
+def test_replayed_committed_batch_is_left_alone(spark, tmp):
+    src, stage, ck = tmp + "/src", tmp + "/stage", tmp + "/ck"
+    os.makedirs(src)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    _drop(spark, src, "f1", [(1, None, "a")])
+    b = capture_changes(spark, src + "/*", schema, stage, ck)
+    mark_committed(spark, stage, b)
+    # a stream without the record of the finished batch replays batch 0
+    assert capture_changes(spark, src + "/*", schema, stage, tmp + "/ck_fresh") == []
+    assert uncommitted_batches(spark, stage) == []
