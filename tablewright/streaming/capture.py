@@ -1,4 +1,4 @@
-"""Consume-once change capture with Structured Streaming.
+"""Consume-once change capture with Structured Streaming.
 
 A process's source is read as a stream with ``trigger(availableNow=True)``:
 every run takes exactly the rows that arrived since the last successful run
@@ -6,91 +6,104 @@ and then stops. Each micro-batch is *staged* to a location keyed by its batch
 id (overwrite), so a batch replayed after a failure rewrites the same place —
 idempotent. The stream's offset moves when ``foreachBatch`` returns (T1).
 
-Downstream steps read the staged batches; after they succeed, the batch is
-marked committed (K8 is then only cleanup). A staged batch without a commit
-marker means an unfinished run (T2); a restart processes exactly those
-batches without reading the stream again (T3). A process's checkpoint is
-versioned: replacing the stream starts a new version, otherwise the current
-one (and its position) is kept (T5).
+The state of the staged batches is an append-only *batch log* — a small
+parquet table next to them with one row per event (``staged``,
+``committed``, ``snapshot``). Downstream steps read the staged batches; after
+they succeed, the batches are logged as committed and their data dropped
+(K8). A staged batch without a commit row is an unfinished run (T2:
+``staged left_anti committed``); a restart processes exactly those batches
+without reading the stream again (T3); a replayed batch that is already
+committed is left alone. A process's stream checkpoint is versioned in a log
+too: replacing the stream opens a new version, otherwise the current one (and
+its position) is kept (T5).
 """
 
 from __future__ import annotations
 
 import os
+from datetime import datetime
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tablewright.session import work_path
 
-_COMMIT = "_committed"
+LOG_SCHEMA = "batch_id int, state string, at timestamp"
+VERSION_SCHEMA = "process string, version int, at timestamp"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:  # nothing written there yet
+        return None
 
 
-def _exists(spark, path) -> bool:
-    p, fs = _fs(spark, path)
-    return fs.exists(p)
+def _append(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
+    cols = [c.split()[0] for c in schema.split(",")]
+    pdf = pd.DataFrame(rows, columns=cols, dtype=object)
+    spark.createDataFrame(pdf, schema).coalesce(1).write.mode("append").parquet(path)
 
 
-def _list_dirs(spark, path) -> list[str]:
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+def _log_path(stage_root: str) -> str:
+    return f"{stage_root}/_batch_log"
+
+
+def batch_log(spark: SparkSession, stage_root: str) -> DataFrame:
+    log = _read_or_none(spark, _log_path(stage_root), LOG_SCHEMA)
+    return log if log is not None else spark.createDataFrame([], LOG_SCHEMA)
 
 
-def checkpoint_location(spark: SparkSession, process: str, replace: bool = False,
-                        root: str | None = None) -> str:
-    """T5: ``<shared>/checkpoints/<process>/v<N>``; ``replace`` opens N+1."""
-    base = f"{root or work_path(spark, 'checkpoints')}/{process.lower()}"
-    versions = [int(d[1:]) for d in _list_dirs(spark, base) if d.startswith("v") and d[1:].isdigit()]
-    current = max(versions) if versions else 1
-    return f"{base}/v{current + 1 if (replace and versions) else current}"
+def _log(spark: SparkSession, stage_root: str, batch_ids: list[int], state: str) -> None:
+    if batch_ids:
+        now = datetime.now()
+        _append(spark, _log_path(stage_root), [(int(b), state, now) for b in batch_ids], LOG_SCHEMA)
+
+
+def _ids(df: DataFrame) -> list[int]:
+    return sorted(int(r[0]) for r in df.select("batch_id").distinct().collect())
 
 
 def staged_batches(spark: SparkSession, stage_root: str) -> list[int]:
-    return [int(d.split("=")[1]) for d in _list_dirs(spark, stage_root) if d.startswith("batch_id=")]
+    return _ids(batch_log(spark, stage_root).where(F.col("state") == "staged"))
 
 
 def committed_batches(spark: SparkSession, stage_root: str) -> list[int]:
-    return [b for b in staged_batches(spark, stage_root)
-            if _exists(spark, f"{stage_root}/batch_id={b}/{_COMMIT}")]
+    return _ids(batch_log(spark, stage_root).where(F.col("state") == "committed"))
 
 
 def uncommitted_batches(spark: SparkSession, stage_root: str) -> list[int]:
     """Staged but not committed (a run failed after staging)."""
-    done = set(committed_batches(spark, stage_root))
-    return [b for b in staged_batches(spark, stage_root) if b not in done]
+    log = batch_log(spark, stage_root)
+    staged = log.where(F.col("state") == "staged").select("batch_id")
+    done = log.where(F.col("state") == "committed").select("batch_id")
+    return _ids(staged.join(done, "batch_id", "left_anti"))
 
 
 def mark_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -> None:
-    for b in batch_ids:
-        p, fs = _fs(spark, f"{stage_root}/batch_id={b}/{_COMMIT}")
-        fs.create(p, True).close()
+    _log(spark, stage_root, batch_ids, "committed")
 
 
-def purge_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -> None:
-    """K8: drop the staged data of committed batches; the commit marker stays,
-    so a replayed batch id is still recognised as done."""
+def purge_committed(spark: SparkSession, stage_root: str, batch_ids: list[int],
+                    schema: StructType | None = None) -> None:
+    """K8: drop the staged data of committed batches (overwritten with an
+    empty DataFrame); the log keeps their commit rows, so a replayed batch id
+    is still recognised as done."""
+    done = set(committed_batches(spark, stage_root))
     for b in batch_ids:
-        folder = f"{stage_root}/batch_id={b}"
-        if not _exists(spark, f"{folder}/{_COMMIT}"):
+        if b not in done:
             continue
-        p, fs = _fs(spark, folder)
-        for st in fs.listStatus(p):
-            if st.getPath().getName() not in (_COMMIT, f".{_COMMIT}.crc"):
-                fs.delete(st.getPath(), True)
+        folder = f"{stage_root}/batch_id={b}"
+        empty_schema = schema or spark.read.parquet(folder).schema
+        spark.createDataFrame([], empty_schema).write.mode("overwrite").parquet(folder)
 
 
 def read_staged(spark: SparkSession, stage_root: str, schema: StructType,
                 batch_ids: list[int] | None = None) -> DataFrame:
     """The staged delta (all batches or the given ones) as one DataFrame;
-    ``batch_id`` is a partition column, so the filter prunes directories."""
+    the batch folders are named explicitly, so only they are listed."""
     ids = staged_batches(spark, stage_root) if batch_ids is None else batch_ids
     if not ids:
         return spark.createDataFrame([], schema)
@@ -99,6 +112,34 @@ def read_staged(spark: SparkSession, stage_root: str, schema: StructType,
     return df.select(*schema.fieldNames())
 
 
+def _versions_path(root: str) -> str:
+    return f"{root}/_versions"
+
+
+def _current_version(spark: SparkSession, process: str, root: str) -> int:
+    log = _read_or_none(spark, _versions_path(root), VERSION_SCHEMA)
+    if log is None:
+        return 1
+    v = log.where(F.col("process") == process.lower()).agg(F.max("version")).first()[0]
+    return int(v) if v is not None else 1
+
+
+def checkpoint_location(spark: SparkSession, process: str, root: str | None = None) -> str:
+    """T5: the current stream checkpoint of a process,
+    ``<root>/<process>/v<N>`` (v1 until the stream is replaced)."""
+    root = root or work_path(spark, "checkpoints")
+    return f"{root}/{process.lower()}/v{_current_version(spark, process, root)}"
+
+
+def replace_checkpoint(spark: SparkSession, process: str, root: str | None = None) -> str:
+    """T5: replace the process's stream — the next run starts a new
+    checkpoint version (with a time-travel property, at that point)."""
+    root = root or work_path(spark, "checkpoints")
+    version = _current_version(spark, process, root) + 1
+    _append(spark, _versions_path(root), [(process.lower(), version, datetime.now())], VERSION_SCHEMA)
+    return f"{root}/{process.lower()}/v{version}"
+
+
 def capture_changes(spark: SparkSession, source: str, schema: StructType,
                     stage_root: str, checkpoint: str, since=None,
                     ts_col: str | None = None, block_unfinished: bool = True,
@@ -112,7 +153,7 @@ def capture_changes(spark: SparkSession, source: str, schema: StructType,
     run (T2) instead of piling a second delta on top of it."""
     if block_unfinished and uncommitted_batches(spark, stage_root):
         raise RuntimeError("a previous run's staged data is not processed yet; restart that run first")
-    before = set(staged_batches(spark, stage_root))
+    done = set(committed_batches(spark, stage_root))
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -121,24 +162,22 @@ def capture_changes(spark: SparkSession, source: str, schema: StructType,
     stream = reader.parquet(source)
     if since is not None and ts_col:
         stream = stream.where(F.col(ts_col) >= F.lit(since))
+    staged: list[int] = []
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{stage_root}/batch_id={batch_id}"
         # A batch replayed after it was processed and committed (the query
         # stopped before its offset was recorded) is left as it is.
-        if _exists(spark, f"{folder}/{_COMMIT}"):
+        if batch_id in done:
             return
-        batch.write.mode("overwrite").parquet(folder)
+        batch.write.mode("overwrite").parquet(f"{stage_root}/batch_id={batch_id}")
+        _log(batch.sparkSession, stage_root, [batch_id], "staged")
+        staged.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(stage)
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    return sorted(set(staged_batches(spark, stage_root)) - before)
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(d.split("=")[1]) for d in _list_dirs(spark, root) if d.startswith("version="))
+    return sorted(staged)
 
 
 def capture_snapshot_changes(spark: SparkSession, source: str, keys: list[str], stage_root: str,
@@ -154,15 +193,18 @@ def capture_snapshot_changes(spark: SparkSession, source: str, keys: list[str],
     from tablewright.sources.changes import change_feed
     if block_unfinished and uncommitted_batches(spark, stage_root):
         raise RuntimeError("a previous run's staged data is not processed yet; restart that run first")
-    staged = staged_batches(spark, stage_root)
-    batch = max(staged) + 1 if staged else 0
+    log = batch_log(spark, stage_root)
+    last = log.agg(F.max("batch_id")).first()[0]
+    batch = int(last) + 1 if last is not None else 0
+    snaps = _ids(log.where((F.col("state") == "snapshot") & (F.col("batch_id") < batch)))
     spark.read.parquet(source).write.mode("overwrite").parquet(f"{snapshot_root}/version={batch}")
     current = spark.read.parquet(f"{snapshot_root}/version={batch}")
-    older = [v for v in _versions(spark, snapshot_root) if v < batch]
-    previous = (spark.read.parquet(f"{snapshot_root}/version={older[-1]}") if older
+    previous = (spark.read.parquet(f"{snapshot_root}/version={snaps[-1]}") if snaps
                 else spark.createDataFrame([], current.schema))
     folder = f"{stage_root}/batch_id={batch}"
     change_feed(previous, current, keys).write.mode("overwrite").parquet(folder)
+    _log(spark, stage_root, [batch], "snapshot")
+    _log(spark, stage_root, [batch], "staged")
     if spark.read.parquet(folder).limit(1).count() == 0:
         mark_committed(spark, stage_root, [batch])      # nothing changed: nothing to process
         return []
