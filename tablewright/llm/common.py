@@ -43,7 +43,7 @@ def stage(df: DataFrame, *parts: str, partition_by: list[str] | None = None) ->
     lineage, survives lost executors and is the same for every later reader."""
     spark = df.sparkSession
     path = work_path(spark, "llm", *parts, unique=True)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

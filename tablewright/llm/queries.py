@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import factor_machine, histogram_shards, licence_scan, oracles, quality_rules, secret_scan
+from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, licence_scan, oracles, quality_rules, secret_scan
 from tablewright.llm.common import table
 
 
@@ -49,3 +49,15 @@ QUERIES = {
     "op9_licence_scans": op9_licence_scans,
 }
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": oracles.OP4, "op8_histogram_shards": oracles.OP8}
+
+
+def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_packing.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op5_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25_wand.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES |= {"op2_curve_packing": op2_curve_packing, "op5_bm25_decontamination": op5_bm25_decontamination}
