@@ -194,21 +194,26 @@ def scan_text(text: str | None, index: Index, theta: float, overlap: float) -> l
     return [best[k] for k in sorted(best)]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, theta: float = 0.6, overlap: float = 0.8) -> DataFrame:
-    """One row per (document row, test item found in it)."""
-    spark = docs.sparkSession
+def indexes(spark, benchmark: DataFrame) -> list:
+    """The inverted index as broadcast parts of about PART_POSTINGS postings."""
     pieces = stage(item_pieces(benchmark), "bench-pieces")
     post = stage(postings(pieces), "bench-postings")
-    n = post.count()
-    parts = max(1, -(-n // PART_POSTINGS))
-    out = None
+    parts = max(1, -(-post.count() // PART_POSTINGS))
+    out = []
     for k in range(parts):
         mine = F.pmod(F.xxhash64("item"), F.lit(parts)) == k
-        rows = post.where(mine).toPandas()  # about PART_POSTINGS rows: a bounded part
         items = {r["item"]: (r["item_id"], r["words"]) for r in
                  pieces.where(mine).select("item", "item_id", "words").distinct().collect()}
-        index = spark.sparkContext.broadcast(Index(rows, items))
+        if items:
+            out.append(spark.sparkContext.broadcast(Index(post.where(mine).toPandas(), items)))
+    return out
 
+
+def contamination(docs: DataFrame, benchmark: DataFrame, theta: float = 0.6, overlap: float = 0.8) -> DataFrame:
+    """One row per (document row, test item found in it)."""
+    spark = docs.sparkSession
+    out = spark.createDataFrame([], RESULT)
+    for index in indexes(spark, benchmark):
         def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 found = [(d, *hit) for d, t in zip(pdf["doc_id"], pdf["text"])
@@ -217,6 +222,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, theta: float = 0.6, ove
                                                  "first_word", "n_words"])
                 yield f.astype({"doc_id": "Int64", "item_id": "Int64"})
 
-        part = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, RESULT)
-        out = part if out is None else out.unionByName(part)
+        out = out.unionByName(docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, RESULT))
+    return out
+
+
+def _clean_udf(index, theta: float, overlap: float):
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in texts:
+            yield s.map(lambda t: not scan_text(t, index.value, theta, overlap), na_action=None).astype(bool)
+
+    return clean
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, theta: float = 0.6, overlap: float = 0.8) -> DataFrame:
+    """``docs`` without the rows in which a test item is found; a narrow filter."""
+    out = docs
+    for index in indexes(docs.sparkSession, benchmark):
+        out = out.where(_clean_udf(index, theta, overlap)("text"))
     return out

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, licence_scan, oracles, quality_rules, secret_scan
+from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, licence_scan, oracles, partenum_join, quality_rules, secret_scan, token_index
 from tablewright.llm.common import table
 
 
@@ -61,3 +61,19 @@ def op5_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op2_curve_packing": op2_curve_packing, "op5_bm25_decontamination": op5_bm25_decontamination}
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum_join.jaccard_components(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
+
+
+QUERIES["op6_jaccard_join"] = op6_jaccard_join
+
+
+def op1_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index.round_trip(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "n_tokens", "ids_crc32", "shard")
+
+
+QUERIES["op1_token_index"] = op1_token_index
