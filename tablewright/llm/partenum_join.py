@@ -9,10 +9,12 @@ difference; each part is cut into three pieces, and a signature is a hash of two
 of the three pieces (for k = 0: of the whole set). So similar sets of a band
 always share a signature. Sets sign for their own band and the next one.
 
-A signature of pieces that are empty in a set would gather unrelated sets. It is
-left out, and the set signs once more with another hash seed, until a seed
-leaves no piece pair empty. Two sets whose only common signature under a seed is
-an empty one both sign with the next seed, so no pair is lost.
+Two empty pieces would gather unrelated sets in one signature. In their place the
+set signs its part's elements E (all in the third piece) and every E without one
+element: sets that differ by at most one element there share one of these. Only
+the empty E could be shared by many; a set with at most one element in some part
+leaves it out and signs once more with another hash seed, until every part has
+two. Whoever shares an empty E has such a part too, so no pair is lost.
 
 Equal sets are one class, known by a 64-bit hash, and sign about once per task.
 Per shared signature only a star of its classes is kept. Pairs are verified with
@@ -107,14 +109,18 @@ def signatures(s: np.ndarray, percent: int = 85) -> np.ndarray:
             cum = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[order], dtype=np.uint64)])
             sums, sizes = (cum[ends[1:]] - cum[ends[:-1]]).reshape(n1, 3), np.diff(ends).reshape(n1, 3)
             part = np.arange(n1, dtype=np.uint64)
-            full = True
+            whole, held = sums.sum(1, dtype=np.uint64), sizes.sum(1)
             for a, b in ((0, 1), (0, 2), (1, 2)):
                 tag = mix((part * np.uint64(3) + np.uint64(a + b)) * _GOLD + np.uint64(band * 65536 + seed))
                 sig = mix(mix(sums[:, a] + tag) * _GOLD + sums[:, b])
-                kept = sizes[:, a] + sizes[:, b] > 0
-                full &= bool(kept.all())
-                out.append(sig[kept])
-            if full:
+                empty = sizes[:, a] + sizes[:, b] == 0
+                out.append(sig[~empty])
+                for j in np.flatnonzero(empty & (held > 0)):
+                    at = ends[3 * j + 3 - a - b]  # the third piece's first element
+                    less = whole[j] - value[order[at:at + held[j]]]
+                    family = np.concatenate([whole[j:j + 1], less[: held[j] if held[j] > 1 else 0]])
+                    out.append(mix(mix(family * _GOLD + tag[j]) + np.uint64(1)))
+            if held.min() > 1:
                 break
             seed += 1
     return np.unique(np.concatenate(out)).view(np.int64)
