@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import stage
 
-PIECE, BLOCK, K1, B = 64, 16, 1.2, 0.75
+PIECE, BLOCK, RANGE, K1, B = 64, 16, 4, 1.2, 0.75
+FREQUENT, RARE_FLOOR = 0.2, 0.5
 PART_POSTINGS = 4_000_000
 _WORD = re.compile(r"\w+")
 RESULT = ("doc_id long, item_id long, score double, question_overlap double, answer_overlap double, "
@@ -89,6 +90,29 @@ class Index:
             self.impacts.append(w.tolist())
             self.block_max.append([(int(d[i:i + BLOCK][-1]), float(w[i:i + BLOCK].max())) for i in range(0, len(d), BLOCK)])
         self.highest = np.array([max(w) for w in self.impacts] + [0.0])  # last: words of no item
+        # A few terms are frequent; what they add to a piece at most is kept per
+        # range, so a passage needs rarer terms for what is left of the threshold.
+        often = {t for t, i in self.terms.items() if len(self.docs[i]) > max(2, FREQUENT * len(self.piece_item))}
+        by_piece = rows[rows["term"].isin(often)].groupby("piece")["impact"].sum()
+        everything = len(by_piece) > 0 and by_piece.max() >= RARE_FLOOR  # frequent terms alone say too much
+        rare = [t for t in self.terms if everything or t not in often]
+        self.rare = {t: k for k, t in enumerate(rare)}
+        # Per range of RANGE pieces: what frequent terms add at most, and per
+        # rare term its highest impact there.
+        self.n_ranges = len(self.piece_item) // RANGE + 1
+        self.rest = np.zeros(self.n_ranges)
+        if not everything:
+            np.maximum.at(self.rest, by_piece.index.to_numpy(dtype=np.int64) // RANGE, by_piece.to_numpy(dtype=float))
+        spans = [self._ranges(self.terms[t]) for t in rare]
+        self.range_at = np.concatenate([[0], np.cumsum([len(x) for x in spans])]).astype(np.int64)
+        self.range_id = np.array([b for x in spans for b in x], np.int64)
+        self.range_max = np.array([v for x in spans for v in x.values()])
+
+    def _ranges(self, t: int) -> dict[int, float]:
+        out: dict[int, float] = {}
+        for d, w in zip(self.docs[t], self.impacts[t]):
+            out[d // RANGE] = max(w, out.get(d // RANGE, 0.0))
+        return out
 
     def search(self, tids: list[int], theta: float) -> list[tuple[int, float]]:
         """All pieces with a score of at least ``theta`` for these distinct terms."""
@@ -149,18 +173,33 @@ class Index:
 
     def candidates(self, ws: list[str], theta: float) -> Iterator[tuple[int, int, float]]:
         """(first word of the passage, piece, score) over all passages."""
-        none = len(self.highest) - 1
-        get = self.terms.get
-        tids = np.array([get(w, none) for w in ws])
-        cum = np.concatenate([[0.0], np.cumsum(self.highest[tids])])
-        starts = np.arange(0, max(1, len(ws) - PIECE), PIECE)
-        ends = np.minimum(starts + 2 * PIECE, len(ws))
-        for a, z in zip(starts[(m := cum[ends] - cum[starts] >= theta - 1e-9)], ends[m]):
-            own = np.unique(tids[a:z])
-            own = own[own != none]
-            if self.highest[own].sum() >= theta - 1e-9:
-                for piece, s in self.search(own.tolist(), theta):
-                    yield int(a), piece, s
+        rare, every = self.rare, self.rest.max() >= theta - 1e-9
+        at = [i for i, w in enumerate(ws) if w in rare]
+        passages = max(1, -(-(len(ws) - PIECE) // PIECE))
+        if not every:
+            if not at:
+                return
+            # distinct (passage, term); a word lies in the passage of its own
+            # chunk and in the one before
+            chunk = np.array(at) // PIECE
+            term = np.array([rare[ws[i]] for i in at])
+            both = np.concatenate([chunk, chunk - 1])
+            inside = (both >= 0) & (both < passages)
+            key = np.unique(both[inside] * len(rare) + np.concatenate([term, term])[inside])
+            p, term = key // len(rare), key % len(rare)
+            n = self.range_at[term + 1] - self.range_at[term]
+            flat = np.repeat(self.range_at[term] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            bound = np.bincount(np.repeat(p, n) * self.n_ranges + self.range_id[flat], self.range_max[flat],
+                                minlength=passages * self.n_ranges).reshape(passages, self.n_ranges)
+            chosen = np.flatnonzero((bound + self.rest).max(1) >= theta - 1e-9).tolist()
+        else:
+            chosen = range(passages)
+        for k in chosen:
+            a = k * PIECE
+            own = {t for w in ws[a:a + 2 * PIECE] if (t := self.terms.get(w)) is not None}
+            if own:
+                for piece, s in self.search(sorted(own), theta):
+                    yield a, piece, s
 
 
 def _shingles(ws: list[str]) -> set[tuple]:
