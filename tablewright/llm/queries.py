@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, licence_scan, oracles, partenum_join, quality_rules, secret_scan, token_index
+from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, katz, licence_scan, oracles, partenum_join, quality_rules, secret_scan, token_index
 from tablewright.llm.common import table
 
 
@@ -77,3 +77,10 @@ def op1_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_token_index"] = op1_token_index
+
+
+def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op10_katz_scores"] = op10_katz_scores
