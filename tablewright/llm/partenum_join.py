@@ -19,9 +19,9 @@ two. Whoever shares an empty E has such a part too, so no pair is lost.
 Equal sets are one class, known by a 64-bit hash, and sign about once per task.
 Per shared signature only a star of its classes is kept. Pairs are verified with
 exact set sizes and intersections, in three steps: every class with its most
-frequent centre; the centres of components that still share a signature; and,
-only where a signature still joins different components, all pairs across those
-components (each such pair may be a link of its own, so none is skipped).
+frequent centre; where a signature still joins different components, each class
+of the smaller one with the leading class of the larger one; and then with those
+of its classes that the triangle inequality of the Jaccard distance leaves open.
 Components come from large-star/small-star rounds, each written to the shared
 folder.
 
@@ -193,18 +193,29 @@ class Verifier:
                           .join(involved, "node", "left_semi").dropDuplicates(["node"]), "verify-sets")
         self.percent = percent
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """a, b of distinct pairs that reach the similarity, written once."""
+    def compared(self, pairs: DataFrame, all_sizes: bool = False) -> DataFrame:
+        """a, b, d (Jaccard distance), linked of distinct pairs a < b. Without
+        ``all_sizes``, pairs whose sizes rule a link out are left away."""
         n = self.sets.select("node", "n")
         near = (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-                .join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b")
-                .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent))
-        common = F.size(F.array_intersect("sa", "sb"))
-        return stage(near.join(self.sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-                     .join(self.sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-                     .withColumn("c", common)
-                     .where(F.col("c") * 100 >= (F.col("na") + F.col("nb") - F.col("c")) * self.percent)
-                     .select("a", "b"), "links")
+                .join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b"))
+        if not all_sizes:
+            near = near.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
+        union = F.col("na") + F.col("nb") - F.col("c")
+        return (near.join(self.sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+                .join(self.sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+                .withColumn("c", F.size(F.array_intersect("sa", "sb")))
+                .select("a", "b", (1 - F.col("c") / union).alias("d"), (F.col("c") * 100 >= union * self.percent).alias("linked")))
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """a, b of the distinct pairs that reach the similarity, written once."""
+        return stage(self.compared(pairs).where("linked").select("a", "b"), "links")
+
+    def distances(self, pairs: DataFrame) -> DataFrame:
+        """b, a, d for every given pair (b, a), written once."""
+        both = self.compared(pairs, all_sizes=True)
+        return stage(both.select("a", "b", "d").unionByName(
+            both.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")), "distances")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -245,12 +256,10 @@ def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
                  .select("node", F.coalesce("to", "comp").alias("comp")), "comp")
 
 
-def jaccard_components(docs: DataFrame, percent: int = 85, spare_pairs: int = 4) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, n_links (verified
     links of its class that were needed; 0: alone), text_key (hash of the text)
-    and group (the component; null for empty sets). ``spare_pairs`` times the
-    number of classes is how many cross pairs are checked at once at the end;
-    more are first thinned by further centre rounds."""
+    and group (the component; null for empty sets)."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sets = stage(_sets(docs), "shingle-sets")
     stars = stage(_buckets(_signed(docs, percent)), "buckets")
@@ -264,32 +273,26 @@ def jaccard_components(docs: DataFrame, percent: int = 85, spare_pairs: int = 4)
     comp = stage(components(links), "comp")
     members = stage(stars.select("sig", "node").unionByName(
         stars.select("sig", F.col("centre").alias("node")).distinct()), "members")
-    spare = spare_pairs * involved.count()
-    tried = 0
-    while True:
-        placed = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        sizes = placed.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("lead"))
-        mixed = sizes.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.sum("m").alias("t"),
-                                         F.sum(F.col("m") * F.col("m")).alias("q")).where("c > 1")
-        open_ = stage(placed.join(mixed, "sig").select("sig", "node", "comp", "t", "q"), "open")
-        left = open_.select("sig", "t", "q").distinct().agg(F.sum((F.col("t") * F.col("t") - F.col("q")) / 2)).first()[0] or 0
-        if not left:
-            break
-        if left <= spare or tried >= 8:
-            a = open_.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
-            b = open_.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
-            pairs = a.join(b, "sig").where("a < b and ca <> cb").select("a", "b")
-            new = check.links(pairs)
-            links, comp = links.unionByName(new), merged(comp, new)
-            break
-        # one class of every component of a signature against the (tried+1)-th class of the signature
-        nth = Window.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(tried)))
-        centre = open_.withColumn("r", F.row_number().over(nth)).where("r = 1").select(
-            "sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
-        new = check.links(open_.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
-                          .join(centre, "sig").where("ca <> cb").select("a", "b"))
-        links, comp = links.unionByName(new), merged(comp, new)
-        tried += 1
+    # A signature may still join components. Its class b of a smaller component
+    # is compared with the leading class x of the larger one; as the distance is
+    # a metric, b can only link with classes a that have d(a, x) >= d(b, x) - limit.
+    limit = 1 - percent / 100 + 1e-9
+    placed = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    sizes = placed.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
+    mixed = sizes.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
+    open_ = stage(placed.join(mixed, "sig").join(sizes, ["sig", "comp"]), "open")
+    larger = open_.select("sig", F.col("comp").alias("x"), F.col("m").alias("mx")).distinct()
+    meets = stage(open_.select("sig", F.col("node").alias("b"), "comp", "m").join(larger, "sig")
+                  .where("mx > m or (mx = m and x > comp)").select("sig", "b", "x"), "meets")
+    across = check.distances(meets.select(F.col("b"), F.col("x").alias("a")))
+    within = check.distances(open_.select(F.col("node").alias("b"), F.col("comp").alias("a")))
+    far = meets.join(across.select("b", F.col("a").alias("x"), F.col("d").alias("dx")), ["b", "x"])
+    own = (open_.select("sig", F.col("node").alias("a"), F.col("comp").alias("x"))
+           .join(within.select(F.col("b").alias("a"), F.col("a").alias("x"), "d"), ["a", "x"], "left")
+           .select("sig", "a", "x", F.coalesce("d", F.lit(0.0)).alias("d")))
+    new = check.links(far.join(own, (far["sig"] == own["sig"]) & (far["x"] == own["x"]) &
+                               (far["dx"] - own["d"] <= limit)).select("a", "b"))
+    links, comp = links.unionByName(new), merged(comp, new)
 
     names = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("d"))
     labelled = names.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
