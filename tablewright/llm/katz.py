@@ -22,9 +22,10 @@ their count, unseen pairs up to the weight of their history. (4) Once the counts
 of counts of all partitions are known, both are filled in and added up by
 document batch.
 
-Word counts reach the tasks as a broadcast of at most ``part_words`` words (12
-bytes each); a larger vocabulary is handled in several parts by word hash, each
-a pass over the documents that resolves its own words only.
+Word counts are written to the shared folder, and tasks read them from there:
+at most ``part_words`` words (12 bytes each) at a time; a larger vocabulary is
+handled in several parts by word hash, each a pass over the documents that
+resolves its own words only. The vocabulary never passes through the driver.
 
 Defined cases: null, empty and blank texts are one end token; without training
 documents every token is unknown (log10 P = 0); null doc_ids are training rows;
@@ -46,6 +47,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import lower_ascii, parallelism, stage, words
 from tablewright.llm.partenum_join import mix
+from tablewright.session import work_path
 
 K = 5
 START, END = -0x5A5A5A5A5A5A5A5B, 0x5A5A5A5A5A5A5A5A
@@ -131,10 +133,30 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _mapped(tokens: DataFrame, vocabulary, part: int, parts: int, n_parts: int, hot: np.ndarray, smooth: float) -> DataFrame:
+_CACHE: dict[tuple, tuple] = {}
+
+
+def _vocabulary(folder: str, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted word hashes and counts of one part, once per Python worker."""
+    if (folder, part) not in _CACHE:
+        from pyarrow import dataset, fs
+
+        store, path = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+        t = dataset.dataset(path, filesystem=store, format="parquet").to_table(columns=["w", "c"])
+        w, c = t["w"].to_numpy(), t["c"].to_numpy().astype(np.uint32)
+        if parts > 1:
+            mine = (mix(w) % np.uint64(parts)).astype(np.int64) == part
+            w, c = w[mine], c[mine]
+        order = np.argsort(w)
+        _CACHE.clear()
+        _CACHE[folder, part] = w[order], c[order]
+    return _CACHE[folder, part]
+
+
+def _mapped(tokens: DataFrame, folder: str, part: int, parts: int, n_parts: int, hot: np.ndarray, smooth: float) -> DataFrame:
     """p, batch, doc (bytes or null), block (bytes or null)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, count = vocabulary.value
+        vocab, count = _vocabulary(folder, part, parts)
         me, seq = TaskContext.get().partitionId(), 0
         for pdf in frames:
             for ids, held, sizes, flat in _blocks(pdf):
@@ -254,7 +276,9 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
     every row."""
     spark = docs.sparkSession
     tokens = _tokens(docs)
-    vocab = stage(unigrams(tokens), "unigrams")
+    folder = work_path(spark, "llm", "unigrams", unique=True)
+    unigrams(tokens).write.option("compression", "zstd").parquet(folder)
+    vocab = spark.read.schema("w long, c long").parquet(folder)
     # counts of counts, at most K + 2 rows
     of = {r["r"]: (r["n"], r["t"]) for r in vocab.groupBy(F.least("c", F.lit(K + 2)).alias("r")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("c").alias("t")).collect()}
@@ -272,9 +296,7 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
     parts = max(1, -(-n_words // part_words))
     mapped = None
     for k in range(parts):
-        own = vocab.orderBy("w").toPandas() if parts == 1 else _vocabulary_part(vocab, k, parts)
-        shared = spark.sparkContext.broadcast((own["w"].to_numpy(np.int64), own["c"].to_numpy(np.int64).astype(np.uint32)))
-        one = _mapped(tokens, shared, k, parts, n_parts, hot, smooth)
+        one = _mapped(tokens, folder, k, parts, n_parts, hot, smooth)
         mapped = one if mapped is None else mapped.unionByName(one)
     staged = stage(_resolved(mapped.repartition(n_parts, "p"), unigram, hot, hot_count), "resolved")
     # a row per partition
@@ -305,12 +327,3 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
 
     return (staged.where("kind in ('docs', 'part')").groupBy("batch").applyInPandas(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
-
-
-def _vocabulary_part(vocab: DataFrame, part: int, parts: int) -> pd.DataFrame:
-    """Words that ``mix(w) % parts`` puts into one part."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pdf[(mix(pdf["w"].to_numpy(np.int64)) % np.uint64(parts)).astype(np.int64) == part]
-
-    return vocab.mapInPandas(run, "w long, c long").orderBy("w").toPandas()
