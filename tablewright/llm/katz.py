@@ -297,6 +297,8 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
     mapped = None
     for k in range(parts):
         one = _mapped(tokens, folder, k, parts, n_parts, hot, smooth)
+        if parts > 1:  # a batch is named by its task, so every pass is a job of its own
+            one = stage(one, "blocks")
         mapped = one if mapped is None else mapped.unionByName(one)
     staged = stage(_resolved(mapped.repartition(n_parts, "p"), unigram, hot, hot_count), "resolved")
     # a row per partition

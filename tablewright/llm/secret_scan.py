@@ -85,7 +85,7 @@ def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int
     texts = [r["text"] for r in docs.select("text", F.xxhash64("text", "doc_id").alias("o"))
              .where(F.col("text").isNotNull()).orderBy("o").limit(sample_docs).select(
                  F.substring("text", 1, 4000).alias("text")).collect()]
-    plain = sorted({w for t in texts for w in re.findall(r"[A-Za-z]{2,}", ASSIGN.sub(" ", t))})[:20000]
+    plain = sorted({w for t in texts for w in re.findall(r"(?<![^\W_])[A-Za-z]{2,}(?![^\W_])", HEX.sub(" ", ACCESS.sub(" ", ASSIGN.sub(" ", t))))})[:20000]
     plain = plain or ["the", "name", "value", "count", "first", "second", "table", "index"]
     out = []
     for _ in range(4000):

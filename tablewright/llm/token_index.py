@@ -71,7 +71,7 @@ def _hashes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _slot(h: np.ndarray, turn, n) -> np.ndarray:
     u = h.astype(np.int64).view(np.uint64)
-    return (mix(u + (np.uint64(turn) if np.isscalar(turn) else turn.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
+    return (mix(u + np.atleast_1d(turn).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             % np.asarray(n, np.uint64)).astype(np.int64)
 
 

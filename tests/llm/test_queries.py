@@ -1,0 +1,28 @@
+"""Registered queries with SQL against DuckDB, and the pipeline end to end."""
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from tablewright.llm.queries import ORACLE_SQL, QUERIES
+from tests.oracle_check import compare
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    assert compare(spark, con, SF, name, QUERIES[name], ORACLE_SQL[name])["ok"]
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    for name, fn in corpus_pipeline.STAGES[:-1]:
+        before = docs.count()
+        docs = fn(spark, docs, SF)
+        assert docs.columns == columns and 0 < docs.count() <= before, name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
