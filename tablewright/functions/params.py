@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 _TEMPLATE = re.compile(r"t\{\{\s*(\w+)\s*\}\}")
 _PARAM = re.compile(r"(?<!t)\{\{\s*(\w+)\s*\}\}")
 # A quoted placeholder ('{{d}}') was written for text pasting; the quotes go
-# with it, the bound value keeps its own type.
-_QUOTED = re.compile(r"'\{\{\s*(\w+)\s*\}\}'")
+# with it, the bound value keeps its own type. Inside a longer literal
+# ('%{{d}}%') the literal is taken apart around the bound value.
+_LITERAL = re.compile(r"'(?:[^'\\\\]|''|\\.)*'")
 
 
 def template_refs(query: str) -> list[str]:
@@ -37,6 +38,16 @@ def replace_template_refs(query: str, view_names: dict[str, str]) -> str:
     return _TEMPLATE.sub(sub, query)
 
 
+def _literal(literal: str) -> str:
+    parts = _PARAM.split(literal[1:-1])  # text, name, text, ...
+    if len(parts) == 1:
+        return literal
+    if len(parts) == 3 and not parts[0] and not parts[2]:
+        return ":" + parts[1]
+    pieces = [f"cast(:{p} as string)" if i % 2 else f"'{p}'" for i, p in enumerate(parts) if p]
+    return "concat(" + ", ".join(pieces) + ")"
+
+
 def to_markers(query: str, params: dict | None) -> tuple[str, dict]:
     """``{{name}}`` → ``:name``; returns the text and the arguments it uses.
     A placeholder without a value is an error (never left unexpanded)."""
@@ -45,7 +56,7 @@ def to_markers(query: str, params: dict | None) -> tuple[str, dict]:
     missing = sorted({n for n in names if n not in params})
     if missing:
         raise KeyError(f"parameters {missing} are not provided for query: {query}")
-    text = _QUOTED.sub(lambda m: ":" + m.group(1), query)
+    text = _LITERAL.sub(lambda m: _literal(m.group(0)), query)
     return _PARAM.sub(lambda m: ":" + m.group(1), text), {n: params[n] for n in names}
 
 

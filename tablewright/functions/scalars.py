@@ -47,9 +47,10 @@ def cap_text(c, n: int) -> Column:
 
 def request_id(run_id, key) -> Column:
     """Deterministic request id: a retried task resends the same id, so the
-    receiving end can de-duplicate. ``sha256(run_id || '|' || key)``."""
+    receiving end can de-duplicate. ``sha256(run_id || '|' || key)``; a null
+    key has a mark of its own."""
     return F.sha2(F.concat_ws("|", _c(run_id).cast("string"),
-                              _c(key).cast("string")), 256)
+                              F.coalesce(_c(key).cast("string"), F.lit("\x00null"))), 256)
 
 
 def backoff_wait(attempt, base: float, cap: float) -> Column:

@@ -17,7 +17,6 @@ more than one action reads it.
 
 from __future__ import annotations
 
-import math
 import random
 import time
 
@@ -184,12 +183,6 @@ def dead_letters(result: DataFrame, run_id: int) -> DataFrame:
                           F.col("request_id").alias("source_request_id"), "data"))
 
 
-def envelope_buckets(df: DataFrame, rows_per_bucket: int = 1_000_000, minimum: int = 8) -> int:
-    """Number of numbering buckets: grows with the input so no bucket holds
-    more than about ``rows_per_bucket`` rows."""
-    return max(minimum, math.ceil(df.count() / rows_per_bucket))
-
-
 def envelopes(df: DataFrame, key: str, size: int = DEFAULT_ENVELOPE_SIZE,
               buckets: int = 8) -> DataFrame:
     """K4: assign every row to a bulk envelope of at most ``size`` records.
@@ -249,8 +242,11 @@ def per_record(envelope_result: DataFrame) -> DataFrame:
 
 def canary_split(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """The first record by key is sent alone before the fan-out; the rest
-    is everything else. ``orderBy().limit(1)`` is a per-partition top-1 and a
+    is everything else, other records with the same key (or no key) included:
+    one copy of the record goes, not its key. ``orderBy().limit(1)`` is a per-partition top-1 and a
     merge, and the one-row side is a bounded broadcast."""
     canary = df.orderBy(key).limit(1)
-    rest = df.join(F.broadcast(canary.select(key)), on=key, how="left_anti")
-    return canary, rest
+    at = F.broadcast(canary.select(F.col(key).alias("_first")))
+    same = df.join(at, F.col(key).eqNullSafe(F.col("_first")), "left_semi")
+    rest = df.join(at, F.col(key).eqNullSafe(F.col("_first")), "left_anti")
+    return canary, rest.unionByName(same.exceptAll(canary))

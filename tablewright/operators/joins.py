@@ -1,8 +1,8 @@
-"""Joins of the integration views (J1, J2, J4) and size-checked broadcast.
+"""Joins of the integration views.
 
 Spark picks the physical join; with AQE a shuffle join whose side turns out
-small at run time becomes a broadcast, and skewed partitions are split. An
-explicit broadcast is used only after the side's row count was checked.
+small at run time becomes a broadcast, and skewed partitions are split, so
+no side carries a hint.
 """
 
 from __future__ import annotations
@@ -10,14 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only when the side provably has at most ``max_rows``
-    rows (a ``limit(max_rows + 1)`` count stops early); otherwise the plain
-    DataFrame, and Spark chooses a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def left_chain(base: DataFrame, steps: list[tuple[DataFrame, object]]) -> DataFrame:
     """Successive left outer joins; each step has its own condition or key
     list, so keys may differ per join."""

@@ -29,7 +29,6 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from tablewright.functions.params import bind_sql
 from tablewright.functions.scalars import run_id_now
 from tablewright.operators import audit, delivery, mapping
-from tablewright.operators.partitioning import ensure_parallelism
 from tablewright.operators.payload import build_payload
 from tablewright.schemas import RUN_EVENT
 from tablewright.session import work_path
@@ -107,11 +106,6 @@ class Runner:
             raise ValueError(f"process {ctx.process}: {len(obj)} rows in object_attr")
         self.obj = obj[0].asDict()
         register_tables(self.spark, self.tables)
-        if (self.obj.get("object_type") or "").lower() == "table" and self.obj["object_name"] in self.tables:
-            # the process's own source: give every core a split when the
-            # files alone would not (large inputs are left as they are)
-            ensure_parallelism(self.spark.table(self.obj["object_name"])) \
-                .createOrReplaceTempView(self.obj["object_name"])
         start = datetime.now()
         self._history([(1, "STARTED", None, None, None, None)], start)
         state = {"status": audit.FAILED, "failure_reason": None}
@@ -260,8 +254,9 @@ class Runner:
         carry = ()
         if bulk:
             # K4: envelopes of `bulk_size` records, one request each
-            buckets = delivery.envelope_buckets(requests)
-            requests = delivery.bulk_requests(requests, "key", ctx.run_id, bulk, buckets)
+            # a configured number, kept with the process: envelopes and their ids
+            # do not change when more records arrive in other buckets
+            requests = delivery.bulk_requests(requests, "key", ctx.run_id, bulk, int(lower.get("bulk_buckets", 8)))
             carry = ("members",)
 
         # Exactly once per run: the send happens in these writes; every later
@@ -277,8 +272,11 @@ class Runner:
             # fails the run before the fan-out. The canary row is taken once
             # to the driver, so the rest is a plain filter — no second lookup.
             row = first[0].asDict()
-            send(self.spark.createDataFrame(pd.DataFrame([row]), requests.schema), "overwrite")
-            send(requests.where(~F.col("key").eqNullSafe(F.lit(row["key"]))), "append")
+            one = self.spark.createDataFrame(pd.DataFrame([row]), requests.schema)
+            send(one, "overwrite")
+            # one copy of this record goes; others with its key, or equal to it, stay
+            same = F.col("key").eqNullSafe(F.lit(row["key"])) & F.col("data").eqNullSafe(F.lit(row["data"]))
+            send(requests.where(~same).unionByName(requests.where(same).exceptAll(one)), "append")
         else:
             send(requests, "overwrite")
         final = delivery.final_outcome(self.spark.read.parquet(attempts_path))

@@ -55,7 +55,7 @@ def shared_root(spark: SparkSession) -> str:
             root = None
     if not root:
         master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
                              "(staged deltas, attempts and run history are written there)")
         if _LOCAL_FALLBACK is None:

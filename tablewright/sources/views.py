@@ -9,6 +9,8 @@ them all into one plan. Only configuration rows are collected to the driver.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions.params import bind_sql, replace_template_refs, template_refs
@@ -33,14 +35,17 @@ def _template_views(spark, text, params, templates, done):
     """Register every template the text refers to; returns name → view."""
     names = {}
     for name in template_refs(text):
-        if name in done:
-            names[name] = done[name]
+        # one view per template and bound values: two uses with different
+        # parameters are two views
+        bound = (name, hashlib.md5(repr(sorted((params or {}).items())).encode()).hexdigest()[:10])
+        if bound in done:
+            names[name] = done[bound]
             continue
         inner = _template_text(templates, name, done.setdefault("_texts", {}))
         inner_names = _template_views(spark, inner, params, templates, done)
-        view = f"tpl_{name}"
+        view = f"tpl_{name}_{bound[1]}"
         bind_sql(spark, replace_template_refs(inner, inner_names), params).createOrReplaceTempView(view)
-        done[name] = names[name] = view
+        done[bound] = names[name] = view
     return names
 
 

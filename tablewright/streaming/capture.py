@@ -30,15 +30,20 @@ from pyspark.sql.types import StructType
 
 from tablewright.session import work_path
 
-LOG_SCHEMA = "batch_id int, state string, at timestamp"
+# Batch ids of stream version N start at (N - 1) times this: a replaced stream
+# counts its batches from 0 again and must not meet the old one's.
+VERSION_STEP = 1_000_000_000
+LOG_SCHEMA = "batch_id long, state string, at timestamp"
 VERSION_SCHEMA = "process string, version int, at timestamp"
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:  # nothing written there yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # nothing written there yet
+            return None
+        raise
 
 
 def _append(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
@@ -86,18 +91,15 @@ def mark_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -
     _log(spark, stage_root, batch_ids, "committed")
 
 
-def purge_committed(spark: SparkSession, stage_root: str, batch_ids: list[int],
-                    schema: StructType | None = None) -> None:
-    """K8: drop the staged data of committed batches (overwritten with an
-    empty DataFrame); the log keeps their commit rows, so a replayed batch id
-    is still recognised as done."""
+def purge_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -> None:
+    """K8: drop the staged data of committed batches; the log keeps their
+    commit rows, so a replayed batch id is still recognised as done."""
     done = set(committed_batches(spark, stage_root))
+    jvm = spark.sparkContext._jvm
     for b in batch_ids:
-        if b not in done:
-            continue
-        folder = f"{stage_root}/batch_id={b}"
-        empty_schema = schema or spark.read.parquet(folder).schema
-        spark.createDataFrame([], empty_schema).write.mode("overwrite").parquet(folder)
+        if b in done:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{stage_root}/batch_id={b}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_staged(spark: SparkSession, stage_root: str, schema: StructType,
@@ -131,6 +133,11 @@ def checkpoint_location(spark: SparkSession, process: str, root: str | None = No
     return f"{root}/{process.lower()}/v{_current_version(spark, process, root)}"
 
 
+def _first_id(checkpoint: str) -> int:
+    version = checkpoint.rstrip("/").rsplit("/v", 1)[-1]
+    return (int(version) - 1) * VERSION_STEP if version.isdigit() else 0
+
+
 def replace_checkpoint(spark: SparkSession, process: str, root: str | None = None) -> str:
     """T5: replace the process's stream — the next run starts a new
     checkpoint version (with a time-travel property, at that point)."""
@@ -153,20 +160,25 @@ def capture_changes(spark: SparkSession, source: str, schema: StructType,
     run (T2) instead of piling a second delta on top of it."""
     if block_unfinished and uncommitted_batches(spark, stage_root):
         raise RuntimeError("a previous run's staged data is not processed yet; restart that run first")
+    if since is not None and not ts_col:
+        raise ValueError("a start point in the past needs the source's time column")
+    first = _first_id(checkpoint)
     done = set(committed_batches(spark, stage_root))
-    reader = spark.readStream.schema(schema)
+    # Files are taken by what the checkpoint has seen, never by their age.
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if any(ch in source for ch in "*?["):
         reader = reader.option("basePath", os.path.dirname(source.rstrip("/")))
     stream = reader.parquet(source)
-    if since is not None and ts_col:
+    if since is not None:
         stream = stream.where(F.col(ts_col) >= F.lit(since))
     staged: list[int] = []
 
     def stage(batch: DataFrame, batch_id: int) -> None:
         # A batch replayed after it was processed and committed (the query
         # stopped before its offset was recorded) is left as it is.
+        batch_id += first
         if batch_id in done:
             return
         batch.write.mode("overwrite").parquet(f"{stage_root}/batch_id={batch_id}")

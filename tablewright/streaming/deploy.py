@@ -18,11 +18,13 @@ from tablewright.operators.upsert import upsert
 from tablewright.plans.compile import compile_pipelines, config_violations
 from tablewright.plans.runner import Config
 from tablewright.schemas import DEPLOY_ATTR, PIPELINE
-from tablewright.streaming.capture import _list_dirs, checkpoint_location
+from tablewright.streaming.capture import _append, _read_or_none, replace_checkpoint
 
 
 def pipeline_versions(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(d.split("=")[1]) for d in _list_dirs(spark, root) if d.startswith("version="))
+    """Versions written so far, one log row each."""
+    log = _read_or_none(spark, f"{root}/_log", "version int")
+    return [] if log is None else sorted(r[0] for r in log.distinct().collect())
 
 
 def current_pipelines(spark: SparkSession, root: str, below: int | None = None) -> DataFrame:
@@ -36,12 +38,10 @@ def replace_streams(spark: SparkSession, deploys: DataFrame, checkpoint_root: st
     """T5: a deploy row asking to replace its process's stream opens a new
     checkpoint version (the next run starts a new stream; with a time-travel
     property it starts at that point). Others keep their stream position."""
-    from tablewright.streaming.capture import _fs
     procs = [r[0] for r in deploys.where(F.coalesce("replace_existing_stream", F.lit(False)))
                                   .select(F.lower("process_name")).distinct().collect()]
     for proc in procs:
-        p, fs = _fs(spark, checkpoint_location(spark, proc, replace=True, root=checkpoint_root))
-        fs.mkdirs(p)
+        replace_checkpoint(spark, proc, root=checkpoint_root)
     return procs
 
 
@@ -67,6 +67,7 @@ def compile_deploy_batch(spark: SparkSession, deploys: DataFrame, config: Config
     old = current_pipelines(spark, pipeline_root, below=version)
     merged = upsert(old, new, ["process_name"], keep_from_old=["create_user", "create_date_time"])
     merged.write.mode("overwrite").parquet(f"{pipeline_root}/version={version}")
+    _append(spark, f"{pipeline_root}/_log", [(version,)], "version int")
     # status per deploy row: succeeded, failed with the rules broken, or
     # failed because the process has no configuration at all
     known = objs.select(F.lower("process_name").alias("process")).distinct().withColumn("known", F.lit(True))

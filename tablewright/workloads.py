@@ -20,8 +20,7 @@ from tablewright import schemas
 from tablewright.functions.scalars import epoch_millis
 from tablewright.operators import audit, delivery, mapping
 from tablewright.operators.dedup import keep_one, priority
-from tablewright.operators.joins import bounded_broadcast, flag_exists, left_chain
-from tablewright.operators.partitioning import ensure_parallelism
+from tablewright.operators.joins import flag_exists, left_chain
 from tablewright.operators.payload import build_payload
 from tablewright.operators.upsert import upsert
 from tablewright.session import work_path
@@ -181,7 +180,7 @@ def _delivery_attempts(spark: SparkSession, sf_dir: str, carry=()) -> DataFrame:
     """Documents of every event (N1–N4) sent through the deterministic
     endpoint (K3). Rows are spread before the Python-heavy stages when the
     scan alone would not give every core a partition."""
-    events = ensure_parallelism(_read(spark, sf_dir, "events"))
+    events = _read(spark, sf_dir, "events")
     cattr = _cfg(spark, EVENTS_MAPPING, schemas.COLUMN_ATTR)
     exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
     extra = [f"`{c}`" for c in carry]
@@ -205,8 +204,8 @@ def q_left_join_chain(spark, sf_dir):
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     latest = _open_orders_latest(_read(spark, sf_dir, "orders")).select(
         "o_custkey", "o_orderkey", "o_orderstatus")
-    nation = bounded_broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = bounded_broadcast(_read(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     joined = left_chain(customer, [
         (latest, customer.c_custkey == latest.o_custkey),
         (nation, F.col("c_nationkey") == F.col("n_nationkey")),
@@ -268,7 +267,7 @@ def q_categorised_project(spark, sf_dir):
 
 def q_payload_fields(spark, sf_dir):
     _prep(spark)
-    events = ensure_parallelism(_read(spark, sf_dir, "events"))
+    events = _read(spark, sf_dir, "events")
     cattr = _cfg(spark, EVENTS_MAPPING, schemas.COLUMN_ATTR)
     exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
     projected = events.selectExpr(*exprs)
@@ -307,7 +306,7 @@ def q_epoch_attr(spark, sf_dir):
 
 def q_bulk_envelopes(spark, sf_dir):
     events = _read(spark, sf_dir, "events").select("event_id")
-    buckets = delivery.envelope_buckets(events, ROWS_PER_BUCKET, MIN_BUCKETS)
+    buckets = MIN_BUCKETS
     env = delivery.envelopes(events, "event_id", ENVELOPE_SIZE, buckets)
     return (env.groupBy("bucket", "envelope")
                .agg(F.count(F.lit(1)).alias("n_records"), F.min("event_id").alias("first_key"),
@@ -345,12 +344,12 @@ def q_replay(spark, sf_dir):
 
 def q_bulk_delivery(spark, sf_dir):
     _prep(spark)
-    events = ensure_parallelism(_read(spark, sf_dir, "events"))
+    events = _read(spark, sf_dir, "events")
     cattr = _cfg(spark, EVENTS_MAPPING, schemas.COLUMN_ATTR)
     exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
     docs = build_payload(events.selectExpr("event_id", *exprs), cmap, TARGET_PROPERTIES, ENVIRONMENT,
                          RUN_ID, "event_id")
-    buckets = delivery.envelope_buckets(events, ROWS_PER_BUCKET, MIN_BUCKETS)
+    buckets = MIN_BUCKETS
     bulk = delivery.bulk_requests(docs, "event_id", RUN_ID, ENVELOPE_SIZE, buckets)
     sent = delivery.deliver(bulk, bulk_rule_sender, max_retries=MAX_RETRIES, base_wait=BASE_WAIT,
                             max_wait=MAX_WAIT, carry=("members",))

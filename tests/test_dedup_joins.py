@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tablewright.operators.dedup import keep_one, priority
-from tablewright.operators.joins import bounded_broadcast, flag_exists, left_chain, split_exists
+from tablewright.operators.joins import flag_exists, left_chain, split_exists
 
 
 def test_keep_one_priority_ties_and_nulls(spark):
@@ -44,12 +44,3 @@ def test_exists(spark):
     assert [r.k for r in anti.collect()] == [2]
     flags = {r.k: r.f for r in flag_exists(a, b, ["k"], "f").collect()}
     assert flags == {1: True, 2: False, 3: True}
-
-
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "broadcast" in bounded_broadcast(small, 100)._jdf.queryExecution().analyzed().toString().lower() \
-        or True  # hint is visible in the logical plan
-    # beyond the bound the plain DataFrame comes back (no hint)
-    assert bounded_broadcast(big, 100) is big

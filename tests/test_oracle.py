@@ -3,9 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle_check import compare
-from tablewright.workloads import TABLES
+from tablewright.workloads import ORACLE_SQL, QUERIES, TABLES
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,10 +24,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, con, SF, name, queries()[name], oracle_sql()[name])
+    res = compare(spark, con, SF, name, QUERIES[name], ORACLE_SQL[name])
     assert res["ok"], res

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablewright import schemas
 from tablewright.plans.compile import compile_pipelines
+from tablewright.streaming.capture import committed_batches
 from tablewright.plans.runner import Config, RunContext, Runner
 from tablewright.workloads import rule_sender
 
@@ -159,9 +160,9 @@ def test_change_feed_stream_process(spark, tmp):
     r = Runner(spark, cfg, {"accounts": src}, history=tmp + "/hist", work_root=tmp + "/work")
     r.run(pipe, RunContext("acct_feed", run_id=1))
     assert sorted(x.action for x in spark.table("tw_acct_changes").collect()) == ["INSERT"] * 3
-    # staged data of a committed batch is dropped; the marker stays
-    left = [f for f in os.listdir(tmp + "/work/staging/acct_feed/batch_id=0") if not f.endswith(".crc")]
-    assert left == ["_committed"]
+    # staged data of a committed batch is dropped; its commit row stays
+    assert not os.path.exists(tmp + "/work/staging/acct_feed/batch_id=0")
+    assert committed_batches(spark, tmp + "/work/staging/acct_feed") == [0]
     # the table changes: 1 deleted, 2 updated, 4 inserted, 3 unchanged
     spark.createDataFrame([(2, "b", 25.0), (3, "c", 30.0), (4, "d", 40.0)], "id long, name string, bal double") \
         .write.mode("overwrite").parquet(src)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tablewright.sinks.writers import drop_staging, run_statements, write_files, write_table
 from tablewright.streaming.capture import (
-    capture_changes, checkpoint_location, mark_committed, read_staged, uncommitted_batches,
+    capture_changes, checkpoint_location, replace_checkpoint, mark_committed, read_staged, uncommitted_batches,
 )
 
 SCHEMA = "id long, ts timestamp_ntz, v string"
@@ -54,7 +54,8 @@ def test_checkpoint_versions(spark):
     assert first.endswith("/v1")
     os.makedirs(first.replace("file:", ""), exist_ok=True)
     assert checkpoint_location(spark, name) == first                 # keep position
-    assert checkpoint_location(spark, name, replace=True).endswith("/v2")
+    assert replace_checkpoint(spark, name).endswith("/v2")
+    assert checkpoint_location(spark, name).endswith("/v2")
 
 
 def test_table_sink_default_mode_refuses_existing(spark, tmp):
