@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-_MEMO_LIMIT = 300_000
+_MEMO_LIMIT = 1_000_000
 # A space before one of these always starts a new piece of the byte-level split.
 _PLAIN = "!-~¡-ɏЀ-ӿ"
 _ODD_SPACE = re.compile(f" (?![{_PLAIN}])")
