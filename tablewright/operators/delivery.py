@@ -120,8 +120,7 @@ def deliver(requests: DataFrame, sender, max_retries: int = DEFAULT_MAX_RETRIES,
     """K3: send every request; one row per attempt (``schemas.ATTEMPT``).
 
     Parallelism is the number of partitions of ``requests``; ``partitions``
-    spreads them round-robin first (spread a small source scan with
-    ``partitioning.ensure_parallelism`` instead, before the payload is built).
+    spreads them round-robin first.
     Only the attempt that ends a request in failure carries the payload, for
     the dead-letter table. Columns named in ``carry`` pass through to every
     attempt row. ``group_size``/``group_pause`` limit the rate per task: the
