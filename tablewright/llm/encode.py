@@ -18,7 +18,7 @@ _MEMO_LIMIT = 1_000_000
 # A space before one of these always starts a new piece of the byte-level split.
 _PLAIN = "!-~¡-ɏЀ-ӿ"
 _ODD_SPACE = re.compile(f" (?![{_PLAIN}])")
-_SPLIT = re.compile(f"(?= [{_PLAIN}])")
+_SPLIT = re.compile(f" (?=[{_PLAIN}])")
 
 
 class Encoder:
@@ -34,30 +34,35 @@ class Encoder:
         self._tok.encode_special_tokens = True
         self.spaced = spaced
         self.dtype = np.dtype("<u2" if self._tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self._memo: dict[str, bytes] = {"": b""}
+        self._memo: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
+        """Memo keys of the pieces. Byte-level: a key stands for itself after a
+        space; one that starts with a space is the piece without that space."""
         if not self.spaced:
             return text.replace("\n", " ").split(" ")
-        if _ODD_SPACE.search(text):
-            return _SPLIT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        parts = _SPLIT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+        parts[0] = " " + parts[0]
+        return parts
+
+    def _piece(self, key: str) -> str:
+        if not self.spaced:
+            return key
+        return key[1:] if key[:1] == " " else " " + key
 
     def encode(self, texts) -> list[bytes]:
         """Ids of every text (None: no ids) as bytes of ``dtype``."""
         memo = self._memo
         if len(memo) > _MEMO_LIMIT:
             memo.clear()
-            memo[""] = b""
         cut = [self.pieces(t or "") for t in texts]
-        new = list({p for ps in cut for p in ps if p not in memo})
+        new = list(set().union(*cut).difference(memo))
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
-            for p, e in zip(part, self._tok.encode_batch_fast(part, add_special_tokens=False)):
-                memo[p] = np.array(e.ids, self.dtype).tobytes()
-        out = [b"".join([memo[p] for p in ps]) for ps in cut]
-        return out
+            for k, e in zip(part, self._tok.encode_batch_fast([self._piece(k) for k in part], add_special_tokens=False)):
+                memo[k] = np.array(e.ids, self.dtype).tobytes()
+        get = memo.__getitem__
+        return [b"".join(map(get, ps)) for ps in cut]
 
     def batches(self, texts, chars: int = 4_000_000):
         """``encode`` over slices of at most about ``chars`` characters."""
