@@ -37,7 +37,7 @@ KINDS = ("assign", "access", "hex", "random")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 _CODE = {c: i + 1 for i, c in enumerate(ALPHABET)}  # 0: start and any other character
-SAMPLE_DOCS = 400
+SAMPLE_DOCS, SAMPLE_WORDS = 400, 20_000
 RESULT = "struct<n_assign:bigint,n_access:bigint,n_hex:bigint,base:string,spans:string,found:array<struct<kind:string,start:bigint,end:bigint>>>"
 
 
@@ -77,15 +77,25 @@ def train(samples: list[tuple[str, int]]) -> Model:
     return Model(ratio, max(low, (low + float(high)) / 2, 0.0))
 
 
-def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 11) -> list[tuple[str, int]]:
+def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS,
+                     seed: int = 11) -> list[tuple[str, int]]:
     """Random strings over usual key alphabets (1) and ordinary identifiers (0):
-    words of the ``sample_docs`` documents with the smallest hash, joined as
-    identifiers are. Words that hold a base match or digits are left out."""
+    words of the ``sample_docs`` texts with the smallest hash (whole texts; at
+    most ``sample_words`` distinct words, again those with the smallest hash),
+    joined as identifiers are. Words that hold a base match or digits are left out.
+    Texts stay in the tasks; the driver gets hashes and words."""
     rng = random.Random(seed)
-    texts = [r["text"] for r in docs.select("text", F.xxhash64("text", "doc_id").alias("o"))
-             .where(F.col("text").isNotNull()).orderBy("o").limit(sample_docs).select(
-                 F.substring("text", 1, 4000).alias("text")).collect()]
-    plain = sorted({w for t in texts for w in re.findall(r"(?<![^\W_])[A-Za-z]{2,}(?![^\W_])", HEX.sub(" ", ACCESS.sub(" ", ASSIGN.sub(" ", t))))})[:20000]
+
+    @F.pandas_udf("array<string>")
+    def identifiers(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: sorted(set(re.findall(
+            r"(?<![^\W_])[A-Za-z]{2,}(?![^\W_])", HEX.sub(" ", ACCESS.sub(" ", ASSIGN.sub(" ", t)))))))
+
+    keyed = docs.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("o"))
+    chosen = [r["o"] for r in keyed.select("o").distinct().orderBy("o").limit(sample_docs).collect()]
+    found = (keyed.where(F.col("o") <= chosen[-1]).dropDuplicates(["o"]).select(F.explode(identifiers("text")).alias("w")).distinct()
+             .orderBy(F.xxhash64("w"), "w").limit(sample_words).collect()) if chosen else []
+    plain = sorted(r["w"] for r in found)
     plain = plain or ["the", "name", "value", "count", "first", "second", "table", "index"]
     out = []
     for _ in range(4000):
