@@ -86,10 +86,9 @@ def _send_batch(pdf: pd.DataFrame, sender, max_retries: int, base: float,
         reason = res["reason"].astype(object).to_numpy()
         retry_after = res["retry_after"].fillna(0).to_numpy(dtype="int64")
         cls = _classify_np(status, reason)
-        if (cls == "abort").any():
-            bad = int(status[cls == "abort"][0])
-            raise RuntimeError(f"delivery aborted: unexpected status {bad}")
-        last = attempt == max_retries + 1
+        # An abort ends this batch as it stands. It is a row, not an exception:
+        # a failed task would be run again and resend everything.
+        last = attempt == max_retries + 1 or (cls == "abort").any()
         done = (cls != "retry") | last
         failed = done & (cls != "ok")
         yield pd.DataFrame({
@@ -125,7 +124,8 @@ def deliver(requests: DataFrame, sender, max_retries: int = DEFAULT_MAX_RETRIES,
     the dead-letter table. Columns named in ``carry`` pass through to every
     attempt row. ``group_size``/``group_pause`` limit the rate per task: the
     sender sees at most ``group_size`` requests per call, with a pause after
-    each group when ``sleep`` is on."""
+    each group when ``sleep`` is on. After an unexpected status (class
+    ``abort``) a task sends nothing more; see ``aborted``."""
     src = requests.select("request_id", F.col(key).cast("string").alias("key"), "data", *carry)
     if partitions:
         src = src.repartition(partitions)
@@ -133,12 +133,20 @@ def deliver(requests: DataFrame, sender, max_retries: int = DEFAULT_MAX_RETRIES,
         f", `{c}` {requests.schema[c].dataType.simpleString()}" for c in carry)
     def run(batches):
         for pdf in batches:
-            yield from _send_batch(pdf, sender, max_retries, base_wait, max_wait, sleep, carry,
-                                   group_size, group_pause)
+            for out in _send_batch(pdf, sender, max_retries, base_wait, max_wait, sleep, carry,
+                                   group_size, group_pause):
+                yield out
+                if (_classify_np(out["status"].to_numpy(), out["reason"].to_numpy()) == "abort").any():
+                    return
 
     return src.mapInPandas(run, ddl)
 
 
+def aborted(attempts: DataFrame) -> int | None:
+    """The smallest unexpected status of (written) attempts, if there is one."""
+    return attempts.where(classify("status", "reason") == "abort").agg(F.min("status")).first()[0]
+
+
 def retry_schedule(attempts: DataFrame, base_wait: float = DEFAULT_BASE_WAIT,
                    max_wait: float = DEFAULT_MAX_WAIT) -> DataFrame:
     """Wait after every attempt that is retried: the endpoint's

@@ -30,18 +30,22 @@ from tablewright.functions.params import bind_sql
 from tablewright.functions.scalars import run_id_now
 from tablewright.operators import audit, delivery, mapping
 from tablewright.operators.payload import build_payload
-from tablewright.schemas import RUN_EVENT
+from tablewright.schemas import DEAD_LETTER, RUN_EVENT
 from tablewright.session import work_path
-from tablewright.sinks.writers import append_dead_letters, run_statements, write_files, write_table
+from tablewright.sinks.writers import append_dead_letters, dead_letter_folder, run_statements, write_files, write_table
 from tablewright.sources.scan import replay
 from tablewright.sources.views import build_view, child_session, register_tables
 from tablewright.streaming.capture import (
     capture_changes, capture_snapshot_changes, checkpoint_location, mark_committed, purge_committed,
-    read_staged, staged_batches, uncommitted_batches,
+    read_if_there, read_staged, staged_batches, uncommitted_batches,
 )
 
 log = logging.getLogger(__name__)
 
+# Steps that only name DataFrames. A restart runs them again, whatever its step,
+# so that later steps see the delta of the failed run and not the whole table.
+LAZY_STEPS = ("consume_stream", "create_view", "sql")
+
 
 @dataclass
 class Config:
@@ -99,7 +103,7 @@ class Runner:
         """Execute ``pipeline`` (``{"pipeline_name", "data_flow": [steps]}``).
         Returns the final run state; the run history gets both events."""
         self.ctx, self.env, self.counts, self.stream_has_data = ctx, {}, {}, True
-        self.session = self.spark
+        self.session, self.batches = self.spark, []
         obj = (self.config.object_attr
                .where(F.lower("process_name") == F.lower(F.lit(ctx.process))).collect())
         if len(obj) != 1:
@@ -111,10 +115,14 @@ class Runner:
         state = {"status": audit.FAILED, "failure_reason": None}
         try:
             for step in sorted(pipeline["data_flow"], key=lambda s: int(s["step_id"])):
-                if ctx.restart_step_id is not None and int(step["step_id"]) < int(ctx.restart_step_id):
+                ahead = int(step["step_id"]) - int(ctx.restart_step_id or 0)
+                if ctx.restart_step_id is not None and ahead < 0 and step["func"] not in LAZY_STEPS:
                     log.info("restart: skipping step %s", step["step_id"])
                     continue
-                if not self.stream_has_data:
+                # without staged data a restart can still resend its step's dead letters
+                resend = ctx.restart_run_id is not None and ahead == 0 and step["func"] == "deliver"
+                bound = ctx.restart_run_id is not None and step["func"] in LAZY_STEPS
+                if not self.stream_has_data and not resend and not bound:
                     log.info("no new data: skipping step %s", step["step_id"])
                     continue
                 args = step.get("args", step)
@@ -186,7 +194,7 @@ class Runner:
                                                f"{self.work_root}/snapshots/{self.ctx.process.lower()}")
         self.stream_has_data = bool(batches)
         self.batches = batches
-        if batches:
+        if batches or self.ctx.restart_run_id is not None:
             self.env["_delta"] = read_staged(self.spark, stage, schema, batches)
             # bind the delta by name in a child session
             child = child_session(self.spark)
@@ -231,9 +239,13 @@ class Runner:
         props = json.loads(props) if isinstance(props, str) else (props or {})
         lower = {k.lower(): v for k, v in props.items()}
         dead_path = f"{self.dead_root}/{(lower.get('fail_rec_table_name') or target).split('.')[-1]}"
+        old = None
         if ctx.restart_run_id is not None and ctx.restart_step_id is not None \
                 and int(ctx.restart_step_id) == step_id:
-            old = self.spark.read.parquet(dead_path)
+            # without this partition the failed run never completed its send
+            old = read_if_there(self.spark, dead_letter_folder(dead_path, ctx.restart_run_id, target), DEAD_LETTER)
+        if old is not None:
+            old = old.withColumn("run_id", F.lit(ctx.restart_run_id).cast("long"))
             requests = replay(old, ctx.restart_run_id, ctx.run_id, ctx.status_codes).select(
                 "request_id", F.col("request_id").alias("key"), "data")
         else:
@@ -264,6 +276,9 @@ class Runner:
         def send(reqs: DataFrame, mode: str) -> None:
             delivery.deliver(reqs, self.sender, carry=carry, **self.retry) \
                 .write.mode(mode).parquet(attempts_path)
+            bad = delivery.aborted(self.spark.read.parquet(attempts_path))
+            if bad is not None:
+                raise RuntimeError(f"delivery aborted: unexpected status {bad}")
 
         canary = str(lower.get("canary", "true")).lower() != "false"
         first = requests.limit(1).collect() if canary else []
@@ -283,7 +298,7 @@ class Runner:
         if bulk:
             final = delivery.per_record(final)
         dead = delivery.dead_letters(final, ctx.run_id)
-        append_dead_letters(dead, dead_path)
+        append_dead_letters(dead, dead_path, ctx.run_id, target)
         row = final.agg(F.count(F.lit(1)).alias("t"),
                         F.sum(F.when(F.col("ok"), 0).otherwise(1)).alias("f")).first()
         th = lower.get("threshold_percentage")
@@ -303,14 +318,23 @@ class Runner:
     def file_sink(self, args: dict, step_id: int) -> None:
         props = args.get("properties")
         props = {k.lower(): v for k, v in (json.loads(props) if isinstance(props, str) else (props or {})).items()}
-        pb = props.get("partition_by")
-        write_files(self._select(args), props["target_location"], props.get("file_format_type", "parquet"),
-                    [pb] if isinstance(pb, str) else pb, props.get("format_type_options"),
-                    props.get("header"), props.get("mode", "errorifexists"))
+        # Properties are texts: lists are comma-separated, options JSON objects.
+        as_dict = lambda v: json.loads(v) if isinstance(v, str) and v.strip() else (v or {})
+        text = lambda v: str(v).lower() if isinstance(v, bool) else str(v)
+        pb, header = props.get("partition_by"), props.get("header")
+        if isinstance(pb, str):
+            pb = [c.strip() for c in pb.split(",") if c.strip()]
+        copy = {k.lower(): v for k, v in as_dict(props.get("copy_options")).items()}
+        mode = props.get("mode") or ("overwrite" if text(copy.pop("overwrite", "false")).lower() == "true" else "errorifexists")
+        options = {k: text(v) for k, v in (as_dict(props.get("format_type_options")) | copy).items()}
+        df, obs = audit.observe_count(self._select(args))
+        write_files(df, props["target_location"], props.get("file_format_type", "parquet"), pb, options,
+                    None if header is None else text(header).lower() == "true", mode)
+        log.info("file sink %s wrote %s rows", args["target"], obs.get.get("n") if obs else None)
 
     def drop_staging(self, args: dict, step_id: int) -> None:
         """K8: after success the consumed batches are committed."""
-        if getattr(self, "batches", None):
+        if self.batches:
             mark_committed(self.spark, self._stage_root(), self.batches)
             purge_committed(self.spark, self._stage_root(), self.batches)
         self.session = self.spark

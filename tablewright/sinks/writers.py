@@ -54,10 +54,16 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet",
     w.save(path)
 
 
-def append_dead_letters(dead: DataFrame, location: str) -> None:
-    """K5: append failed records, partitioned by run so a replay reads only
-    its run (partition pruning)."""
-    dead.write.mode("append").partitionBy("run_id").parquet(location)
+def dead_letter_folder(location: str, run_id: int, target: str) -> str:
+    return f"{location}/run_id={run_id}/target={target}"
+
+
+def append_dead_letters(dead: DataFrame, location: str, run_id: int, target: str) -> None:
+    """K5: the failed records of one run and target, in a partition of their
+    own: a replay reads only its run, and a run executed twice leaves its rows
+    once. The partition is written even when nothing failed; its presence says
+    that the send of this run and target was completed."""
+    dead.drop("run_id").write.mode("overwrite").parquet(dead_letter_folder(location, run_id, target))
 
 
 def drop_staging(spark: SparkSession, name: str) -> None:

@@ -17,26 +17,31 @@ from pyspark.sql import DataFrame, functions as F
 
 def change_feed(old: DataFrame, new: DataFrame, keys: list[str],
                 columns: list[str] | None = None) -> DataFrame:
+    """Keys are compared null-safe: a null key is a key like any other. A table
+    of nothing but keys has inserts and deletes only."""
     columns = columns or [c for c in new.columns if c not in keys]
-    o = old.select(*[F.col(k) for k in keys],
-                   F.struct(*[F.col(c) for c in columns]).alias("_old"),
-                   F.xxhash64(*columns).alias("_oh"), F.lit(True).alias("_in_old"))
-    n = new.select(*[F.col(k) for k in keys],
-                   F.struct(*[F.col(c) for c in columns]).alias("_new"),
-                   F.xxhash64(*columns).alias("_nh"), F.lit(True).alias("_in_new"))
-    j = o.join(n, on=keys, how="full_outer")
-    in_old = F.coalesce(F.col("_in_old"), F.lit(False))
-    in_new = F.coalesce(F.col("_in_new"), F.lit(False))
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_{tag}k{i}") for i, k in enumerate(keys)],
+                         F.struct(F.lit(True).alias("_there"), *columns).alias(f"_{tag}"),
+                         F.xxhash64(F.lit(0), *columns).alias(f"_{tag}h"))
+
+    on = reduce(lambda a, b: a & b,
+                [F.col(f"_ok{i}").eqNullSafe(F.col(f"_nk{i}")) for i in range(len(keys))])
+    in_old, in_new = F.col("_o").isNotNull(), F.col("_n").isNotNull()
+    j = (side(old, "o").join(side(new, "n"), on, "full_outer")
+         .select("_o", "_n", "_oh", "_nh",
+                 *[F.when(in_new, F.col(f"_nk{i}")).otherwise(F.col(f"_ok{i}")).alias(k) for i, k in enumerate(keys)]))
     # Hash first (cheap, almost always decisive), confirmed by null-safe
     # equality of every column so a hash collision cannot hide a change.
     same = reduce(lambda a, b: a & b,
-                  [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in columns])
+                  [F.col(f"_o.{c}").eqNullSafe(F.col(f"_n.{c}")) for c in columns], F.lit(True))
     changed = in_old & in_new & ((F.col("_oh") != F.col("_nh")) | ~same)
     images = F.array_compact(F.array(
         F.when((in_old & ~in_new) | changed,
-               F.struct(F.col("_old").alias("img"), F.lit("DELETE").alias("action"))),
+               F.struct(F.col("_o").alias("img"), F.lit("DELETE").alias("action"))),
         F.when((in_new & ~in_old) | changed,
-               F.struct(F.col("_new").alias("img"), F.lit("INSERT").alias("action"))),
+               F.struct(F.col("_n").alias("img"), F.lit("INSERT").alias("action"))),
     ))
     return (j.select(*keys, changed.alias("is_update"), F.explode(images).alias("_e"))
              .select(*keys, *[F.col(f"_e.img.{c}").alias(c) for c in columns],

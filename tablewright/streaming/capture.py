@@ -37,7 +37,7 @@ LOG_SCHEMA = "batch_id long, state string, at timestamp"
 VERSION_SCHEMA = "process string, version int, at timestamp"
 
 
-def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
@@ -57,14 +57,20 @@ def _log_path(stage_root: str) -> str:
 
 
 def batch_log(spark: SparkSession, stage_root: str) -> DataFrame:
-    log = _read_or_none(spark, _log_path(stage_root), LOG_SCHEMA)
+    log = read_if_there(spark, _log_path(stage_root), LOG_SCHEMA)
     return log if log is not None else spark.createDataFrame([], LOG_SCHEMA)
 
 
-def _log(spark: SparkSession, stage_root: str, batch_ids: list[int], state: str) -> None:
+def _log(spark: SparkSession, stage_root: str, batch_ids: list[int], *states: str) -> None:
+    """All given states of the batches at once: one file, so all or none."""
     if batch_ids:
         now = datetime.now()
-        _append(spark, _log_path(stage_root), [(int(b), state, now) for b in batch_ids], LOG_SCHEMA)
+        _append(spark, _log_path(stage_root), [(int(b), s, now) for b in batch_ids for s in states], LOG_SCHEMA)
+
+
+def _drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _ids(df: DataFrame) -> list[int]:
@@ -95,11 +101,9 @@ def purge_committed(spark: SparkSession, stage_root: str, batch_ids: list[int])
     """K8: drop the staged data of committed batches; the log keeps their
     commit rows, so a replayed batch id is still recognised as done."""
     done = set(committed_batches(spark, stage_root))
-    jvm = spark.sparkContext._jvm
     for b in batch_ids:
         if b in done:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{stage_root}/batch_id={b}")
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            _drop_folder(spark, f"{stage_root}/batch_id={b}")
 
 
 def read_staged(spark: SparkSession, stage_root: str, schema: StructType,
@@ -119,7 +123,7 @@ def _versions_path(root: str) -> str:
 
 
 def _current_version(spark: SparkSession, process: str, root: str) -> int:
-    log = _read_or_none(spark, _versions_path(root), VERSION_SCHEMA)
+    log = read_if_there(spark, _versions_path(root), VERSION_SCHEMA)
     if log is None:
         return 1
     v = log.where(F.col("process") == process.lower()).agg(F.max("version")).first()[0]
@@ -215,9 +219,10 @@ def capture_snapshot_changes(spark: SparkSession, source: str, keys: list[str],
                 else spark.createDataFrame([], current.schema))
     folder = f"{stage_root}/batch_id={batch}"
     change_feed(previous, current, keys).write.mode("overwrite").parquet(folder)
-    _log(spark, stage_root, [batch], "snapshot")
-    _log(spark, stage_root, [batch], "staged")
-    if spark.read.parquet(folder).limit(1).count() == 0:
-        mark_committed(spark, stage_root, [batch])      # nothing changed: nothing to process
-        return []
-    return [batch]
+    # One log write, and the last one: after a crash before it, the next call
+    # compares with the old snapshot again and loses nothing.
+    changed = not spark.read.parquet(folder).isEmpty()
+    _log(spark, stage_root, [batch], "snapshot", "staged", *([] if changed else ["committed"]))
+    for old in snaps[-2:]:      # the new snapshot replaces the one before; a crash may have left one more
+        _drop_folder(spark, f"{snapshot_root}/version={old}")
+    return [batch] if changed else []

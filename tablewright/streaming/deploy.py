@@ -18,12 +18,12 @@ from tablewright.operators.upsert import upsert
 from tablewright.plans.compile import compile_pipelines, config_violations
 from tablewright.plans.runner import Config
 from tablewright.schemas import DEPLOY_ATTR, PIPELINE
-from tablewright.streaming.capture import _append, _read_or_none, replace_checkpoint
+from tablewright.streaming.capture import _append, read_if_there, replace_checkpoint
 
 
 def pipeline_versions(spark: SparkSession, root: str) -> list[int]:
     """Versions written so far, one log row each."""
-    log = _read_or_none(spark, f"{root}/_log", "version int")
+    log = read_if_there(spark, f"{root}/_log", "version int")
     return [] if log is None else sorted(r[0] for r in log.distinct().collect())
 
 

@@ -42,12 +42,18 @@ def test_deliver_invariants(spark):
     assert all(r.data is None for r in final.where("ok").collect())
 
 
-def test_deliver_aborts_on_unknown_status(spark):
+def test_abort_is_a_row_and_nothing_is_sent_again(spark, tmp):
     def forbidden(req: pd.DataFrame, attempt: int) -> pd.DataFrame:
-        return pd.DataFrame({"status": [403] * len(req), "reason": ["Forbidden"] * len(req),
+        with open(tmp + "/sent", "a") as f:
+            f.write(f"{len(req)}\n")
+        return pd.DataFrame({"status": [403] + [500] * (len(req) - 1), "reason": ["Forbidden"] * len(req),
                              "retry_after": [0] * len(req)})
-    with pytest.raises(Exception, match="403"):
-        delivery.deliver(_requests(spark, [1, 2]), forbidden).collect()
+    rows = delivery.deliver(_requests(spark, [1, 2, 3]).coalesce(1), forbidden)
+    rows.write.parquet(tmp + "/attempts")
+    got = spark.read.parquet(tmp + "/attempts")
+    assert sorted(r.status for r in got.where("final").collect()) == [403, 500, 500]
+    assert delivery.aborted(got) == 403 and delivery.aborted(got.where("status = 500")) is None
+    assert open(tmp + "/sent").read() == "3\n"                  # one send, no retry of the task
 
 
 def test_retry_schedule(spark):

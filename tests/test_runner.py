@@ -1,5 +1,5 @@
 import json
-import os  # noqa: F401
+import os
 import uuid
 
 import pandas as pd
@@ -135,10 +135,64 @@ def test_bulk_mode_and_canary_abort(spark, tmp):
         r2.run(pipe, RunContext("events_feed", run_id=12))
     latest = {row.run_id: row.status for row in r2.latest_runs().collect()}
     assert latest[12] == "FAILED"
-    # the canary's job aborted, so nothing was committed and no fan-out ran
-    folder = tmp + "/work/attempts/events_feed/12/engage"
-    parts = [f for f in os.listdir(folder) if f.startswith("part-")] if os.path.isdir(folder) else []
-    assert parts == []
+    # the canary was rejected: its one attempt is all that was sent
+    sent = spark.read.parquet(tmp + "/work/attempts/events_feed/12/engage")
+    assert [r.status for r in sent.collect()] == [401]
+    assert not os.path.exists(tmp + "/dead/fails/run_id=12")             # that send is not complete
+
+
+def test_run_executed_twice_leaves_dead_letters_once(spark, tmp):
+    cfg = _config(spark)
+    cfg.target_attr = cfg.target_attr.withColumn("target_properties", F.map_concat(
+        "target_properties", F.create_map(F.lit("once"), F.lit("1"))))
+    pipe = json.loads(compile_pipelines(cfg.object_attr, cfg.target_attr, cfg.column_attr).first().pipeline_config)
+    r = Runner(spark, cfg, {"events": _events(spark, tmp) + "/*"}, sender=rule_sender, max_retries=0,
+               history=tmp + "/hist", dead_letter_root=tmp + "/dead", work_root=tmp + "/work")
+    first = r.run(pipe, RunContext("events_feed", run_id=5))
+    again = r.run(pipe, RunContext("events_feed", run_id=5))
+    assert first["failed_record_count"] == again["failed_record_count"] > 0
+    assert spark.read.parquet(tmp + "/dead/fails").where("run_id = 5").count() == first["failed_record_count"]
+
+
+@pytest.mark.parametrize("fail_at", ["sql", "table_sink", "file_sink", "drop_staging"])
+def test_restart_processes_the_failed_runs_delta(spark, tmp, fail_at):
+    path, proc = _events(spark, tmp), "restart_" + uuid.uuid4().hex[:8]
+    cfg = _config(spark, incremental=True)
+    named = lambda df: df.withColumn("process_name", F.lit(proc))
+    cfg.object_attr = named(cfg.object_attr).withColumn("primary_table", F.lit("events")).withColumn(
+        "target_name_list", F.create_map(F.lit("copy"), F.lit("table"), F.lit("files"), F.lit("files")))
+    cfg.target_attr = named(spark.createDataFrame(
+        [("p", "copy", {"table": "tw_restart_copy", "mode": "overwrite"}),
+         ("p", "files", {"target_location": tmp + "/out", "file_format_type": "csv", "partition_by": "kind, part",
+                         "format_type_options": '{"sep": "|"}', "header": "false",
+                         "copy_options": '{"overwrite": "true"}'})], schemas.TARGET_ATTR))
+    cfg.column_attr = named(spark.createDataFrame(
+        [("p", "copy", "event_id", None, "id", None), ("p", "files", "event_id", None, "id", None),
+         ("p", "files", "event_type", None, "kind", None), ("p", "files", "user_id", "user_id % 2", "part", None)],
+        schemas.COLUMN_ATTR))
+    pipe = json.loads(compile_pipelines(cfg.object_attr, cfg.target_attr, cfg.column_attr).first().pipeline_config)
+    r = Runner(spark, cfg, {"events": path + "/*"}, history=tmp + "/hist", work_root=tmp + "/work")
+    r.run(pipe, RunContext(proc, run_id=1))
+    spark.range(300, 310).select(F.col("id").alias("event_id"), F.lit(1).cast("long").alias("user_id"),
+                                 F.lit("click").alias("event_type")).write.parquet(path + "/drop2")
+    whole = r.steps[fail_at]
+
+    def broken(runner, args, step_id):
+        raise RuntimeError("lost")
+    r.steps[fail_at] = broken
+    with pytest.raises(RuntimeError, match="lost"):
+        r.run(pipe, RunContext(proc, run_id=2))
+    r.steps[fail_at] = whole
+    with pytest.raises(RuntimeError, match="not processed yet"):
+        r.run(pipe, RunContext(proc, run_id=3))
+    step = [s["step_id"] for s in pipe["data_flow"] if s["func"] == fail_at][0]
+    r.run(pipe, RunContext(proc, run_id=4, restart_run_id=2, restart_step_id=step))
+    assert sorted(x.id for x in spark.table("tw_restart_copy").collect()) == list(range(300, 310))
+    out = spark.read.schema("id long").option("sep", "|").csv(tmp + "/out")
+    assert sorted(x.id for x in out.collect()) == list(range(300, 310))
+    assert sorted(os.listdir(tmp + "/out/kind=click")) == ["part=1"]
+    state = r.run(pipe, RunContext(proc, run_id=5))                     # committed: nothing is left to do
+    assert state["status"] == "SUCCEEDED" and spark.table("tw_restart_copy").count() == 10
 
 
 def test_change_feed_stream_process(spark, tmp):
