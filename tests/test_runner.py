@@ -143,8 +143,6 @@ def test_bulk_mode_and_canary_abort(spark, tmp):
 
 def test_run_executed_twice_leaves_dead_letters_once(spark, tmp):
     cfg = _config(spark)
-    cfg.target_attr = cfg.target_attr.withColumn("target_properties", F.map_concat(
-        "target_properties", F.create_map(F.lit("once"), F.lit("1"))))
     pipe = json.loads(compile_pipelines(cfg.object_attr, cfg.target_attr, cfg.column_attr).first().pipeline_config)
     r = Runner(spark, cfg, {"events": _events(spark, tmp) + "/*"}, sender=rule_sender, max_retries=0,
                history=tmp + "/hist", dead_letter_root=tmp + "/dead", work_root=tmp + "/work")
