@@ -199,8 +199,11 @@ def envelopes(df: DataFrame, key: str, size: int = DEFAULT_ENVELOPE_SIZE,
     envelope = ``(bucket, floor((n - 1) / size))``. The envelopes partition
     the input exactly; their count is the sum of ``ceil(bucket rows / size)``."""
     k = F.col(key)
-    bucket = F.pmod(k, F.lit(buckets)) if dict(df.dtypes)[key] in ("bigint", "int") \
-        else F.pmod(F.xxhash64(k), F.lit(buckets))
+    # A hash of the key's text: keys that step by the bucket number still spread.
+    # md5 so that other engines find the same bucket.
+    text = F.coalesce(k.cast("string"), F.lit("\x00null"))
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+    bucket = F.pmod(number, F.lit(buckets))
     w = Window.partitionBy("_bucket").orderBy(k)
     return (df.withColumn("_bucket", bucket.cast("int"))
               .withColumn("envelope", F.floor((F.row_number().over(w) - 1) / size).cast("int"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.functions.scalars import name_part_count, strip_dollar
+from tablewright.operators.mapping import DUMMY_COLUMN
+from tablewright.schemas import QUERY_ORDER_CONFIG, QUERY_TEMPLATE_CONFIG, QUERY_VIEW_CONFIG
 
 # Target kinds, required target properties, step numbering.
 TARGET_KINDS = {"endpoint": "deliver", "table": "table_sink", "files": "file_sink"}
@@ -131,12 +133,60 @@ def _step(order: int, func: str, **args: Column) -> Column:
                     .alias("args"))
 
 
-def compile_pipelines(object_attr: DataFrame, target_attr: DataFrame, column_attr: DataFrame) -> DataFrame:
+def _view_documents(query_view: DataFrame, query_order: DataFrame | None, templates: DataFrame | None) -> DataFrame:
+    """Per view (lower-cased name) its configuration rows as one JSON text, so
+    that later changes of the tables do not reach a deployed pipeline. All
+    templates go with it: a template may name another one."""
+    def rows(df: DataFrame, cols: list[str], by: list[Column]) -> DataFrame:
+        return df.groupBy(*by).agg(F.collect_list(F.struct(*cols)).alias("rows"))
+
+    out = rows(query_view, QUERY_VIEW_CONFIG.fieldNames(), [_lkey("view_name").alias("view")]) \
+        .withColumnRenamed("rows", "query_view")
+    if query_order is not None:
+        out = out.join(rows(query_order, QUERY_ORDER_CONFIG.fieldNames(), [_lkey("view_name").alias("view")])
+                       .withColumnRenamed("rows", "query_order"), "view", "left")
+    if templates is not None:  # one row: the aggregate of the template table
+        one = rows(templates, QUERY_TEMPLATE_CONFIG.fieldNames(), [F.lit(1).alias("one")])
+        out = out.withColumn("one", F.lit(1)).join(one.withColumnRenamed("rows", "templates"), "one", "left").drop("one")
+    return out.select("view", F.to_json(F.struct(*[c for c in out.columns if c != "view"])).alias("view_config"))
+
+
+def _mapped(column_attr: DataFrame, kinds: DataFrame) -> DataFrame:
+    """P2-P4 in the document: projection and category map per (process, target).
+    The target's kind decides: endpoints get the constant column and aliases
+    with the category, all others the plain target names."""
+    rows = (column_attr.where(F.col("target_column_name").isNotNull())
+            .withColumn("process", _lkey("process_name")).withColumn("target", _lkey("target_name"))
+            .join(kinds, ["process", "target"])
+            .withColumn("category", F.when(F.col("kind") == "endpoint", _lkey("object_category")))
+            .withColumn("alias", F.when(F.col("category").isNotNull(),
+                                        F.concat(strip_dollar("target_column_name"), F.lit("_"), F.col("category")))
+                                  .otherwise(F.col("target_column_name"))))
+    expr = F.concat(F.coalesce("transform_rule", "column_name"), F.lit(" AS `"), F.col("alias"), F.lit("`"))
+    constant = F.when(F.col("kind") == "endpoint", F.array(F.lit(DUMMY_COLUMN))) \
+        .otherwise(F.array().cast("array<string>"))
+    exprs = (rows.groupBy("process", "target", "kind").agg(F.array_sort(F.collect_list(expr)).alias("exprs"))
+             .select("process", "target", F.concat(constant, "exprs").alias("select_exp")))
+    cmap = (rows.where(F.col("category").isNotNull()).groupBy("process", "target", "category")
+            .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("alias", "target_column_name")))).alias("m"))
+            .groupBy("process", "target")
+            .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("category", "m")))).alias("column_mapping")))
+    return exprs.join(cmap, ["process", "target"], "left")
+
+
+def compile_pipelines(object_attr: DataFrame, target_attr: DataFrame, column_attr: DataFrame,
+                      query_view: DataFrame | None = None, query_order: DataFrame | None = None,
+                      templates: DataFrame | None = None) -> DataFrame:
     """One pipeline document per process. Steps in fixed order: consume
     stream (incremental), create view (view), extract, one per target, drop
     staging (incremental); numbered 100, 200, ... Returns ``process_name,
-    steps (array<struct>), pipeline_config (JSON text)``."""
+    steps (array<struct>), pipeline_config (JSON text)``. With ``query_view`` the
+    document carries the view's configuration as it is now."""
     o = object_attr.withColumn("process", _lkey("process_name"))
+    if query_view is not None:
+        o = o.join(_view_documents(query_view, query_order, templates), _lkey("object_name") == F.col("view"), "left")
+    else:
+        o = o.withColumn("view_config", F.lit(None).cast("string"))
     inc = F.coalesce(F.col("incremental_capture_flag"), F.lit(False))
     is_view = F.lower("object_type") == "view"
     # The staged delta is bound under the staging table's short name.
@@ -145,24 +195,16 @@ def compile_pipelines(object_attr: DataFrame, target_attr: DataFrame, column_att
     fixed = o.select("process", F.explode(F.array_compact(F.array(
         F.when(inc, _step(1, "consume_stream", stream_name=F.col("stream_name"),
                           transient_table=F.col("transient_stg_table"))),
-        F.when(is_view, _step(2, "create_view", view_name=F.col("object_name"))),
+        F.when(is_view, _step(2, "create_view", view_name=F.col("object_name"),
+                                view_config=F.col("view_config"))),
         _step(3, "sql", query=F.concat(F.lit("select * from "), source),
               output_df=F.concat(F.col("object_name"), F.lit("_df"))),
         F.when(inc, _step(5, "drop_staging", name=F.col("transient_stg_table"))),
     ))).alias("s")).select("process", F.col("s.phase").alias("phase"), F.lit("").alias("target"),
                            F.col("s.func").alias("func"), F.col("s.args").alias("args"))
-    mapped = (column_attr.where(F.col("target_column_name").isNotNull())
-              .withColumn("alias", F.when(F.col("object_category").isNotNull(),
-                                          F.concat(strip_dollar("target_column_name"), F.lit("_"),
-                                                   F.lower("object_category")))
-                                    .otherwise(F.col("target_column_name")))
-              .groupBy(_lkey("process_name").alias("process"), _lkey("target_name").alias("target"))
-              .agg(F.array_sort(F.collect_list(F.concat(
-                       F.coalesce("transform_rule", "column_name"), F.lit(" AS `"), F.col("alias"), F.lit("`"))))
-                   .alias("select_exp"),
-                   F.to_json(F.map_from_entries(F.collect_list(F.struct(
-                       F.concat(F.lower(F.coalesce("object_category", F.lit(""))), F.lit("."), F.col("alias")),
-                       F.col("target_column_name"))))).alias("column_mapping")))
+    kinds = o.select("process", F.explode("target_name_list").alias("target", "kind")).select(
+        "process", F.lower("target").alias("target"), F.lower("kind").alias("kind"))
+    mapped = _mapped(column_attr, kinds)
     props = target_attr.select(_lkey("process_name").alias("process"), _lkey("target_name").alias("target"),
                                "target_properties")
     targets = (o.select("process", "object_name", "database_name", "schema_name",

@@ -30,7 +30,7 @@ from tablewright.functions.params import bind_sql
 from tablewright.functions.scalars import run_id_now
 from tablewright.operators import audit, delivery, mapping
 from tablewright.operators.payload import build_payload
-from tablewright.schemas import DEAD_LETTER, RUN_EVENT
+from tablewright.schemas import DEAD_LETTER, QUERY_ORDER_CONFIG, QUERY_TEMPLATE_CONFIG, QUERY_VIEW_CONFIG, RUN_EVENT
 from tablewright.session import work_path
 from tablewright.sinks.writers import append_dead_letters, dead_letter_folder, run_statements, write_files, write_table
 from tablewright.sources.scan import replay
@@ -130,7 +130,7 @@ class Runner:
             state = self._evaluate()
         except Exception as e:  # the run fails, history says why
             log.error(traceback.format_exc())
-            state = {"status": audit.FAILED, "failure_reason": f"{type(e).__name__}: {e}"[:4000],
+            state = {"status": audit.FAILED, "failure_reason": f"{type(e).__name__}: {e}",
                      "successful_record_count": None, "failed_record_count": None}
             self._history([(2, audit.FAILED, None, None, state["failure_reason"], datetime.now())], start)
             raise
@@ -207,8 +207,15 @@ class Runner:
 
     def create_view(self, args: dict, step_id: int) -> None:
         c = self.config
-        build_view(self.session, args["view_name"], self._in(c.query_view), self._in(c.query_order),
-                   self._in(c.templates), self.ctx.args)
+        if args.get("view_config"):  # compiled in: the configuration of deploy time
+            doc = json.loads(args["view_config"])
+            tables = [self.session.createDataFrame(
+                [tuple(r.get(f) for f in schema.fieldNames()) for r in doc.get(name) or []], schema)
+                for name, schema in (("query_view", QUERY_VIEW_CONFIG), ("query_order", QUERY_ORDER_CONFIG),
+                                     ("templates", QUERY_TEMPLATE_CONFIG))]
+        else:
+            tables = [self._in(c.query_view), self._in(c.query_order), self._in(c.templates)]
+        build_view(self.session, args["view_name"], *tables, self.ctx.args)
 
     def _in(self, df: DataFrame | None) -> DataFrame | None:
         """Configuration rows as a DataFrame of the current session."""
@@ -249,17 +256,22 @@ class Runner:
             requests = replay(old, ctx.restart_run_id, ctx.run_id, ctx.status_codes).select(
                 "request_id", F.col("request_id").alias("key"), "data")
         else:
-            cmap = mapping.category_map_dict(self.config.column_attr, ctx.process, target)
-            # The record key (for deterministic request ids) is a source
-            # column named in the properties, else a hash of the record.
+            cmap = json.loads(args["column_mapping"]) if args.get("column_mapping") else \
+                mapping.category_map_dict(self.config.column_attr, ctx.process, target)
+            # The record key (for deterministic request ids) is a hash of the record,
+            # after a source column if the properties name one: different records
+            # with the same key, or none, have ids of their own. Only records that
+            # are equal in every sent column share one.
             key_col = lower.get("key_column")
-            if key_col:
-                df = self._select(args, prefix=[f"{key_col} AS _record_key"])
-            else:
-                df = self._select(args)
-                df = df.withColumn("_record_key", F.sha2(F.to_json(F.struct(*df.columns)), 256))
-            requests = build_payload(df, cmap, props, lower.get("environment", "development"),
-                                     ctx.run_id, "_record_key").withColumnRenamed("_record_key", "key")
+            df = self._select(args, prefix=[f"{key_col} AS _record_key"] if key_col else None)
+            record = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+            df = df.withColumn("_record_id", record)
+            if not key_col:
+                df = df.withColumn("_record_key", record)
+            parsed = tuple(c.strip() for c in (lower.get("json_columns") or "").split(",") if c.strip())
+            requests = build_payload(df, cmap, props, lower.get("environment", "development"), ctx.run_id,
+                                     "_record_id", json_columns=parsed, carry=("_record_key",)) \
+                .withColumnRenamed("_record_key", "key")
         requests = requests.select("request_id", "key", "data")
         attempts_path = f"{self.work_root}/attempts/{ctx.process.lower()}/{ctx.run_id}/{target}"
         bulk = int(lower["bulk_size"]) if lower.get("bulk_size") else None
@@ -268,7 +280,8 @@ class Runner:
             # K4: envelopes of `bulk_size` records, one request each
             # a configured number, kept with the process: envelopes and their ids
             # do not change when more records arrive in other buckets
-            requests = delivery.bulk_requests(requests, "key", ctx.run_id, bulk, int(lower.get("bulk_buckets", 8)))
+            requests = delivery.bulk_requests(requests.withColumn("record", F.col("request_id")), "record", ctx.run_id,
+                                              bulk, int(lower.get("bulk_buckets", 8)))
             carry = ("members",)
 
         # Exactly once per run: the send happens in these writes; every later

@@ -12,11 +12,13 @@ rewrites exactly its own version and never reads what it writes.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.operators.upsert import upsert
 from tablewright.plans.compile import compile_pipelines, config_violations
-from tablewright.plans.runner import Config
+from tablewright.plans.runner import Config, RunContext, Runner
 from tablewright.schemas import DEPLOY_ATTR, PIPELINE
 from tablewright.streaming.capture import _append, read_if_there, replace_checkpoint
 
@@ -34,6 +36,16 @@ def current_pipelines(spark: SparkSession, root: str, below: int | None = None)
     return spark.read.schema(PIPELINE).parquet(f"{root}/version={vs[-1]}")
 
 
+def run_deployed(runner: Runner, root: str, ctx: RunContext) -> dict:
+    """Entry B: run the stored pipeline of ``ctx.process`` (any case); returns
+    the final run state."""
+    rows = (current_pipelines(runner.spark, root)
+            .where(F.lower("process_name") == F.lower(F.lit(ctx.process))).select("pipeline_config").collect())
+    if len(rows) != 1:
+        raise ValueError(f"process {ctx.process}: {len(rows)} rows in the pipeline table")
+    return runner.run(json.loads(rows[0][0]), ctx)
+
+
 def replace_streams(spark: SparkSession, deploys: DataFrame, checkpoint_root: str) -> list[str]:
     """T5: a deploy row asking to replace its process's stream opens a new
     checkpoint version (the next run starts a new stream; with a time-travel
@@ -53,7 +65,8 @@ def compile_deploy_batch(spark: SparkSession, deploys: DataFrame, config: Config
     bad = (config_violations(objs, config.target_attr, config.column_attr, config.query_view)
            .groupBy("process").agg(F.array_join(F.array_sort(F.collect_set(
                F.concat_ws(": ", F.coalesce("target", F.lit("process")), "rule"))), "; ").alias("log")))
-    compiled = compile_pipelines(objs, config.target_attr, config.column_attr) \
+    compiled = compile_pipelines(objs, config.target_attr, config.column_attr, config.query_view,
+                                 config.query_order, config.templates) \
         .withColumnRenamed("process_name", "process")
     good = compiled.join(bad, "process", "left_anti")
     last = (deploys.withColumn("process", F.lower("process_name"))

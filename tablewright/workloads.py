@@ -44,7 +44,7 @@ THRESHOLD = 95
 ENVIRONMENT = "development"
 ENVELOPE_SIZE = 100
 ROWS_PER_BUCKET = 1_000_000
-MIN_BUCKETS = 8
+ENVELOPE_BUCKETS = 8
 OPEN_STATUS_ORDER = ["O", "P"]
 TARGET_PROPERTIES = {"PLAN_ID": "engagement_plan", "plan_version": "2",
                      "Event_Name": "activity", "fail_rec_table_name": "failed_events"}
@@ -306,7 +306,7 @@ def q_epoch_attr(spark, sf_dir):
 
 def q_bulk_envelopes(spark, sf_dir):
     events = _read(spark, sf_dir, "events").select("event_id")
-    buckets = MIN_BUCKETS
+    buckets = ENVELOPE_BUCKETS
     env = delivery.envelopes(events, "event_id", ENVELOPE_SIZE, buckets)
     return (env.groupBy("bucket", "envelope")
                .agg(F.count(F.lit(1)).alias("n_records"), F.min("event_id").alias("first_key"),
@@ -349,7 +349,7 @@ def q_bulk_delivery(spark, sf_dir):
     exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
     docs = build_payload(events.selectExpr("event_id", *exprs), cmap, TARGET_PROPERTIES, ENVIRONMENT,
                          RUN_ID, "event_id")
-    buckets = MIN_BUCKETS
+    buckets = ENVELOPE_BUCKETS
     bulk = delivery.bulk_requests(docs, "event_id", RUN_ID, ENVELOPE_SIZE, buckets)
     sent = delivery.deliver(bulk, bulk_rule_sender, max_retries=MAX_RETRIES, base_wait=BASE_WAIT,
                             max_wait=MAX_WAIT, carry=("members",))
@@ -665,8 +665,8 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM ev
     "epoch_attr": """
 SELECT event_id, epoch_us(ts) // 1000 AS ts_ms FROM events""",
     "bulk_envelopes": """
-WITH b AS (SELECT CAST(greatest(8, ceil(count(*) / 1000000.0)) AS BIGINT) AS nb FROM events),
-e AS (SELECT event_id, CAST(((event_id % nb) + nb) % nb AS INTEGER) AS bucket FROM events, b),
+WITH e AS (SELECT event_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 8 AS INTEGER) AS bucket
+      FROM events),
 n AS (SELECT bucket, event_id,
              CAST((row_number() OVER (PARTITION BY bucket ORDER BY event_id) - 1) // 100 AS INTEGER) AS envelope
       FROM e)
@@ -694,8 +694,8 @@ SELECT sha256('20240102000000000|' || request_id) AS request_id, request_id AS r
        CAST(status_code AS INTEGER) AS previous_status, CAST(user_id AS VARCHAR) AS customerid
 FROM ({_DELIVERED}) WHERE status_code IN (500, 999)""",
     "bulk_delivery": """
-WITH b AS (SELECT CAST(greatest(8, ceil(count(*) / 1000000.0)) AS BIGINT) AS nb FROM events),
-e AS (SELECT event_id, user_id, CAST(((event_id % nb) + nb) % nb AS INTEGER) AS bucket FROM events, b),
+WITH e AS (SELECT event_id, user_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 8 AS INTEGER) AS bucket
+      FROM events),
 n AS (SELECT *, CAST((row_number() OVER (PARTITION BY bucket ORDER BY event_id) - 1) // 100 AS INTEGER)
                 AS envelope
       FROM e)

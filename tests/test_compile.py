@@ -26,7 +26,7 @@ def _config(spark):
     col = spark.createDataFrame([
         ("proc_a", "engage", "id", None, "$id", "user_identities"),
         ("proc_a", "engage", "n", "upper(n)", "name", "user_attributes"),
-        ("proc_a", "wh", "id", None, "id", None),
+        ("proc_a", "wh", "id", None, "id", "user_identities"),
         ("proc_b", "arch", "event_id", None, "event_id", None),
         ("proc_c", "t", "a", None, "a", None),
     ], schemas.COLUMN_ATTR)
@@ -72,8 +72,12 @@ def test_compile_and_resume(spark):
     doc = json.loads(row.pipeline_config)
     assert doc["pipeline_name"] == "proc_a" and len(doc["data_flow"]) == 6
     deliver_args = row.steps[3].args
-    assert json.loads(deliver_args["select_exp"]) == ["id AS `id_user_identities`",
+    assert json.loads(deliver_args["select_exp"]) == ["cast(1 as integer) AS dummy_num_column",   # P4
+                                                      "id AS `id_user_identities`",
                                                       "upper(n) AS `name_user_attributes`"]
+    assert json.loads(deliver_args["column_mapping"]) == {"user_identities": {"id_user_identities": "$id"},
+                                                          "user_attributes": {"name_user_attributes": "name"}}
+    assert json.loads(row.steps[4].args["select_exp"]) == ["id AS `id`"]   # by kind, not by category
     props = json.loads(deliver_args["properties"])
     assert props["Fail_Rec_Table_Name"] == "db.sch.fails"          # qualified (N5)
     rest = [r.step_id for r in remaining_steps(pipes, 400).collect()]

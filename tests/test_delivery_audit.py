@@ -75,6 +75,12 @@ def test_envelopes_partition_input_exactly(spark):
     assert env.select("k").distinct().count() == 2345
 
 
+def test_envelope_buckets_spread_stepping_keys(spark):
+    env = delivery.envelopes(spark.range(0, 8000, 8).withColumnRenamed("id", "k"), "k", size=100, buckets=8)
+    sizes = [r["count"] for r in env.groupBy("bucket").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 250
+
+
 def test_canary_split(spark):
     df = spark.createDataFrame([(5,), (3,), (9,)], "k int")
     canary, rest = delivery.canary_split(df, "k")

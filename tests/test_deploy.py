@@ -53,3 +53,43 @@ def test_replace_existing_stream_opens_new_checkpoint(spark, tmp):
     assert replace_streams(spark, rows, root) == ["proc_r"]
     assert checkpoint_location(spark, "proc_r", root=root).endswith("/v2")
     assert checkpoint_location(spark, "proc_k", root=root).endswith("/v1")   # kept its position
+
+
+def test_deployed_pipeline_runs_by_name_as_of_deploy_time(spark, tmp):
+    from tablewright.plans.runner import RunContext, Runner
+    from tablewright.streaming.deploy import run_deployed
+    path = tmp + "/t"
+    # one key holds most rows, some have none, two rows are equal
+    spark.range(0, 60).selectExpr("id", "if(id < 50, 1, null) as k", "'{\"a\": 1}' as js") \
+        .unionByName(spark.sql("select 59L as id, cast(null as int) as k, '{\"a\": 1}' as js")).write.parquet(path)
+    obj = spark.createDataFrame([("Proc_V", "d", "db", "sch", "v", "view", None, None,
+                                  {"engage": "endpoint"}, False, None, None)], schemas.OBJECT_ATTR)
+    tgt = spark.createDataFrame([("proc_v", "engage", {"plan_id": "p", "event_name": "e", "fail_rec_table_name": "f",
+                                                       "key_column": "k", "json_columns": "js_user_attributes"})],
+                                schemas.TARGET_ATTR)
+    col = spark.createDataFrame([("proc_v", "engage", "id", None, "id", "user_identities"),
+                                 ("proc_v", "engage", "k", None, "k", "user_attributes"),
+                                 ("proc_v", "engage", "js", None, "js", "user_attributes")], schemas.COLUMN_ATTR)
+    view = spark.createDataFrame([("V", "select * from s where id >= {{low}}", None, {"low": "0"})],
+                                 schemas.QUERY_VIEW_CONFIG)
+    order = spark.createDataFrame([("v", 1, None, "all_rows", "s", None)], schemas.QUERY_ORDER_CONFIG)
+    tpl = spark.createDataFrame([("all_rows", "select id, k, js from t")], schemas.QUERY_TEMPLATE_CONFIG)
+    _deploy(spark, tmp + "/deploy/d1", [(1, "PROC_V", "first")])
+    run_deploy_stream(spark, tmp + "/deploy/*", Config(obj, tgt, col, view, order, tpl), tmp + "/pipeline",
+                      tmp + "/status", tmp + "/ck")
+    seen = tmp + "/work/attempts/proc_v/9/engage"
+
+    def accept(requests, attempt):
+        return requests.assign(status=[500 if '"id":59' in d else 202 for d in requests["data"]], reason="r",
+                               retry_after=0)[["status", "reason", "retry_after"]]
+    # after the deployment the tables lose their rows: nothing of them is read again
+    none = lambda df: df.where("false")
+    r = Runner(spark, Config(obj, none(tgt), none(col), none(view), none(order), none(tpl)), {"t": path}, sender=accept,
+               max_retries=0, history=tmp + "/hist", dead_letter_root=tmp + "/dead", work_root=tmp + "/work")
+    state = run_deployed(r, tmp + "/pipeline", RunContext("pRoC_v", run_id=9))
+    assert state["successful_record_count"] + state["failed_record_count"] == 61
+    assert state["failed_record_count"] == 2 == spark.read.parquet(tmp + "/dead/f").count()
+    sent = spark.read.parquet(seen)
+    assert sent.count() == 61 and sent.select("request_id").distinct().count() == 60   # the equal rows share one
+    dead = json.loads(spark.read.parquet(tmp + "/dead/f").first().data)
+    assert dead["user_attributes"]["js"] == {"a": 1} and dead["user_attributes"]["k"] is None
