@@ -12,9 +12,14 @@ always share a signature. Sets sign for their own band and the next one.
 Two empty pieces would gather unrelated sets in one signature. In their place the
 set signs its part's elements E (all in the third piece) and every E without one
 element: sets that differ by at most one element there share one of these. Only
-the empty E could be shared by many; a set with at most one element in some part
-leaves it out and signs once more with another hash seed, until every part has
-two. Whoever shares an empty E has such a part too, so no pair is lost.
+the empty E could be shared by many, so it is left out. A pair loses a part by
+that only if the part holds at most one element in both sets. Large bands
+therefore have some spare parts: a set with at most ``spare`` such poor parts
+still has n1 parts, enough for every pair that it is in. A set with more of them
+signs once more with another hash seed until it has few enough; ``spare`` is two
+standard deviations above the expected number, so about one set in fifty does, at
+any size (for similarities from 0.8; far lower ones have too small parts).
+Both sets of a pair sign with the seed at which the first of them stops.
 
 Equal sets are one class, known by a 64-bit hash, and sign about once per task.
 Per shared signature only a star of its classes is kept. Pairs are verified with
@@ -35,6 +40,7 @@ columns of the input never matter.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -86,19 +92,36 @@ def bands(percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(low[:-1]), np.array(high)
 
 
+@lru_cache(None)
+def parts(percent: int, band: int) -> tuple[int, int, int]:
+    """Most differences k of a band, its number of parts and the spare ones of these."""
+    low, high = bands(percent)
+    k = 2 * int(high[band]) * (100 - percent) // (100 + percent)
+    need, least = (k + 2) // 2, int(low[max(0, band - 1)])  # the band before signs too
+
+    def expected(n: int) -> float:
+        return n * (1 + least / n) * math.exp(-least / n)
+
+    spare = 0
+    if expected(need) > 0.05:
+        while spare <= need // 4 and spare < (e := expected(need + spare)) + 2 * math.sqrt(e):
+            spare = max(spare + 1, min(math.ceil(e + 2 * math.sqrt(e)), need // 4 + 1))
+        if spare > need // 4:  # few parts: another seed is soon found
+            spare = 0
+    return k, need + spare, spare
+
+
 def signatures(s: np.ndarray, percent: int = 85) -> np.ndarray:
     """Distinct signatures of a sorted hash set."""
     if not len(s):
         return np.empty(0, np.int64)
-    low, high = bands(percent)
-    own = int(np.searchsorted(high, len(s)))
+    own = int(np.searchsorted(bands(percent)[1], len(s)))
     out = []
     for band in (own, own + 1):
-        k = 2 * int(high[band]) * (100 - percent) // (100 + percent)
+        k, n1, spare = parts(percent, band)
         if k == 0:
             out.append(mix(np.array([np.bitwise_xor.reduce(mix(s + _GOLD)) + np.uint64(band)], np.uint64)))
             continue
-        n1 = (k + 2) // 2
         seed = 0
         while True:
             h = mix(s + np.uint64((2 * seed + 1) * int(_GOLD) & _MASK))
@@ -120,7 +143,7 @@ def signatures(s: np.ndarray, percent: int = 85) -> np.ndarray:
                     less = whole[j] - value[order[at:at + held[j]]]
                     family = np.concatenate([whole[j:j + 1], less[: held[j] if held[j] > 1 else 0]])
                     out.append(mix(mix(family * _GOLD + tag[j]) + np.uint64(1)))
-            if held.min() > 1:
+            if np.count_nonzero(held < 2) <= spare:
                 break
             seed += 1
     return np.unique(np.concatenate(out)).view(np.int64)

@@ -230,6 +230,25 @@ def test_similar_sets_always_share_a_signature():
             assert len(np.intersect1d(partenum_join.signatures(s), partenum_join.signatures(t)))
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_signatures_of_large_sets_are_bounded(percent):
+    rng = np.random.default_rng(6)
+    for n in (20_000, 500_000):
+        s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        t = np.unique(np.append(s[n // 12:], rng.integers(0, 2**63, n // 12).astype(np.uint64)))
+        a, b = partenum_join.signatures(s, percent), partenum_join.signatures(t, percent)
+        assert max(len(a), len(b)) < 2 * n and len(np.intersect1d(a, b))
+
+
+def test_every_band_needs_few_seeds():
+    for percent in (80, 85, 90):
+        low = partenum_join.bands(percent)[0]
+        for band in range(len(low)):
+            k, n, spare = partenum_join.parts(percent, band)
+            poor = n * (1 + low[max(0, band - 1)] / n) * np.exp(-low[max(0, band - 1)] / n)
+            assert n - spare == (k + 2) // 2 and (k == 0 or poor < 1.5 or poor + 1.9 * poor ** 0.5 <= spare)
+
+
 def test_decontamination(spark, docs, none):
     items = [(1, " ".join(f"q{i}" for i in range(20))), (2, " ".join(f"long{i * 31 % 211}" for i in range(150))), (3, "tiny item"), (4, None), (5, "")]
     bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, word int")
