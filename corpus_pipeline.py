@@ -20,8 +20,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the smallest doc_id."""
-    return partenum_join.keep_one(docs)
+    """One document of each group of similar ones (Jaccard of five-word shingles
+    of at least 0.8): the smallest doc_id."""
+    return partenum_join.keep_one(docs, percent=80, n=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """N-gram Jaccard join (operator 6): PartEnum signatures, exact.
 
-A document's set is its distinct 4-word shingles, as 64-bit hashes. Sizes fall
+A document's set is its distinct n-word shingles, as 64-bit hashes. Sizes fall
 into bands [l, r] with r = floor(l / gamma); two sets that reach the similarity
 lie in one band or in two neighbouring ones, and differ in at most
 k = floor(2 r (1 - gamma) / (1 + gamma)) elements. For a band, the hash domain
@@ -154,11 +154,11 @@ def _hashed(docs: DataFrame) -> DataFrame:
                        F.transform(words(lower_ascii(F.col("text"))), lambda w: F.xxhash64(w)).alias("w"))
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, text_key, n_shingles, node (class id; null for empty sets)."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            sets = [shingle_set(np.asarray(w)) for w in pdf["w"]]
+            sets = [shingle_set(np.asarray(w), n) for w in pdf["w"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
                                 "n_shingles": [len(s) for s in sets],
                                 "node": pd.array([class_id(s) if len(s) else None for s in sets], "Int64")})
@@ -166,7 +166,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     return _hashed(docs).mapInPandas(run, "doc_id long, text_key long, n_shingles long, node long")
 
 
-def _signed(docs: DataFrame, percent: int) -> DataFrame:
+def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
     """sig, node: every class at least once (a task repeats none it has in mind)."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -174,7 +174,7 @@ def _signed(docs: DataFrame, percent: int) -> DataFrame:
             for at in range(0, len(pdf), 500):
                 nodes, sigs = [], []
                 for w in pdf["w"].iloc[at:at + 500]:
-                    s = shingle_set(np.asarray(w))
+                    s = shingle_set(np.asarray(w), n)
                     if len(s) and (c := class_id(s)) not in seen:
                         if len(seen) >= _SEEN_LIMIT:
                             seen.clear()
@@ -199,14 +199,14 @@ def _buckets(signed: DataFrame) -> DataFrame:
 class Verifier:
     """Exact similarity of class pairs; sets come from one row of each class."""
 
-    def __init__(self, docs: DataFrame, sets: DataFrame, involved: DataFrame, percent: int):
+    def __init__(self, docs: DataFrame, sets: DataFrame, involved: DataFrame, percent: int, n: int):
         rep = (sets.join(involved, "node", "left_semi").groupBy("node")
                .agg(F.min(F.struct("doc_id", "n_shingles")).alias("r"))
                .select("node", "r.doc_id", "r.n_shingles"))
 
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in parts:
-                made = [shingle_set(np.asarray(w)) for w in pdf["w"]]
+                made = [shingle_set(np.asarray(w), n) for w in pdf["w"]]
                 yield pd.DataFrame({"node": [class_id(s) if len(s) else 0 for s in made],
                                     "n": [len(s) for s in made], "s": [s.view(np.int64) for s in made]})
 
@@ -279,15 +279,15 @@ def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
                  .select("node", F.coalesce("to", "comp").alias("comp")), "comp")
 
 
-def jaccard_components(docs: DataFrame, percent: int = 85) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, n_links (verified
     links of its class that were needed; 0: alone), text_key (hash of the text)
     and group (the component; null for empty sets)."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    sets = stage(_sets(docs), "shingle-sets")
-    stars = stage(_buckets(_signed(docs, percent)), "buckets")
+    sets = stage(_sets(docs, n), "shingle-sets")
+    stars = stage(_buckets(_signed(docs, percent, n)), "buckets")
     involved = stage(stars.select("node").unionByName(stars.select(F.col("centre").alias("node"))).distinct(), "involved")
-    check = Verifier(docs, sets, involved, percent)
+    check = Verifier(docs, sets, involved, percent, n)
 
     most = Window.partitionBy("node").orderBy(F.desc("n"), "centre")
     first = (stars.groupBy("node", "centre").agg(F.count(F.lit(1)).alias("n"))
@@ -330,10 +330,10 @@ def jaccard_components(docs: DataFrame, percent: int = 85) -> DataFrame:
                     F.col("comp").alias("group")))
 
 
-def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """``docs`` with one row of every component: the one with the smallest
     (doc_id, text hash). Rows with an empty set all stay."""
-    found = stage(jaccard_components(docs, percent), "components")
+    found = stage(jaccard_components(docs, percent, n), "components")
     one = (found.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
            .select("k.*", F.lit(True).alias("_one")))
     blank = found.where("group is null").select("doc_id", "text_key", F.lit(False).alias("_one")).distinct()

@@ -26,3 +26,24 @@ def test_pipeline_stages(spark):
         assert docs.columns == columns and 0 < docs.count() <= before, name
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_near_duplicates_take_five_words_and_080(spark):
+    a = [f"w{i}" for i in range(104)]  # 100 five-word shingles
+    edit = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(a))
+    # one edit: 95 of 105 (0.90); two: 90 of 110 (0.82; of four words 93 of 109); three: 85 of 115 (0.74)
+    tail = " ".join(a + [f"y{i}" for i in range(22)])  # 100 of 122 (0.82, under 0.85 also of four words)
+    rows = [(1, " ".join(a)), (2, edit(50)), (3, edit(30, 70)), (4, tail), (5, " ".join(["z"] + a[::-1])), (6, edit(20, 50, 80))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()} == _kept(rows)
+
+
+def _kept(rows):
+    sets = {d: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    low = {d: d for d in sets}
+    for _ in sets:
+        for d in sets:
+            for e in sets:
+                if 10 * len(sets[d] & sets[e]) >= 8 * len(sets[d] | sets[e]):
+                    low[d] = low[e] = min(low[d], low[e])
+    return set(low.values())
