@@ -7,9 +7,10 @@ are in blocks with their highest impact. Training documents are read as passages
 of ``2 * PIECE`` words every ``PIECE`` words, so each run of PIECE words lies
 inside one passage; every passage of every document is a query. WAND skips by
 terms' highest impacts, then by block maxima, then scores what remains: every
-piece above the threshold is found. A hit is verified around its passage: of the
-item's question (the first two thirds of its words) and of its answer (the rest)
-at least ``overlap`` of the five-word shingles must occur there.
+piece above the threshold is found. A hit is verified around its passage: at
+least ``overlap`` of the item's five-word shingles must occur there, and of its
+question (the first two thirds of its words) and of its answer (the rest) at least
+``overlap`` or all but five, which is what one changed word takes.
 
 The index is built by DataFrame aggregations. It travels to the tasks in parts
 of at most ``PART_POSTINGS`` postings each (about 64 MB); a larger benchmark is
@@ -206,13 +207,15 @@ def _shingles(ws: list[str]) -> set[tuple]:
     return {tuple(ws[i:i + 5]) for i in range(len(ws) - 4)} if len(ws) >= 5 else ({tuple(ws)} if ws else set())
 
 
-def _share(part: list[str], region: list[str]) -> float:
+def _share(part: list[str], region: list[str]) -> tuple[float, int]:
+    """Share of the shingles of ``part`` that occur in ``region``, number missing."""
     own = _shingles(part)
     if not own:
-        return 1.0
+        return 1.0, 0
     n = min(5, len(part))
     there = {tuple(region[i:i + n]) for i in range(len(region) - n + 1)}
-    return len(own & there) / len(own)
+    kept = len(own & there)
+    return kept / len(own), len(own) - kept
 
 
 def scan_text(text: str | None, index: Index, theta: float, overlap: float) -> list[tuple]:
@@ -227,8 +230,10 @@ def scan_text(text: str | None, index: Index, theta: float, overlap: float) -> l
         item_id, iw = index.items[item]
         lo, hi = max(0, a - len(iw)), min(len(ws), a + 2 * PIECE + len(iw))
         region, cut = ws[lo:hi], len(iw) * 2 // 3
-        q, ans = _share(iw[:cut], region), _share(iw[cut:], region)
-        if q >= overlap and ans >= overlap and (item not in best or (s, -a) > (best[item][1], -best[item][4])):
+        if _share(iw, region)[0] < overlap:
+            continue
+        (q, q_lost), (ans, ans_lost) = _share(iw[:cut], region), _share(iw[cut:], region)
+        if (q >= overlap or q_lost <= 5) and (ans >= overlap or ans_lost <= 5) and (item not in best or (s, -a) > (best[item][1], -best[item][4])):
             best[item] = (item_id, s, q, ans, a, len(iw))
     return [best[k] for k in sorted(best)]
 

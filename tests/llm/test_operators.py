@@ -263,6 +263,20 @@ def test_decontamination(spark, docs, none):
     assert bm25_wand.contamination(none, bench).count() == 0
 
 
+def test_a_lightly_edited_item_is_found(spark):
+    items = [[f"i{n}w{i}" for i in range(n)] for n in (16, 24, 31, 45, 59)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    index = bm25_wand.indexes(spark, bench)[0].value
+    pad = [f"p{i}" for i in range(70)]
+    for k, w in enumerate(items):
+        for at in range(len(w)):
+            lost = min(at, len(w) - 5) - max(0, at - 4) + 1  # shingles with the word
+            hits = bm25_wand.scan_text(" ".join([*pad, *w[:at], "other", *w[at + 1:], *pad]), index, 0.6, 0.8)
+            assert [h[0] for h in hits] == ([k] if lost <= 0.2 * (len(w) - 4) + 1e-9 else []), (len(w), at)
+        # a question without its answer is no leak
+        assert not bm25_wand.scan_text(" ".join(pad + w[:len(w) * 2 // 3] + pad), index, 0.6, 0.8)
+
+
 def test_wand_finds_what_exhaustive_scoring_finds(spark):
     rng = np.random.default_rng(5)
     bench = spark.createDataFrame([(i, " ".join(f"t{x}" for x in rng.zipf(1.4, 40) % 80)) for i in range(60)], "item_id long, text string")
