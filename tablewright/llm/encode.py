@@ -4,7 +4,8 @@ Both vocabularies split a text into pieces before merging (at the latest at
 white space), so the ids of a text are the ids of its space-separated pieces
 put together. Each worker encodes a distinct piece once and remembers it (a
 bounded memo); rare layouts, such as runs of blanks, stay inside one piece and
-are encoded as they stand.
+are encoded as they stand. Texts that hold the literal of an added token (such as
+``<|endoftext|>``), which the library takes out before it splits, are encoded whole.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(public_tokenizers.path(name))
-        self._tok.encode_special_tokens = True
+        added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.spaced = spaced
         self.dtype = np.dtype("<u2" if self._tok.get_vocab_size() <= 1 << 16 else "<u4")
         self._memo: dict[str, bytes] = {}
@@ -55,14 +57,19 @@ class Encoder:
         memo = self._memo
         if len(memo) > _MEMO_LIMIT:
             memo.clear()
-        cut = [self.pieces(t or "") for t in texts]
+        texts = [t or "" for t in texts]
+        whole = {i for i, t in enumerate(texts) if self._added.search(t)}
+        cut = [[] if i in whole else self.pieces(t) for i, t in enumerate(texts)]
         new = list(set().union(*cut).difference(memo))
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
             for k, e in zip(part, self._tok.encode_batch_fast([self._piece(k) for k in part], add_special_tokens=False)):
                 memo[k] = np.array(e.ids, self.dtype).tobytes()
         get = memo.__getitem__
-        return [b"".join(map(get, ps)) for ps in cut]
+        return [self._whole(texts[i]) if i in whole else b"".join(map(get, ps)) for i, ps in enumerate(cut)]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def batches(self, texts, chars: int = 4_000_000):
         """``encode`` over slices of at most about ``chars`` characters."""

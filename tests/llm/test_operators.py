@@ -5,8 +5,10 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tablewright.llm import (bm25_wand, curve_packing, factor_machine, histogram_shards, katz, licence_scan,
                              partenum_join, quality_rules, secret_scan, token_index)
@@ -47,6 +49,16 @@ def test_piecewise_encoding_is_the_library_encoding(name, spaced):
         assert np.frombuffer(got, e.dtype).tolist() == e._tok.encode(t, add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_added_tokens_are_encoded_as_a_fresh_library_does(name, spaced):
+    fresh = Tokenizer.from_file(public_tokenizers.path(name))
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y  z", "<|startoftext|> q<|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "plain text", "", "<|endoftext|>"]
+    e = Encoder(name, spaced)
+    for _ in range(2):  # also with a filled memo
+        got = [np.frombuffer(b, e.dtype).tolist() for b in e.encode(texts)]
+        assert got == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_index_round_trip(docs, none, tmp_path):
     rows = token_index.round_trip(docs, str(tmp_path / "t")).collect()
     e = Encoder("byte_bpe_50k.json", True)
