@@ -30,6 +30,12 @@ of its classes that the triangle inequality of the Jaccard distance leaves open.
 Components come from large-star/small-star rounds, each written to the shared
 folder.
 
+Links are counted afterwards: all links lie inside components, so the classes of
+a component are dealt over blocks by a hash, every pair of blocks is one group,
+and a group counts its exact links by products of 0/1 matrices. A class counts
+with its number of rows, so n_links is the number of other rows, exact copies
+among them, that reach the similarity.
+
 Defined cases: null, empty and blank texts have an empty set and are their own
 component; rows that repeat a doc_id are separate rows with that id; null
 doc_ids take part in links, but never name a component unless all of it is
@@ -54,6 +60,7 @@ from tablewright.llm.common import lower_ascii, stage, words
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 _SEEN_LIMIT = 500_000
+BLOCK_SETS, BLOCK_SHINGLES, _COLUMNS = 1024, 1 << 19, 4096
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -279,10 +286,62 @@ def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
                  .select("node", F.coalesce("to", "comp").alias("comp")), "comp")
 
 
-def jaccard_components(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, n_links (verified
-    links of its class that were needed; 0: alone), text_key (hash of the text)
-    and group (the component; null for empty sets)."""
+def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of the sets of a with those of b."""
+    out = np.zeros((len(a), len(b)), np.int64)
+    column, at = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(s) for s in (*a, *b)])
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    ends = np.searchsorted(at, np.arange(0, len(column) + _COLUMNS, _COLUMNS))
+    for k in range(len(ends) - 1):
+        held = np.zeros((len(a) + len(b), _COLUMNS), np.float32)
+        held[row[ends[k]:ends[k + 1]], at[ends[k]:ends[k + 1]] - k * _COLUMNS] = 1
+        out += (held[:len(a)] @ held[len(a):].T).astype(np.int64)
+    return out
+
+
+def link_counts(classes: DataFrame, percent: int) -> DataFrame:
+    """node, n_links: rows of other classes that reach the similarity. ``classes``:
+    node, comp, n, s (the set) and rows (its number of rows)."""
+    cut = classes.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("e"))
+    cut = cut.withColumn("blocks", F.ceil(F.greatest(F.col("m") / BLOCK_SETS, F.col("e") / BLOCK_SHINGLES, F.lit(1)))
+                         .cast("long"))
+    # components of one block share a group with others
+    total = cut.where("blocks = 1").agg(F.sum("m").alias("m"), F.sum("e").alias("e")).first()
+    groups = max(1, -(-(total["m"] or 0) // BLOCK_SETS), -(-(total["e"] or 0) // BLOCK_SHINGLES))
+    dealt = (classes.join(cut.select("comp", "blocks"), "comp")
+             .withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .withColumn("low", F.least("i", "other")).withColumn("high", F.greatest("i", "other"))
+             .withColumn("g", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(groups)))
+                         .otherwise(F.col("comp")))
+             .select("g", "blocks", "low", "high", "i", "comp", "node", "rows", "s"))
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, c in pdf.groupby("comp", sort=False):
+            low, high = c[c["i"] == c["low"]], c[c["i"] == c["high"]]
+            if not len(low) or not len(high):
+                continue
+            sets = [[np.asarray(s) for s in side["s"]] for side in (low, high)]
+            both = shared(*sets)
+            union = np.array([len(s) for s in sets[0]])[:, None] + np.array([len(s) for s in sets[1]]) - both
+            linked = both * 100 >= union * percent
+            same = c["low"].iat[0] == c["high"].iat[0]
+            if same:
+                np.fill_diagonal(linked, False)
+            out.append(pd.DataFrame({"node": low["node"], "n": linked @ high["rows"].to_numpy()}))
+            if not same:
+                out.append(pd.DataFrame({"node": high["node"], "n": linked.T @ low["rows"].to_numpy()}))
+        return pd.concat(out) if out else pd.DataFrame({"node": [], "n": []}).astype("int64")
+
+    return (dealt.groupBy("g", "blocks", "low", "high").applyInPandas(count, "node long, n long")
+            .groupBy("node").agg(F.sum("n").alias("n_links")))
+
+
+def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFrame, Verifier]:
+    """``sets``, the component of every class with a link, and the sets of classes."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sets = stage(_sets(docs, n), "shingle-sets")
     stars = stage(_buckets(_signed(docs, percent, n)), "buckets")
@@ -315,25 +374,38 @@ def jaccard_components(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFr
            .select("sig", "a", "x", F.coalesce("d", F.lit(0.0)).alias("d")))
     new = check.links(far.join(own, (far["sig"] == own["sig"]) & (far["x"] == own["x"]) &
                                (far["dx"] - own["d"] <= limit)).select("a", "b"))
-    links, comp = links.unionByName(new), merged(comp, new)
+    return sets, merged(comp, new), check
+
 
+def _named(sets: DataFrame, comp: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, text_key, group, node of every row."""
     names = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("d"))
     labelled = names.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = labelled.groupBy("comp").agg(F.min("d").alias("component_id"))
-    degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
-        .groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    final = labelled.join(ids, "comp").join(degree, "node", "left").select(
-        "node", "comp", "component_id", "n_links")
+    final = labelled.join(ids, "comp").select("node", "comp", "component_id")
     return (sets.join(final, "node", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_key",
-                    F.col("comp").alias("group")))
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key",
+                    F.col("comp").alias("group"), "node"))
+
+
+def jaccard_components(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, n_links (number of
+    other rows that reach the similarity, exact copies included; 0: alone),
+    text_key (hash of the text) and group (the component; null for empty sets)."""
+    sets, comp, check = _grouped(docs, percent, n)
+    copies = sets.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("rows"))
+    links = link_counts(check.sets.join(comp, "node").join(copies, "node"), percent)
+    degree = copies.join(links, "node", "left").select(
+        "node", (F.col("rows") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"))
+    return (_named(sets, comp).join(degree, "node", "left")
+            .select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                    "text_key", "group"))
 
 
 def keep_one(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """``docs`` with one row of every component: the one with the smallest
     (doc_id, text hash). Rows with an empty set all stay."""
-    found = stage(jaccard_components(docs, percent, n), "components")
+    found = stage(_named(*_grouped(docs, percent, n)[:2]), "components")
     one = (found.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
            .select("k.*", F.lit(True).alias("_one")))
     blank = found.where("group is null").select("doc_id", "text_key", F.lit(False).alias("_one")).distinct()
