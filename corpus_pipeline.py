@@ -48,7 +48,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-# Trained models and token ids: not for SQL. tests/llm checks it by brute force.
+# Trained models and token ids: not for SQL. tests/llm checks columns and row
+# counts of the stages, and near_duplicates by brute force.
 ORACLE_SQL = None
 
 
