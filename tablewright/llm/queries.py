@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, katz, licence_scan, oracles, partenum_join, quality_rules, secret_scan, token_index
+from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, katz, lemp_negatives, licence_scan, oracles, partenum_join, quality_rules, secret_scan, token_index
 from tablewright.llm.common import table
 
 
@@ -84,3 +84,11 @@ def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_katz_scores"] = op10_katz_scores
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lemp_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op13_hard_negatives"] = op13_hard_negatives
+ORACLE_SQL["op13_hard_negatives"] = oracles.OP13
