@@ -89,3 +89,35 @@ n AS (SELECT p.anchor_id, positive_id, s.other_id AS negative_id, positive_score
        AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
+
+OP11 = """
+WITH RECURSIVE tab(i, v, k) AS (SELECT i, i::BIGINT, 0 FROM range(256) t(i)
+             UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM tab WHERE k < 8),
+tabs AS (SELECT list(v ORDER BY i) AS vs FROM tab WHERE k = 8),
+t AS (SELECT conv_id, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS turn_key,
+             length(coalesce(text, ''))::BIGINT AS size,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, n, conv_id - conv_id % 100 AS base,
+             xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                 lambda a, b: xor(a >> 8, vs[(xor(a, b) & 255) + 1]))) % 6 AS h
+      FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id), tabs),
+r AS (SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) AS taken, c.h, c.base, least(c.h, coalesce(b.n, 0)) + greatest(c.n - c.h, 0) AS length
+      FROM c LEFT JOIN c b ON b.conv_id = c.base),
+turns AS (SELECT r.conv_id, t.i - r.h + r.taken AS place, r.length, turn_key, size FROM r JOIN t ON t.conv_id = r.conv_id AND t.i > r.h
+          UNION ALL SELECT r.conv_id, t.i, r.length, turn_key, size FROM r JOIN t ON t.conv_id = r.base AND t.i <= r.taken),
+walked AS (SELECT conv_id, place, length, size,
+                  md5(array_to_string(list(turn_key) OVER (PARTITION BY conv_id ORDER BY place), ',')) AS node FROM turns
+           UNION ALL SELECT conv_id, 0, length, 0, 'root' FROM r),
+linked AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY place) AS parent FROM walked),
+nodes AS (SELECT node, min(conv_id) AS conv_id, min(place) AS depth, any_value(parent) AS parent, count(*) AS n_convs,
+                 (count(*) - 1) * min(size) AS weight,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (place = length), '')) AS ends_sha256
+          FROM linked GROUP BY node),
+kids AS (SELECT parent, count(*) AS n FROM nodes GROUP BY parent),
+under AS (SELECT w.node, sum(n.weight) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+          FROM nodes n LEFT JOIN kids k ON k.parent = n.node
+          JOIN walked w ON w.conv_id = n.conv_id AND w.place <= n.depth GROUP BY w.node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       u.leaves AS n_leaves, u.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN under u USING (node) LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN kids k ON k.parent = n.node
+"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, katz, lemp_negatives, licence_scan, oracles, partenum_join, quality_rules, secret_scan, token_index
+from tablewright.llm import bm25_wand, curve_packing, factor_machine, histogram_shards, katz, lemp_negatives, licence_scan, oracles, partenum_join, pii_disclosure, prefix_trie, quality_rules, secret_scan, token_index
 from tablewright.llm.common import table
 
 
@@ -92,3 +92,18 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op13_hard_negatives"] = op13_hard_negatives
 ORACLE_SQL["op13_hard_negatives"] = oracles.OP13
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_disclosure.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op12_pii"] = op12_pii
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES["op11_prefix_trie"] = op11_prefix_trie
+ORACLE_SQL["op11_prefix_trie"] = oracles.OP11
