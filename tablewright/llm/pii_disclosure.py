@@ -23,8 +23,8 @@ is removed.
 Plan: one pass over the texts finds base spans and emits, per text with an
 entity, its distinct (entity, term, surroundings) rows; it is written once. Counts
 are aggregates with map-side combining. n(t) comes from a second pass over all
-words: only words that some entity has twice are counted, by a broadcast of these
-words if there are at most ``FEW``, else all words are counted and joined.
+words: only terms that some entity has twice are counted, if these are at most
+``FEW`` and can be sent to all tasks, else all terms are counted and joined.
 
 Defined cases: null and empty texts have no spans; rows that repeat a doc_id or
 a text are rows of their own; a null doc_id stays; an empty table gives an empty
@@ -37,13 +37,14 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import lower_ascii, stage, words
+from tablewright.llm.common import stage
 
 # The base patterns.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")  # after the @ of an address
@@ -53,7 +54,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone", "term")
 
-WINDOW, ALPHA, SUPPORT, FEW = 8, 1.25, 2, 200_000
+WINDOW, ALPHA, SUPPORT, FEW, CACHED = 8, 1.25, 2, 200_000, 500_000
 PUNCTUATION = ".,;:!?()[]{}<>\"'`*_|/\\«»“”„‘’…–—"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -196,37 +197,61 @@ _NEAR = ["tk", "entity", "win", "term", "is_general"]
 
 
 def _frame(rows: list = (), near: list = ()) -> pd.DataFrame:
+    """Both kinds of rows as one frame of plain objects."""
     cols = ["doc_id", *[c.split()[0] for c in _FOUND.split(", ")]]
-    a = pd.DataFrame(list(rows), columns=_DOC, dtype=object).assign(part="doc")
-    b = pd.DataFrame(list(near), columns=_NEAR, dtype=object).assign(part="near")
-    return pd.concat([x for x in (a, b) if len(x)] or [a]).reindex(columns=cols)
+    out: dict[str, list] = {"part": ["doc"] * len(rows) + ["near"] * len(near)}
+    for names, given, before, after in ((_DOC, rows, 0, len(near)), (_NEAR, near, len(rows), 0)):
+        for i, name in enumerate(names):
+            own = [None] * before + [r[i] for r in given] + [None] * after
+            out[name] = own if name not in out else [x if x is not None else y for x, y in zip(out[name], own)]
+    return pd.DataFrame({c: pd.Series(out[c], dtype=object) for c in cols})
 
 
-def _terms_of(text: Column) -> Column:
-    return F.transform(words(lower_ascii(text)), lambda w: F.btrim(w, F.lit(PUNCTUATION)))
+def term_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """term, is_general, n_term: the rows of ``docs`` that hold each wanted
+    (term, is_general), whole texts, every row. Tasks count in a table that they
+    empty when it is large, of the wanted terms only if these are at most ``FEW``."""
+    few = None
+    if wanted.count() <= FEW:
+        got = wanted.collect()
+        few = docs.sparkSession.sparkContext.broadcast(tuple(
+            frozenset(r["term"] for r in got if r["is_general"] == g) for g in (False, True)))
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: tuple[Counter, Counter] = Counter(), Counter()
+        known: dict[bytes, tuple[str | None, str | None]] = {}
+
+        def both(word: bytes) -> tuple[str | None, str | None]:
+            core = word.decode().strip(PUNCTUATION)
+            pair = (core, general(core)) if core else (None, None)
+            if few is not None:
+                pair = tuple(x if x in own else None for x, own in zip(pair, few.value))
+            if len(known) >= CACHED:
+                known.clear()
+            known[word] = pair
+            return pair
+
+        def out() -> pd.DataFrame:
+            rows = [(t, g, n) for g, c in zip((False, True), counts) for t, n in c.items()]
+            return pd.DataFrame({k: pd.Series([r[i] for r in rows], dtype=object) for i, k in enumerate(("term", "is_general", "n"))})
 
-def _general(term: Column) -> Column:
-    return F.concat(F.substring(F.translate(term, "0123456789", "##########"), 1, 3), F.lit("*"))
+        for pdf in frames:
+            for text in pdf["text"]:
+                pairs = [known.get(w) or both(w) for w in set(text.encode().lower().split())]
+                counts[0].update({c for c, _ in pairs if c})
+                counts[1].update({g for _, g in pairs if g})
+                if len(counts[0]) + len(counts[1]) >= CACHED:
+                    yield out()
+                    counts[0].clear()
+                    counts[1].clear()
+        yield out()
 
+    return docs.where(F.col("text").isNotNull()).select("text").mapInPandas(run, "term string, is_general boolean, n long") \
+        .groupBy("term", "is_general").agg(F.sum("n").alias("n_term")).join(wanted, ["term", "is_general"], "left_semi")
 
-def term_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """term, is_general, n_term: the rows of ``docs`` that hold each wanted
-    (term, is_general), whole texts, every row."""
-    few = wanted.count() <= FEW
-    each = docs.where(F.col("text").isNotNull()).select(F.explode(F.array_distinct(_terms_of(F.col("text")))).alias("t"))
-    forms = docs.where(F.col("text").isNotNull()).select(
-        F.explode(F.array_distinct(F.transform(_terms_of(F.col("text")), _general))).alias("t"))
-    out = []
-    for g, src in ((False, each), (True, forms)):
-        own = wanted.where(F.col("is_general") == g).select(F.col("term").alias("t"))
-        if few:
-            src = src.join(F.broadcast(own), "t", "left_semi")
-        counted = src.groupBy("t").agg(F.count(F.lit(1)).alias("n_term"))
-        if not few:
-            counted = counted.join(own, "t", "left_semi")
-        out.append(counted.select(F.col("t").alias("term"), F.lit(g).alias("is_general"), "n_term"))
-    return out[0].unionByName(out[1])
+
+def _general(term: Column) -> Column:
+    return F.concat(F.substring(F.translate(term, "0123456789", "##########"), 1, 3), F.lit("*"))
 
 
 def disclosing(docs: DataFrame, scanned: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
