@@ -8,9 +8,9 @@ One nested document per row, built with column expressions:
     user_identities{...}, context{data_plan{plan_id[, plan_version]}}
 
 The category map says which projected column lands where: identities are
-keyed by the lower-cased target name, attributes keep their case. Array, map
-and struct columns nest as JSON values (N2); text columns named in
-``json_columns`` are parsed (bad text becomes null, not a failed job). An
+keyed by the lower-cased target name, attributes keep their case. Columns nest
+by their type (N2, see ``nesting``); text columns named in
+``json_columns`` are parsed first (bad text becomes null, not a failed job). An
 event attribute mapped to ``event_type`` moves out of the data to the event
 (N4). Nulls stay in the JSON text as null.
 """
@@ -18,13 +18,14 @@ event attribute mapped to ``event_type`` moves out of the data to the event
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import VariantType
 
 from tablewright.functions.scalars import request_id
+from tablewright.operators.nesting import nested
 
 # Fixed values of the outbound document.
 DEFAULT_EVENT_TYPE = "custom_event"
 DEFAULT_CUSTOM_EVENT_TYPE = "other"
-REQUIRED_PROPERTIES = ["plan_id", "event_name", "fail_rec_table_name"]
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
@@ -52,9 +53,13 @@ def build_payload(df: DataFrame, cmap: dict, props: dict, environment: str,
                   carry: tuple = ()) -> DataFrame:
     """Returns ``key, request_id, payload (struct), data (JSON text)`` plus
     the ``carry`` columns unchanged."""
-    def value(alias: str) -> Column:
+    types = {f.name.lower(): f.dataType for f in df.schema.fields}
+
+    def value(alias: str, category: str) -> Column:
         c = F.col(f"`{alias}`")
-        return F.try_parse_json(c) if alias in json_columns else c
+        if alias in json_columns:
+            return nested(VariantType(), F.try_parse_json(c), category)
+        return nested(types[alias.lower()], c, category)
 
     identities = cmap.get("user_identities", {})
     attributes = cmap.get("user_attributes", {})
@@ -67,9 +72,9 @@ def build_payload(df: DataFrame, cmap: dict, props: dict, environment: str,
     event_type = F.lit(DEFAULT_EVENT_TYPE)
     for alias, target in sorted(event_attrs.items()):
         if target == "event_type":
-            event_type = F.coalesce(value(alias).cast("string"), F.lit(DEFAULT_EVENT_TYPE))
+            event_type = F.coalesce(F.col(f"`{alias}`").cast("string"), F.lit(DEFAULT_EVENT_TYPE))
         else:
-            data[target] = value(alias)
+            data[target] = value(alias, "app_event_attributes")
     event = F.struct(F.struct(*[c.alias(n) for n, c in data.items()]).alias("data"),
                      event_type.alias("event_type"))
     rid = request_id(F.lit(run_id), F.col(key))
@@ -77,8 +82,8 @@ def build_payload(df: DataFrame, cmap: dict, props: dict, environment: str,
         F.array(event).alias("events"),
         rid.alias("source_request_id"),
         F.lit(environment).alias("environment"),
-        F.struct(*[value(a).alias(t) for a, t in sorted(attributes.items())]).alias("user_attributes"),
-        F.struct(*[value(a).alias(t.lower()) for a, t in sorted(identities.items())]).alias("user_identities"),
+        F.struct(*[value(a, "user_attributes").alias(t) for a, t in sorted(attributes.items())]).alias("user_attributes"),
+        F.struct(*[value(a, "user_identities").alias(t.lower()) for a, t in sorted(identities.items())]).alias("user_identities"),
         context_struct(props).alias("context"),
     )
     return (df.select(F.col(key), *carry, payload.alias("payload"))

@@ -24,21 +24,22 @@ from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, NullType, StringType, StructField, StructType
 
 from tablewright.functions.params import bind_sql
 from tablewright.functions.scalars import run_id_now
 from tablewright.operators import audit, delivery, mapping
 from tablewright.operators.payload import build_payload
-from tablewright.schemas import DEAD_LETTER, QUERY_ORDER_CONFIG, QUERY_TEMPLATE_CONFIG, QUERY_VIEW_CONFIG, RUN_EVENT
+from tablewright.schemas import QUERY_ORDER_CONFIG, QUERY_TEMPLATE_CONFIG, QUERY_VIEW_CONFIG, RUN_EVENT
 from tablewright.session import work_path
-from tablewright.sinks.writers import append_dead_letters, dead_letter_folder, run_statements, write_files, write_table
-from tablewright.sources.scan import replay
+from tablewright.sinks.writers import append_dead_letters, run_statements, write_files, write_table
+from tablewright.sources.scan import replay, stored_dead_letters
 from tablewright.sources.views import build_view, child_session, register_tables
 from tablewright.streaming.capture import (
     capture_changes, capture_snapshot_changes, checkpoint_location, mark_committed, purge_committed,
-    read_if_there, read_staged, staged_batches, uncommitted_batches,
+    read_staged, uncommitted_batches,
 )
+from tablewright.streaming.eventlog import EventLog, child_folders
 
 log = logging.getLogger(__name__)
 
@@ -111,7 +112,7 @@ class Runner:
         self.obj = obj[0].asDict()
         register_tables(self.spark, self.tables)
         start = datetime.now()
-        self._history([(1, "STARTED", None, None, None, None)], start)
+        self._history([(1, "STARTED", None, None, None, None, None)], start)
         state = {"status": audit.FAILED, "failure_reason": None}
         try:
             for step in sorted(pipeline["data_flow"], key=lambda s: int(s["step_id"])):
@@ -132,16 +133,21 @@ class Runner:
             log.error(traceback.format_exc())
             state = {"status": audit.FAILED, "failure_reason": f"{type(e).__name__}: {e}",
                      "successful_record_count": None, "failed_record_count": None}
-            self._history([(2, audit.FAILED, None, None, state["failure_reason"], datetime.now())], start)
+            self._history([(2, audit.FAILED, None, None, state["failure_reason"], datetime.now(), self._target_rows())], start)
             raise
-        self._history([(2, state["status"], state["successful_record_count"],
-                        state["failed_record_count"], state["failure_reason"], datetime.now())], start)
+        self._history([(2, state["status"], state["successful_record_count"], state["failed_record_count"],
+                        state["failure_reason"], datetime.now(), self._target_rows())], start)
         return state
 
+    def _target_rows(self) -> dict:
+        """A1: rows per target, of endpoints, tables and files alike."""
+        return {target: c["rows"] for target, c in self.counts.items()}
+
     def _evaluate(self) -> dict:
-        total = sum(c["total"] for c in self.counts.values())
-        failed = sum(c["failed"] for c in self.counts.values())
-        thresholds = [c["threshold"] for c in self.counts.values() if c["threshold"] is not None]
+        sent = [c for c in self.counts.values() if "failed" in c]
+        total = sum(c["rows"] for c in sent)
+        failed = sum(c["failed"] for c in sent)
+        thresholds = [c["threshold"] for c in sent if c["threshold"] is not None]
         threshold = min(thresholds) if thresholds else None
         pct = (total - failed) / total * 100 if total else None
         ok = threshold is None or total == 0 or pct >= threshold
@@ -150,16 +156,25 @@ class Runner:
                 "failure_reason": None if ok else audit.THRESHOLD_REASON,
                 "per_target": dict(self.counts)}
 
+    def _log(self, process: str) -> EventLog:
+        """The run history of one process."""
+        return EventLog(self.spark, f"{self.history}/{process.lower()}", RUN_EVENT)
+
     def _history(self, events, start):
         ctx = self.ctx
-        rows = [(ctx.process, ctx.run_id, seq, ctx.restart_run_id, start, end, status, ok, failed, reason)
-                for seq, status, ok, failed, reason, end in events]
-        # object columns keep None as None on both the Arrow and the row path
-        pdf = pd.DataFrame(rows, columns=RUN_EVENT.fieldNames(), dtype=object)
-        self.spark.createDataFrame(pdf, RUN_EVENT).coalesce(1).write.mode("append").parquet(self.history)
-
-    def latest_runs(self) -> DataFrame:
-        return audit.latest_runs(self.spark.read.parquet(self.history))
+        self._log(ctx.process).append(
+            [(ctx.process, ctx.run_id, seq, ctx.restart_run_id, start, end, status, ok, failed, reason, rows)
+             for seq, status, ok, failed, reason, end, rows in events])
+
+    def latest_runs(self, process: str | None = None, since_run_id: int | None = None) -> DataFrame:
+        """Current state of the runs of one process or all, on request from a run
+        id on (run ids are times, and a history is read by its run ids)."""
+        names = [process] if process else child_folders(self.spark, self.history)
+        rows = self.spark.createDataFrame([], RUN_EVENT)
+        for name in names:
+            own = self._log(name).rows()
+            rows = rows.unionByName(own if since_run_id is None else own.where(F.col("run_id") >= since_run_id))
+        return audit.latest_runs(rows)
 
     # --------------------------------------------------------------- steps
     def _stage_root(self) -> str:
@@ -238,6 +253,29 @@ class Runner:
             return df.selectExpr(*prefix, "*") if prefix else df
         return df.selectExpr(*(prefix or []), *exprs)
 
+    def _written(self, df: DataFrame, path: str) -> DataFrame:
+        path = f"{self.work_root}/{path}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _records(self, df: DataFrame, target: str) -> DataFrame:
+        """The records of one target, written once with an id each
+        (``_record_id``): the source and its mapping rules are evaluated a single
+        time, whatever reads the records later. The id is a hash of the record
+        with an occurrence number for records that are equal in every column, so
+        no two share one and a rerun gives the same ids."""
+        void = [f.name for f in df.schema.fields if isinstance(f.dataType, NullType)]
+        for c in void:
+            df = df.withColumn(c, F.col(f"`{c}`").cast("string"))   # files have no void columns
+        record = F.sha2(F.to_json(F.struct(*[f"`{c}`" for c in df.columns]), {"ignoreNullFields": "false"}), 256)
+        df = df.withColumn("_record_id", record)
+        if "_record_key" not in df.columns:
+            df = df.withColumn("_record_key", F.col("_record_id"))
+        at = f"{self.ctx.process.lower()}/{self.ctx.run_id}/{target}"
+        records = self._written(df, f"records/{at}")
+        repeated = self._written(delivery.repeated_records(records, "_record_id"), f"repeated/{at}")
+        return delivery.numbered_repeats(records, "_record_id", repeated)
+
     def deliver(self, args: dict, step_id: int) -> None:
         """Documents → endpoint → attempts staged once → dead
         letters appended → counts for this target."""
@@ -250,44 +288,37 @@ class Runner:
         if ctx.restart_run_id is not None and ctx.restart_step_id is not None \
                 and int(ctx.restart_step_id) == step_id:
             # without this partition the failed run never completed its send
-            old = read_if_there(self.spark, dead_letter_folder(dead_path, ctx.restart_run_id, target), DEAD_LETTER)
+            old = stored_dead_letters(self.spark, dead_path, ctx.restart_run_id, target)
         if old is not None:
-            old = old.withColumn("run_id", F.lit(ctx.restart_run_id).cast("long"))
             requests = replay(old, ctx.restart_run_id, ctx.run_id, ctx.status_codes).select(
                 "request_id", F.col("request_id").alias("key"), "data")
         else:
             cmap = json.loads(args["column_mapping"]) if args.get("column_mapping") else \
                 mapping.category_map_dict(self.config.column_attr, ctx.process, target)
-            # The record key (for deterministic request ids) is a hash of the record,
-            # after a source column if the properties name one: different records
-            # with the same key, or none, have ids of their own. Only records that
-            # are equal in every sent column share one.
             key_col = lower.get("key_column")
             df = self._select(args, prefix=[f"{key_col} AS _record_key"] if key_col else None)
-            record = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-            df = df.withColumn("_record_id", record)
-            if not key_col:
-                df = df.withColumn("_record_key", record)
             parsed = tuple(c.strip() for c in (lower.get("json_columns") or "").split(",") if c.strip())
-            requests = build_payload(df, cmap, props, lower.get("environment", "development"), ctx.run_id,
-                                     "_record_id", json_columns=parsed, carry=("_record_key",)) \
+            requests = build_payload(self._records(df, target), cmap, props, lower.get("environment", "development"),
+                                     ctx.run_id, "_record_id", json_columns=parsed, carry=("_record_key",)) \
                 .withColumnRenamed("_record_key", "key")
         requests = requests.select("request_id", "key", "data")
         attempts_path = f"{self.work_root}/attempts/{ctx.process.lower()}/{ctx.run_id}/{target}"
         bulk = int(lower["bulk_size"]) if lower.get("bulk_size") else None
         carry = ()
         if bulk:
-            # K4: envelopes of `bulk_size` records, one request each
-            # a configured number, kept with the process: envelopes and their ids
-            # do not change when more records arrive in other buckets
-            requests = delivery.bulk_requests(requests.withColumn("record", F.col("request_id")), "record", ctx.run_id,
-                                              bulk, int(lower.get("bulk_buckets", 8)))
+            # K4: envelopes of `bulk_size` records, one request each, written once:
+            # the canary and the rest read the same envelopes
+            requests = delivery.bulk_requests(requests, "request_id", ctx.run_id, bulk,
+                                              int(lower.get("bulk_range_rows", delivery.ROWS_PER_RANGE)))
+            requests = self._written(requests, f"envelopes/{ctx.process.lower()}/{ctx.run_id}/{target}")
             carry = ("members",)
+        pace = {k: cast(lower[k]) for k, cast in (("group_size", int), ("group_pause", float), ("in_flight", int),
+                                                  ("queue_size", int)) if lower.get(k)}
 
         # Exactly once per run: the send happens in these writes; every later
         # read uses the staged attempts, never the live send.
         def send(reqs: DataFrame, mode: str) -> None:
-            delivery.deliver(reqs, self.sender, carry=carry, **self.retry) \
+            delivery.deliver(reqs, self.sender, carry=carry, **self.retry, **pace) \
                 .write.mode(mode).parquet(attempts_path)
             bad = delivery.aborted(self.spark.read.parquet(attempts_path))
             if bad is not None:
@@ -296,15 +327,12 @@ class Runner:
         canary = str(lower.get("canary", "true")).lower() != "false"
         first = requests.limit(1).collect() if canary else []
         if first:
-            # One record alone first; an abort (e.g. rejected credentials)
-            # fails the run before the fan-out. The canary row is taken once
-            # to the driver, so the rest is a plain filter — no second lookup.
+            # One request alone first; an abort (e.g. rejected credentials)
+            # fails the run before the fan-out. Request ids are unique, so the
+            # rest is everything with another id.
             row = first[0].asDict()
-            one = self.spark.createDataFrame(pd.DataFrame([row]), requests.schema)
-            send(one, "overwrite")
-            # one copy of this record goes; others with its key, or equal to it, stay
-            same = F.col("key").eqNullSafe(F.lit(row["key"])) & F.col("data").eqNullSafe(F.lit(row["data"]))
-            send(requests.where(~same).unionByName(requests.where(same).exceptAll(one)), "append")
+            send(self.spark.createDataFrame(pd.DataFrame([row]), requests.schema), "overwrite")
+            send(requests.where(F.col("request_id") != row["request_id"]), "append")
         else:
             send(requests, "overwrite")
         final = delivery.final_outcome(self.spark.read.parquet(attempts_path))
@@ -315,18 +343,21 @@ class Runner:
         row = final.agg(F.count(F.lit(1)).alias("t"),
                         F.sum(F.when(F.col("ok"), 0).otherwise(1)).alias("f")).first()
         th = lower.get("threshold_percentage")
-        self.counts[target] = {"total": int(row.t or 0), "failed": int(row.f or 0),
+        self.counts[target] = {"rows": int(row.t or 0), "failed": int(row.f or 0),
                                "threshold": int(th) if th not in (None, "") else None}
 
     def table_sink(self, args: dict, step_id: int) -> None:
         props = args.get("properties")
         props = {k.lower(): v for k, v in (json.loads(props) if isinstance(props, str) else (props or {})).items()}
+        table, kind = props.get("table", args["target"]), props.get("table_type")
+        if (kind or "").lower() in ("temporary", "temp"):      # a view: nothing is written, nothing counted
+            write_table(self._select(args), table, table_type=kind)
+            return
         df, obs = audit.observe_count(self._select(args))
-        table = props.get("table", args["target"])
-        write_table(df, table, props.get("mode"), props.get("table_type"), props.get("path"))
-        if self.session is not self.spark and (props.get("table_type") or "").lower() not in ("temporary", "temp"):
+        write_table(df, table, props.get("mode"), kind, props.get("path"))
+        if self.session is not self.spark:
             self.spark.catalog.refreshTable(table)   # written through the delta's child session
-        log.info("table sink %s wrote %s rows", args["target"], obs.get.get("n") if obs else None)
+        self.counts[args["target"]] = {"rows": obs.get["n"]}
 
     def file_sink(self, args: dict, step_id: int) -> None:
         props = args.get("properties")
@@ -343,7 +374,7 @@ class Runner:
         df, obs = audit.observe_count(self._select(args))
         write_files(df, props["target_location"], props.get("file_format_type", "parquet"), pb, options,
                     None if header is None else text(header).lower() == "true", mode)
-        log.info("file sink %s wrote %s rows", args["target"], obs.get.get("n") if obs else None)
+        self.counts[args["target"]] = {"rows": obs.get["n"]}
 
     def drop_staging(self, args: dict, step_id: int) -> None:
         """K8: after success the consumed batches are committed."""
@@ -352,6 +383,3 @@ class Runner:
             purge_committed(self.spark, self._stage_root(), self.batches)
         self.session = self.spark
 
-
-def staged_for(spark: SparkSession, process: str) -> list[int]:
-    return staged_batches(spark, work_path(spark, "staging", process.lower()))

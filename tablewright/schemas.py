@@ -43,7 +43,8 @@ RUN_EVENT = _schema(("process_name", S), ("run_id", L), ("event_seq", I),
                     ("restart_run_id", L), ("start_date_time", TS),
                     ("end_date_time", TS), ("status", S),
                     ("successful_record_count", L),
-                    ("failed_record_count", L), ("failure_reason", S))
+                    ("failed_record_count", L), ("failure_reason", S),
+                    ("target_rows", T.MapType(S, L)))
 
 # Dead letters keep the outbound document as JSON text: variant values cannot
 # be written to every file format, text can, and parse_json restores it.

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions.scalars import request_id
+from tablewright.schemas import DEAD_LETTER
+from tablewright.sinks.writers import dead_letter_folder
+from tablewright.streaming.eventlog import read_if_there
 
 
 def scan(spark: SparkSession, source: str, columns: list[str] | None = None) -> DataFrame:
@@ -33,6 +36,13 @@ def select_source(spark: SparkSession, obj: dict, delta: DataFrame | None = None
     return f"{name}_df", df
 
 
+def stored_dead_letters(spark: SparkSession, location: str, run_id: int, target: str) -> DataFrame | None:
+    """The dead letters that one run stored for one target (S8): only that
+    partition is read. None if the run never completed its send."""
+    rows = read_if_there(spark, dead_letter_folder(location, run_id, target), DEAD_LETTER)
+    return None if rows is None else rows.withColumn("run_id", F.lit(run_id).cast("long"))
+
+
 def replay(dead_letters: DataFrame, run_id: int, new_run_id: int,
            status_codes: list[int] | None = None) -> DataFrame:
     """Dead letters of one run (optionally only some status codes) become the

@@ -6,66 +6,76 @@ and then stops. Each micro-batch is *staged* to a location keyed by its batch
 id (overwrite), so a batch replayed after a failure rewrites the same place —
 idempotent. The stream's offset moves when ``foreachBatch`` returns (T1).
 
-The state of the staged batches is an append-only *batch log* — a small
-parquet table next to them with one row per event (``staged``,
-``committed``, ``snapshot``). Downstream steps read the staged batches; after
-they succeed, the batches are logged as committed and their data dropped
-(K8). A staged batch without a commit row is an unfinished run (T2:
-``staged left_anti committed``); a restart processes exactly those batches
-without reading the stream again (T3); a replayed batch that is already
-committed is left alone. A process's stream checkpoint is versioned in a log
-too: replacing the stream opens a new version, otherwise the current one (and
-its position) is kept (T5).
+The state of the staged batches is an append-only *batch log* next to them
+(``eventlog``), rows of (first id, last id, state): ``staged``, ``committed``,
+and ``snapshot``, ``merged`` or ``base`` for the state of a change feed.
+Committed batches are folded into ranges, so the log stays small however many
+runs there were. Downstream steps read the staged batches; after they succeed,
+the batches are logged as committed and their data dropped (K8). A staged batch
+outside all committed ranges is an unfinished run (T2); a restart processes
+exactly those batches without reading the stream again (T3); a replayed batch
+that is already committed is left alone. A process's stream checkpoint is
+versioned in a log too: replacing the stream opens a new version, otherwise the
+current one (and its position) is kept (T5). A replacement is known by its
+transaction, so one that is asked for again is not another one.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from datetime import datetime
 
-import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tablewright.session import work_path
+from tablewright.sources.snapshot_state import DIGEST, MERGE_AFTER, SnapshotState
+from tablewright.streaming.eventlog import EventLog
 
 # Batch ids of stream version N start at (N - 1) times this: a replaced stream
 # counts its batches from 0 again and must not meet the old one's.
 VERSION_STEP = 1_000_000_000
-LOG_SCHEMA = "batch_id long, state string, at timestamp"
-VERSION_SCHEMA = "process string, version int, at timestamp"
+LOG_SCHEMA = "batch_id long, until long, state string, at timestamp"
+VERSION_SCHEMA = "process string, version int, tx string, at timestamp"
+STATES = ("snapshot", "merged", "base")
 
 
-def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":  # nothing written there yet
-            return None
-        raise
+def _islands(done: DataFrame) -> DataFrame:
+    """Ranges of ids as few ranges: neighbours and overlaps become one. (Few
+    rows: the log's.)"""
+    order = Window.orderBy("batch_id", "until")
+    before = F.max("until").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = (before.isNull() | (F.col("batch_id") > before + 1)).cast("int")
+    return done.select("batch_id", "until").distinct().withColumn("new", new) \
+        .withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))) \
+        .groupBy("island").agg(F.min("batch_id").alias("batch_id"), F.max("until").alias("until")).drop("island")
 
 
-def _append(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
-    cols = [c.split()[0] for c in schema.split(",")]
-    pdf = pd.DataFrame(rows, columns=cols, dtype=object)
-    spark.createDataFrame(pdf, schema).coalesce(1).write.mode("append").parquet(path)
+def _open(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Staged rows outside all committed ranges."""
+    r = ranges.select(F.col("batch_id").alias("lo"), F.col("until").alias("hi"))
+    return rows.where("state = 'staged'").join(r, F.col("batch_id").between(F.col("lo"), F.col("hi")), "left_anti")
 
 
-def _log_path(stage_root: str) -> str:
-    return f"{stage_root}/_batch_log"
+def _fold(rows: DataFrame) -> DataFrame:
+    """Committed ranges, open batches, and the states that still count."""
+    ranges = _islands(rows.where("state = 'committed'"))
+    cols = ["batch_id", "until", "state", "at"]
+    base = rows.where("state = 'base'").agg(F.max("batch_id")).first()[0]
+    kept = rows.where(F.col("state").isin(*STATES) & (F.col("batch_id") >= F.lit(-1 if base is None else base)))
+    return ranges.withColumn("state", F.lit("committed")).withColumn("at", F.current_timestamp()).select(*cols) \
+        .unionByName(_open(rows, ranges).select(*cols)).unionByName(kept.select(*cols))
 
 
-def batch_log(spark: SparkSession, stage_root: str) -> DataFrame:
-    log = read_if_there(spark, _log_path(stage_root), LOG_SCHEMA)
-    return log if log is not None else spark.createDataFrame([], LOG_SCHEMA)
+def batch_log(spark: SparkSession, stage_root: str) -> EventLog:
+    return EventLog(spark, f"{stage_root}/_batch_log", LOG_SCHEMA, _fold)
 
 
 def _log(spark: SparkSession, stage_root: str, batch_ids: list[int], *states: str) -> None:
     """All given states of the batches at once: one file, so all or none."""
-    if batch_ids:
-        now = datetime.now()
-        _append(spark, _log_path(stage_root), [(int(b), s, now) for b in batch_ids for s in states], LOG_SCHEMA)
+    now = datetime.now()
+    batch_log(spark, stage_root).append([(int(b), int(b), s, now) for b in batch_ids for s in states])
 
 
 def _drop_folder(spark: SparkSession, folder: str) -> None:
@@ -73,24 +83,26 @@ def _drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _ids(df: DataFrame) -> list[int]:
-    return sorted(int(r[0]) for r in df.select("batch_id").distinct().collect())
+def committed_ranges(spark: SparkSession, stage_root: str) -> list[tuple[int, int]]:
+    """Committed batches as ranges: one, as a rule, for each stream version."""
+    rows = batch_log(spark, stage_root).rows().where("state = 'committed'")
+    return sorted((int(r.batch_id), int(r.until)) for r in _islands(rows).collect())
 
 
-def staged_batches(spark: SparkSession, stage_root: str) -> list[int]:
-    return _ids(batch_log(spark, stage_root).where(F.col("state") == "staged"))
+def _within(ranges: list[tuple[int, int]], batch_id: int) -> bool:
+    return any(lo <= batch_id <= hi for lo, hi in ranges)
 
 
 def committed_batches(spark: SparkSession, stage_root: str) -> list[int]:
-    return _ids(batch_log(spark, stage_root).where(F.col("state") == "committed"))
+    """Every committed batch id, for inspection; no run asks for it."""
+    return [b for lo, hi in committed_ranges(spark, stage_root) for b in range(lo, hi + 1)]
 
 
 def uncommitted_batches(spark: SparkSession, stage_root: str) -> list[int]:
     """Staged but not committed (a run failed after staging)."""
-    log = batch_log(spark, stage_root)
-    staged = log.where(F.col("state") == "staged").select("batch_id")
-    done = log.where(F.col("state") == "committed").select("batch_id")
-    return _ids(staged.join(done, "batch_id", "left_anti"))
+    rows = batch_log(spark, stage_root).rows()
+    left = _open(rows, _islands(rows.where("state = 'committed'")))
+    return sorted(int(r[0]) for r in left.select("batch_id").distinct().collect())
 
 
 def mark_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -> None:
@@ -99,18 +111,18 @@ def mark_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -
 
 def purge_committed(spark: SparkSession, stage_root: str, batch_ids: list[int]) -> None:
     """K8: drop the staged data of committed batches; the log keeps their
-    commit rows, so a replayed batch id is still recognised as done."""
-    done = set(committed_batches(spark, stage_root))
+    range, so a replayed batch id is still recognised as done."""
+    done = committed_ranges(spark, stage_root)
     for b in batch_ids:
-        if b in done:
+        if _within(done, b):
             _drop_folder(spark, f"{stage_root}/batch_id={b}")
 
 
 def read_staged(spark: SparkSession, stage_root: str, schema: StructType,
                 batch_ids: list[int] | None = None) -> DataFrame:
-    """The staged delta (all batches or the given ones) as one DataFrame;
+    """The staged delta (all open batches or the given ones) as one DataFrame;
     the batch folders are named explicitly, so only they are listed."""
-    ids = staged_batches(spark, stage_root) if batch_ids is None else batch_ids
+    ids = uncommitted_batches(spark, stage_root) if batch_ids is None else batch_ids
     if not ids:
         return spark.createDataFrame([], schema)
     df = spark.read.schema(schema).option("basePath", stage_root).parquet(
@@ -118,15 +130,13 @@ def read_staged(spark: SparkSession, stage_root: str, schema: StructType,
     return df.select(*schema.fieldNames())
 
 
-def _versions_path(root: str) -> str:
-    return f"{root}/_versions"
+def stream_versions(spark: SparkSession, process: str, root: str) -> EventLog:
+    """The versions of one process's stream."""
+    return EventLog(spark, f"{root}/{process.lower()}/_versions", VERSION_SCHEMA)
 
 
 def _current_version(spark: SparkSession, process: str, root: str) -> int:
-    log = read_if_there(spark, _versions_path(root), VERSION_SCHEMA)
-    if log is None:
-        return 1
-    v = log.where(F.col("process") == process.lower()).agg(F.max("version")).first()[0]
+    v = stream_versions(spark, process, root).rows().agg(F.max("version")).first()[0]
     return int(v) if v is not None else 1
 
 
@@ -142,12 +152,18 @@ def _first_id(checkpoint: str) -> int:
     return (int(version) - 1) * VERSION_STEP if version.isdigit() else 0
 
 
-def replace_checkpoint(spark: SparkSession, process: str, root: str | None = None) -> str:
+def replace_checkpoint(spark: SparkSession, process: str, root: str | None = None, tx: str | None = None) -> str:
     """T5: replace the process's stream — the next run starts a new
-    checkpoint version (with a time-travel property, at that point)."""
+    checkpoint version (with a time-travel property, at that point). The same
+    transaction ``tx`` always gives the same version; without one every call is
+    its own transaction."""
     root = root or work_path(spark, "checkpoints")
-    version = _current_version(spark, process, root) + 1
-    _append(spark, _versions_path(root), [(process.lower(), version, datetime.now())], VERSION_SCHEMA)
+    tx = tx or uuid.uuid4().hex
+    log = stream_versions(spark, process, root)
+    known = log.rows().where(F.col("tx") == tx).agg(F.min("version")).first()[0]
+    version = known or _current_version(spark, process, root) + 1
+    if known is None:
+        log.append([(process.lower(), version, tx, datetime.now())])
     return f"{root}/{process.lower()}/v{version}"
 
 
@@ -167,7 +183,7 @@ def capture_changes(spark: SparkSession, source: str, schema: StructType,
     if since is not None and not ts_col:
         raise ValueError("a start point in the past needs the source's time column")
     first = _first_id(checkpoint)
-    done = set(committed_batches(spark, stage_root))
+    done = committed_ranges(spark, stage_root)
     # Files are taken by what the checkpoint has seen, never by their age.
     reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if max_files_per_trigger:
@@ -183,7 +199,7 @@ def capture_changes(spark: SparkSession, source: str, schema: StructType,
         # A batch replayed after it was processed and committed (the query
         # stopped before its offset was recorded) is left as it is.
         batch_id += first
-        if batch_id in done:
+        if _within(done, batch_id):
             return
         batch.write.mode("overwrite").parquet(f"{stage_root}/batch_id={batch_id}")
         _log(batch.sparkSession, stage_root, [batch_id], "staged")
@@ -199,30 +215,65 @@ def capture_changes(spark: SparkSession, source: str, schema: StructType,
 def capture_snapshot_changes(spark: SparkSession, source: str, keys: list[str], stage_root: str,
                              snapshot_root: str, block_unfinished: bool = True) -> list[int]:
     """S7 for a stream that is not append-only: the full change feed of the
-    table since the snapshot the previous run kept (inserts, deletes, and
-    updates as DELETE + INSERT images, ``action`` / ``is_update``).
-
-    The current table is first written as snapshot ``version=<batch id>`` and
-    the feed is computed from that copy (a consistent read, lineage cut), then
-    staged like any captured batch. The diff is one full outer join on the
-    key. Returns ``[batch id]``, or ``[]`` when nothing changed."""
-    from tablewright.sources.changes import change_feed
+    table since the previous run (inserts, deletes, and updates as DELETE +
+    INSERT images, ``action`` / ``is_update``), staged like any captured batch.
+
+    What the previous run saw is kept as a state of row hashes and images
+    (``sources.snapshot_state``); only changes are added to it. The table's files
+    are listed once; should one of them vanish before all is read, the run fails
+    and changes nothing. Returns ``[batch id]``, or ``[]`` when nothing changed."""
     if block_unfinished and uncommitted_batches(spark, stage_root):
         raise RuntimeError("a previous run's staged data is not processed yet; restart that run first")
-    log = batch_log(spark, stage_root)
-    last = log.agg(F.max("batch_id")).first()[0]
+    rows = batch_log(spark, stage_root).rows()
+    last = rows.agg(F.max("until")).first()[0]
     batch = int(last) + 1 if last is not None else 0
-    snaps = _ids(log.where((F.col("state") == "snapshot") & (F.col("batch_id") < batch)))
-    spark.read.parquet(source).write.mode("overwrite").parquet(f"{snapshot_root}/version={batch}")
-    current = spark.read.parquet(f"{snapshot_root}/version={batch}")
-    previous = (spark.read.parquet(f"{snapshot_root}/version={snaps[-1]}") if snaps
-                else spark.createDataFrame([], current.schema))
+    live, newest = _live(rows)
+    state = SnapshotState(spark, snapshot_root, spark.read.parquet(source), keys, live,
+                          f"digests/version={newest}" if newest is not None else None)
+    digests = f"{snapshot_root}/digests/version={batch}"
+    state.digest().write.mode("overwrite").parquet(digests)
+    buckets = state.changed_buckets(spark.read.schema(DIGEST).parquet(digests))
+    if not buckets and newest is not None:
+        return []
+    work = f"{snapshot_root}/work/version={batch}"
+    state.changes(buckets).write.mode("overwrite").parquet(f"{work}/changes")
+    state.images(spark.read.parquet(f"{work}/changes"), buckets).write.mode("overwrite").parquet(f"{work}/images")
+    images = spark.read.parquet(f"{work}/images")
+    state.write(images, f"version={batch}")
     folder = f"{stage_root}/batch_id={batch}"
-    change_feed(previous, current, keys).write.mode("overwrite").parquet(folder)
+    state.feed(images).write.mode("overwrite").parquet(folder)
     # One log write, and the last one: after a crash before it, the next call
-    # compares with the old snapshot again and loses nothing.
+    # compares with the old state again and loses nothing.
     changed = not spark.read.parquet(folder).isEmpty()
     _log(spark, stage_root, [batch], "snapshot", "staged", *([] if changed else ["committed"]))
-    for old in snaps[-2:]:      # the new snapshot replaces the one before; a crash may have left one more
-        _drop_folder(spark, f"{snapshot_root}/version={old}")
+    _drop_folder(spark, work)
+    if newest is not None:
+        _drop_folder(spark, f"{snapshot_root}/digests/version={newest}")
+    _merge(spark, state, stage_root, [*live, f"version={batch}"], batch)
     return [batch] if changed else []
+
+
+def _live(rows: DataFrame) -> tuple[list[str], int | None]:
+    """The folders of the state that count, and the newest version."""
+    found = [(int(r.batch_id), r.state) for r in rows.where(F.col("state").isin(*STATES)).collect()]
+    newest = max((b for b, _ in found), default=None)
+    base = max((b for b, s in found if s == "base"), default=-1)
+    merged = max((b for b, s in found if s == "merged" and b > base), default=base)
+    folders = ([f"base={base}"] if base >= 0 else []) + ([f"merged={merged}"] if merged > base else [])
+    return folders + [f"version={b}" for b, s in sorted(found) if s == "snapshot" and b > merged], newest
+
+
+def _merge(spark: SparkSession, state: SnapshotState, stage_root: str, live: list[str], batch: int) -> None:
+    """Fold the state's versions when there are many: the deltas into one, or
+    all of it once the deltas are as large as the base. Old folders are dropped
+    after the log names the new one."""
+    if len(live) < MERGE_AFTER:
+        return
+    base, deltas = live[:1], live[1:]     # at first, the first version is the base
+    size = lambda folders: state.rows(folders).count()
+    whole = size(deltas) >= size(base) or live[0].startswith("version=")
+    kind, folders = ("base", live) if whole else ("merged", deltas)
+    state.fold(folders, f"{kind}={batch}")
+    _log(spark, stage_root, [batch], kind)
+    for f in folders:
+        _drop_folder(spark, f"{state.root}/{f}")

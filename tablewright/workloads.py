@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright import schemas
+from tablewright.endpoints import bulk_rule_sender, rule_sender
 from tablewright.functions.scalars import epoch_millis
 from tablewright.operators import audit, delivery, mapping
 from tablewright.operators.dedup import keep_one, priority
@@ -24,12 +24,12 @@ from tablewright.operators.joins import flag_exists, left_chain
 from tablewright.operators.payload import build_payload
 from tablewright.operators.upsert import upsert
 from tablewright.session import work_path
-from tablewright.sinks.writers import write_files, write_table
+from tablewright.sinks.writers import append_dead_letters, write_files, write_table
 from tablewright.sources.changes import backfill, change_feed
-from tablewright.sources.scan import replay
+from tablewright.sources.scan import replay, stored_dead_letters
 from tablewright.sources.views import build_view, register_tables, with_delta
 from tablewright.functions.params import bind_sql
-from tablewright.streaming.capture import capture_changes, read_staged
+from tablewright.streaming.capture import capture_changes, capture_snapshot_changes, mark_committed, read_staged
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -43,15 +43,13 @@ MAX_WAIT = 60.0
 THRESHOLD = 95
 ENVIRONMENT = "development"
 ENVELOPE_SIZE = 100
-ROWS_PER_BUCKET = 1_000_000
-ENVELOPE_BUCKETS = 8
+ENVELOPE_RANGE_ROWS = 2_000
 OPEN_STATUS_ORDER = ["O", "P"]
 TARGET_PROPERTIES = {"PLAN_ID": "engagement_plan", "plan_version": "2",
                      "Event_Name": "activity", "fail_rec_table_name": "failed_events"}
 OLD_SNAPSHOT_BEFORE = "2000-01-01"
 NEW_SNAPSHOT_FROM = "1996-01-01"
 BACKFILL_FROM = "2024-01-15"
-RECENT_ORDER_FROM = "2001-01-01"
 
 
 def _path(sf_dir: str, name: str) -> str:
@@ -101,6 +99,9 @@ VIEW_CONFIG = [
     ("v_customer_orders",
      "select cn.c_custkey, cn.c_name, cn.n_name, ct.n_orders, round(ct.total, 2) as total "
      "from cust_nation cn join cust_totals ct on cn.c_custkey = ct.o_custkey", None, None),
+    ("v_all_orders",
+     "select cn.c_custkey, cn.c_name, cn.n_name, ct.n_orders, round(ct.total, 2) as total "
+     "from cust_nation cn join cust_totals ct on cn.c_custkey = ct.o_custkey", None, None),
     ("v_segment_big_orders",
      "select c.c_mktsegment, count(*) as n_orders, round(sum(b.o_totalprice), 2) as total "
      "from t{{tpl_big_orders}} b join customer c on b.o_custkey = c.c_custkey group by c.c_mktsegment",
@@ -112,6 +113,10 @@ ORDER_CONFIG = [
     ("v_customer_orders", 1, None, "tpl_recent_orders", "recent_orders", {"since": "1997-01-01"}),
     ("v_customer_orders", 3, "select c_custkey, c_name, n_name from customer "
                              "join nation on c_nationkey = n_nationkey", None, "cust_nation", None),
+    ("v_all_orders", 1, "select o_custkey, count(*) as n_orders, sum(o_totalprice) as total "
+                        "from orders group by o_custkey", None, "cust_totals", None),
+    ("v_all_orders", 2, "select c_custkey, c_name, n_name from customer "
+                        "join nation on c_nationkey = n_nationkey", None, "cust_nation", None),
 ]
 TEMPLATE_CONFIG = [
     ("tpl_recent_orders", "select o_orderkey, o_custkey, o_totalprice from orders "
@@ -122,6 +127,18 @@ TEMPLATE_CONFIG = [
 PARAM_QUERY = ("select event_id, user_id, event_type, value from events "
                "where lower(event_type) = lower({{etype}}) and value >= {{min_value}}")
 PARAM_VALUES = {"etype": "PURCHASE", "min_value": 25.0}
+PARAM_LIKE_QUERY = """select event_id, event_type, concat(event_type, ': ', "{{label}} {{label}}") as labelled -- {{ignored}}
+from events where event_type like '%{{part}}%' and "{{label}}" <> 'it''s {{part}}' /* {{ignored}} */ and value < {{max_value}}"""
+PARAM_LIKE_VALUES = {"part": "c", "label": "x'y", "max_value": 60.0}
+NESTED_MAPPING = [
+    ("events_feed", "nest", "user_id", "cast(user_id as string)", "customerid", "user_identities"),
+    ("events_feed", "nest", "props", "from_json(props, 'map<string,int>')", "as_map", "user_attributes"),
+    ("events_feed", "nest", "event_type", "array(event_type, upper(event_type))", "as_array", "user_attributes"),
+    ("events_feed", "nest", "value", "parse_json(props)", "as_variant", "user_attributes"),
+    ("events_feed", "nest", "ts", "props", "as_text", "user_attributes"),
+    ("events_feed", "nest", "props", "from_json(props, 'map<string,int>')", "as_map", "app_event_attributes"),
+    ("events_feed", "nest", "event_type", "array(event_type, upper(event_type))", "as_array", "app_event_attributes"),
+]
 
 
 def _cfg(spark, rows, schema):
@@ -131,39 +148,10 @@ def _cfg(spark, rows, schema):
     return spark.createDataFrame(pd.DataFrame(rows, columns=schema.fieldNames(), dtype=object), schema)
 
 
-# ------------------------------------------------------------- test sender
-# Deterministic endpoint used by the registered workloads and the tests.
-# Per record key, 500 for multiples of 50 (those ending in 50
-# succeed on the second attempt), else 429 for multiples of 31 (Retry-After =
-# key mod 3 seconds), else a transport error 999 for multiples of 97, else 202.
-REASONS = {202: "Accepted", 500: "Internal Server Error", 429: "Too Many Requests",
-           999: "Protocol error"}
-
-
-def rule_sender(requests: pd.DataFrame, attempt: int) -> pd.DataFrame:
-    k = requests["key"].astype("int64").to_numpy()
-    status = np.select(
-        [(k % 100 == 50) & (attempt >= 2), k % 50 == 0, k % 31 == 0, k % 97 == 0],
-        [202, 500, 429, 999], 202)
-    retry_after = np.where(status == 429, k % 3, 0)
-    return pd.DataFrame({"status": status, "reason": [REASONS[s] for s in status],
-                         "retry_after": retry_after})
-
-
-def bulk_rule_sender(requests: pd.DataFrame, attempt: int) -> pd.DataFrame:
-    """Deterministic bulk endpoint. An envelope ``bucket-n``
-    fails with 500 when (bucket + n) is a multiple of 5, else 202."""
-    be = requests["key"].str.split("-", expand=True).astype("int64")
-    status = np.where((be[0] + be[1]) % 5 == 0, 500, 202)
-    return pd.DataFrame({"status": status, "reason": [REASONS[s] for s in status],
-                         "retry_after": np.zeros(len(status), dtype="int64")})
-
-
 # ----------------------------------------------------- shared building blocks
-def _open_orders_latest(orders: DataFrame) -> DataFrame:
-    """Latest open order per customer by status priority."""
-    open_orders = orders.where(F.col("o_orderstatus") != "F")
-    return keep_one(open_orders, ["o_custkey"],
+def _latest_orders(orders: DataFrame) -> DataFrame:
+    """Latest order per customer by status priority."""
+    return keep_one(orders, ["o_custkey"],
                     [priority("o_orderstatus", OPEN_STATUS_ORDER), F.col("o_orderdate").desc(),
                      F.col("o_orderkey")])
 
@@ -193,16 +181,12 @@ def _delivery_attempts(spark: SparkSession, sf_dir: str, carry=()) -> DataFrame:
 
 # ------------------------------------------------------------------ queries
 def q_dedup_priority(spark, sf_dir):
-    orders = _read(spark, sf_dir, "orders")
-    latest = keep_one(orders, ["o_custkey"],
-                      [priority("o_orderstatus", OPEN_STATUS_ORDER), F.col("o_orderdate").desc(),
-                       F.col("o_orderkey")])
-    return latest.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    return _latest_orders(_read(spark, sf_dir, "orders")).select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
 
 
 def q_left_join_chain(spark, sf_dir):
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    latest = _open_orders_latest(_read(spark, sf_dir, "orders")).select(
+    latest = _latest_orders(_read(spark, sf_dir, "orders")).select(
         "o_custkey", "o_orderkey", "o_orderstatus")
     nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -212,7 +196,7 @@ def q_left_join_chain(spark, sf_dir):
         (region, F.col("n_regionkey") == F.col("r_regionkey")),
     ])
     return joined.select("c_custkey", "c_name", "o_orderkey", "o_orderstatus", "n_name", "r_name",
-                         F.col("o_orderkey").isNull().alias("no_open_order"))
+                         F.col("o_orderkey").isNull().alias("no_order"))
 
 
 def q_cte_view(spark, sf_dir):
@@ -244,6 +228,11 @@ def q_param_filter(spark, sf_dir):
     return bind_sql(spark, PARAM_QUERY, PARAM_VALUES)
 
 
+def q_param_like(spark, sf_dir):
+    _register(spark, sf_dir, ("events",))
+    return bind_sql(spark, PARAM_LIKE_QUERY, PARAM_LIKE_VALUES)
+
+
 def q_template_view(spark, sf_dir):
     _register(spark, sf_dir)
     return build_view(spark, "v_segment_big_orders",
@@ -293,6 +282,24 @@ def q_payload_fields(spark, sf_dir):
         F.col("p.source_request_id").alias("source_request_id"))
 
 
+def q_nested_payload(spark, sf_dir):
+    """What nests follows from the columns' types; read back from the JSON
+    text of the documents."""
+    _prep(spark)
+    events = _read(spark, sf_dir, "events")
+    cattr = _cfg(spark, NESTED_MAPPING, schemas.COLUMN_ATTR)
+    exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "nest", categorised=True)
+    docs = build_payload(events.selectExpr("event_id", *exprs), cmap, TARGET_PROPERTIES, ENVIRONMENT, RUN_ID, "event_id")
+    at = lambda path: F.get_json_object("data", f"$.{path}")
+    user, event = "user_attributes", "events[0].data"
+    return docs.select(
+        "event_id", at(f"{user}.as_map.k").cast("int").alias("map_k"), at(f"{user}.as_array[1]").alias("array_1"),
+        at(f"{user}.as_variant.k").cast("int").alias("variant_k"),
+        F.get_json_object(at(f"{user}.as_text"), "$.k").cast("int").alias("text_k"), at(f"{user}.as_text.k").alias("text_as_value"),
+        at(f"{event}.as_map.k").cast("int").alias("event_map_k"), at(f"{event}.as_array[1]").alias("event_array_as_value"),
+        F.get_json_object(at(f"{event}.as_array"), "$[1]").alias("event_array_1"))
+
+
 def q_json_nested(spark, sf_dir):
     events = _read(spark, sf_dir, "events")
     return events.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
@@ -306,8 +313,7 @@ def q_epoch_attr(spark, sf_dir):
 
 def q_bulk_envelopes(spark, sf_dir):
     events = _read(spark, sf_dir, "events").select("event_id")
-    buckets = ENVELOPE_BUCKETS
-    env = delivery.envelopes(events, "event_id", ENVELOPE_SIZE, buckets)
+    env = delivery.envelopes(events, "event_id", ENVELOPE_SIZE, ENVELOPE_RANGE_ROWS, unique=True)
     return (env.groupBy("bucket", "envelope")
                .agg(F.count(F.lit(1)).alias("n_records"), F.min("event_id").alias("first_key"),
                     F.max("event_id").alias("last_key")))
@@ -336,8 +342,9 @@ def q_dead_letters(spark, sf_dir):
 def q_replay(spark, sf_dir):
     _prep(spark)
     final = delivery.final_outcome(_delivery_attempts(spark, sf_dir))
-    dead = delivery.dead_letters(final, RUN_ID)
-    again = replay(dead, RUN_ID, REPLAY_RUN_ID, status_codes=[500, 999])
+    location = work_path(spark, "dead_letters", unique=True)
+    append_dead_letters(delivery.dead_letters(final, RUN_ID), location, RUN_ID, "engage")
+    again = replay(stored_dead_letters(spark, location, RUN_ID, "engage"), RUN_ID, REPLAY_RUN_ID, status_codes=[500, 999])
     return again.select("request_id", "replayed_request_id", "previous_status",
                         F.get_json_object("data", "$.user_identities.customerid").alias("customerid"))
 
@@ -349,8 +356,7 @@ def q_bulk_delivery(spark, sf_dir):
     exprs, cmap = mapping.mapping_spec(cattr, "events_feed", "engage", categorised=True)
     docs = build_payload(events.selectExpr("event_id", *exprs), cmap, TARGET_PROPERTIES, ENVIRONMENT,
                          RUN_ID, "event_id")
-    buckets = ENVELOPE_BUCKETS
-    bulk = delivery.bulk_requests(docs, "event_id", RUN_ID, ENVELOPE_SIZE, buckets)
+    bulk = delivery.bulk_requests(docs, "event_id", RUN_ID, ENVELOPE_SIZE, ENVELOPE_RANGE_ROWS)
     sent = delivery.deliver(bulk, bulk_rule_sender, max_retries=MAX_RETRIES, base_wait=BASE_WAIT,
                             max_wait=MAX_WAIT, carry=("members",))
     recs = delivery.per_record(delivery.final_outcome(sent))
@@ -412,6 +418,18 @@ def q_change_feed(spark, sf_dir):
     return change_feed(old, new, ["o_orderkey"])
 
 
+def q_change_feed_stream(spark, sf_dir):
+    """S7 as a stream: the table is captured twice, as it was and as it is; the
+    second delta is the feed between the two."""
+    work = work_path(spark, "change_stream", unique=True)
+    for name, df in zip(("old", "new"), _snapshots(spark, sf_dir)):
+        df.write.parquet(f"{work}/{name}")
+        batches = capture_snapshot_changes(spark, f"{work}/{name}", ["o_orderkey"], f"{work}/stage", f"{work}/state")
+        mark_committed(spark, f"{work}/stage", batches)
+    schema = spark.read.parquet(f"{work}/stage/batch_id={batches[0]}").schema
+    return read_staged(spark, f"{work}/stage", schema, batches)
+
+
 def q_upsert(spark, sf_dir):
     old, new = _snapshots(spark, sf_dir)
     old = old.withColumn("first_seen", F.col("o_orderdate"))
@@ -435,10 +453,8 @@ def q_append_stream(spark, sf_dir):
 
 def q_exists_flag(spark, sf_dir):
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    recent = (_read(spark, sf_dir, "orders")
-              .where(F.col("o_orderdate") >= F.lit(RECENT_ORDER_FROM).cast("timestamp_ntz"))
-              .select(F.col("o_custkey").alias("c_custkey")))
-    return flag_exists(customer, recent, ["c_custkey"], "has_recent_order")
+    ordered = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return flag_exists(customer, ordered, ["c_custkey"], "has_order")
 
 
 def q_duplicate_keys(spark, sf_dir):
@@ -500,8 +516,9 @@ def q_process_run(spark, sf_dir):
                     max_retries=MAX_RETRIES, base_wait=BASE_WAIT, max_wait=MAX_WAIT,
                     history=f"{work}/history", dead_letter_root=f"{work}/dead", work_root=work)
     runner.run(_compiled(cfg), RunContext("events_feed", run_id=RUN_ID))
-    return runner.latest_runs().select("process_name", "run_id", "status", "successful_record_count",
-                                       "failed_record_count", "failure_reason")
+    return runner.latest_runs("events_feed").select(
+        "process_name", "run_id", "status", "successful_record_count", "failed_record_count", "failure_reason",
+        F.col("target_rows")["engage"].alias("engage_rows"), F.col("target_rows")["archive"].alias("archive_rows"))
 
 
 def q_process_incremental(spark, sf_dir):
@@ -514,7 +531,7 @@ def q_process_incremental(spark, sf_dir):
     work = work_path(spark, "runs", unique=True)
     table = "tw_orders_view_" + work.rsplit("/", 1)[-1][:12]
     cfg = Config(
-        _cfg(spark, [("orders_cdc", "customer order totals", "db", "sch", "v_customer_orders", "view",
+        _cfg(spark, [("orders_cdc", "customer order totals", "db", "sch", "v_all_orders", "view",
                       "db.sch.orders_stream", None, {"warehouse": "table"}, True, "orders",
                       "db.sch.orders_stg")], schemas.OBJECT_ATTR),
         _cfg(spark, [("orders_cdc", "warehouse", {"table": table, "mode": "overwrite",
@@ -541,11 +558,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cte_view": q_cte_view,
     "incremental_view": q_incremental_view,
     "param_filter": q_param_filter,
+    "param_like": q_param_like,
     "template_view": q_template_view,
     "mapping_project": q_mapping_project,
     "categorised_project": q_categorised_project,
     "payload_fields": q_payload_fields,
     "json_nested": q_json_nested,
+    "nested_payload": q_nested_payload,
     "epoch_attr": q_epoch_attr,
     "bulk_envelopes": q_bulk_envelopes,
     "delivery_outcome": q_delivery_outcome,
@@ -558,6 +577,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_run": q_latest_run,
     "run_rollup": q_run_rollup,
     "change_feed": q_change_feed,
+    "change_feed_stream": q_change_feed_stream,
     "upsert": q_upsert,
     "backfill": q_backfill,
     "append_stream": q_append_stream,
@@ -593,6 +613,12 @@ cust_nation AS (
 SELECT cn.c_custkey, cn.c_name, cn.n_name, ct.n_orders, round(ct.total, 2) AS total
 FROM cust_nation cn JOIN cust_totals ct ON cn.c_custkey = ct.o_custkey"""
 
+_RANGES = """
+WITH h AS (SELECT event_id, user_id, ('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT AS h,
+                  ceil(count(*) OVER () / 2000.0) AS wanted FROM events),
+e AS (SELECT event_id, user_id, h, CAST((h * CAST(pow(2, ceil(log2(wanted))) AS BIGINT)) >> 32 AS INTEGER) AS bucket
+      FROM h)"""
+
 _SNAPSHOTS = """
 WITH old AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
@@ -623,11 +649,11 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY
   CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 ELSE 3 END, o_orderdate DESC, o_orderkey) = 1""",
     "left_join_chain": """
 WITH latest AS (
-  SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'
+  SELECT o_custkey, o_orderkey, o_orderstatus FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY
     CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 ELSE 3 END, o_orderdate DESC, o_orderkey) = 1)
 SELECT c.c_custkey, c.c_name, l.o_orderkey, l.o_orderstatus, n.n_name, r.r_name,
-       l.o_orderkey IS NULL AS no_open_order
+       l.o_orderkey IS NULL AS no_order
 FROM customer c LEFT JOIN latest l ON c.c_custkey = l.o_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
@@ -637,6 +663,9 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "param_filter": """
 SELECT event_id, user_id, event_type, value FROM events
 WHERE lower(event_type) = lower('PURCHASE') AND value >= 25.0""",
+    "param_like": """
+SELECT event_id, event_type, event_type || ': x''y x''y' AS labelled FROM events
+WHERE event_type LIKE '%c%' AND value < 60.0""",
     "template_view": """
 SELECT c.c_mktsegment, count(*) AS n_orders, round(sum(b.o_totalprice), 2) AS total
 FROM (SELECT o_custkey, o_totalprice FROM orders WHERE o_totalprice > 300000) b
@@ -662,13 +691,16 @@ SELECT event_id, {_RID} AS request_id, 'development' AS environment, CAST(user_i
 FROM events""",
     "json_nested": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
+    "nested_payload": """
+SELECT event_id, k AS map_k, upper(event_type) AS array_1, k AS variant_k, k AS text_k, NULL::VARCHAR AS text_as_value,
+       k AS event_map_k, NULL::VARCHAR AS event_array_as_value, upper(event_type) AS event_array_1
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""",
     "epoch_attr": """
 SELECT event_id, epoch_us(ts) // 1000 AS ts_ms FROM events""",
-    "bulk_envelopes": """
-WITH e AS (SELECT event_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 8 AS INTEGER) AS bucket
-      FROM events),
+    "bulk_envelopes": f"""
+{_RANGES},
 n AS (SELECT bucket, event_id,
-             CAST((row_number() OVER (PARTITION BY bucket ORDER BY event_id) - 1) // 100 AS INTEGER) AS envelope
+             CAST((row_number() OVER (PARTITION BY bucket ORDER BY h, event_id) - 1) // 100 AS INTEGER) AS envelope
       FROM e)
 SELECT bucket, envelope, count(*) AS n_records, min(event_id) AS first_key, max(event_id) AS last_key
 FROM n GROUP BY bucket, envelope""",
@@ -693,10 +725,9 @@ FROM ({_DELIVERED}) WHERE status_code NOT IN (200, 202)""",
 SELECT sha256('20240102000000000|' || request_id) AS request_id, request_id AS replayed_request_id,
        CAST(status_code AS INTEGER) AS previous_status, CAST(user_id AS VARCHAR) AS customerid
 FROM ({_DELIVERED}) WHERE status_code IN (500, 999)""",
-    "bulk_delivery": """
-WITH e AS (SELECT event_id, user_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 8 AS INTEGER) AS bucket
-      FROM events),
-n AS (SELECT *, CAST((row_number() OVER (PARTITION BY bucket ORDER BY event_id) - 1) // 100 AS INTEGER)
+    "bulk_delivery": f"""
+{_RANGES},
+n AS (SELECT *, CAST((row_number() OVER (PARTITION BY bucket ORDER BY h, event_id) - 1) // 100 AS INTEGER)
                 AS envelope
       FROM e)
 SELECT sha256('20240101000000000|' || CAST(event_id AS VARCHAR)) AS request_id,
@@ -759,8 +790,7 @@ SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts >= TIMESTAM
     "append_stream": """
 SELECT event_id, ts, user_id, event_type, value, props FROM events""",
     "exists_flag": """
-SELECT c_custkey, c_name, EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
-                                  AND o.o_orderdate >= TIMESTAMP '2001-01-01') AS has_recent_order
+SELECT c_custkey, c_name, EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey) AS has_order
 FROM customer c""",
     "duplicate_keys": """
 SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY o_custkey HAVING count(*) > 1""",
@@ -775,12 +805,17 @@ SELECT 'events_feed' AS process_name, CAST(20240101000000000 AS BIGINT) AS run_i
          AS status,
        total - failed AS successful_record_count, failed AS failed_record_count,
        CASE WHEN (total - failed)::DOUBLE / total::DOUBLE * 100.0 >= 95 THEN NULL
-            ELSE 'Threshold percentage is not met' END AS failure_reason
+            ELSE 'Threshold percentage is not met' END AS failure_reason,
+       total AS engage_rows, total AS archive_rows
 FROM g""",
-    "process_incremental": "SELECT c_custkey AS customer_key, c_name AS customer_name, "
-                           "upper(n_name) AS nation, n_orders, total FROM (" + _VIEW_WITH.format(orders="orders")
-                           + ")",
+    "process_incremental": """
+SELECT c_custkey AS customer_key, c_name AS customer_name, upper(n_name) AS nation, n_orders, round(total, 2) AS total
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+JOIN (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total FROM orders GROUP BY o_custkey)
+  ON c_custkey = o_custkey""",
     "file_sink": """
 SELECT lower(event_type) AS event_type, count(*) AS n_rows, round(sum(value), 2) AS total_value
 FROM events GROUP BY 1""",
 }
+
+ORACLE_SQL["change_feed_stream"] = ORACLE_SQL["change_feed"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import audit, delivery
 from tablewright.sources.scan import replay
-from tablewright.workloads import rule_sender
+from tablewright.endpoints import rule_sender
 
 
 def _requests(spark, keys):
@@ -65,22 +65,6 @@ def test_retry_schedule(spark):
     assert waits == {("a", 1): 5.0, ("a", 2): 8.0, ("b", 1): 4.0, ("b", 6): 60.0}
 
 
-def test_envelopes_partition_input_exactly(spark):
-    df = spark.range(0, 2345).withColumnRenamed("id", "k")
-    env = delivery.envelopes(df, "k", size=100, buckets=7)
-    per = env.groupBy("bucket", "envelope").count().collect()
-    assert sum(r["count"] for r in per) == 2345 and max(r["count"] for r in per) <= 100
-    sizes = {r.bucket: r["count"] for r in env.groupBy("bucket").count().collect()}
-    assert len(per) == sum(-(-n // 100) for n in sizes.values())
-    assert env.select("k").distinct().count() == 2345
-
-
-def test_envelope_buckets_spread_stepping_keys(spark):
-    env = delivery.envelopes(spark.range(0, 8000, 8).withColumnRenamed("id", "k"), "k", size=100, buckets=8)
-    sizes = [r["count"] for r in env.groupBy("bucket").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 250
-
-
 def test_canary_split(spark):
     df = spark.createDataFrame([(5,), (3,), (9,)], "k int")
     canary, rest = delivery.canary_split(df, "k")
@@ -146,7 +130,7 @@ def _bulk_sender(req: pd.DataFrame, attempt: int) -> pd.DataFrame:
 def test_bulk_delivery_per_record(spark):
     keys = list(range(0, 1234))
     docs = _requests(spark, keys)
-    bulk = delivery.bulk_requests(docs, "key", run_id=7, size=100, buckets=3)
+    bulk = delivery.bulk_requests(docs, "key", run_id=7, size=100, per_range=500)
     assert bulk.where(F.size("members") > 100).count() == 0
     final = delivery.final_outcome(delivery.deliver(bulk, _bulk_sender, max_retries=1, carry=("members",)))
     recs = delivery.per_record(final)

@@ -90,6 +90,69 @@ def test_deployed_pipeline_runs_by_name_as_of_deploy_time(spark, tmp):
     assert state["successful_record_count"] + state["failed_record_count"] == 61
     assert state["failed_record_count"] == 2 == spark.read.parquet(tmp + "/dead/f").count()
     sent = spark.read.parquet(seen)
-    assert sent.count() == 61 and sent.select("request_id").distinct().count() == 60   # the equal rows share one
+    assert sent.count() == 61 == sent.select("request_id").distinct().count()   # equal rows, too, have their own
     dead = json.loads(spark.read.parquet(tmp + "/dead/f").first().data)
     assert dead["user_attributes"]["js"] == {"a": 1} and dead["user_attributes"]["k"] is None
+
+
+def _replacing(spark, rows):
+    return spark.createDataFrame(rows, "sequence_number long, process_name string, commit_message string") \
+        .select("sequence_number", "process_name", F.lit(True).alias("replace_existing_stream"),
+                "commit_message", F.lit("NEW").alias("status"), F.lit(None).cast("string").alias("log_message"),
+                F.current_timestamp().cast("timestamp_ntz").alias("initiation_date_time"),
+                F.lit(None).cast("timestamp_ntz").alias("completion_date_time"))
+
+
+def test_replayed_micro_batch_is_published_once(spark, tmp):
+    from tablewright.streaming.capture import checkpoint_location
+    from tablewright.streaming.deploy import newest_version, publish_deploys
+    cfg, root, status, ckpts = Config(*_config(spark)), tmp + "/pipeline", tmp + "/status", tmp + "/ckpts"
+    rows = _replacing(spark, [(1, "PROC_A", "first"), (2, "ghost", "x")])
+    publish = lambda tx: publish_deploys(spark, rows, cfg, root, tx, status, ckpts)
+    assert publish("s/0") == publish("s/0") == 1 == newest_version(spark, root)
+    assert sorted(r.sequence_number for r in spark.read.parquet(status).collect()) == [1, 2]
+    assert checkpoint_location(spark, "proc_a", root=ckpts).endswith("/v2")
+    # another transaction with the same rows is another version
+    assert publish("s/1") == 2 and checkpoint_location(spark, "proc_a", root=ckpts).endswith("/v3")
+    # a replay of the older one changes neither
+    assert publish("s/0") == 1 and newest_version(spark, root) == 2
+    assert checkpoint_location(spark, "proc_a", root=ckpts).endswith("/v3")
+    assert spark.read.parquet(status).count() == 4
+
+
+def test_crash_before_and_after_the_log_row(spark, tmp, monkeypatch):
+    import pytest
+
+    from tablewright.streaming import deploy
+    from tablewright.streaming.capture import checkpoint_location
+    cfg, root, status, ckpts = Config(*_config(spark)), tmp + "/pipeline", tmp + "/status", tmp + "/ckpts"
+    rows = _replacing(spark, [(1, "PROC_A", "first")])
+    publish = lambda: deploy.publish_deploys(spark, rows, cfg, root, "s/0", status, ckpts)
+    lost = lambda *a, **k: (_ for _ in ()).throw(OSError("lost"))
+    with monkeypatch.context() as m:
+        m.setattr(deploy.EventLog, "append", lost)
+        with pytest.raises(OSError):
+            publish()
+    assert deploy.current_pipelines(spark, root).isEmpty() and deploy.newest_version(spark, root) == 0
+    with monkeypatch.context() as m:
+        m.setattr(deploy, "replace_checkpoint", lost)
+        with pytest.raises(OSError):
+            publish()
+    assert deploy.newest_version(spark, root) == 1                       # published, its effects are open
+    assert checkpoint_location(spark, "proc_a", root=ckpts).endswith("/v1")
+    assert publish() == 1 and checkpoint_location(spark, "proc_a", root=ckpts).endswith("/v2")
+    assert spark.read.parquet(status).count() == 1
+
+
+def test_new_deploy_checkpoint_adds_to_the_newest_version(spark, tmp):
+    obj, tgt, col = _config(spark)
+    named = lambda df, p: df.where("lower(process_name) = 'proc_a'").withColumn("process_name", F.lit(p))
+    every = lambda df: named(df, "proc_a").unionByName(named(df, "proc_x")).unionByName(named(df, "proc_d"))
+    cfg = Config(every(obj), every(tgt), every(col))
+    src, out, status = tmp + "/deploy", tmp + "/pipeline", tmp + "/status"
+    for i, p in enumerate(("proc_a", "proc_d")):                         # versions 1 and 2
+        _deploy(spark, f"{src}/d{i}", [(i, p, "x")])
+        run_deploy_stream(spark, src + "/*", cfg, out, status, tmp + "/ck")
+    _deploy(spark, tmp + "/other/d9", [(9, "proc_x", "x")])
+    run_deploy_stream(spark, tmp + "/other/*", cfg, out, status, tmp + "/fresh")
+    assert {r.process_name for r in current_pipelines(spark, out).collect()} == {"proc_a", "proc_x", "proc_d"}

@@ -81,3 +81,20 @@ def test_payload_requires_plan_id(spark):
     df = spark.createDataFrame([(1,)], "k long")
     with pytest.raises(ValueError, match="plan_id"):
         build_payload(df, {}, {"event_name": "e"}, "dev", 1, "k")
+
+
+def test_columns_nest_by_their_type(spark):
+    df = spark.sql("""select 1 as k, array(1, 2) as a, map('x', 1) as m, map(1, array(map(2, 'y'))) as im,
+                      named_struct('s', map(3, null)) as st, parse_json('{"v": [1]}') as vo, parse_json('[1, "b"]') as va,
+                      parse_json('7') as vs, '{"t": 1}' as t, cast(null as map<string,int>) as nm, interval '1' day as iv""")
+    names = ["a", "m", "im", "st", "vo", "va", "vs", "t", "nm", "iv"]
+    cmap = {"user_attributes": {n: n for n in names}, "app_event_attributes": {n: n for n in names}}
+    doc = json.loads(build_payload(df, cmap, {"plan_id": "p", "event_name": "e"}, "dev", 1, "k").first().data)
+    user, event = doc["user_attributes"], doc["events"][0]["data"]
+    assert {n: user[n] for n in names[:-1]} == {
+        "a": [1, 2], "m": {"x": 1}, "im": {"1": [{"2": "y"}]}, "st": {"s": {"3": None}}, "vo": {"v": [1]}, "va": [1, "b"],
+        "vs": 7, "t": '{"t": 1}', "nm": None}
+    assert "1" in user["iv"]
+    # event attributes: maps nest, an array is its JSON text
+    assert event["m"] == {"x": 1} and event["im"] == {"1": [{"2": "y"}]} and event["vo"] == {"v": [1]} and event["vs"] == 7
+    assert json.loads(event["a"]) == [1, 2] and json.loads(event["va"]) == [1, "b"] and event["t"] == '{"t": 1}'

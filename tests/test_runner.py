@@ -10,7 +10,7 @@ from tablewright import schemas
 from tablewright.plans.compile import compile_pipelines
 from tablewright.streaming.capture import committed_batches
 from tablewright.plans.runner import Config, RunContext, Runner
-from tablewright.workloads import rule_sender
+from tablewright.endpoints import rule_sender
 
 PROPS = {"PLAN_ID": "plan", "event_name": "evt", "fail_rec_table_name": "fails",
          "key_column": "event_id", "threshold_percentage": "99"}

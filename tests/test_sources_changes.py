@@ -48,13 +48,13 @@ def test_snapshot_stream_loses_nothing_when_its_log_write_fails(spark, tmp, monk
     capture.mark_committed(spark, stage, first)
     spark.createDataFrame([(1, "b"), (2, "c")], "k int, s string").write.mode("overwrite").parquet(src)
     with monkeypatch.context() as m:
-        m.setattr(capture, "_append", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(capture.EventLog, "append", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             capture.capture_snapshot_changes(spark, src, ["k"], stage, snaps)
     again = capture.capture_snapshot_changes(spark, src, ["k"], stage, snaps)
     staged = spark.read.parquet(f"{stage}/batch_id={again[0]}")
     assert sorted((r.k, r.action) for r in staged.collect()) == [(1, "DELETE"), (1, "INSERT"), (2, "INSERT")]
-    assert not os.path.exists(f"{snaps}/version={first[0]}")         # only the newest snapshot is kept
+    assert os.path.exists(f"{snaps}/version={first[0]}")             # versions are added, not rewritten
 
 
 def test_upsert_keeps_create_columns(spark):
@@ -136,3 +136,37 @@ def test_child_session_keeps_settings(spark):
 def test_identifier_parameter(spark):
     spark.createDataFrame([(1,), (2,)], "id int").createOrReplaceTempView("ident_t")
     assert bind_sql(spark, "select count(*) c from IDENTIFIER({{t}})", {"t": "ident_t"}).first().c == 2
+
+
+@pytest.mark.parametrize("query,params,rows", [
+    ("select 1 where \"a\" = \"{{p}}\"", {"p": "a"}, 1),
+    ("select 1 where 'a' = \"{{ p }}\"", {"p": "b"}, 0),
+    ("select 1 where 'xay' like \"%{{p}}%\"", {"p": "a"}, 1),
+    ("select 1 where 'start a' = 'start {{p}}'", {"p": "a"}, 1),
+    ("select 1 where 'starta' = 'start{{p}}'", {"p": "a"}, 1),              # no template in a literal
+    ("select 1 where 'it''s a' = 'it''s {{p}}'", {"p": "a"}, 1),
+    ("select 1 where 'a\\'a' = 'a\\'{{p}}'", {"p": "a"}, 1),
+    ("select 1 where 'a' rlike r'^{{p}}$'", {"p": "."}, 1),
+    ("select 1 where '\\\\d' = r'\\{{p}}'", {"p": "d"}, 1),
+    ("select 1 -- {{q}} 'not a literal\nwhere {{p}} = 1", {"p": 1}, 1),
+    ("select 1 /* {{q}} /* ' */ \" */ where {{p}} = 2", {"p": 1}, 0),
+    ("select `x` from (select '--' as `x`) where x <> '/*' and {{p}} = 1 -- end", {"p": 1}, 1),
+    ("select /*+ coalesce(1) */ 1 where '{{p}}' = 5", {"p": 5}, 1),
+])
+def test_placeholders_in_every_place(spark, query, params, rows):
+    assert bind_sql(spark, query, params).count() == rows
+    assert "{{" not in to_markers(query, params)[0]
+
+
+@pytest.mark.parametrize("query", ["select `{{p}}` from t", "select 1 as `a_{{p}}`", "select /*+ broadcast({{p}}) */ 1",
+                                   "select 'open {{p}}", "select 1 /* open {{p}}", "select `open {{p}}", "select * from t{{p}}"])
+def test_placeholders_that_cannot_be_bound_are_refused(query):
+    with pytest.raises(ValueError):
+        to_markers(query, {"p": "a"})
+
+
+def test_template_references_are_plain_text_only():
+    from tablewright.functions.params import placeholders, replace_template_refs, template_refs
+    q = "select * from t{{ big }} where a = 't{{x}}' -- t{{no}}\n and b = \"t{{y}}\""
+    assert template_refs(q) == ["big"] and placeholders(q) == ["x", "y"]
+    assert replace_template_refs(q, {"big": "v"}).startswith("select * from v where a = 't{{x}}'")
