@@ -45,7 +45,19 @@ def stage(df: DataFrame, *parts: str, partition_by: list[str] | None = None) ->
     path = work_path(spark, "llm", *parts, unique=True)
     writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def drop(*staged: DataFrame | None) -> None:
+    """Delete the folders of staged tables that nothing reads any more."""
+    for df in staged:
+        at = getattr(df, "_staged_at", None)
+        if at is not None:
+            jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            path = jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def parallelism(spark: SparkSession) -> int:

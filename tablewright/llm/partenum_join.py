@@ -22,19 +22,18 @@ any size (for similarities from 0.8; far lower ones have too small parts).
 Both sets of a pair sign with the seed at which the first of them stops.
 
 Equal sets are one class, known by a 64-bit hash, and sign about once per task.
-Per shared signature only a star of its classes is kept. Pairs are verified with
-exact set sizes and intersections, in three steps: every class with its most
-frequent centre; where a signature still joins different components, each class
-of the smaller one with the leading class of the larger one; and then with those
-of its classes that the triangle inequality of the Jaccard distance leaves open.
-Components come from large-star/small-star rounds, each written to the shared
-folder.
-
-Links are counted afterwards: all links lie inside components, so the classes of
-a component are dealt over blocks by a hash, every pair of blocks is one group,
-and a group counts its exact links by products of 0/1 matrices. A class counts
-with its number of rows, so n_links is the number of other rows, exact copies
-among them, that reach the similarity.
+Pairs are verified with exact set sizes and intersections, in rounds. A round looks
+at signatures whose classes still lie in different components: each class outside
+the signature's leading component is compared with one class of that component
+that it shares most signatures with, and links join components at once, so what
+is joined is never compared again. In a group of near copies nearly all are joined
+after a few rounds of one pair per class. What then remains open (components that
+share signatures but no link was found) is settled exactly: the leaders of two
+components that share a signature are compared, a link joins them, and where there
+is none their classes are compared in so far as the triangle inequality of the
+Jaccard distance leaves a link open.
+Components come from large-star/small-star rounds. Every step is written to the
+shared folder, and dropped when its last reader is done.
 
 Defined cases: null, empty and blank texts have an empty set and are their own
 component; rows that repeat a doc_id are separate rows with that id; null
@@ -52,15 +51,17 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import lower_ascii, stage, words
+from tablewright.llm.common import drop, stage
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 _SEEN_LIMIT = 500_000
-BLOCK_SETS, BLOCK_SHINGLES, _COLUMNS = 1024, 1 << 19, 4096
+_WORDS, _WORD_LENGTH = 500_000, 64     # words that a worker remembers, and their longest
+ROUNDS = 6                             # rounds of one pair per class before all open pairs
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -73,6 +74,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh64_intdigest(word)
+        if len(word) <= _WORD_LENGTH:
+            if len(self) >= _WORDS:
+                self.clear()
+            self[word] = h
+        return h
+
+
+_HASHES = _WordHashes()
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A hash per word of a text in order. Bytes are split at the ASCII blanks and
+    lower-cased in A-Z only, which is what a word is here."""
+    found = (text or "").encode().lower().split()
+    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+
+
 def shingle_set(word_hashes: np.ndarray, n: int = 4) -> np.ndarray:
     """Sorted distinct hashes of all runs of n words; fewer words: of all of them."""
     w = word_hashes.astype(np.int64).view(np.uint64)
@@ -156,21 +177,20 @@ def signatures(s: np.ndarray, percent: int = 85) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"),
-                       F.transform(words(lower_ascii(F.col("text"))), lambda w: F.xxhash64(w)).alias("w"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, text_key, n_shingles, node (class id; null for empty sets)."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            sets = [shingle_set(np.asarray(w), n) for w in pdf["w"]]
+            sets = [shingle_set(word_hashes(t), n) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
                                 "n_shingles": [len(s) for s in sets],
                                 "node": pd.array([class_id(s) if len(s) else None for s in sets], "Int64")})
 
-    return _hashed(docs).mapInPandas(run, "doc_id long, text_key long, n_shingles long, node long")
+    return _keyed(docs).mapInPandas(run, "doc_id long, text_key long, n_shingles long, node long")
 
 
 def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
@@ -180,8 +200,8 @@ def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
         for pdf in parts:
             for at in range(0, len(pdf), 500):
                 nodes, sigs = [], []
-                for w in pdf["w"].iloc[at:at + 500]:
-                    s = shingle_set(np.asarray(w), n)
+                for t in pdf["text"].iloc[at:at + 500]:
+                    s = shingle_set(word_hashes(t), n)
                     if len(s) and (c := class_id(s)) not in seen:
                         if len(seen) >= _SEEN_LIMIT:
                             seen.clear()
@@ -191,16 +211,19 @@ def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
                 if nodes:
                     yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(nodes, [len(x) for x in sigs])})
 
-    return _hashed(docs).mapInPandas(run, "sig long, node long")
+    return docs.select("text").mapInPandas(run, "sig long, node long")
 
 
-def _buckets(signed: DataFrame) -> DataFrame:
-    """sig, centre, node for every class of a signature but its centre (the
-    smallest class id). A running minimum over sorted rows holds no group."""
+def _members(signed: DataFrame) -> DataFrame:
+    """sig, node of every signature that classes share: all of its classes. Rows
+    are looked at in order, so a signature of a third of all classes is streamed."""
     w = Window.partitionBy("sig").orderBy("node")
-    return (signed.withColumn("centre", F.first("node").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("last", F.lag("node").over(w))
-            .where("node <> centre and node <> last").select("sig", "centre", "node"))
+    edges = signed.withColumn("first", F.first("node").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumn("last", F.lag("node").over(w)) \
+        .where("node <> first AND node <> last")
+    # the second class of a signature brings the first one with it
+    both = F.when(F.col("last") == F.col("first"), F.array("first", "node")).otherwise(F.array("node"))
+    return edges.withColumn("both", both).select("sig", F.explode("both").alias("node"))
 
 
 class Verifier:
@@ -213,11 +236,11 @@ class Verifier:
 
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in parts:
-                made = [shingle_set(np.asarray(w), n) for w in pdf["w"]]
+                made = [shingle_set(word_hashes(t), n) for t in pdf["text"]]
                 yield pd.DataFrame({"node": [class_id(s) if len(s) else 0 for s in made],
                                     "n": [len(s) for s in made], "s": [s.view(np.int64) for s in made]})
 
-        chosen = _hashed(docs.join(rep.select("doc_id").distinct(), "doc_id", "left_semi")
+        chosen = _keyed(docs.join(rep.select("doc_id").distinct(), "doc_id", "left_semi")
                          .unionByName(docs.where("doc_id is null"), allowMissingColumns=True))
         self.sets = stage(chosen.mapInPandas(run, "node long, n long, s array<bigint>").where("n > 0")
                           .join(involved, "node", "left_semi").dropDuplicates(["node"]), "verify-sets")
@@ -262,11 +285,14 @@ def components(edges: DataFrame) -> DataFrame:
         small = (up.join(low, "a").select("m", F.col("b").alias("x"))
                  .unionByName(low.select("m", F.col("a").alias("x")))
                  .where("m <> x").select(F.col("m").alias("a"), F.col("x").alias("b")).distinct())
-        e = stage(small, "star")
+        old, e = e, stage(small, "star")
+        drop(old)
         mark = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark == before:
-            return e.select(F.col("b").alias("node"), F.col("a").alias("comp")).unionByName(
+            out = e.select(F.col("b").alias("node"), F.col("a").alias("comp")).unionByName(
                 e.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())
+            out._staged_at = e._staged_at
+            return out
         before = mark
 
 
@@ -278,103 +304,108 @@ def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
                   .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
                   .where("a <> b").distinct(), "joined")
     if edges.isEmpty():
+        drop(edges)
         return comp
     over = components(edges)
     known = comp.unionByName(over.select("node", F.col("node").alias("comp"))
                              .join(comp.select("node"), "node", "left_anti"))
-    return stage(known.join(over.toDF("comp", "to"), "comp", "left")
-                 .select("node", F.coalesce("to", "comp").alias("comp")), "comp")
-
-
-def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of the sets of a with those of b."""
-    out = np.zeros((len(a), len(b)), np.int64)
-    column, at = np.unique(np.concatenate([*a, *b]), return_inverse=True)
-    row = np.repeat(np.arange(len(a) + len(b)), [len(s) for s in (*a, *b)])
-    order = np.argsort(at, kind="stable")
-    row, at = row[order], at[order]
-    ends = np.searchsorted(at, np.arange(0, len(column) + _COLUMNS, _COLUMNS))
-    for k in range(len(ends) - 1):
-        held = np.zeros((len(a) + len(b), _COLUMNS), np.float32)
-        held[row[ends[k]:ends[k + 1]], at[ends[k]:ends[k + 1]] - k * _COLUMNS] = 1
-        out += (held[:len(a)] @ held[len(a):].T).astype(np.int64)
+    out = stage(known.join(over.toDF("comp", "to"), "comp", "left")
+                .select("node", F.coalesce("to", "comp").alias("comp")), "comp")
+    drop(edges, comp, over)
     return out
 
 
-def link_counts(classes: DataFrame, percent: int) -> DataFrame:
-    """node, n_links: rows of other classes that reach the similarity. ``classes``:
-    node, comp, n, s (the set) and rows (its number of rows)."""
-    cut = classes.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("e"))
-    cut = cut.withColumn("blocks", F.ceil(F.greatest(F.col("m") / BLOCK_SETS, F.col("e") / BLOCK_SHINGLES, F.lit(1)))
-                         .cast("long"))
-    # components of one block share a group with others
-    total = cut.where("blocks = 1").agg(F.sum("m").alias("m"), F.sum("e").alias("e")).first()
-    groups = max(1, -(-(total["m"] or 0) // BLOCK_SETS), -(-(total["e"] or 0) // BLOCK_SHINGLES))
-    dealt = (classes.join(cut.select("comp", "blocks"), "comp")
-             .withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .withColumn("low", F.least("i", "other")).withColumn("high", F.greatest("i", "other"))
-             .withColumn("g", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(groups)))
-                         .otherwise(F.col("comp")))
-             .select("g", "blocks", "low", "high", "i", "comp", "node", "rows", "s"))
-
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, c in pdf.groupby("comp", sort=False):
-            low, high = c[c["i"] == c["low"]], c[c["i"] == c["high"]]
-            if not len(low) or not len(high):
-                continue
-            sets = [[np.asarray(s) for s in side["s"]] for side in (low, high)]
-            both = shared(*sets)
-            union = np.array([len(s) for s in sets[0]])[:, None] + np.array([len(s) for s in sets[1]]) - both
-            linked = both * 100 >= union * percent
-            same = c["low"].iat[0] == c["high"].iat[0]
-            if same:
-                np.fill_diagonal(linked, False)
-            out.append(pd.DataFrame({"node": low["node"], "n": linked @ high["rows"].to_numpy()}))
-            if not same:
-                out.append(pd.DataFrame({"node": high["node"], "n": linked.T @ low["rows"].to_numpy()}))
-        return pd.concat(out) if out else pd.DataFrame({"node": [], "n": []}).astype("int64")
-
-    return (dealt.groupBy("g", "blocks", "low", "high").applyInPandas(count, "node long, n long")
-            .groupBy("node").agg(F.sum("n").alias("n_links")))
-
-
-def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFrame, Verifier]:
-    """``sets``, the component of every class with a link, and the sets of classes."""
+def _placed(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """sig, node, comp of the signatures whose classes lie in several components."""
+    placed = members.select("sig", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = placed.groupBy("sig").agg((F.min("comp") != F.max("comp")).alias("several")).where("several").select("sig")
+    return placed.join(several, "sig", "left_semi").select("sig", "node", "comp")
+
+
+def _leading(open_: DataFrame) -> DataFrame:
+    """sig, x: the component with most classes in the signature."""
+    sizes = open_.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
+    return sizes.groupBy("sig").agg(F.max_by("comp", F.struct("m", "comp")).alias("x"))
+
+
+def _round(open_: DataFrame, turn: int, tried: DataFrame | None) -> DataFrame:
+    """a, b: one pair for each class b outside the leading component of one of its
+    signatures, with a class a of that component. A signature offers the class
+    that is first in this turn's order, so most signatures of b offer the same
+    one; b takes the one that is offered most and not tried yet."""
+    led = open_.join(_leading(open_), "sig")
+    offer = led.where("comp = x").groupBy("sig").agg(F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("a"))
+    votes = led.where("comp <> x").select("sig", F.col("node").alias("b")).join(offer, "sig") \
+        .groupBy("b", "a").agg(F.count(F.lit(1)).alias("n"))
+    votes = votes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("b").alias("of"), "n")
+    if tried is not None:
+        votes = votes.join(tried, ["a", "b"], "left_anti")
+    best = votes.groupBy("of").agg(F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("p"))
+    return best.select("p.a", "p.b").distinct()
+
+
+def _settled(open_: DataFrame, check: Verifier, limit: float, comp: DataFrame) -> DataFrame:
+    """``comp`` after all links that are left among the classes of open signatures.
+
+    The distance is a metric, and a component is led by its smallest class: for
+    classes b and a of components led by c and x, d(b, a) is at least
+    d(c, x) - d(b, c) - d(a, x). Leaders are compared once per pair of components
+    that share a signature; classes only where this bound leaves a link open."""
+    own = check.distances(open_.where("node <> comp").select(F.col("node").alias("b"), F.col("comp").alias("a")).distinct())
+    rows = stage(open_.join(own.select(F.col("b").alias("node"), F.col("a").alias("comp"), "d"), ["node", "comp"], "left")
+                 .select("sig", "node", "comp", F.coalesce("d", F.lit(0.0)).alias("d")), "open-distances")
+    sides = rows.groupBy("sig", "comp").agg(F.max("d").alias("r"))
+    c, x = sides.select("sig", F.col("comp").alias("c"), F.col("r").alias("rc")), \
+        sides.select("sig", F.col("comp").alias("x"), F.col("r").alias("rx"))
+    meets = stage(c.join(x, "sig").where("c < x"), "meets")
+    apart = check.distances(meets.select(F.col("c").alias("b"), F.col("x").alias("a")).distinct())
+    comp = merged(comp, apart.where((F.col("d") <= limit) & (F.col("b") < F.col("a"))).select("a", "b"))
+    # components that are still apart, and signatures in which a link is possible
+    name = lambda col: comp.select(F.col("node").alias(col), F.col("comp").alias(f"now_{col}"))
+    left = stage(meets.join(apart.select(F.col("b").alias("c"), F.col("a").alias("x"), F.col("d").alias("dist")), ["c", "x"])
+                 .where(F.col("dist") - F.col("rc") - F.col("rx") <= limit)
+                 .join(name("c"), "c", "left").join(name("x"), "x", "left")
+                 .where(F.coalesce("now_c", "c") != F.coalesce("now_x", "x")).select("sig", "c", "x", "dist"), "left")
+    side = lambda col, node: rows.select("sig", F.col("comp").alias(col), F.col("node").alias(node), F.col("d").alias(f"d_{node}"))
+    pairs = left.join(side("c", "b"), ["sig", "c"]).join(side("x", "a"), ["sig", "x"]) \
+        .where(F.col("dist") - F.col("d_b") - F.col("d_a") <= limit).select("a", "b")
+    new = check.links(pairs)
+    out = merged(comp, new)
+    drop(own, rows, meets, apart, left, new)
+    return out
+
+
+def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFrame]:
+    """``sets`` and the component of every class with a link."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sets = stage(_sets(docs, n), "shingle-sets")
-    stars = stage(_buckets(_signed(docs, percent, n)), "buckets")
-    involved = stage(stars.select("node").unionByName(stars.select(F.col("centre").alias("node"))).distinct(), "involved")
+    members = stage(_members(_signed(docs, percent, n)), "members")
+    involved = stage(members.select("node").distinct(), "involved")
     check = Verifier(docs, sets, involved, percent, n)
-
-    most = Window.partitionBy("node").orderBy(F.desc("n"), "centre")
-    first = (stars.groupBy("node", "centre").agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("r", F.row_number().over(most)).where("r = 1"))
-    links = check.links(first.select(F.col("centre").alias("a"), F.col("node").alias("b")))
-    comp = stage(components(links), "comp")
-    members = stage(stars.select("sig", "node").unionByName(
-        stars.select("sig", F.col("centre").alias("node")).distinct()), "members")
-    # A signature may still join components. Its class b of a smaller component
-    # is compared with the leading class x of the larger one; as the distance is
-    # a metric, b can only link with classes a that have d(a, x) >= d(b, x) - limit.
-    limit = 1 - percent / 100 + 1e-9
-    placed = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    sizes = placed.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
-    mixed = sizes.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
-    open_ = stage(placed.join(mixed, "sig").join(sizes, ["sig", "comp"]), "open")
-    larger = open_.select("sig", F.col("comp").alias("x"), F.col("m").alias("mx")).distinct()
-    meets = stage(open_.select("sig", F.col("node").alias("b"), "comp", "m").join(larger, "sig")
-                  .where("mx > m or (mx = m and x > comp)").select("sig", "b", "x"), "meets")
-    across = check.distances(meets.select(F.col("b"), F.col("x").alias("a")))
-    within = check.distances(open_.select(F.col("node").alias("b"), F.col("comp").alias("a")))
-    far = meets.join(across.select("b", F.col("a").alias("x"), F.col("d").alias("dx")), ["b", "x"])
-    own = (open_.select("sig", F.col("node").alias("a"), F.col("comp").alias("x"))
-           .join(within.select(F.col("b").alias("a"), F.col("a").alias("x"), "d"), ["a", "x"], "left")
-           .select("sig", "a", "x", F.coalesce("d", F.lit(0.0)).alias("d")))
-    new = check.links(far.join(own, (far["sig"] == own["sig"]) & (far["x"] == own["x"]) &
-                               (far["dx"] - own["d"] <= limit)).select("a", "b"))
-    return sets, merged(comp, new), check
+    drop(involved)
+
+    comp = docs.sparkSession.createDataFrame([], "node long, comp long")
+    tried, open_ = None, members
+    for turn in range(ROUNDS):
+        was, open_ = open_, stage(_placed(open_, comp), "open")
+        drop(was)
+        if open_.isEmpty():
+            break
+        pairs = stage(_round(open_, turn, tried), "pairs")
+        links = check.links(pairs)
+        found, looked = links.count(), pairs.count()
+        comp = merged(comp, links)
+        last, tried = tried, stage(pairs if tried is None else tried.unionByName(pairs), "tried")
+        drop(links, pairs, last)
+        if found * 20 < looked:     # the rest are hardly near copies: settle them
+            break
+    was, open_ = open_, stage(_placed(open_, comp), "open")
+    drop(was, tried)
+    # A metric: b can only link with classes a that have d(a, x) >= d(b, x) - limit.
+    if not open_.isEmpty():
+        comp = _settled(open_, check, 1 - percent / 100 + 1e-9, comp)
+    drop(open_, check.sets)
+    return sets, comp
 
 
 def _named(sets: DataFrame, comp: DataFrame) -> DataFrame:
@@ -389,23 +420,16 @@ def _named(sets: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, n_links (number of
-    other rows that reach the similarity, exact copies included; 0: alone),
-    text_key (hash of the text) and group (the component; null for empty sets)."""
-    sets, comp, check = _grouped(docs, percent, n)
-    copies = sets.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("rows"))
-    links = link_counts(check.sets.join(comp, "node").join(copies, "node"), percent)
-    degree = copies.join(links, "node", "left").select(
-        "node", (F.col("rows") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"))
-    return (_named(sets, comp).join(degree, "node", "left")
-            .select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    "text_key", "group"))
+    """One row per input row: doc_id, n_shingles, component_id, text_key (hash of
+    the text), node (the class: rows with equal sets) and group (the component's
+    smallest class; both null for empty sets)."""
+    return _named(*_grouped(docs, percent, n))
 
 
 def keep_one(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """``docs`` with one row of every component: the one with the smallest
     (doc_id, text hash). Rows with an empty set all stay."""
-    found = stage(_named(*_grouped(docs, percent, n)[:2]), "components")
+    found = stage(jaccard_components(docs, percent, n), "components")
     one = (found.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
            .select("k.*", F.lit(True).alias("_one")))
     blank = found.where("group is null").select("doc_id", "text_key", F.lit(False).alias("_one")).distinct()

@@ -65,7 +65,7 @@ QUERIES |= {"op2_curve_packing": op2_curve_packing, "op5_bm25_decontamination":
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum_join.jaccard_components(table(spark, sf_dir, "documents"), percent=85, n=4).select(
-        "doc_id", "n_shingles", "component_id", "n_links")
+        "doc_id", "n_shingles", "component_id")
 
 
 QUERIES["op6_jaccard_join"] = op6_jaccard_join

@@ -230,16 +230,21 @@ def test_jaccard_components(spark, docs, none):
     assert sorted(map(str, kept)) == sorted({c for _, _, c in _jaccard_components(rows)})
 
 
-def test_n_links_counts_every_similar_row(spark, monkeypatch):
-    monkeypatch.setattr(partenum_join, "BLOCK_SETS", 8)  # the group takes several blocks
-    base = [f"v{i}" for i in range(200)]
-    rows = [(i, " ".join("x" if j in (i * 4, i * 11 % 200) else w for j, w in enumerate(base))) for i in range(30)]
-    rows += [(30, rows[0][1]), (31, rows[0][1]), (32, rows[5][1]), (33, "only one"), (34, "only one"), (35, None), (36, "alone here")]
-    sets = [set(zip(*(words(t)[i:] for i in range(4)))) or ({tuple(words(t))} if words(t) else set()) for _, t in rows]
-    want = {d: sum(i != j and bool(s) and 100 * len(s & u) >= 85 * len(s | u) for j, u in enumerate(sets))
-            for i, ((d, _), s) in enumerate(zip(rows, sets))}
-    got = {r.doc_id: r.n_links for r in partenum_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == want and want[0] > 20 and want[33] == 1
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_components_do_not_depend_on_the_rounds(spark, monkeypatch, rounds):
+    monkeypatch.setattr(partenum_join, "ROUNDS", rounds)   # what rounds leave open is settled pair by pair
+    base = [f"v{i}" for i in range(120)]
+    rows = [(i, " ".join("x" if j in (i * 4, i * 11 % 120) else w for j, w in enumerate(base))) for i in range(20)]
+    chain = list(base[::-1])
+    for i in range(20, 40):                               # a chain: neighbours link, ends do not
+        chain[(i * 7) % 120] = f"c{i}"
+        rows.append((i, " ".join(chain)))
+    half = base[:60] + [f"o{i}" for i in range(60)]       # shares a passage with the first family, links with its own
+    rows += [(40 + i, " ".join(half + [f"e{i}"])) for i in range(4)]
+    rows += [(50, rows[0][1]), (51, "only one"), (52, "only one"), (53, None), (54, "alone here")]
+    got = partenum_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == _jaccard_components(rows)
+    assert len({r.component_id for r in got}) == 6
 
 
 def test_similar_sets_always_share_a_signature():
