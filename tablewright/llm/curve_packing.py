@@ -97,8 +97,9 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
          partitions: int | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian uint32),
     doc_tokens, sequence_id, offset."""
-    ordered = (stage(tokenised(docs, tokenizer, end_id), "packing")
-               .repartitionByRange(partitions or parallelism(docs.sparkSession), "curve", "tie")
+    # equal rows tie in all of this but the last: any order of them is the same
+    ordered = (stage(tokenised(docs, tokenizer, end_id), "packing").withColumn("chance", F.rand(5))
+               .repartitionByRange(partitions or parallelism(docs.sparkSession), "curve", "tie", "chance")
                .sortWithinPartitions("curve", "tie", "doc_id"))
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 

@@ -16,7 +16,7 @@ labels with a null quality, a null doc_id or two different values for a doc_id
 are left out; without any training label every score is 0.5; rows with a null
 doc_id are scored and are held out when the remainder is 0 (null: false);
 repeated rows are scored alike; an empty table gives an empty result; other
-columns of the input are passed through untouched.
+columns of the input are passed through, but for the two that it names (``into``, ``flag``).
 """
 
 from __future__ import annotations
@@ -163,10 +163,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine |
     return fit([(np.asarray(i), np.asarray(v), y) for i, v, y in zip(rows["idx"], rows["val"], rows["y"])])
 
 
-def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``."""
+def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, into: str = "score",
+          flag: str = "predicted") -> DataFrame:
+    """``docs`` with the columns ``into`` (score) and ``flag`` (predicted); a
+    column of ``docs`` with one of these names is replaced, so name them anew to
+    keep it."""
     if machine is None:
-        return docs.withColumns({"score": F.lit(0.5), "predicted": F.lit(int(0.5 >= threshold))})
+        return docs.withColumns({into: F.lit(0.5), flag: F.lit(int(0.5 >= threshold))})
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -174,5 +177,5 @@ def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3) -> D
         for s in texts:
             yield s.map(lambda t: machine.score(t, memo), na_action=None).astype(float)
 
-    return (docs.withColumn("score", scored("text"))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+    return (docs.withColumn(into, scored("text"))
+            .withColumn(flag, (F.col(into) >= threshold).cast("int")))

@@ -3,8 +3,8 @@
     P(w | h) = d(c) c(h, w) / (c(h) + 1)   if the pair was seen c times
              = a(h) P(w)                   otherwise
 
-d are Good-Turing discounts for counts up to 5 (an absolute discount where the
-counts of counts cannot support them), a(h) makes every history sum to exactly
+d are Good-Turing discounts for counts up to 5, from smoothed counts of counts
+(``discounts``), so that they hold for any table. a(h) makes every history sum to exactly
 one over the vocabulary and one unknown word; P(w) is the Good-Turing discounted
 unigram, whose left-over mass is the unknown word's. Every history counts one
 more occurrence than it has, which is left to back-off, so that a history with
@@ -23,8 +23,8 @@ of counts of all partitions are known, both are filled in and added up by
 document batch.
 
 Word counts are written to the shared folder, and tasks read them from there:
-at most ``part_words`` words (12 bytes each) at a time; a larger vocabulary is
-handled in several parts by word hash, each a pass over the documents that
+at most about ``part_words`` words (12 bytes each) at a time; a larger vocabulary
+is written in folders by word hash, and each is a pass over the documents that
 resolves its own words only. The vocabulary never passes through the driver.
 
 Defined cases: null, empty and blank texts are one end token; without training
@@ -35,6 +35,7 @@ result; other columns of the input never matter.
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -45,13 +46,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import lower_ascii, parallelism, stage, words
+from tablewright.llm.common import lower_ascii, parallelism, qualified, stage, store_of, words
 from tablewright.llm.partenum_join import mix
 from tablewright.session import work_path
 
 K = 5
 START, END = -0x5A5A5A5A5A5A5A5B, 0x5A5A5A5A5A5A5A5A
 PART_WORDS = 16_000_000
+PART_TOKENS = 1_000_000   # tokens whose pairs one task holds
+FLATTEST = -1.1           # slope of the counts of counts, at most
 _BLOCK_TOKENS = 1_000_000
 
 
@@ -60,15 +63,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def discounts(n: list[int]) -> list[float]:
-    """d[r] for counts r = 0..K from counts of counts n[r], r = 0..K+1."""
-    good = [1.0] * (K + 1)
-    if all(n[r] > 0 for r in range(1, K + 2)):
-        a = (K + 1) * n[K + 1] / n[1]
-        for r in range(1, K + 1):
-            good[r] = ((r + 1) * n[r + 1] / n[r] / r - a) / (1 - a) if a < 1 else 1.0
-    if not all(0 < d < 1 for d in good[1:]):
-        good = [1.0] + [(r - 0.5) / r for r in range(1, K + 1)]
-    return good
+    """Good-Turing discounts d[r] for counts r = 0..K from counts of counts n[r],
+    r = 0..K+1. The counts of counts are smoothed first, by a line through
+    (log r, log n[r]) (simple Good-Turing): N(r) ~ r ** b gives
+
+        r* / r = (1 + 1/r) ** (b + 1),   (K + 1) N(K + 1) / N(1) = (K + 1) ** (b + 1)
+
+    and Katz's d[r] lies between 0 and 1 for every r up to K whenever b < -1. A
+    flatter line (few counts) is taken as ``FLATTEST``."""
+    known = [(math.log(r), math.log(n[r])) for r in range(1, K + 2) if n[r] > 0]
+    b = FLATTEST
+    if len(known) > 1:
+        mx, my = sum(x for x, _ in known) / len(known), sum(y for _, y in known) / len(known)
+        b = min(FLATTEST, sum((x - mx) * (y - my) for x, y in known) / sum((x - mx) ** 2 for x, _ in known))
+    a = (K + 1.0) ** (b + 1)
+    return [1.0] + [((1 + 1 / r) ** (b + 1) - a) / (1 - a) for r in range(1, K + 1)]
 
 
 class Unigram:
@@ -104,6 +113,15 @@ def unigrams(tokens: DataFrame) -> DataFrame:
     return tokens.where("not held_out").select("w").mapInPandas(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
+def _part_of(w: np.ndarray, parts: int) -> np.ndarray:
+    """The vocabulary part of a word, as ``_part_column`` has it."""
+    return (w >> 40) % parts
+
+
+def _part_column(parts: int) -> Column:
+    return F.pmod(F.shiftright("w", 40), F.lit(parts).cast("long"))
+
+
 def _pack(**arrays) -> bytes:
     raw = pickle.dumps(arrays, 5)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
@@ -115,7 +133,7 @@ def _unpack(b: bytes) -> dict:
 
 def _blocks(pdf: pd.DataFrame) -> Iterator[tuple]:
     """(doc_ids, held, lengths, flat words) of at most about _BLOCK_TOKENS words."""
-    sizes = np.array([len(w) for w in pdf["w"]])
+    sizes = np.array([len(w) for w in pdf["w"]], np.int64)
     cut = np.flatnonzero(np.diff(np.cumsum(sizes) // _BLOCK_TOKENS)) + 1
     for idx in np.split(np.arange(len(pdf)), cut):
         for part in np.array_split(idx, -(-len(idx) // 60_000)):
@@ -136,27 +154,24 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
 _CACHE: dict[tuple, tuple] = {}
 
 
-def _vocabulary(folder: str, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted word hashes and counts of one part, once per Python worker."""
-    if (folder, part) not in _CACHE:
-        from pyarrow import dataset, fs
+def _vocabulary(folder: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted word hashes and counts of one folder, once per Python worker."""
+    if (folder,) not in _CACHE:
+        from pyarrow import dataset
 
-        store, path = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+        store, path = store_of(folder)
         t = dataset.dataset(path, filesystem=store, format="parquet").to_table(columns=["w", "c"])
         w, c = t["w"].to_numpy(), t["c"].to_numpy().astype(np.uint32)
-        if parts > 1:
-            mine = (mix(w) % np.uint64(parts)).astype(np.int64) == part
-            w, c = w[mine], c[mine]
         order = np.argsort(w)
         _CACHE.clear()
-        _CACHE[folder, part] = w[order], c[order]
-    return _CACHE[folder, part]
+        _CACHE[(folder,)] = w[order], c[order]
+    return _CACHE[(folder,)]
 
 
 def _mapped(tokens: DataFrame, folder: str, part: int, parts: int, n_parts: int, hot: np.ndarray, smooth: float) -> DataFrame:
     """p, batch, doc (bytes or null), block (bytes or null)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, count = _vocabulary(folder, part, parts)
+        vocab, count = _vocabulary(folder)
         me, seq = TaskContext.get().partitionId(), 0
         for pdf in frames:
             for ids, held, sizes, flat in _blocks(pdf):
@@ -170,7 +185,7 @@ def _mapped(tokens: DataFrame, folder: str, part: int, parts: int, n_parts: int,
                 w = full[second]
                 doc = np.repeat(np.arange(len(ids)), sizes + 1)
                 if parts > 1:
-                    mine = (mix(w) % np.uint64(parts)).astype(np.int64) == part
+                    mine = _part_of(w, parts) == part
                     h, w, doc = h[mine], w[mine], doc[mine]
                 at = np.minimum(np.searchsorted(vocab, w), max(0, len(vocab) - 1))
                 known = vocab[at] == w if len(vocab) else np.zeros(len(w), bool)
@@ -276,7 +291,7 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
     every row."""
     spark = docs.sparkSession
     tokens = _tokens(docs)
-    folder = work_path(spark, "llm", "unigrams", unique=True)
+    folder = qualified(spark, work_path(spark, "llm", "unigrams", unique=True))
     unigrams(tokens).write.option("compression", "zstd").parquet(folder)
     vocab = spark.read.schema("w long, c long").parquet(folder)
     # counts of counts, at most K + 2 rows
@@ -284,7 +299,7 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
         F.count(F.lit(1)).alias("n"), F.sum("c").alias("t")).collect()}
     n_words, n_tokens = sum(n for n, _ in of.values()), sum(t for _, t in of.values())
     unigram = Unigram(n_tokens, [of.get(r, (0, 0))[0] for r in range(K + 2)])
-    n_parts = n_parts or max(parallelism(spark), -(-n_tokens // 4_000_000))
+    n_parts = n_parts or max(parallelism(spark), -(-n_tokens // PART_TOKENS))
     least = max(1, n_tokens // (4 * n_parts))
     starts = vocab.where(F.col("w") == END).agg(F.max("c")).first()[0] or 0
     # words with more than a quarter of a partition's tokens: fewer than 4 per partition
@@ -294,9 +309,13 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
     hot_count = np.array([c for _, c in hot_rows], np.int64)
     smooth = n_tokens + n_words + 1
     parts = max(1, -(-n_words // part_words))
+    if parts > 1:
+        folder = qualified(spark, work_path(spark, "llm", "unigram-parts", unique=True))
+        vocab.withColumn("part", _part_column(parts)).repartition("part").write.partitionBy("part") \
+            .option("compression", "zstd").parquet(folder)
     mapped = None
     for k in range(parts):
-        one = _mapped(tokens, folder, k, parts, n_parts, hot, smooth)
+        one = _mapped(tokens, f"{folder}/part={k}" if parts > 1 else folder, k, parts, n_parts, hot, smooth)
         if parts > 1:  # a batch is named by its task, so every pass is a job of its own
             one = stage(one, "blocks")
         mapped = one if mapped is None else mapped.unionByName(one)

@@ -51,16 +51,15 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import drop, stage
+from tablewright.llm.common import drop, lower_ascii, stage, words
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 _SEEN_LIMIT = 500_000
-_WORDS, _WORD_LENGTH = 500_000, 64     # words that a worker remembers, and their longest
+_BATCH = 256                           # sets that are signed at once
 ROUNDS = 6                             # rounds of one pair per class before all open pairs
 
 
@@ -74,26 +73,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        if len(word) <= _WORD_LENGTH:
-            if len(self) >= _WORDS:
-                self.clear()
-            self[word] = h
-        return h
-
-
-_HASHES = _WordHashes()
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    """A hash per word of a text in order. Bytes are split at the ASCII blanks and
-    lower-cased in A-Z only, which is what a word is here."""
-    found = (text or "").encode().lower().split()
-    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
-
-
 def shingle_set(word_hashes: np.ndarray, n: int = 4) -> np.ndarray:
     """Sorted distinct hashes of all runs of n words; fewer words: of all of them."""
     w = word_hashes.astype(np.int64).view(np.uint64)
@@ -106,6 +85,21 @@ def shingle_set(word_hashes: np.ndarray, n: int = 4) -> np.ndarray:
     return np.unique(h)
 
 
+def shingle_sets(texts: list[np.ndarray], n: int = 4) -> list[np.ndarray]:
+    """``shingle_set`` of many word lists at once."""
+    out: list[np.ndarray] = [shingle_set(w, n) if len(w) < n else None for w in texts]
+    long = [i for i, w in enumerate(texts) if len(w) >= n]
+    if long:
+        w = np.concatenate([texts[i] for i in long]).astype(np.int64).view(np.uint64)
+        ends = np.cumsum([len(texts[i]) for i in long])
+        h = np.full(len(w) - n + 1, n, np.uint64)
+        for i in range(n):
+            h = mix(h * _GOLD + w[i:len(w) - n + 1 + i])
+        for i, end in zip(long, ends.tolist()):
+            out[i] = np.unique(h[end - len(texts[i]):end - n + 1])
+    return out
+
+
 def class_id(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -177,20 +171,78 @@ def signatures(s: np.ndarray, percent: int = 85) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
+def signatures_of(sets: list[np.ndarray], percent: int = 85) -> tuple[np.ndarray, np.ndarray]:
+    """(signatures, place of the set) of many non-empty sets at once: those of
+    ``signatures``, some of them twice. Sets for which a part holds empty pairs of
+    pieces, or too many parts are poor, go the single way."""
+    low, high = bands(percent)
+    sigs, at, single = [], [], set()
+    own = np.searchsorted(high, [len(s) for s in sets])
+    for shift in (0, 1):
+        shape = [parts(percent, int(b) + shift) for b in own]
+        many = [i for i, (k, _, _) in enumerate(shape) if k]
+        single |= {i for i, (k, _, _) in enumerate(shape) if not k}
+        if not many:
+            continue
+        n1 = np.array([shape[i][1] for i in many])
+        sizes = np.array([len(sets[i]) for i in many])
+        first = np.concatenate([[0], np.cumsum(n1)[:-1]])          # each set's first part
+        h = mix(np.concatenate([sets[i] for i in many]) + _GOLD)
+        width = np.repeat(3 * n1, sizes).astype(np.uint64)
+        piece = ((h >> np.uint64(32)) * width >> np.uint64(32)).astype(np.int64) + np.repeat(3 * first, sizes)
+        total = int(n1.sum())
+        sums, held = np.zeros(3 * total, np.uint64), np.bincount(piece, minlength=3 * total).reshape(total, 3)
+        np.add.at(sums, piece, mix(h + _GOLD))
+        sums = sums.reshape(total, 3)
+        of = np.repeat(np.arange(len(many)), n1)
+        part = (np.arange(total) - first[of]).astype(np.uint64)
+        band = (own[np.array(many)] + shift).astype(np.uint64)[of]
+        whole = held.sum(1)
+        poor = np.bincount(of, whole < 2, minlength=len(many))
+        odd = poor > np.array([shape[i][2] for i in many])
+        for a, b in ((0, 1), (0, 2), (1, 2)):
+            empty = held[:, a] + held[:, b] == 0
+            odd |= np.bincount(of, empty & (whole > 0), minlength=len(many)) > 0
+        single |= {many[j] for j in np.flatnonzero(odd)}
+        kept = ~odd[of]
+        for a, b in ((0, 1), (0, 2), (1, 2)):
+            tag = mix((part * np.uint64(3) + np.uint64(a + b)) * _GOLD + band * np.uint64(65536))
+            sig = mix(mix(sums[:, a] + tag) * _GOLD + sums[:, b])
+            use = kept & (held[:, a] + held[:, b] > 0)
+            sigs.append(sig[use])
+            at.append(np.array(many)[of[use]])
+    for i in single:
+        own_sigs = signatures(sets[i], percent).view(np.uint64)
+        sigs.append(own_sigs)
+        at.append(np.full(len(own_sigs), i))
+    if not sigs:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(sigs).view(np.int64), np.concatenate(at).astype(np.int64)
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"),
+                       F.transform(words(lower_ascii(F.col("text"))), lambda w: F.xxhash64(w)).alias("w"))
+
+
+def _set_batches(pdf: pd.DataFrame, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, shingle sets) of slices of rows."""
+    for at in range(0, len(pdf), _BATCH):
+        yield at, shingle_sets([np.asarray(w) for w in pdf["w"].iloc[at:at + _BATCH]], n)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, text_key, n_shingles, node (class id; null for empty sets)."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            sets = [shingle_set(word_hashes(t), n) for t in pdf["text"]]
+            sizes, nodes = [], []
+            for _, sets in _set_batches(pdf, n):
+                sizes += [len(s) for s in sets]
+                nodes += [class_id(s) if len(s) else None for s in sets]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
-                                "n_shingles": [len(s) for s in sets],
-                                "node": pd.array([class_id(s) if len(s) else None for s in sets], "Int64")})
+                                "n_shingles": sizes, "node": pd.array(nodes, "Int64")})
 
-    return _keyed(docs).mapInPandas(run, "doc_id long, text_key long, n_shingles long, node long")
+    return _hashed(docs).mapInPandas(run, "doc_id long, text_key long, n_shingles long, node long")
 
 
 def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
@@ -198,20 +250,19 @@ def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for pdf in parts:
-            for at in range(0, len(pdf), 500):
-                nodes, sigs = [], []
-                for t in pdf["text"].iloc[at:at + 500]:
-                    s = shingle_set(word_hashes(t), n)
+            for _, sets in _set_batches(pdf, n):
+                new: dict[int, np.ndarray] = {}
+                for s in sets:
                     if len(s) and (c := class_id(s)) not in seen:
                         if len(seen) >= _SEEN_LIMIT:
                             seen.clear()
                         seen.add(c)
-                        nodes.append(c)
-                        sigs.append(signatures(s, percent))
-                if nodes:
-                    yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(nodes, [len(x) for x in sigs])})
+                        new[c] = s
+                if new:
+                    sigs, at = signatures_of(list(new.values()), percent)
+                    yield pd.DataFrame({"sig": sigs, "node": np.array(list(new))[at]})
 
-    return docs.select("text").mapInPandas(run, "sig long, node long")
+    return _hashed(docs).select("w").mapInPandas(run, "sig long, node long")
 
 
 def _members(signed: DataFrame) -> DataFrame:
@@ -236,11 +287,11 @@ class Verifier:
 
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in parts:
-                made = [shingle_set(word_hashes(t), n) for t in pdf["text"]]
-                yield pd.DataFrame({"node": [class_id(s) if len(s) else 0 for s in made],
-                                    "n": [len(s) for s in made], "s": [s.view(np.int64) for s in made]})
+                for _, made in _set_batches(pdf, n):
+                    yield pd.DataFrame({"node": [class_id(s) if len(s) else 0 for s in made],
+                                        "n": [len(s) for s in made], "s": [s.view(np.int64) for s in made]})
 
-        chosen = _keyed(docs.join(rep.select("doc_id").distinct(), "doc_id", "left_semi")
+        chosen = _hashed(docs.join(rep.select("doc_id").distinct(), "doc_id", "left_semi")
                          .unionByName(docs.where("doc_id is null"), allowMissingColumns=True))
         self.sets = stage(chosen.mapInPandas(run, "node long, n long, s array<bigint>").where("n > 0")
                           .join(involved, "node", "left_semi").dropDuplicates(["node"]), "verify-sets")
@@ -431,10 +482,10 @@ def keep_one(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     (doc_id, text hash). Rows with an empty set all stay."""
     found = stage(jaccard_components(docs, percent, n), "components")
     one = (found.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
-           .select("k.*", F.lit(True).alias("_one")))
-    blank = found.where("group is null").select("doc_id", "text_key", F.lit(False).alias("_one")).distinct()
-    chosen = one.unionByName(blank).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "_one")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    same = Window.partitionBy("_d", "_k").orderBy("_k")
-    return (keyed.join(chosen, keyed["doc_id"].cast("long").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")))
-            .withColumn("_n", F.row_number().over(same)).where("not _one or _n = 1").select(*docs.columns))
+           .select("k.*", F.lit(True).alias("_op6_one")))
+    blank = found.where("group is null").select("doc_id", "text_key", F.lit(False).alias("_op6_one")).distinct()
+    chosen = one.unionByName(blank).select(F.col("doc_id").alias("_op6_d"), F.col("text_key").alias("_op6_k"), "_op6_one")
+    keyed = docs.withColumn("_op6_key", F.xxhash64("text"))
+    same = Window.partitionBy("_op6_d", "_op6_k").orderBy("_op6_k")
+    return (keyed.join(chosen, keyed["doc_id"].cast("long").eqNullSafe(F.col("_op6_d")) & (F.col("_op6_key") == F.col("_op6_k")))
+            .withColumn("_op6_n", F.row_number().over(same)).where("not _op6_one or _op6_n = 1").select(*docs.columns))

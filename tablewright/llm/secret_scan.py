@@ -10,7 +10,7 @@ about 100 KB. Offsets are code points, ends exclusive.
 
 Defined cases: null and empty texts have no spans; repeated rows repeat their
 result; a null doc_id stays; an empty table gives an empty result; other
-columns are passed through untouched; spans of different kinds may overlap,
+columns are passed through, but for the one that it names (``into``); spans of different kinds may overlap,
 the added kind ``random`` never overlaps any base span.
 """
 
@@ -136,8 +136,9 @@ def find(text: str | None, model: Model | None) -> tuple[int, int, int, str, str
     return n_assign, n_access, n_hex, hashlib.sha256(join(base).encode()).hexdigest(), join(found), found
 
 
-def scan(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with a column ``secrets`` (struct of ``RESULT``)."""
+def scan(docs: DataFrame, model: Model | None, into: str = "secrets") -> DataFrame:
+    """``docs`` with a column ``into`` (struct of ``RESULT``), which replaces a
+    column of that name."""
     @F.pandas_udf(RESULT)
     def scanned(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
@@ -147,7 +148,7 @@ def scan(docs: DataFrame, model: Model | None) -> DataFrame:
                 "base": [r[3] for r in rows], "spans": [r[4] for r in rows],
                 "found": [[{"kind": k, "start": a, "end": b} for k, a, b in r[5]] for r in rows]})
 
-    return docs.withColumn("secrets", scanned("text"))
+    return docs.withColumn(into, scanned("text"))
 
 
 def redact(docs: DataFrame, model: Model | None, mark: str = "[SECRET]") -> DataFrame:

@@ -1,9 +1,10 @@
 """Token-ID output with a minimal perfect hash index (operator 1).
 
-Documents are range-sorted by doc_id; each range is one shard file of raw ids
-(little-endian, 16 bits where the vocabulary allows, else 32), document after
-document, each closed by the end id. Rows that repeat a doc_id are records 0, 1,
-... of that key, by the order of their texts' hashes.
+Documents are range-sorted by doc_id, equal ids by the hash of their texts, so that
+an id (or none) that a third of all rows have is spread over many ranges; each
+range is one shard file of raw ids (little-endian, 16 bits where the vocabulary
+allows, else 32), document after document, each closed by the end id. Rows that
+repeat a doc_id are records 0, 1, ... of that key in this order, over all shards.
 
 Index files map a key (doc_id, record) to (shard, offset, length). A file holds
 the keys of one hash bucket, in blocks of about ``BLOCK`` keys. Inside a block
@@ -11,7 +12,8 @@ keys fall into small groups, and each group stores one displacement under which
 all its keys land in free slots of a table with exactly as many slots as keys
 (hash and displace). A lookup hashes the key, reads one displacement and one
 entry, and compares a stored 32-bit fingerprint: constant time, no keys stored,
-and unknown keys are refused but for one in 2**32.
+and unknown keys are refused but for one in 2**32. Keys that share a 64-bit hash
+make the index take the next hash seed.
 
 Files are written under a temporary name and renamed, so a task that runs again
 (a lost executor, speculation) replaces its own file with the same bytes. Paths
@@ -31,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import parallelism, stage
+from tablewright.llm.common import parallelism, qualified, stage, store_of
 from tablewright.llm.encode import Encoder, as_uint32
 from tablewright.llm.partenum_join import mix
 from tablewright.session import work_path
@@ -45,17 +47,9 @@ ENTRY = np.dtype([("print", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("lengt
 HEAD = np.dtype([("keys", "<u8"), ("groups", "<u8")])  # first key and first group of each block
 
 
-def _store(folder: str):
-    from pyarrow import fs
-
-    if "://" not in folder and not folder.startswith("file:"):
-        return fs.LocalFileSystem(), folder
-    return fs.FileSystem.from_uri(folder)
-
-
 def write_file(folder: str, name: str, data) -> None:
     """``data``: bytes, or a function that is given the open file."""
-    store, path = _store(folder)
+    store, path = store_of(folder)
     store.create_dir(path, recursive=True)
     draft = f"{path}/.{name}.{uuid.uuid4().hex}"
     with store.open_output_stream(draft) as f:
@@ -155,13 +149,13 @@ class IndexFile:
 
 
 def _read(folder: str, name: str) -> bytes:
-    store, path = _store(folder)
+    store, path = store_of(folder)
     with store.open_input_file(f"{path}/{name}") as f:
         return f.read()
 
 
-def key_hash():
-    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("record"))
+def key_hash(seed: int):
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("record"), F.lit(seed))
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
@@ -169,13 +163,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json", en
     """Writes shard files; returns doc_id, record, shard, offset, n_tokens (in ids)."""
     n = shards or parallelism(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
-    ordered = keyed.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "tie")
+    # rows that are equal in all of this are parted by chance: their bytes are the same
+    by = [F.col("doc_id").asc_nulls_first(), "tie", "chance"]
+    ordered = keyed.withColumn("chance", F.rand(7)).repartitionByRange(n, *by).sortWithinPartitions(*by)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, shard = Encoder(tokenizer, spaced=True), TaskContext.get().partitionId()
         end = np.array([end_id], enc.dtype).tobytes()
-        store, path = _store(folder)
+        store, path = store_of(folder)
         name, draft, f, at = f"ids-{shard:06d}.bin", "", None, 0
         last, record = object(), 0
         for pdf in parts:
@@ -199,33 +194,47 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json", en
             f.close()
             store.move(draft, f"{path}/{name}")
 
-    return stage(ordered.mapInPandas(run, "doc_id long, record long, shard int, offset long, n_tokens long"), "manifest")
+    made = stage(ordered.mapInPandas(run, "doc_id long, record long, shard int, offset long, n_tokens long"), "manifest")
+    # an id that goes on in the next shard: its records there come after those before
+    order = Window.partitionBy("doc_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    over = made.groupBy("doc_id", "shard").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("before", F.sum("n").over(order) - F.col("n")).where("before > 0") \
+        .select(F.col("doc_id").alias("_d"), F.col("shard").alias("_s"), "before")     # at most one row per shard
+    return made.join(F.broadcast(over), made["doc_id"].eqNullSafe(F.col("_d")) & (made["shard"] == F.col("_s")), "left") \
+        .select("doc_id", (F.col("record") + F.coalesce("before", F.lit(0))).alias("record"), "shard", "offset", "n_tokens")
 
 
-def index(manifest: DataFrame, folder: str, keys_per_file: int = 50_000) -> int:
-    """Writes index files; returns their number (a function of the key count)."""
-    files = max(1, -(-manifest.count() // keys_per_file))
+def index(manifest: DataFrame, folder: str, keys_per_file: int = 50_000) -> tuple[int, int]:
+    """Writes index files; returns their number (a function of the key count) and
+    the hash seed, the first one under which all keys have hashes of their own."""
+    keys, seed = manifest.count(), 0
+    files = max(1, -(-keys // keys_per_file))
+    while manifest.select(key_hash(seed).alias("h")).distinct().count() < keys:
+        seed += 1
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         name = f"index-{int(pdf['file'].iloc[0]):06d}.bin"
         write_file(folder, name, build_index(pdf["h"].to_numpy(), pdf["shard"], pdf["offset"], pdf["n_tokens"]))
         return pd.DataFrame({"file": [pdf["file"].iloc[0]], "n_keys": [len(pdf)]})
 
-    stage(manifest.select(F.pmod(key_hash(), F.lit(files)).cast("int").alias("file"), key_hash().alias("h"), "shard",
+    h = key_hash(seed)
+    stage(manifest.select(F.pmod(h, F.lit(files)).cast("int").alias("file"), h.alias("h"), "shard",
                           "offset", "n_tokens").groupBy("file").applyInPandas(build, "file int, n_keys long"), "index-files")
-    return files
+    return files, seed
 
 
-def lookup(keys: DataFrame, folder: str, files: int) -> DataFrame:
+def lookup(keys: DataFrame, folder: str, files: int, seed: int = 0) -> DataFrame:
     """doc_id, record of ``keys`` with shard, offset, n_tokens; keys that the
     index does not hold are absent."""
+    h = key_hash(seed)
+
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
         found, e = IndexFile(_read(folder, f"index-{int(pdf['file'].iloc[0]):06d}.bin")).lookup(pdf["h"].to_numpy())
         out = pdf.loc[found, ["doc_id", "record"]].astype({"doc_id": "Int64"}).reset_index(drop=True)
         return out.assign(shard=e["shard"][found].astype(np.int32), offset=e["offset"][found].astype(np.int64),
                           n_tokens=e["length"][found].astype(np.int64))
 
-    return (keys.select("doc_id", "record", key_hash().alias("h"), F.pmod(key_hash(), F.lit(files)).cast("int").alias("file"))
+    return (keys.select("doc_id", "record", h.alias("h"), F.pmod(h, F.lit(files)).cast("int").alias("file"))
             .groupBy("file").applyInPandas(find, "doc_id long, record long, shard int, offset long, n_tokens long"))
 
 
@@ -236,7 +245,7 @@ def read(entries: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         width = Encoder(tokenizer, spaced=True).dtype
-        store, path = _store(folder)
+        store, path = store_of(folder)
         shard, f = None, None
         for pdf in parts:
             for a in range(0, len(pdf), 1000):
@@ -261,16 +270,16 @@ def round_trip(docs: DataFrame, folder: str | None = None, **options) -> DataFra
     """Encodes, writes, indexes and reads back: doc_id, record, start, n_tokens,
     ids_crc32. ``start`` counts the ids of all documents before, over all shards."""
     spark = docs.sparkSession
-    folder = folder or work_path(spark, "llm", "token-shards", unique=True)
+    folder = qualified(spark, folder or work_path(spark, "llm", "token-shards", unique=True))
     manifest = write(docs, folder, **options)
-    files = index(manifest, folder)
+    layout = index(manifest, folder)
     totals = manifest.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()  # a row per file
     starts, at = [], 0
     for r in totals:
         starts.append((r["shard"], at))
         at += r["n"]
     first = spark.createDataFrame(starts, "shard int, first long")
-    back = read(lookup(manifest.select("doc_id", "record"), folder, files), folder)
+    back = read(lookup(manifest.select("doc_id", "record"), folder, *layout), folder)
     # a row per shard file: bounded by the number of partitions
     return (back.withColumn("ids_crc32", F.crc32("ids")).drop("ids").join(F.broadcast(first), "shard")
             .select("doc_id", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "record", "shard"))

@@ -73,6 +73,35 @@ def test_token_index_round_trip(docs, none, tmp_path):
     assert token_index.round_trip(none, str(tmp_path / "e")).count() == 0
 
 
+def test_token_index_of_one_hot_key(spark, tmp_path):
+    texts = [f"word {i % 40}" for i in range(300)]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(5, "five"), (5, "also five"), (3, None)], "doc_id long, text string")
+    folder = str(tmp_path / "t")
+    manifest = token_index.write(df, folder, shards=6)
+    rows = manifest.collect()
+    assert len({r.shard for r in rows if r.doc_id is None}) >= 4          # not one range
+    assert sorted(r.record for r in rows if r.doc_id is None) == list(range(300))
+    got = token_index.round_trip(df, str(tmp_path / "r"), shards=6).collect()
+    e = Encoder("byte_bpe_50k.json", True)
+    want = collections.Counter(zlib.crc32(np.append(np.frombuffer(e.encode([t])[0], e.dtype), 0).astype("<u4").tobytes())
+                               for t in [*texts, "five", "also five", None])
+    assert collections.Counter(r.ids_crc32 for r in got) == want
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+
+
+def test_token_index_takes_the_next_seed(spark, tmp_path, monkeypatch):
+    whole = token_index.key_hash
+    monkeypatch.setattr(token_index, "key_hash", lambda seed: whole(seed) if seed else F.lit(1).cast("long"))
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    manifest = token_index.write(df, str(tmp_path / "t"))
+    files, seed = token_index.index(manifest, str(tmp_path / "t"))
+    assert seed == 1
+    assert token_index.lookup(manifest.select("doc_id", "record"), str(tmp_path / "t"), files, seed).count() == 20
+
+
 def test_minimal_perfect_hash():
     h = np.unique(np.random.default_rng(3).integers(-2**63, 2**63 - 1, 5000))
     f = token_index.IndexFile(token_index.build_index(h, np.arange(len(h)), np.arange(len(h)) * 3, np.arange(len(h)) + 1))
@@ -88,7 +117,6 @@ def test_minimal_perfect_hash():
 def test_packing_covers_every_id_once(docs, none):
     rows = curve_packing.pack(docs, length=64, partitions=2).collect()
     e = Encoder("word_bpe_49k.json", False)
-    want = collections.Counter((np.frombuffer(e.encode([t])[0], e.dtype).tolist() + [1]).__repr__() for _, t in TEXTS)
     seqs = collections.defaultdict(list)
     for r in rows:
         seqs[r.sequence_id].append((r.offset, r.length))
@@ -98,13 +126,18 @@ def test_packing_covers_every_id_once(docs, none):
             assert o == at
             at += n
         assert at == 64 or at & (at - 1) == 0
+    # every id of every document lies in one piece, at its place (7 and its copy are equal rows)
     parts = collections.defaultdict(list)
     for r in rows:
-        if r.doc_id not in (7,):
-            parts[r.doc_id].append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
-    got = collections.Counter(sum((i for _, i in sorted(p)), []).__repr__() for p in parts.values())
-    assert got == want - collections.Counter({k: 2 for k in want if want[k] == 2 and "1]" in k and k not in got}) or \
-        sum(r.length for r in rows) == sum(len(eval(k)) * n for k, n in want.items())
+        parts[r.doc_id].append((r.start, np.frombuffer(r.ids, "<u4").tolist(), r.doc_tokens))
+    for d, own in parts.items():
+        ids = [np.frombuffer(e.encode([t])[0], e.dtype).tolist() + [1] for x, t in TEXTS if x == d]
+        at = collections.Counter()
+        for start, piece, total in own:
+            at.update((start + i, x) for i, x in enumerate(piece))
+            assert total == len(ids[0])
+        assert at == collections.Counter((i, x) for one in ids for i, x in enumerate(one))
+    assert set(parts) == {d for d, _ in TEXTS}
     assert curve_packing.pack(none).count() == 0
 
 
@@ -163,9 +196,53 @@ def test_secrets(docs, none):
     assert secret_scan.labelled_samples(none)
 
 
-def test_licences(docs, none):
-    got = licence_scan.licence_scan(docs).collect()
-    assert [(r.doc_id, r.paragraph, r.family) for r in got] == [(12, 0, "Apache-2.0")]
+MIT_WRAPPED = """Some heading
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files, to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom it is furnished to do so.
+
+The end."""
+# Wordings that are not among the templates, and ordinary uses of their words.
+NOTICES = [
+    ("MIT", "The code in this repository is available under the MIT licence."), ("MIT", "MIT licensed, see LICENSE.txt"),
+    ("MIT", MIT_WRAPPED), ("Apache-2.0", "This module uses the Apache 2 license."),
+    ("Apache-2.0", "Copyright 2019 The Authors. Licensed under the Apache License, Version 2.0; see the LICENSE file."),
+    ("ISC", "Code is released under the ISC license."), ("Unlicense", "This is free and unencumbered software, released into the public domain."),
+    ("CC0", "The author dedicates this data set to the public domain, under CC0 1.0."),
+    ("BSD", "Redistributions of source code must retain the above copyright notice and this list of conditions."),
+    ("LGPL", "This file is covered by the GNU Lesser General Public License v2.1."),
+    ("LGPL", "You can redistribute this library under the terms of the GNU Lesser General Public License, version 3."),
+    ("GPL", "This file is part of a program under the GNU General Public License version 2."),
+    ("GPL", "Released under the terms of the GNU GPL version 3."), ("AGPL", "This server is licensed under the GNU Affero General Public License v3."),
+    ("MPL", "This file is subject to the Mozilla Public License 2.0."), ("EPL", "Made available under the Eclipse Public License 2.0."),
+    ("CC", "Text is available under the Creative Commons Attribution-ShareAlike 3.0 license."), ("CC", "Photo licensed under CC BY-SA 2.0."),
+    ("Zlib", "Distributed under the zlib license."), ("BSL-1.0", "Released under the Boost Software License 1.0."),
+]
+ORDINARY = ["A driver's licence is needed to rent a car here.", "She got her degree from MIT and a dog license from the city.",
+            "Permission to enter the building was refused.", "The warranty of this product ends after one year.",
+            "Copyright of the photographs belongs to the museum.", "The general public may visit the garden.", "An Apache chief rode by."]
+
+
+def test_licences(spark, docs, none):
+    rows = [(i, f"{PROSE}\n{t}\n{PROSE}" if i % 2 else t) for i, (_, t) in enumerate(NOTICES)]
+    rows += [(100 + i, f"{PROSE}\n{t}") for i, t in enumerate(ORDINARY)]
+    rows += [(200, None), (201, ""), (202, " \n \n"), (None, "MIT licensed"), (203, NOTICES[0][1]), (203, NOTICES[0][1]),
+             (204, "\n".join(["word " * 20] * 20000 + ["Licensed under CC BY-NC 4.0."])), (205, "x" * 2_000_000 + " license")]
+    df = spark.createDataFrame([(d, t, 1, "clash") for d, t in rows], "doc_id long, text string, row int, words string")
+    got = collections.defaultdict(list)
+    for r in licence_scan.licence_scan(df).collect():
+        got[r.doc_id].append((r.family, r.paragraph))
+    hits = [got.get(i, [(None, 0)]) for i in range(len(NOTICES))]
+    right = sum([f for f, _ in h] == [want] for h, (want, _) in zip(hits, NOTICES))
+    assert right >= 0.9 * len(NOTICES), [(w, h) for h, (w, _) in zip(hits, NOTICES) if [f for f, _ in h] != [w]]
+    assert [f for f, _ in got[9]] == ["LGPL"] == [f for f, _ in got[10]]          # not GPL
+    assert not [d for d in got if d is not None and 100 <= d < 203], got
+    assert [f for f, _ in got[None]] == ["MIT"] and [f for f, _ in got[203]] == ["MIT", "MIT"]
+    assert got[204] == [("CC", 20000)] and 205 not in got
+    assert [(r.doc_id, r.paragraph, r.family) for r in licence_scan.licence_scan(docs).collect()] == [(12, 0, "Apache-2.0")]
     assert licence_scan.licence_scan(none).count() == 0
 
 
@@ -247,6 +324,18 @@ def test_components_do_not_depend_on_the_rounds(spark, monkeypatch, rounds):
     assert len({r.component_id for r in got}) == 6
 
 
+def test_many_sets_sign_as_single_ones_do():
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(-2**62, 2**62, int(k)) for k in [0, 1, 2, 3, 4, 5, 9, *rng.integers(1, 900, 120), 3000]]
+    sets = partenum_join.shingle_sets(texts)
+    assert all((a == partenum_join.shingle_set(t)).all() and len(a) == len(partenum_join.shingle_set(t)) for a, t in zip(sets, texts))
+    some = [s for s in sets if len(s)]
+    for percent in (80, 85):
+        sigs, at = partenum_join.signatures_of(some, percent)
+        for i, s in enumerate(some):
+            assert set(sigs[at == i].tolist()) == set(partenum_join.signatures(s, percent).tolist())
+
+
 def test_similar_sets_always_share_a_signature():
     rng = np.random.default_rng(2)
     for _ in range(1500):
@@ -319,6 +408,68 @@ def test_wand_finds_what_exhaustive_scoring_finds(spark):
         assert sorted(d for d, _ in index.search(q, 0.25)) == sorted(d for d, s in score.items() if s >= 0.25)
 
 
+class _Katz:
+    """The bigram model as its definition says, in plain Python."""
+
+    def __init__(self, texts):
+        self.pairs, self.of = collections.Counter(), collections.Counter()
+        for t in texts:
+            ws = [*words(t), "</s>"]
+            self.of.update(ws)
+            self.pairs.update(zip(["<s>", *ws], ws))
+        n = [sum(c == r for c in self.of.values()) for r in range(katz.K + 2)]
+        self.d1 = katz.discounts(n)
+        self.n = sum(self.of.values())
+        kept = sum(self._kept(c, self.d1) for c in self.of.values())
+        self.total = self.n if self.n - kept > 1e-9 else self.n + 1
+        self.unknown = (self.total - kept) / self.total
+        self.d2 = katz.discounts([sum(c == r for c in self.pairs.values()) for r in range(katz.K + 2)])
+        self.after = collections.defaultdict(dict)
+        for (h, w), c in self.pairs.items():
+            self.after[h][w] = c
+
+    @staticmethod
+    def _kept(c, d):
+        return c * (d[c] if c <= katz.K else 1.0)
+
+    def uni(self, w):
+        return self._kept(self.of[w], self.d1) / self.total if self.of[w] else self.unknown
+
+    def p(self, h, w):
+        seen = self.after.get(h, {})
+        n = sum(seen.values()) + 1
+        if w in seen:
+            return self._kept(seen[w], self.d2) / n
+        left = 1 - sum(self._kept(c, self.d2) for c in seen.values()) / n
+        return left / (1 - sum(self.uni(x) for x in seen)) * self.uni(w)
+
+    def score(self, t):
+        ws = [*words(t), "</s>"]
+        return sum(np.log10(self.p(h, w)) for h, w in zip(["<s>", *ws], ws))
+
+
+@pytest.mark.parametrize("options", [{}, {"n_parts": 4, "part_words": 20}])
+def test_katz_is_the_plain_model(spark, options):
+    rng = np.random.default_rng(11)
+    vocab = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(vocab[x % 60] for x in rng.zipf(1.3, int(rng.integers(0, 40))))) for i in range(120)]
+    rows += [(500, None), (501, "never seen words here"), (None, "w0 w1 w0 w1"), (3, rows[3][1])]
+    model = _Katz([t for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 7 != 2])
+    got = collections.Counter((r.doc_id, round(r.score, 8)) for r in
+                              katz.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), **options).collect())
+    want = collections.Counter((d, round(float(model.score(t)), 8)) for d, t in rows)
+    off = [(a, b) for a, b in zip(sorted(got, key=str), sorted(want, key=str)) if a[0] != b[0] or abs(a[1] - b[1]) > 1e-6]
+    assert sum(got.values()) == sum(want.values()) and not off
+    for h in [*list(model.after)[:20], "no such history"]:      # every history sums to one
+        assert sum(model.p(h, w) for w in model.of) + model.p(h, "unheard") == pytest.approx(1, abs=1e-9)
+
+
+@pytest.mark.parametrize("n", [[0, 20, 10, 5, 3, 1, 0], [0, 5, 9, 20, 30, 40, 80], [0, 3, 0, 0, 0, 0, 0], [0] * 7, [0, 10**6, 10**5, 10**4, 10**3, 100, 10]])
+def test_good_turing_discounts_hold_for_any_table(n):
+    d = katz.discounts(n)
+    assert all(0 < x < 1 for x in d[1:]) and d[1:] == sorted(d[1:])
+
+
 def test_katz_is_normalised_and_split_alike(spark, docs, none):
     a = {(r.doc_id, r.n_tokens): r for r in katz.score(docs).collect()}
     b = {(r.doc_id, r.n_tokens): r for r in katz.score(docs, n_parts=5, part_words=1000).collect()}
