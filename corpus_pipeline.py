@@ -16,7 +16,8 @@ from tablewright.llm.common import stage, table
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score >= 0.3)."""
     machine = factor_machine.train(docs, table(spark, sf_dir, "labels"))
-    return factor_machine.score(docs, machine).where("predicted = 1").select(*docs.columns)
+    scored = factor_machine.score(docs, machine, into="_quality", flag="_accepted")
+    return scored.where("_accepted = 1").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
