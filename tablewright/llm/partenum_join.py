@@ -173,7 +173,7 @@ def signatures(s: np.ndarray, percent: int = 85) -> np.ndarray:
 
 def signatures_of(sets: list[np.ndarray], percent: int = 85) -> tuple[np.ndarray, np.ndarray]:
     """(signatures, place of the set) of many non-empty sets at once: those of
-    ``signatures``, some of them twice. Sets for which a part holds empty pairs of
+    ``signatures``. Sets for which a part holds empty pairs of
     pieces, or too many parts are poor, go the single way."""
     low, high = bands(percent)
     sigs, at, single = [], [], set()
@@ -211,7 +211,11 @@ def signatures_of(sets: list[np.ndarray], percent: int = 85) -> tuple[np.ndarray
             use = kept & (held[:, a] + held[:, b] > 0)
             sigs.append(sig[use])
             at.append(np.array(many)[of[use]])
-    for i in single:
+    if sigs:    # a set that goes the single way in one of its bands does so in both
+        both, of = np.concatenate(sigs), np.concatenate(at)
+        use = ~np.isin(of, sorted(single))
+        sigs, at = [both[use]], [of[use]]
+    for i in sorted(single):
         own_sigs = signatures(sets[i], percent).view(np.uint64)
         sigs.append(own_sigs)
         at.append(np.full(len(own_sigs), i))
