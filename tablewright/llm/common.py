@@ -6,6 +6,7 @@ so that offsets and counts do not depend on a locale.
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,6 +61,13 @@ def drop(*staged: DataFrame | None) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs. It does so once the driver's
+    memory is tidied, which a driver with little to do hardly ever does by itself."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme of the file system that Spark resolves it on, for
     files that tasks open themselves (``store_of``)."""

@@ -27,11 +27,14 @@ at signatures whose classes still lie in different components: each class outsid
 the signature's leading component is compared with one class of that component
 that it shares most signatures with, and links join components at once, so what
 is joined is never compared again. In a group of near copies nearly all are joined
-after a few rounds of one pair per class. What then remains open (components that
-share signatures but no link was found) is settled exactly: the leaders of two
-components that share a signature are compared, a link joins them, and where there
-is none their classes are compared in so far as the triangle inequality of the
-Jaccard distance leaves a link open.
+after a few rounds of one pair per class. What then remains open (classes that
+share signatures but no link was found) is settled exactly. Classes that are nearly
+similar enough share signatures without a link, all with all in a large group; so
+the open classes are asked for more: in the order of how many open classes hold an
+element, rarest first, two sets that reach the similarity share one of their first
+few elements (``prefix_marks``). What a group has in common comes last in that
+order. The leaders of two components that share such an element are compared, a link joins them, and where there is none their classes are compared in so
+far as the triangle inequality of the Jaccard distance leaves a link open.
 Components come from large-star/small-star rounds. Every step is written to the
 shared folder, and dropped when its last reader is done.
 
@@ -54,11 +57,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import drop, lower_ascii, stage, words
+from tablewright.llm.common import drop, forget, stage
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 _SEEN_LIMIT = 500_000
+_WORD_LIMIT = 300_000
 _BATCH = 256                           # sets that are signed at once
 ROUNDS = 6                             # rounds of one pair per class before all open pairs
 
@@ -73,6 +77,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Hashes(dict):
+    """Hashes of the words met before in this worker."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return h
+
+
+_HASHES = _Hashes()
+
+
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """Hashes of the words of a UTF-8 text, A-Z lower-cased; the blanks at which
+    bytes are split are ``BLANKS``."""
+    if len(_HASHES) > _WORD_LIMIT:
+        _HASHES.clear()
+    found = (text or b"").lower().split()
+    return np.fromiter(map(_HASHES.__getitem__, found), np.int64, len(found))
+
+
 def shingle_set(word_hashes: np.ndarray, n: int = 4) -> np.ndarray:
     """Sorted distinct hashes of all runs of n words; fewer words: of all of them."""
     w = word_hashes.astype(np.int64).view(np.uint64)
@@ -224,15 +248,15 @@ def signatures_of(sets: list[np.ndarray], percent: int = 85) -> tuple[np.ndarray
     return np.concatenate(sigs).view(np.int64), np.concatenate(at).astype(np.int64)
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
+def _bytes(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"),
-                       F.transform(words(lower_ascii(F.col("text"))), lambda w: F.xxhash64(w)).alias("w"))
+                       F.col("text").cast("binary").alias("text"))
 
 
 def _set_batches(pdf: pd.DataFrame, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, shingle sets) of slices of rows."""
     for at in range(0, len(pdf), _BATCH):
-        yield at, shingle_sets([np.asarray(w) for w in pdf["w"].iloc[at:at + _BATCH]], n)
+        yield at, shingle_sets([word_hashes(t) for t in pdf["text"].iloc[at:at + _BATCH]], n)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -246,7 +270,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
                                 "n_shingles": sizes, "node": pd.array(nodes, "Int64")})
 
-    return _hashed(docs).mapInPandas(run, "doc_id long, text_key long, n_shingles long, node long")
+    return _bytes(docs).mapInPandas(run, "doc_id long, text_key long, n_shingles long, node long")
 
 
 def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
@@ -266,7 +290,7 @@ def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
                     sigs, at = signatures_of(list(new.values()), percent)
                     yield pd.DataFrame({"sig": sigs, "node": np.array(list(new))[at]})
 
-    return _hashed(docs).select("w").mapInPandas(run, "sig long, node long")
+    return _bytes(docs).select("text").mapInPandas(run, "sig long, node long")
 
 
 def _members(signed: DataFrame) -> DataFrame:
@@ -295,7 +319,7 @@ class Verifier:
                     yield pd.DataFrame({"node": [class_id(s) if len(s) else 0 for s in made],
                                         "n": [len(s) for s in made], "s": [s.view(np.int64) for s in made]})
 
-        chosen = _hashed(docs.join(rep.select("doc_id").distinct(), "doc_id", "left_semi")
+        chosen = _bytes(docs.join(rep.select("doc_id").distinct(), "doc_id", "left_semi")
                          .unionByName(docs.where("doc_id is null"), allowMissingColumns=True))
         self.sets = stage(chosen.mapInPandas(run, "node long, n long, s array<bigint>").where("n > 0")
                           .join(involved, "node", "left_semi").dropDuplicates(["node"]), "verify-sets")
@@ -371,10 +395,10 @@ def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _placed(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """sig, node, comp of the signatures whose classes lie in several components."""
-    placed = members.select("sig", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    """sig, node (and more columns), comp of the signatures whose classes lie in several components."""
+    placed = members.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     several = placed.groupBy("sig").agg((F.min("comp") != F.max("comp")).alias("several")).where("several").select("sig")
-    return placed.join(several, "sig", "left_semi").select("sig", "node", "comp")
+    return placed.join(several, "sig", "left_semi").select(*(c for c in members.columns if c != "comp"), "comp")
 
 
 def _leading(open_: DataFrame) -> DataFrame:
@@ -399,30 +423,76 @@ def _round(open_: DataFrame, turn: int, tried: DataFrame | None) -> DataFrame:
     return best.select("p.a", "p.b").distinct()
 
 
-def _settled(open_: DataFrame, check: Verifier, limit: float, comp: DataFrame) -> DataFrame:
-    """``comp`` after all links that are left among the classes of open signatures.
+def prefix_marks(n: int, shared: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sig, side, partner) of a set of n elements, whose last ones in the common order
+    are ``shared``, for every band of sizes that a set linked to it can have. If the
+    first element two linked sets share is at place i, they share n - i at most, so
+    both hold it among their first n - c + 1, c the least that such sizes must share.
+    Sides part the sets of a mark by band: one side is compared with the other."""
+    low, high = bands(99)
+    own = int(np.searchsorted(high, n))
+    least, most = -(-n * percent // 100), n * 100 // percent
+    sig, side = [], []
+    for other in range(int(np.searchsorted(high, least)), int(np.searchsorted(high, most)) + 1):
+        common = -(-(n + max(least, int(low[other]))) * percent // (100 + percent))
+        first = shared[:max(0, n - common + 1 - (n - len(shared)))]
+        tag = np.array([min(own, other) << 32 | max(own, other)], np.uint64)
+        sig.append(mix(mix(first.view(np.uint64) + _GOLD) + mix(tag)).view(np.int64))
+        side.append(np.full(len(first), np.sign(own - other)))
+    sides = np.concatenate(side)
+    return np.concatenate(sig), sides, -sides
+
+
+def _prefixes(open_: DataFrame, check: Verifier) -> DataFrame:
+    """sig, side, partner, node: ``prefix_marks`` of the classes of ``open_``; two of
+    these with a link share one at least."""
+    sets = check.sets.join(open_.select("node").distinct(), "node", "left_semi")
+    elements = sets.select("node", "n", F.explode("s").alias("e"))
+    often = elements.groupBy("e").agg(F.count(F.lit(1)).alias("f"))
+    # an element of one class only leads to nothing, but takes its place in the order
+    ranked = elements.join(often.where("f > 1"), "e").groupBy("node", "n") \
+        .agg(F.sort_array(F.collect_list(F.struct("f", "e")))["e"].alias("shared"))
+    percent = check.percent
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for at in range(0, len(pdf), _BATCH):
+                part = pdf.iloc[at:at + _BATCH]
+                made = [prefix_marks(n, np.asarray(e, np.int64), percent) for n, e in zip(part["n"].tolist(), part["shared"])]
+                sig, side, partner = (np.concatenate(x) for x in zip(*made))
+                yield pd.DataFrame({"sig": sig, "side": side, "partner": partner,
+                                    "node": np.repeat(part["node"].to_numpy(), [len(m[0]) for m in made])})
+
+    return ranked.mapInPandas(run, "sig long, side int, partner int, node long")
+
+
+def _settled(marks: DataFrame, check: Verifier, limit: float, comp: DataFrame) -> DataFrame:
+    """``comp`` after all links that are left among the classes of ``marks``: (sig,
+    side, partner, node, comp), a class is compared with those of its partner side.
 
     The distance is a metric, and a component is led by its smallest class: for
     classes b and a of components led by c and x, d(b, a) is at least
     d(c, x) - d(b, c) - d(a, x). Leaders are compared once per pair of components
-    that share a signature; classes only where this bound leaves a link open."""
-    own = check.distances(open_.where("node <> comp").select(F.col("node").alias("b"), F.col("comp").alias("a")).distinct())
-    rows = stage(open_.join(own.select(F.col("b").alias("node"), F.col("a").alias("comp"), "d"), ["node", "comp"], "left")
-                 .select("sig", "node", "comp", F.coalesce("d", F.lit(0.0)).alias("d")), "open-distances")
-    sides = rows.groupBy("sig", "comp").agg(F.max("d").alias("r"))
-    c, x = sides.select("sig", F.col("comp").alias("c"), F.col("r").alias("rc")), \
-        sides.select("sig", F.col("comp").alias("x"), F.col("r").alias("rx"))
-    meets = stage(c.join(x, "sig").where("c < x"), "meets")
+    that share a mark; classes only where this bound leaves a link open."""
+    own = check.distances(marks.where("node <> comp").select(F.col("node").alias("b"), F.col("comp").alias("a")).distinct())
+    rows = stage(marks.join(own.select(F.col("b").alias("node"), F.col("a").alias("comp"), "d"), ["node", "comp"], "left")
+                 .select("sig", "side", "partner", "node", "comp", F.coalesce("d", F.lit(0.0)).alias("d")), "open-distances")
+    sides = rows.groupBy("sig", "side", "partner", "comp").agg(F.max("d").alias("r"))
+    c, x = sides.select("sig", "side", "partner", F.col("comp").alias("c"), F.col("r").alias("rc")), \
+        sides.select("sig", F.col("side").alias("partner"), F.col("comp").alias("x"), F.col("r").alias("rx"))
+    meets = stage(c.join(x, ["sig", "partner"]).where("c < x"), "meets")
     apart = check.distances(meets.select(F.col("c").alias("b"), F.col("x").alias("a")).distinct())
     comp = merged(comp, apart.where((F.col("d") <= limit) & (F.col("b") < F.col("a"))).select("a", "b"))
-    # components that are still apart, and signatures in which a link is possible
+    # components that are still apart, and marks under which a link is possible
     name = lambda col: comp.select(F.col("node").alias(col), F.col("comp").alias(f"now_{col}"))
     left = stage(meets.join(apart.select(F.col("b").alias("c"), F.col("a").alias("x"), F.col("d").alias("dist")), ["c", "x"])
                  .where(F.col("dist") - F.col("rc") - F.col("rx") <= limit)
                  .join(name("c"), "c", "left").join(name("x"), "x", "left")
-                 .where(F.coalesce("now_c", "c") != F.coalesce("now_x", "x")).select("sig", "c", "x", "dist"), "left")
-    side = lambda col, node: rows.select("sig", F.col("comp").alias(col), F.col("node").alias(node), F.col("d").alias(f"d_{node}"))
-    pairs = left.join(side("c", "b"), ["sig", "c"]).join(side("x", "a"), ["sig", "x"]) \
+                 .where(F.coalesce("now_c", "c") != F.coalesce("now_x", "x"))
+                 .select("sig", "side", "partner", "c", "x", "dist"), "left")
+    of = lambda side, col, node: rows.select("sig", F.col("side").alias(side), F.col("comp").alias(col),
+                                             F.col("node").alias(node), F.col("d").alias(f"d_{node}"))
+    pairs = left.join(of("side", "c", "b"), ["sig", "side", "c"]).join(of("partner", "x", "a"), ["sig", "partner", "x"]) \
         .where(F.col("dist") - F.col("d_b") - F.col("d_a") <= limit).select("a", "b")
     new = check.links(pairs)
     out = merged(comp, new)
@@ -430,17 +500,10 @@ def _settled(open_: DataFrame, check: Verifier, limit: float, comp: DataFrame) -
     return out
 
 
-def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFrame]:
-    """``sets`` and the component of every class with a link."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    sets = stage(_sets(docs, n), "shingle-sets")
-    members = stage(_members(_signed(docs, percent, n)), "members")
-    involved = stage(members.select("node").distinct(), "involved")
-    check = Verifier(docs, sets, involved, percent, n)
-    drop(involved)
-
-    comp = docs.sparkSession.createDataFrame([], "node long, comp long")
-    tried, open_ = None, members
+def _rounds(open_: DataFrame, check: Verifier, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What stays open of ``open_`` after rounds of one pair per class, and ``comp``
+    after the links found."""
+    tried = None
     for turn in range(ROUNDS):
         was, open_ = open_, stage(_placed(open_, comp), "open")
         drop(was)
@@ -452,10 +515,30 @@ def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFram
         comp = merged(comp, links)
         last, tried = tried, stage(pairs if tried is None else tried.unionByName(pairs), "tried")
         drop(links, pairs, last)
+        forget(comp.sparkSession)
         if found * 20 < looked:     # the rest are hardly near copies: settle them
             break
     was, open_ = open_, stage(_placed(open_, comp), "open")
     drop(was, tried)
+    return open_, comp
+
+
+def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFrame]:
+    """``sets`` and the component of every class with a link."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    sets = stage(_sets(docs, n), "shingle-sets")
+    members = stage(_members(_signed(docs, percent, n)), "members")
+    involved = stage(members.select("node").distinct(), "involved")
+    check = Verifier(docs, sets, involved, percent, n)
+    drop(involved)
+    forget(docs.sparkSession)
+
+    comp = docs.sparkSession.createDataFrame([], "node long, comp long")
+    open_, comp = _rounds(members, check, comp)
+    if not open_.isEmpty():
+        was, open_ = open_, stage(_prefixes(open_, check), "marks")
+        drop(was)
+        open_, comp = _rounds(open_, check, comp)
     # A metric: b can only link with classes a that have d(a, x) >= d(b, x) - limit.
     if not open_.isEmpty():
         comp = _settled(open_, check, 1 - percent / 100 + 1e-9, comp)

@@ -1,6 +1,7 @@
 """The text operators on small hand-made tables against plain brute force."""
 
 import collections
+import random
 import re
 import zlib
 
@@ -480,3 +481,50 @@ def test_katz_is_normalised_and_split_alike(spark, docs, none):
     u = katz.Unigram(100, [0, 20, 10, 5, 3, 1, 0])
     assert u.unknown + sum(n * u.p(np.array([r]))[0] for r, n in enumerate([0, 20, 10, 5, 3, 1]) if r) + u.rest / u.total == pytest.approx(1)
     assert katz.score(none).count() == 0
+
+
+def test_words_of_bytes_are_the_words_of_the_text():
+    text = "AbC  déÉ\x0b\x1cx\r\ny z\x85 İI\t"
+    found = partenum_join.word_hashes(text.encode())
+    assert len(found) == len(re.findall("[^\x20\x09-\x0D]+", text))
+    assert (found == partenum_join.word_hashes("abc\ndéÉ \x1cx y z\x85 İi".encode())).all()
+    assert len(partenum_join.word_hashes(None)) == len(partenum_join.word_hashes(b" \n")) == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_a_mark(percent):
+    rng, linked = np.random.default_rng(percent), 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 300))
+        a, place = np.arange(n), rng.permutation(2000)
+        b = np.r_[rng.permutation(n)[:max(1, int(n * (1 - rng.random() * 0.15)))], 1000 + np.arange(rng.integers(0, n // 8 + 1))]
+        both = np.intersect1d(a, b)
+        if 100 * len(both) < percent * (len(a) + len(b) - len(both)):
+            continue
+        linked += 1
+        shared = both[np.argsort(place[both])]      # elements of one set only come before
+        of_a, of_b = (partenum_join.prefix_marks(len(s), shared, percent) for s in (a, b))
+        assert set(zip(of_a[0].tolist(), of_a[1].tolist())) & set(zip(of_b[0].tolist(), of_b[2].tolist()))
+    assert linked > 1000
+
+
+def test_group_of_copies_below_the_similarity_is_not_compared_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for d in range(240):    # every pair shares about two thirds of its shingles
+        words = list(base)
+        for i, p in enumerate(rng.sample(range(4, 116), 5)):
+            words[p] = f"x{d}y{i}"
+        rows.append((d, " ".join(words)))
+    made, whole = {}, partenum_join.stage
+
+    def counted(df, name, **more):
+        out = whole(df, name, **more)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(partenum_join, "stage", counted)
+    got = partenum_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == _jaccard_components(rows)
+    assert made["open"] > 2000                      # nearly all share signatures
+    assert made.get("meets", 0) < 240 * 239 // 20
