@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import parallelism, stage
-from tablewright.llm.encode import Encoder
+from tablewright.llm.encode import encoder
 
 DIMS, BITS, SLOTS = 4, 10, 4096
 
@@ -76,7 +76,7 @@ def curve_keys(vectors: np.ndarray) -> np.ndarray:
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id, ids (bytes, with the end id), width, curve key, tie."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, proj = Encoder(tokenizer, spaced=False), _projection()
+        enc, proj = encoder(tokenizer, spaced=False), _projection()
         end = np.array([end_id], enc.dtype).tobytes()
         for pdf in parts:
             ids = [b + end for b in enc.batches(pdf["text"])]

@@ -2,8 +2,8 @@
 
 Both vocabularies split a text into pieces before merging (at the latest at
 white space), so the ids of a text are the ids of its space-separated pieces
-put together. Each worker encodes a distinct piece once and remembers it (a
-bounded memo); rare layouts, such as runs of blanks, stay inside one piece and
+put together. Each worker encodes a distinct piece once and remembers it over all
+its tasks (a bounded memo, see ``encoder``); rare layouts, such as runs of blanks, stay inside one piece and
 are encoded as they stand. A piece of plain letters, ASCII punctuation and single
 line ends is cut further into runs of one kind, which both vocabularies split at,
 so a word is encoded once whatever stands around it. Runs not known yet go to the
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -151,5 +152,12 @@ class Encoder:
             yield from self.encode(part)
 
 
+@lru_cache(2)
+def encoder(name: str, spaced: bool) -> Encoder:
+    """The encoder of a vocabulary, once per Python worker: its tasks share the
+    tokenizer and the pieces met before."""
+    return Encoder(name, spaced)
+
+
 def as_uint32(ids: bytes, dtype: np.dtype) -> bytes:
     return np.frombuffer(ids, dtype).astype("<u4").tobytes()

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import parallelism, qualified, stage, store_of
-from tablewright.llm.encode import Encoder, as_uint32
+from tablewright.llm.encode import as_uint32, encoder
 from tablewright.llm.partenum_join import mix
 from tablewright.session import work_path
 
@@ -168,7 +168,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json", en
     ordered = keyed.withColumn("chance", F.rand(7)).repartitionByRange(n, *by).sortWithinPartitions(*by)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, shard = Encoder(tokenizer, spaced=True), TaskContext.get().partitionId()
+        enc, shard = encoder(tokenizer, spaced=True), TaskContext.get().partitionId()
         end = np.array([end_id], enc.dtype).tobytes()
         store, path = store_of(folder)
         name, draft, f, at = f"ids-{shard:06d}.bin", "", None, 0
@@ -244,7 +244,7 @@ def read(entries: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json")
     n = parallelism(entries.sparkSession)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        width = Encoder(tokenizer, spaced=True).dtype
+        width = encoder(tokenizer, spaced=True).dtype
         store, path = store_of(folder)
         shard, f = None, None
         for pdf in parts:

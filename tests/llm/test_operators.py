@@ -528,3 +528,11 @@ def test_group_of_copies_below_the_similarity_is_not_compared_pair_by_pair(spark
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == _jaccard_components(rows)
     assert made["open"] > 2000                      # nearly all share signatures
     assert made.get("meets", 0) < 240 * 239 // 20
+
+
+def test_tasks_of_a_worker_share_the_encoder():
+    from tablewright.llm import encode
+    assert curve_packing.encoder is token_index.encoder is encode.encoder
+    one = encode.encoder("word_bpe_49k.json", spaced=False)
+    first = one.encode(["some words here"])
+    assert encode.encoder("word_bpe_49k.json", spaced=False) is one and one.encode(["some words here"]) == first
