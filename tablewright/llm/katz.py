@@ -46,16 +46,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import lower_ascii, parallelism, qualified, stage, store_of, words
-from tablewright.llm.partenum_join import mix
+from tablewright.llm.common import parallelism, qualified, stage, store_of
+from tablewright.llm.partenum_join import mix, word_hashes
 from tablewright.session import work_path
 
 K = 5
 START, END = -0x5A5A5A5A5A5A5A5B, 0x5A5A5A5A5A5A5A5A
 PART_WORDS = 16_000_000
-PART_TOKENS = 1_000_000   # tokens whose pairs one task holds
+PART_TOKENS = 500_000   # tokens whose pairs one task holds
 FLATTEST = -1.1           # slope of the counts of counts, at most
-_BLOCK_TOKENS = 1_000_000
+_BLOCK_TOKENS = 300_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -98,7 +98,7 @@ class Unigram:
 
 def _tokens(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"),
-                       F.transform(words(lower_ascii(F.col("text"))), lambda w: F.xxhash64(w)).alias("w"))
+                       F.col("text").cast("binary").alias("text"))
 
 
 def unigrams(tokens: DataFrame) -> DataFrame:
@@ -106,11 +106,11 @@ def unigrams(tokens: DataFrame) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             for at in range(0, len(pdf), 2000):
-                part = [np.asarray(w, np.int64) for w in pdf["w"].iloc[at:at + 2000]]
+                part = [word_hashes(t) for t in pdf["text"].iloc[at:at + 2000]]
                 w, c = np.unique(np.concatenate([*part, np.full(len(part), END)]), return_counts=True)
                 yield pd.DataFrame({"w": w, "c": c})
 
-    return tokens.where("not held_out").select("w").mapInPandas(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    return tokens.where("not held_out").select("text").mapInPandas(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
 def _part_of(w: np.ndarray, parts: int) -> np.ndarray:
@@ -132,14 +132,16 @@ def _unpack(b: bytes) -> dict:
 
 
 def _blocks(pdf: pd.DataFrame) -> Iterator[tuple]:
-    """(doc_ids, held, lengths, flat words) of at most about _BLOCK_TOKENS words."""
-    sizes = np.array([len(w) for w in pdf["w"]], np.int64)
-    cut = np.flatnonzero(np.diff(np.cumsum(sizes) // _BLOCK_TOKENS)) + 1
-    for idx in np.split(np.arange(len(pdf)), cut):
-        for part in np.array_split(idx, -(-len(idx) // 60_000)):
-            own = pdf.iloc[part]
-            yield (own["doc_id"].astype("Int64").tolist(), own["held_out"].to_numpy(dtype=bool), sizes[part],
-                   [np.asarray(w, np.int64) for w in own["w"]])
+    """(doc_ids, held, lengths, words of each) of at most 60,000 rows, closed as soon as
+    they hold _BLOCK_TOKENS words."""
+    ids, held = pdf["doc_id"].astype("Int64").tolist(), pdf["held_out"].to_numpy(dtype=bool)
+    start, n, found = 0, 0, []
+    for i, text in enumerate(pdf["text"]):
+        found.append(word_hashes(text))
+        n += len(found[-1])
+        if n >= _BLOCK_TOKENS or len(found) == 60_000 or i + 1 == len(pdf):
+            yield ids[start:i + 1], held[start:i + 1], np.array([len(w) for w in found], np.int64), found
+            start, n, found = i + 1, 0, []
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:

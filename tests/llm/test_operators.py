@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -536,3 +537,15 @@ def test_tasks_of_a_worker_share_the_encoder():
     one = encode.encoder("word_bpe_49k.json", spaced=False)
     first = one.encode(["some words here"])
     assert encode.encoder("word_bpe_49k.json", spaced=False) is one and one.encode(["some words here"]) == first
+
+
+def test_blocks_of_tokens_are_bounded_and_whole(monkeypatch):
+    monkeypatch.setattr(katz, "_BLOCK_TOKENS", 10)
+    texts = [b"a b c", None, b"", b"A b c d e f g h i j k l m", b"x"] * 7
+    frame = pd.DataFrame({"doc_id": pd.array(range(len(texts)), "Int64"), "held_out": [i % 2 == 0 for i in range(len(texts))],
+                          "text": texts})
+    made = list(katz._blocks(frame))
+    assert [i for ids, *_ in made for i in ids] == list(range(len(texts)))
+    assert all(sum(sizes[:-1]) < 10 for _, _, sizes, _ in made)
+    assert [len((t or b"").split()) for t in texts] == [n for _, _, sizes, _ in made for n in sizes]
+    assert list(katz._blocks(frame.iloc[:0])) == []
