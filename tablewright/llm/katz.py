@@ -12,15 +12,16 @@ frequent words only has mass for others, too. Texts start after a start mark and
 with an end token. Counts come from all training documents, none are pruned.
 
 Work, all partitioned: (1) unigram counts: per-task sums, then one aggregate.
-(2) Each document batch becomes blocks of (history, word, document, times),
-sorted and packed per history partition; one shuffle brings all blocks of a
+(2) Each document batch becomes (history, word, document, times), sorted and packed
+per history partition, words and histories by their place in the vocabulary where it
+is one part (``_pack`` lays numbers out so that they pack small); one shuffle brings all blocks of a
 history together, both its training counts and all its uses. Histories with
 more than a quarter of a partition's share are dealt by history and word, and
 their totals (at most 4 per partition) are put together afterwards. (3) Each
 partition counts pairs and resolves its tokens: seen pairs up to the discount of
 their count, unseen pairs up to the weight of their history. (4) Once the counts
 of counts of all partitions are known, both are filled in and added up by
-document batch.
+document batch. A step's shuffle files are released once its result is written.
 
 Word counts are written to the shared folder, and tasks read them from there:
 at most about ``part_words`` words (12 bytes each) at a time; a larger vocabulary
@@ -46,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import parallelism, qualified, stage, store_of
+from tablewright.llm.common import drop, forget, parallelism, qualified, stage, store_of
 from tablewright.llm.partenum_join import mix, word_hashes
 from tablewright.session import work_path
 
@@ -55,7 +56,9 @@ START, END = -0x5A5A5A5A5A5A5A5B, 0x5A5A5A5A5A5A5A5A
 PART_WORDS = 16_000_000
 PART_TOKENS = 500_000   # tokens whose pairs one task holds
 FLATTEST = -1.1           # slope of the counts of counts, at most
-_BLOCK_TOKENS = 300_000
+_BLOCK_TOKENS = 300_000  # words that are sorted at once
+_BATCH_TOKENS = 1_000_000  # words of a batch: one row per history partition
+_BATCH_DOCS = 60_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -123,23 +126,36 @@ def _part_column(parts: int) -> Column:
 
 
 def _pack(**arrays) -> bytes:
-    raw = pickle.dumps(arrays, 5)
+    """Integers are laid out by byte: first bytes of all, second bytes of all, ..."""
+    def laid_out(x):
+        if not isinstance(x, np.ndarray) or x.dtype.kind not in "iu":
+            return x
+        return x.dtype.str, x.shape, np.ascontiguousarray(x).reshape(-1).view(np.uint8).reshape(x.size, x.itemsize).T.tobytes()
+
+    raw = pickle.dumps({k: laid_out(x) for k, x in arrays.items()}, 5)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unpack(b: bytes) -> dict:
-    return pickle.loads(pa.decompress(b[8:], int.from_bytes(b[:8], "little"), codec="zstd", asbytes=True))
+    def array(x):
+        if not isinstance(x, tuple):
+            return x
+        dtype, shape, data = np.dtype(x[0]), x[1], np.frombuffer(x[2], np.uint8)
+        return data.reshape(dtype.itemsize, -1).T.copy().reshape(-1).view(dtype).reshape(shape)
+
+    found = pickle.loads(pa.decompress(b[8:], int.from_bytes(b[:8], "little"), codec="zstd", asbytes=True))
+    return {k: array(x) for k, x in found.items()}
 
 
 def _blocks(pdf: pd.DataFrame) -> Iterator[tuple]:
-    """(doc_ids, held, lengths, words of each) of at most 60,000 rows, closed as soon as
+    """(doc_ids, held, lengths, words of each) of at most _BATCH_DOCS rows, closed as soon as
     they hold _BLOCK_TOKENS words."""
     ids, held = pdf["doc_id"].astype("Int64").tolist(), pdf["held_out"].to_numpy(dtype=bool)
     start, n, found = 0, 0, []
     for i, text in enumerate(pdf["text"]):
         found.append(word_hashes(text))
         n += len(found[-1])
-        if n >= _BLOCK_TOKENS or len(found) == 60_000 or i + 1 == len(pdf):
+        if n >= _BLOCK_TOKENS or len(found) == _BATCH_DOCS or i + 1 == len(pdf):
             yield ids[start:i + 1], held[start:i + 1], np.array([len(w) for w in found], np.int64), found
             start, n, found = i + 1, 0, []
 
@@ -170,13 +186,60 @@ def _vocabulary(folder: str) -> tuple[np.ndarray, np.ndarray]:
     return _CACHE[(folder,)]
 
 
+class _Batch:
+    """What the blocks of a batch hold: facts on the documents, and (key, word, document,
+    times, count) with key = partition << 34 | far << 33 | code. A history's code is its
+    place in the vocabulary over the number of partitions, which deal such places in
+    turn; for far ones (hot, unknown or of another part) its place in ``far``."""
+
+    def __init__(self):
+        self.facts, self.entries, self.far = [], [], []
+        self.n_docs = self.n_far = self.n_tokens = 0
+
+    def add(self, facts: dict, entries: tuple, far: np.ndarray) -> None:
+        self.facts.append(facts)
+        self.entries.append(entries)
+        self.far.append(far)
+        self.n_docs += len(facts["ids"])
+        self.n_far += len(far)
+        self.n_tokens += int(facts["tokens"].sum())
+
+    def rows(self, me: int, name: str, n_parts: int, part: int, counts: bool) -> pd.DataFrame:
+        facts = {k: np.concatenate([f[k] for f in self.facts]) for k in self.facts[0] if k != "ids"}
+        rows = [(me % n_parts, name, _pack(ids=[i for f in self.facts for i in f["ids"]], **facts), None)]
+        key = np.concatenate([e[0] for e in self.entries])
+        order = np.argsort(key)
+        key, (w, d, t, c) = key[order], (np.concatenate(x)[order] for x in list(zip(*self.entries))[1:])
+        far = np.concatenate(self.far)
+        of = np.unique(key >> 34)
+        ends = np.append(np.searchsorted(key, of << 34), len(key)).tolist()
+        for p, a, b in zip(of.tolist(), ends, ends[1:]):
+            code = key[a:b] & ((1 << 34) - 1)
+            at = _runs(code)
+            hist = code[at]
+            near = hist[hist < 1 << 33]
+            rows.append((p, name, None, _pack(
+                near=np.diff(near, prepend=0).astype(np.uint32), far=far[hist[len(near):] - (1 << 33)],
+                n=np.diff(np.append(at, b - a)).astype(np.uint32), w=w[a:b], part=part, d=d[a:b], t=t[a:b],
+                c=c[a:b] if counts else None)))
+        return pd.DataFrame(rows, columns=["p", "batch", "doc", "block"])
+
+
 def _mapped(tokens: DataFrame, folder: str, part: int, parts: int, n_parts: int, hot: np.ndarray, smooth: float) -> DataFrame:
     """p, batch, doc (bytes or null), block (bytes or null)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab, count = _vocabulary(folder)
-        me, seq = TaskContext.get().partitionId(), 0
+
+        def places(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = np.minimum(np.searchsorted(vocab, words), max(0, len(vocab) - 1))
+            return at, vocab[at] == words if len(vocab) else np.zeros(len(words), bool)
+
+        me, seq, batch = TaskContext.get().partitionId(), 0, _Batch()
         for pdf in frames:
             for ids, held, sizes, flat in _blocks(pdf):
+                if batch.n_docs and (batch.n_docs + len(ids) > _BATCH_DOCS or batch.n_tokens >= _BATCH_TOKENS):
+                    yield batch.rows(me, f"{me}-{seq}", n_parts, part, parts > 1)
+                    seq, batch = seq + 1, _Batch()
                 full = np.concatenate([x for w in flat for x in ((START,), w, (END,))]).astype(np.int64)
                 ends = np.cumsum(sizes + 2)
                 first = np.ones(len(full), bool)
@@ -189,14 +252,11 @@ def _mapped(tokens: DataFrame, folder: str, part: int, parts: int, n_parts: int,
                 if parts > 1:
                     mine = _part_of(w, parts) == part
                     h, w, doc = h[mine], w[mine], doc[mine]
-                at = np.minimum(np.searchsorted(vocab, w), max(0, len(vocab) - 1))
-                known = vocab[at] == w if len(vocab) else np.zeros(len(w), bool)
+                at, known = places(w)
                 c = np.where(known, count[at] if len(vocab) else 0, 0).astype(np.int64)
-                batch = f"{me}-{seq}"
-                seq += 1
-                docs = _pack(ids=ids, held=held, tokens=np.bincount(doc, minlength=len(ids)),
-                             known=np.bincount(doc, known, minlength=len(ids)),
-                             base=np.bincount(doc, np.log10((c + 1) / smooth), minlength=len(ids)))
+                facts = {"ids": ids, "held": held, "tokens": np.bincount(doc, minlength=len(ids)),
+                         "known": np.bincount(doc, known, minlength=len(ids)),
+                         "base": np.bincount(doc, np.log10((c + 1) / smooth), minlength=len(ids))}
                 uh, inv = np.unique(h, return_inverse=True)
                 ids2 = np.where(known, at, -1)
                 key = (inv.astype(np.int64) << 32) + (ids2 + 1)
@@ -205,31 +265,29 @@ def _mapped(tokens: DataFrame, folder: str, part: int, parts: int, n_parts: int,
                 run_at = _runs(key, d)
                 times = np.diff(np.append(run_at, len(key)))
                 key, d, cw = key[run_at], d[run_at], cw[run_at]
-                hist = key >> 32
+                hist, word = key >> 32, key & 0xFFFFFFFF
+                rank, near = places(uh)
+                near &= ~np.isin(uh, hot) & (parts == 1)    # parts hold other words than their histories
                 dealt = mix(uh)
-                where = (dealt % np.uint64(n_parts)).astype(np.int64)[hist]
+                where = np.where(near, rank % n_parts, (dealt % np.uint64(n_parts)).astype(np.int64))
+                code = np.where(near, rank // n_parts, (1 << 33) + batch.n_far + np.cumsum(~near) - 1)[hist]
+                where = where[hist]
                 if len(hot):
                     is_hot = np.isin(uh, hot)[hist]
-                    where[is_hot] = (mix(dealt[hist[is_hot]] + (key[is_hot] & 0xFFFFFFFF).astype(np.uint64))
-                                     % np.uint64(n_parts)).astype(np.int64)
-                order = np.argsort(where, kind="stable")
-                bounds = np.searchsorted(where[order], np.arange(n_parts + 1))
-                rows = [(me % n_parts, batch, docs, None)]
-                for p in np.unique(where).tolist():
-                    own = order[bounds[p]:bounds[p + 1]]
-                    hs, first_of = np.unique(hist[own], return_index=True)
-                    rows.append((p, batch, None, _pack(
-                        h=uh[hs], n=np.diff(np.append(first_of, len(own))).astype(np.uint32),
-                        w=((key[own] & 0xFFFFFFFF) - 1).astype(np.int32), part=part, c=cw[own].astype(np.uint32),
-                        d=d[own].astype(np.uint16), t=times[own].astype(np.uint32), held=held)))
-                yield pd.DataFrame(rows, columns=["p", "batch", "doc", "block"])
+                    where[is_hot] = (mix(dealt[hist[is_hot]] + word[is_hot].astype(np.uint64)) % np.uint64(n_parts)).astype(np.int64)
+                # times: negative in held-out documents
+                batch.add(facts, ((where << 34) + code, (word - 1).astype(np.int32), (d + batch.n_docs).astype(np.uint16),
+                                  np.where(held[d], -times, times).astype(np.int32), cw.astype(np.uint32)), uh[~near])
+        if batch.n_docs:
+            yield batch.rows(me, f"{me}-{seq}", n_parts, part, parts > 1)
 
     return tokens.mapInPandas(run, "p int, batch string, doc binary, block binary")
 
 
-def _resolved(mapped: DataFrame, unigram: Unigram, hot: np.ndarray, hot_count: np.ndarray) -> DataFrame:
+def _resolved(mapped: DataFrame, folder: str, n_parts: int, unigram: Unigram, hot: np.ndarray, hot_count: np.ndarray) -> DataFrame:
     """Per partition: what is known of each batch before discounts are, counts
-    of counts, and parts of the hot histories' sums."""
+    of counts, and parts of the hot histories' sums. ``folder``: the vocabulary, if
+    it is one part."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = [("docs", b, d) for b, d in zip(pdf["batch"], pdf["doc"]) if d is not None]
         names = [b for b, x in zip(pdf["batch"], pdf["block"]) if x is not None]
@@ -237,10 +295,17 @@ def _resolved(mapped: DataFrame, unigram: Unigram, hot: np.ndarray, hot_count: n
         if not blocks:
             return pd.DataFrame(rows, columns=["kind", "batch", "data"])
         cat = lambda f: np.concatenate([f(b) for b in blocks])
-        h, w = cat(lambda b: np.repeat(b["h"], b["n"])), cat(lambda b: b["w"].astype(np.int64) + (b["part"] << 32))
-        c2, d, t = cat(lambda b: b["c"]), cat(lambda b: b["d"]), cat(lambda b: b["t"]).astype(np.int64)
+        here = int(pdf["p"].iloc[0])
+        h = cat(lambda b: np.repeat(np.concatenate([np.cumsum(b["near"], dtype=np.int64) * n_parts + here, b["far"]]), b["n"]))
+        w = cat(lambda b: b["w"].astype(np.int64) + (b["part"] << 32))
+        d, t = cat(lambda b: b["d"]), cat(lambda b: b["t"]).astype(np.int64)
+        if blocks[0]["c"] is None:
+            count = _vocabulary(folder)[1]
+            c2 = np.where(w >= 0, count[w] if len(count) else 0, 0)
+        else:
+            c2 = cat(lambda b: b["c"])
         block = np.repeat(np.arange(len(blocks)), [len(b["w"]) for b in blocks])
-        train = cat(lambda b: ~b["held"][b["d"]])
+        train, t = t > 0, np.abs(t)
         unknown = cat(lambda b: b["w"] < 0)
         order = np.lexsort((w, h))
         h, w, c2, d, t, block, train, unknown = (x[order] for x in (h, w, c2, d, t, block, train, unknown))
@@ -272,8 +337,8 @@ def _resolved(mapped: DataFrame, unigram: Unigram, hot: np.ndarray, hot_count: n
             by_count = np.bincount(si * (K + 2) + np.minimum(cc[s], K + 1), t[s], minlength=len(sd) * (K + 2))
             uh, ui = np.unique(ch[u], return_inverse=True)
             rows.append(("part", name, _pack(
-                sd=sd, ss=np.bincount(si, log_seen[s], minlength=len(sd)),
-                sn=by_count.reshape(-1, K + 2)[:, 1:K + 1].astype(np.uint32),
+                sd=np.diff(sd.astype(np.int32), prepend=0).astype(np.uint16), ss=np.bincount(si, log_seen[s], minlength=len(sd)),
+                sn=by_count.reshape(-1, K + 2)[:, 1:K + 1].T.astype(np.uint32),
                 h=np.where(is_hot[uh], hh[uh], 0), hot=is_hot[uh], low=low[uh].astype(np.uint32), mass=mass[uh],
                 total=total[uh], ui=ui.astype(np.uint32), ud=d[u], ut=t[u].astype(np.uint32), ul=log_uni[u])))
         return pd.DataFrame(rows, columns=["kind", "batch", "data"])
@@ -295,6 +360,7 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
     tokens = _tokens(docs)
     folder = qualified(spark, work_path(spark, "llm", "unigrams", unique=True))
     unigrams(tokens).write.option("compression", "zstd").parquet(folder)
+    forget(spark)
     vocab = spark.read.schema("w long, c long").parquet(folder)
     # counts of counts, at most K + 2 rows
     of = {r["r"]: (r["n"], r["t"]) for r in vocab.groupBy(F.least("c", F.lit(K + 2)).alias("r")).agg(
@@ -315,13 +381,16 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
         folder = qualified(spark, work_path(spark, "llm", "unigram-parts", unique=True))
         vocab.withColumn("part", _part_column(parts)).repartition("part").write.partitionBy("part") \
             .option("compression", "zstd").parquet(folder)
-    mapped = None
+    mapped, passes = None, []
     for k in range(parts):
         one = _mapped(tokens, f"{folder}/part={k}" if parts > 1 else folder, k, parts, n_parts, hot, smooth)
         if parts > 1:  # a batch is named by its task, so every pass is a job of its own
             one = stage(one, "blocks")
+            passes.append(one)
         mapped = one if mapped is None else mapped.unionByName(one)
-    staged = stage(_resolved(mapped.repartition(n_parts, "p"), unigram, hot, hot_count), "resolved")
+    staged = stage(_resolved(mapped.repartition(n_parts, "p"), folder, n_parts, unigram, hot, hot_count), "resolved")
+    drop(*passes)
+    forget(spark)
     # a row per partition
     n_of = sum((_unpack(r["data"])["n"] for r in staged.where("kind = 'counts'").collect()), np.zeros(K + 2, np.int64))
     d = np.array(discounts(n_of.tolist()))
@@ -337,7 +406,7 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
         n = len(info[0]["ids"])
         out = np.zeros(n)
         for x in (_unpack(x) for k, x in zip(pdf["kind"], pdf["data"]) if k == "part"):
-            out += np.bincount(x["sd"], x["ss"] + x["sn"] @ np.log10(d[1:]), minlength=n)
+            out += np.bincount(np.cumsum(x["sd"], dtype=np.int64), x["ss"] + np.log10(d[1:]) @ x["sn"], minlength=n)
             low, mass = x["low"].astype(float), x["mass"].copy()
             for i in np.flatnonzero(x["hot"]):
                 low[i], mass[i] = sums[int(x["h"][i])]

@@ -549,3 +549,26 @@ def test_blocks_of_tokens_are_bounded_and_whole(monkeypatch):
     assert all(sum(sizes[:-1]) < 10 for _, _, sizes, _ in made)
     assert [len((t or b"").split()) for t in texts] == [n for _, _, sizes, _ in made for n in sizes]
     assert list(katz._blocks(frame.iloc[:0])) == []
+
+
+def test_katz_batches_hold_many_blocks_and_pack_small(monkeypatch):
+    rng = np.random.default_rng(2)
+    arrays = {"a": rng.integers(0, 300, 5000).astype(np.uint32), "b": rng.integers(-9, 9, (5, 40)).astype(np.int64),
+              "none": np.empty(0, np.int32), "x": rng.random(7), "held": rng.random(7) < 0.5, "ids": [1, None], "part": 3, "c": None}
+    packed = katz._pack(**arrays)
+    back = katz._unpack(packed)
+    assert back.keys() == arrays.keys() and all(np.array_equal(back[k], arrays[k]) for k in arrays if k != "ids") and back["ids"] == [1, None]
+    assert all(back[k].dtype == x.dtype for k, x in arrays.items() if isinstance(x, np.ndarray))
+    assert len(katz._pack(a=arrays["a"])) < 5000 * 1.4     # 9 bits each
+    batch = katz._Batch()
+    for k in range(3):      # two histories known by place in partition 1, a far one in partition 0
+        facts = {"ids": [k], "held": np.array([k == 1]), "tokens": np.array([3]), "known": np.array([3.0]), "base": np.array([-1.0])}
+        key = np.array([(1 << 34) + 7, (1 << 34) + 2, (1 << 33) + batch.n_far])
+        batch.add(facts, (key, np.array([5, 6, 7], np.int32), np.full(3, batch.n_docs, np.uint16),
+                          np.full(3, -1 if k == 1 else 1, np.int32), np.ones(3, np.uint32)), np.array([katz.START]))
+    rows = batch.rows(0, "0-0", 4, 0, False)
+    assert rows["p"].tolist() == [0, 0, 1] and rows["doc"].notna().tolist() == [True, False, False]     # one row per partition
+    far, near = (katz._unpack(x) for x in rows["block"][1:])
+    assert far["far"].tolist() == [katz.START] * 3 and far["n"].tolist() == [1, 1, 1] and not len(far["near"])
+    assert np.cumsum(near["near"]).tolist() == [2, 7] and near["n"].tolist() == [3, 3] and near["c"] is None
+    assert sorted(near["t"].tolist()) == [-1, -1, 1, 1, 1, 1] and near["w"].tolist() == [6, 6, 6, 5, 5, 5]
