@@ -55,6 +55,7 @@ K = 5
 START, END = -0x5A5A5A5A5A5A5A5B, 0x5A5A5A5A5A5A5A5A
 PART_WORDS = 16_000_000
 PART_TOKENS = 500_000   # tokens whose pairs one task holds
+LOG_STEPS = 2.0 ** 32     # a document's sum of logarithms in a partition is rounded to such steps (1e-10)
 FLATTEST = -1.1           # slope of the counts of counts, at most
 _BLOCK_TOKENS = 300_000  # words that are sorted at once
 _BATCH_TOKENS = 1_000_000  # words of a batch: one row per history partition
@@ -337,7 +338,8 @@ def _resolved(mapped: DataFrame, folder: str, n_parts: int, unigram: Unigram, ho
             by_count = np.bincount(si * (K + 2) + np.minimum(cc[s], K + 1), t[s], minlength=len(sd) * (K + 2))
             uh, ui = np.unique(ch[u], return_inverse=True)
             rows.append(("part", name, _pack(
-                sd=np.diff(sd.astype(np.int32), prepend=0).astype(np.uint16), ss=np.bincount(si, log_seen[s], minlength=len(sd)),
+                sd=np.diff(sd.astype(np.int32), prepend=0).astype(np.uint16),
+                ss=np.rint(np.bincount(si, log_seen[s], minlength=len(sd)) * LOG_STEPS).astype(np.int64),
                 sn=by_count.reshape(-1, K + 2)[:, 1:K + 1].T.astype(np.uint32),
                 h=np.where(is_hot[uh], hh[uh], 0), hot=is_hot[uh], low=low[uh].astype(np.uint32), mass=mass[uh],
                 total=total[uh], ui=ui.astype(np.uint32), ud=d[u], ut=t[u].astype(np.uint32), ul=log_uni[u])))
@@ -406,7 +408,7 @@ def score(docs: DataFrame, n_parts: int | None = None, part_words: int = PART_WO
         n = len(info[0]["ids"])
         out = np.zeros(n)
         for x in (_unpack(x) for k, x in zip(pdf["kind"], pdf["data"]) if k == "part"):
-            out += np.bincount(np.cumsum(x["sd"], dtype=np.int64), x["ss"] + np.log10(d[1:]) @ x["sn"], minlength=n)
+            out += np.bincount(np.cumsum(x["sd"], dtype=np.int64), x["ss"] / LOG_STEPS + np.log10(d[1:]) @ x["sn"], minlength=n)
             low, mass = x["low"].astype(float), x["mass"].copy()
             for i in np.flatnonzero(x["hot"]):
                 low[i], mass[i] = sums[int(x["h"][i])]

@@ -572,3 +572,10 @@ def test_katz_batches_hold_many_blocks_and_pack_small(monkeypatch):
     assert far["far"].tolist() == [katz.START] * 3 and far["n"].tolist() == [1, 1, 1] and not len(far["near"])
     assert np.cumsum(near["near"]).tolist() == [2, 7] and near["n"].tolist() == [3, 3] and near["c"] is None
     assert sorted(near["t"].tolist()) == [-1, -1, 1, 1, 1, 1] and near["w"].tolist() == [6, 6, 6, 5, 5, 5]
+
+
+def test_rounded_sums_of_katz_are_the_sums():
+    logs = np.log10(np.random.default_rng(4).random(500))
+    back = katz._unpack(katz._pack(ss=np.rint(logs * katz.LOG_STEPS).astype(np.int64)))["ss"] / katz.LOG_STEPS
+    assert abs(back - logs).max() < 2e-10 and abs(back.sum() - logs.sum()) < 1e-8
+    assert len(katz._pack(ss=np.rint(logs * katz.LOG_STEPS).astype(np.int64))) < len(katz._pack(ss=logs)) * 0.75
