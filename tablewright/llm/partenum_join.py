@@ -50,20 +50,25 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import drop, forget, stage
+from tablewright.llm.common import drop, forget, parallelism, stage
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 _SEEN_LIMIT = 500_000
 _WORD_LIMIT = 300_000
 _BATCH = 256                           # sets that are signed at once
+_FEW = 200_000                         # pairs whose classes are broadcast (a few MB)
+_PENDING = 2_000_000                   # signatures that a task holds before it passes them on
 ROUNDS = 6                             # rounds of one pair per class before all open pairs
 
 
@@ -259,50 +264,138 @@ def _set_batches(pdf: pd.DataFrame, n: int) -> Iterator[tuple[int, list[np.ndarr
         yield at, shingle_sets([word_hashes(t) for t in pdf["text"].iloc[at:at + _BATCH]], n)
 
 
-def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, node (class id; null for empty sets)."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            sizes, nodes = [], []
-            for _, sets in _set_batches(pdf, n):
-                sizes += [len(s) for s in sets]
-                nodes += [class_id(s) if len(s) else None for s in sets]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
-                                "n_shingles": sizes, "node": pd.array(nodes, "Int64")})
-
-    return _bytes(docs).mapInPandas(run, "doc_id long, text_key long, n_shingles long, node long")
-
-
-def _signed(docs: DataFrame, percent: int, n: int) -> DataFrame:
-    """sig, node: every class at least once (a task repeats none it has in mind)."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _blocks(pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int, width: int) -> pd.DataFrame:
+    """part, keys, nodes, counts: a row per part of the keys' range that holds some of
+    the pending (keys, place of the node, nodes). A key is cut to its last ``width``
+    bytes, a node stands once for its keys in a row."""
+    first = np.cumsum([0] + [len(v) for _, _, v in pending])
+    keys = np.concatenate([k for k, _, _ in pending]).view(np.uint64)
+    at = np.concatenate([a + f for (_, a, _), f in zip(pending, first)])
+    nodes = np.concatenate([v for _, _, v in pending])
+    order = np.argsort(at, kind="stable")
+    part = ((keys[order] >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)).astype(np.uint16)
+    order = order[np.argsort(part, kind="stable")]
+    ends = np.cumsum(np.bincount(part, minlength=parts))
+    keys, at = keys[order], at[order]
+    raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    rows = []
+    for p, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+        if a < b:
+            runs = np.flatnonzero(np.r_[True, at[a + 1:b] != at[a:b - 1]])
+            rows.append((p, raw[a:b].tobytes(), nodes[at[a:b][runs]].astype("<i8").tobytes(),
+                         np.diff(np.r_[runs, b - a]).astype("<u4").tobytes()))
+    return pd.DataFrame(rows, columns=["part", "keys", "nodes", "counts"])
+
+
+def _unpacked(block: tuple[int, bytes, bytes, bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and nodes of a row of ``_blocks``; cut keys get their part instead."""
+    part, keys, nodes, counts = block
+    whole = np.zeros((len(keys) // width, 8), np.uint8)
+    whole[:, :width] = np.frombuffer(keys, np.uint8).reshape(-1, width)
+    found = whole.view("<u8").ravel()
+    if width < 8:
+        found |= np.uint64(int(part) << 48)
+    return found, np.repeat(np.frombuffer(nodes, "<i8"), np.frombuffer(counts, "<u4"))
+
+
+def shared_keys(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, nodes, number of nodes) of the distinct pairs whose key has several nodes."""
+    order = np.argsort(keys)
+    k = keys[order]
+    same = k[1:] == k[:-1]
+    hit = np.zeros(len(k), bool)
+    hit[1:] |= same
+    hit[:-1] |= same
+    k, v = k[hit], nodes[order[hit]]
+    if not len(k):
+        return k, v, v
+    order = np.lexsort((v, k))
+    k, v = k[order], v[order]
+    once = np.r_[True, (k[1:] != k[:-1]) | (v[1:] != v[:-1])]
+    k, v = k[once], v[once]
+    sizes = np.diff(np.r_[np.flatnonzero(np.r_[True, k[1:] != k[:-1]]), len(k)])
+    often = np.repeat(sizes, sizes)
+    return k[often > 1], v[often > 1], often[often > 1]
+
+
+def _parts(docs: DataFrame) -> int:
+    """Number of parts of the keys' range: a task matches those of some thousand sets."""
+    return min(1 << 16, max(parallelism(docs.sparkSession), docs.count() // 5000))
+
+
+_ROW = "doc_id long, text_key long, n_shingles long, node long"
+_BLOCK_ROW = "part int, keys binary, nodes binary, counts binary"
+
+
+def _signed(docs: DataFrame, percent: int, n: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """``sets`` (doc_id, text_key, n_shingles, node: the class id, null for empty sets) and
+    ``members`` (sig, node of every signature that classes share: all of its classes).
+
+    Texts are read once. A task signs each class about once (it repeats none that it has in
+    mind); signatures travel in blocks by part, cut to six bytes besides their part.
+    Signatures that are equal by that cut alone make a pair more to verify."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
-        for pdf in parts:
+        pending, held = [], 0
+        for pdf in frames:
+            sizes, nodes = [], []
             for _, sets in _set_batches(pdf, n):
                 new: dict[int, np.ndarray] = {}
                 for s in sets:
-                    if len(s) and (c := class_id(s)) not in seen:
+                    c = class_id(s) if len(s) else None
+                    sizes.append(len(s))
+                    nodes.append(c)
+                    if c is not None and c not in seen:
                         if len(seen) >= _SEEN_LIMIT:
                             seen.clear()
                         seen.add(c)
                         new[c] = s
                 if new:
-                    sigs, at = signatures_of(list(new.values()), percent)
-                    yield pd.DataFrame({"sig": sigs, "node": np.array(list(new))[at]})
-
-    return _bytes(docs).select("text").mapInPandas(run, "sig long, node long")
-
-
-def _members(signed: DataFrame) -> DataFrame:
-    """sig, node of every signature that classes share: all of its classes. Rows
-    are looked at in order, so a signature of a third of all classes is streamed."""
-    w = Window.partitionBy("sig").orderBy("node")
-    edges = signed.withColumn("first", F.first("node").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
-        .withColumn("last", F.lag("node").over(w)) \
-        .where("node <> first AND node <> last")
-    # the second class of a signature brings the first one with it
-    both = F.when(F.col("last") == F.col("first"), F.array("first", "node")).otherwise(F.array("node"))
-    return edges.withColumn("both", both).select("sig", F.explode("both").alias("node"))
+                    pending.append((*signatures_of(list(new.values()), percent), np.array(list(new))))
+                    held += len(pending[-1][0])
+                if held >= _PENDING:
+                    yield _blocks(pending, parts, 6).assign(doc_id=None, text_key=None, n_shingles=None, node=None)
+                    pending, held = [], 0
+            yield pd.DataFrame({"part": np.arange(len(pdf)) % parts, "keys": None, "nodes": None, "counts": None,
+                                "doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
+                                "n_shingles": sizes, "node": pd.array(nodes, "Int64")})
+        if pending:
+            yield _blocks(pending, parts, 6).assign(doc_id=None, text_key=None, n_shingles=None, node=None)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:   # Arrow: null ids stay whole numbers
+        out = pa.schema([(c, pa.int64()) for c in ("doc_id", "text_key", "n_shingles", "node", "sig")])
+        found = []
+        for batch in batches:
+            plain = pc.is_null(batch["keys"])
+            own = batch.filter(plain)
+            yield pa.RecordBatch.from_arrays([*(own[c] for c in out.names[:4]), pa.nulls(len(own), pa.int64())], schema=out)
+            blocks = batch.filter(pc.invert(plain)).select(["part", "keys", "nodes", "counts"])
+            found += [_unpacked(tuple(b.values()), 6) for b in blocks.to_pylist()]
+        if found:
+            sig, node, _ = shared_keys(*map(np.concatenate, zip(*found)))
+            for at in range(0, len(sig), _PENDING):
+                part = slice(at, at + _PENDING)
+                none = pa.nulls(len(sig[part]), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, none, pa.array(node[part]), pa.array(sig[part].view(np.int64))], schema=out)
+
+    packed = _bytes(docs).mapInPandas(run, f"{_BLOCK_ROW}, {_ROW}")
+    made = stage(packed.repartitionById(parts, F.col("part")).mapInArrow(match, f"{_ROW}, sig long"), "signed")
+    return (made.where("sig is null").select("doc_id", "text_key", "n_shingles", "node"),
+            made.where("sig is not null").select("sig", "node"))
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Which of 1024 places of the hash domain hold an odd number of elements, as 16
+    numbers: each element that two sets differ in changes one place."""
+    odd = np.bincount((mix(s) >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _least_distance(a: str, b: str) -> Column:
+    """A lower bound of the Jaccard distance of two sets with sizes ``n<a>``, ``n<b>``
+    and sketches ``bits<a>``, ``bits<b>``."""
+    places = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"bits{a}")[i].bitwiseXOR(F.col(f"bits{b}")[i])) for i in range(16)))
+    return 2 * places / (F.col(f"n{a}") + F.col(f"n{b}") + places)
 
 
 class Verifier:
@@ -317,37 +410,49 @@ class Verifier:
             for pdf in parts:
                 for _, made in _set_batches(pdf, n):
                     yield pd.DataFrame({"node": [class_id(s) if len(s) else 0 for s in made],
-                                        "n": [len(s) for s in made], "s": [s.view(np.int64) for s in made]})
+                                        "n": [len(s) for s in made], "s": [s.view(np.int64) for s in made],
+                                        "bits": [sketch(s) for s in made]})
 
         chosen = _bytes(docs.join(rep.select("doc_id").distinct(), "doc_id", "left_semi")
                          .unionByName(docs.where("doc_id is null"), allowMissingColumns=True))
-        self.sets = stage(chosen.mapInPandas(run, "node long, n long, s array<bigint>").where("n > 0")
+        self.sets = stage(chosen.mapInPandas(run, "node long, n long, s array<bigint>, bits array<bigint>").where("n > 0")
                           .join(involved, "node", "left_semi").dropDuplicates(["node"]), "verify-sets")
         self.percent = percent
 
-    def compared(self, pairs: DataFrame, all_sizes: bool = False) -> DataFrame:
-        """a, b, d (Jaccard distance), linked of distinct pairs a < b. Without
-        ``all_sizes``, pairs whose sizes rule a link out are left away."""
+    def compared(self, pairs: DataFrame, name: str, columns: list[Column], all_sizes: bool = False, linked: bool = False) -> DataFrame:
+        """``columns`` of a, b, d (Jaccard distance) of distinct pairs a < b, written once.
+        Without ``all_sizes``, pairs whose sizes rule a link out are left away; with
+        ``linked``, those without a link."""
         n = self.sets.select("node", "n")
         near = (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
                 .join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b"))
         if not all_sizes:
             near = near.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
+        near = stage(near, "near")
+        few = near.count() <= _FEW
+
+        def side(c: str) -> DataFrame:
+            """The sets of one side; where they are few, the others need not travel."""
+            sets = self.sets.join(F.broadcast(near.select(F.col(c).alias("node")).distinct()), "node", "left_semi") if few else self.sets
+            return sets.select(F.col("node").alias(c), F.col("s").alias(f"s{c}"))
+
         union = F.col("na") + F.col("nb") - F.col("c")
-        return (near.join(self.sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-                .join(self.sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-                .withColumn("c", F.size(F.array_intersect("sa", "sb")))
-                .select("a", "b", (1 - F.col("c") / union).alias("d"), (F.col("c") * 100 >= union * self.percent).alias("linked")))
+        found = near.join(side("a"), "a").join(side("b"), "b").withColumn("c", F.size(F.array_intersect("sa", "sb")))
+        if linked:
+            found = found.where(F.col("c") * 100 >= union * self.percent)
+        out = stage(found.select("a", "b", (1 - F.col("c") / union).alias("d")).select(*columns), name)
+        drop(near)
+        return out
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """a, b of the distinct pairs that reach the similarity, written once."""
-        return stage(self.compared(pairs).where("linked").select("a", "b"), "links")
+        return self.compared(pairs, "links", [F.col("a"), F.col("b")], linked=True)
 
     def distances(self, pairs: DataFrame) -> DataFrame:
         """b, a, d for every given pair (b, a), written once."""
-        both = self.compared(pairs, all_sizes=True)
-        return stage(both.select("a", "b", "d").unionByName(
-            both.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")), "distances")
+        a, b, d = F.col("a"), F.col("b"), F.col("d")
+        both = F.array(F.struct(a, b, d), F.struct(b.alias("a"), a.alias("b"), d))
+        return self.compared(pairs, "distances", [F.inline(both)], all_sizes=True)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -443,27 +548,53 @@ def prefix_marks(n: int, shared: np.ndarray, percent: int) -> tuple[np.ndarray,
     return np.concatenate(sig), sides, -sides
 
 
-def _prefixes(open_: DataFrame, check: Verifier) -> DataFrame:
+def _prefixes(open_: DataFrame, check: Verifier, parts: int) -> DataFrame:
     """sig, side, partner, node: ``prefix_marks`` of the classes of ``open_``; two of
     these with a link share one at least."""
     sets = check.sets.join(open_.select("node").distinct(), "node", "left_semi")
-    elements = sets.select("node", "n", F.explode("s").alias("e"))
-    often = elements.groupBy("e").agg(F.count(F.lit(1)).alias("f"))
-    # an element of one class only leads to nothing, but takes its place in the order
-    ranked = elements.join(often.where("f > 1"), "e").groupBy("node", "n") \
-        .agg(F.sort_array(F.collect_list(F.struct("f", "e")))["e"].alias("shared"))
     percent = check.percent
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for at in range(0, len(pdf), _BATCH):
-                part = pdf.iloc[at:at + _BATCH]
-                made = [prefix_marks(n, np.asarray(e, np.int64), percent) for n, e in zip(part["n"].tolist(), part["shared"])]
+    def elements(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            ends = np.cumsum(pdf["s"].map(len).to_numpy())
+            for group in np.split(np.arange(len(pdf)), np.searchsorted(ends, np.arange(_PENDING, ends[-1], _PENDING)) if len(pdf) else []):
+                if len(group):
+                    own = [np.asarray(s, np.int64) for s in pdf["s"].iloc[group]]
+                    at = np.repeat(np.arange(len(group)), [len(s) for s in own])
+                    yield _blocks([(np.concatenate(own), at, pdf["node"].to_numpy()[group])], parts, 8)
+
+    def match(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [_unpacked(b, 8) for pdf in frames for b in pdf.itertuples(index=False)]
+        if found:
+            e, node, often = shared_keys(*map(np.concatenate, zip(*found)))
+            yield pd.DataFrame({"node": node, "f": often, "e": e.view(np.int64)})
+
+    # an element of one class only leads to nothing, but takes its place in the order
+    shared = sets.select("node", "s").mapInPandas(elements, _BLOCK_ROW).repartitionById(parts, F.col("part")) \
+        .mapInPandas(match, "node long, f long, e long")
+    # before its elements, each class has a row with its size
+    rows = shared.unionByName(sets.select("node", F.lit(0).cast("long").alias("f"), F.col("n").alias("e"))) \
+        .repartition("node").sortWithinPartitions("node", "f", "e").select("node", "e")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        node, e = np.empty(0, np.int64), np.empty(0, np.int64)
+        for pdf in chain(frames, [None]):
+            if pdf is not None:
+                node, e = np.r_[node, pdf["node"].to_numpy()], np.r_[e, pdf["e"].to_numpy()]
+            if not len(node):
+                continue
+            starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+            whole = len(starts) if pdf is None else len(starts) - 1     # the last one may go on
+            ends = np.r_[starts[1:], len(node)]
+            for i in range(0, whole, _BATCH):
+                own = list(zip(starts[i:min(whole, i + _BATCH)].tolist(), ends[i:min(whole, i + _BATCH)].tolist()))
+                made = [prefix_marks(int(e[a]), e[a + 1:b], percent) for a, b in own]
                 sig, side, partner = (np.concatenate(x) for x in zip(*made))
                 yield pd.DataFrame({"sig": sig, "side": side, "partner": partner,
-                                    "node": np.repeat(part["node"].to_numpy(), [len(m[0]) for m in made])})
+                                    "node": np.repeat(node[[a for a, _ in own]], [len(m[0]) for m in made])})
+            node, e = node[starts[-1]:], e[starts[-1]:]
 
-    return ranked.mapInPandas(run, "sig long, side int, partner int, node long")
+    return rows.mapInPandas(run, "sig long, side int, partner int, node long")
 
 
 def _settled(marks: DataFrame, check: Verifier, limit: float, comp: DataFrame) -> DataFrame:
@@ -473,14 +604,17 @@ def _settled(marks: DataFrame, check: Verifier, limit: float, comp: DataFrame) -
     The distance is a metric, and a component is led by its smallest class: for
     classes b and a of components led by c and x, d(b, a) is at least
     d(c, x) - d(b, c) - d(a, x). Leaders are compared once per pair of components
-    that share a mark; classes only where this bound leaves a link open."""
+    that share a mark; classes only where this bound leaves a link open. Both are
+    compared only if their sketches do not rule it out already."""
     own = check.distances(marks.where("node <> comp").select(F.col("node").alias("b"), F.col("comp").alias("a")).distinct())
     rows = stage(marks.join(own.select(F.col("b").alias("node"), F.col("a").alias("comp"), "d"), ["node", "comp"], "left")
                  .select("sig", "side", "partner", "node", "comp", F.coalesce("d", F.lit(0.0)).alias("d")), "open-distances")
     sides = rows.groupBy("sig", "side", "partner", "comp").agg(F.max("d").alias("r"))
-    c, x = sides.select("sig", "side", "partner", F.col("comp").alias("c"), F.col("r").alias("rc")), \
-        sides.select("sig", F.col("side").alias("partner"), F.col("comp").alias("x"), F.col("r").alias("rx"))
-    meets = stage(c.join(x, ["sig", "partner"]).where("c < x"), "meets")
+    sides = sides.join(check.sets.select(F.col("node").alias("comp"), "n", "bits"), "comp")
+    c, x = sides.select("sig", "side", "partner", F.col("comp").alias("c"), F.col("r").alias("rc"), F.col("n").alias("nc"), F.col("bits").alias("bitsc")), \
+        sides.select("sig", F.col("side").alias("partner"), F.col("comp").alias("x"), F.col("r").alias("rx"), F.col("n").alias("nx"), F.col("bits").alias("bitsx"))
+    meets = stage(c.join(x, ["sig", "partner"]).where("c < x").where(_least_distance("c", "x") - F.col("rc") - F.col("rx") <= limit)
+                  .select("sig", "side", "partner", "c", "x", "rc", "rx", "nx", "bitsx"), "meets")
     apart = check.distances(meets.select(F.col("c").alias("b"), F.col("x").alias("a")).distinct())
     comp = merged(comp, apart.where((F.col("d") <= limit) & (F.col("b") < F.col("a"))).select("a", "b"))
     # components that are still apart, and marks under which a link is possible
@@ -489,11 +623,15 @@ def _settled(marks: DataFrame, check: Verifier, limit: float, comp: DataFrame) -
                  .where(F.col("dist") - F.col("rc") - F.col("rx") <= limit)
                  .join(name("c"), "c", "left").join(name("x"), "x", "left")
                  .where(F.coalesce("now_c", "c") != F.coalesce("now_x", "x"))
-                 .select("sig", "side", "partner", "c", "x", "dist"), "left")
-    of = lambda side, col, node: rows.select("sig", F.col("side").alias(side), F.col("comp").alias(col),
-                                             F.col("node").alias(node), F.col("d").alias(f"d_{node}"))
-    pairs = left.join(of("side", "c", "b"), ["sig", "side", "c"]).join(of("partner", "x", "a"), ["sig", "partner", "x"]) \
-        .where(F.col("dist") - F.col("d_b") - F.col("d_a") <= limit).select("a", "b")
+                 .select("sig", "side", "partner", "c", "x", "rx", "nx", "bitsx", "dist"), "left")
+    sized = rows.join(check.sets.select("node", "n", "bits"), "node")
+    of = lambda side, col, node: sized.select("sig", F.col("side").alias(side), F.col("comp").alias(col),
+                                              F.col("node").alias(node), F.col("d").alias(f"d_{node}"),
+                                              F.col("n").alias(f"n{node}"), F.col("bits").alias(f"bits{node}"))
+    halves = left.join(of("side", "c", "b"), ["sig", "side", "c"]) \
+        .where(F.greatest(F.col("dist") - F.col("d_b"), _least_distance("b", "x")) - F.col("rx") <= limit)
+    pairs = halves.join(of("partner", "x", "a"), ["sig", "partner", "x"]) \
+        .where(F.col("dist") - F.col("d_b") - F.col("d_a") <= limit).where(_least_distance("a", "b") <= limit).select("a", "b")
     new = check.links(pairs)
     out = merged(comp, new)
     drop(own, rows, meets, apart, left, new)
@@ -526,8 +664,8 @@ def _rounds(open_: DataFrame, check: Verifier, comp: DataFrame) -> tuple[DataFra
 def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFrame]:
     """``sets`` and the component of every class with a link."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    sets = stage(_sets(docs, n), "shingle-sets")
-    members = stage(_members(_signed(docs, percent, n)), "members")
+    parts = _parts(docs)
+    sets, members = _signed(docs, percent, n, parts)
     involved = stage(members.select("node").distinct(), "involved")
     check = Verifier(docs, sets, involved, percent, n)
     drop(involved)
@@ -536,7 +674,7 @@ def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFram
     comp = docs.sparkSession.createDataFrame([], "node long, comp long")
     open_, comp = _rounds(members, check, comp)
     if not open_.isEmpty():
-        was, open_ = open_, stage(_prefixes(open_, check), "marks")
+        was, open_ = open_, stage(_prefixes(open_, check, parts), "marks")
         drop(was)
         open_, comp = _rounds(open_, check, comp)
     # A metric: b can only link with classes a that have d(a, x) >= d(b, x) - limit.

@@ -579,3 +579,61 @@ def test_rounded_sums_of_katz_are_the_sums():
     back = katz._unpack(katz._pack(ss=np.rint(logs * katz.LOG_STEPS).astype(np.int64)))["ss"] / katz.LOG_STEPS
     assert abs(back - logs).max() < 2e-10 and abs(back.sum() - logs.sum()) < 1e-8
     assert len(katz._pack(ss=np.rint(logs * katz.LOG_STEPS).astype(np.int64))) < len(katz._pack(ss=logs)) * 0.75
+
+
+def test_blocks_keep_every_key_and_node():
+    rng = np.random.default_rng(3)
+    keys, nodes = rng.integers(-2**62, 2**62, 400), rng.integers(-2**62, 2**62, 90)
+    keys[200:] = keys[rng.integers(0, 200, 200)]
+    at = rng.integers(0, 90, 400)
+    want = {}
+    for k, a in zip(keys.tolist(), at.tolist()):
+        want.setdefault(k, set()).add(int(nodes[a]))
+    halves = [(keys[:150], at[:150], nodes), (keys[150:], at[150:], nodes)]
+    for width in (6, 8):
+        rows = partenum_join._blocks(halves, 7, width)
+        assert set(rows["part"]) <= set(range(7)) and rows["part"].is_unique
+        k, v = map(np.concatenate, zip(*(partenum_join._unpacked(b, width) for b in rows.itertuples(index=False))))
+        assert len(k) == 400
+        key, node, often = partenum_join.shared_keys(k, v)
+        made = {}
+        for a, b, n in zip(key.tolist(), node.tolist(), often.tolist()):
+            made.setdefault(a, set()).add((b, n))
+        several = [s for s in want.values() if len(s) > 1]
+        assert sorted(sorted(b for b, _ in s) for s in made.values()) == sorted(map(sorted, several))
+        assert all(n == len(s) for s in made.values() for _, n in s)
+    assert not len(partenum_join.shared_keys(np.arange(3), np.arange(3))[0])
+
+
+def test_sketches_never_overstate_the_distance(spark):
+    rng, rows = np.random.default_rng(5), []
+    for _ in range(200):
+        s = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 900))).astype(np.uint64))
+        t = np.append(s[rng.random(len(s)) > rng.choice([0, .05, .4])], rng.integers(0, 2**63, int(rng.integers(1, 60))).astype(np.uint64))
+        both = len(np.intersect1d(s, t))
+        rows.append((len(s), len(t), partenum_join.sketch(s).tolist(), partenum_join.sketch(t).tolist(), 1 - both / (len(s) + len(t) - both)))
+    df = spark.createDataFrame(rows, "na long, nb long, bitsa array<bigint>, bitsb array<bigint>, d double")
+    got = df.select(partenum_join._least_distance("a", "b").alias("low"), "d").collect()
+    assert all(r.low <= r.d + 1e-12 for r in got) and sum(r.low > r.d / 2 for r in got) > 150
+
+
+def test_copies_just_below_the_similarity_are_ruled_out_by_sketches(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for d in range(150):    # three words of the base are replaced: 0.72 for most pairs, all of them share marks
+        words = list(base)
+        for i, p in enumerate(rng.sample(range(0, 150, 5), 3)):
+            words[p] = f"x{d}y{i}"
+        rows.append((d, " ".join(words)))
+    made, whole = {}, partenum_join.stage
+
+    def counted(df, name, **more):
+        out = whole(df, name, **more)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(partenum_join, "stage", counted)
+    got = partenum_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == _jaccard_components(rows)
+    print("STAGES", made)
+    assert made.get("meets", 0) < 300
