@@ -68,7 +68,7 @@ _SEEN_LIMIT = 500_000
 _WORD_LIMIT = 300_000
 _BATCH = 256                           # sets that are signed at once
 _FEW = 200_000                         # pairs whose classes are broadcast (a few MB)
-_PENDING = 2_000_000                   # signatures that a task holds before it passes them on
+_PENDING = 500_000                     # signatures that a task holds before it passes them on
 ROUNDS = 6                             # rounds of one pair per class before all open pairs
 
 
