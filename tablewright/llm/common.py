@@ -84,6 +84,18 @@ def store_of(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+_KEPT: dict = {}
+
+
+def kept(name, make):
+    """``make()``, made once per Python worker and kept for its next tasks, one thing at
+    a time: workers outlive a stage, and the next one needs the memory for its own."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,10 +17,11 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from tablewright.llm.common import kept
+
 _MEMO_LIMIT = 1_000_000
 # A space before one of these always starts a new piece of the byte-level split.
 _PLAIN = "!-~¡-ɏЀ-ӿ"
@@ -152,11 +153,10 @@ class Encoder:
             yield from self.encode(part)
 
 
-@lru_cache(2)
 def encoder(name: str, spaced: bool) -> Encoder:
-    """The encoder of a vocabulary, once per Python worker: its tasks share the
-    tokenizer and the pieces met before."""
-    return Encoder(name, spaced)
+    """The encoder of a vocabulary: the tasks of a Python worker share the tokenizer
+    and the pieces met before, until the worker does other work (``kept``)."""
+    return kept(("encoder", name, spaced), lambda: Encoder(name, spaced))
 
 
 def as_uint32(ids: bytes, dtype: np.dtype) -> bytes:

@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.common import kept
+
 SAMPLE = 6000
 BITS = 14
 RANK = 8
@@ -173,7 +175,7 @@ def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, into
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo: dict[str, int] = {}
+        memo: dict[str, int] = kept("word slots", dict)
         for s in texts:
             yield s.map(lambda t: machine.score(t, memo), na_action=None).astype(float)
 

@@ -57,10 +57,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import drop, forget, parallelism, stage
+from tablewright.llm.common import drop, forget, kept, parallelism, stage
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
@@ -90,16 +90,14 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
 def word_hashes(text: bytes | None) -> np.ndarray:
     """Hashes of the words of a UTF-8 text, A-Z lower-cased; the blanks at which
     bytes are split are ``BLANKS``."""
-    if len(_HASHES) > _WORD_LIMIT:
-        _HASHES.clear()
+    hashes = kept("word hashes", _Hashes)
+    if len(hashes) > _WORD_LIMIT:
+        hashes.clear()
     found = (text or b"").lower().split()
-    return np.fromiter(map(_HASHES.__getitem__, found), np.int64, len(found))
+    return np.fromiter(map(hashes.__getitem__, found), np.int64, len(found))
 
 
 def shingle_set(word_hashes: np.ndarray, n: int = 4) -> np.ndarray:
@@ -258,10 +256,12 @@ def _bytes(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("binary").alias("text"))
 
 
-def _set_batches(pdf: pd.DataFrame, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """(first row, shingle sets) of slices of rows."""
-    for at in range(0, len(pdf), _BATCH):
-        yield at, shingle_sets([word_hashes(t) for t in pdf["text"].iloc[at:at + _BATCH]], n)
+def _set_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of rows with their shingle sets: only the texts of one slice become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _BATCH):
+            rows = batch.slice(at, _BATCH)
+            yield rows, shingle_sets([word_hashes(t) for t in rows["text"].to_pylist()], n)
 
 
 def _blocks(pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int, width: int) -> pd.DataFrame:
@@ -325,6 +325,45 @@ def _parts(docs: DataFrame) -> int:
 
 _ROW = "doc_id long, text_key long, n_shingles long, node long"
 _BLOCK_ROW = "part int, keys binary, nodes binary, counts binary"
+_SIGNED_ROW = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("keys", "nodes", "counts")),
+                         *((c, pa.int64()) for c in ("doc_id", "text_key", "n_shingles", "node"))])
+
+
+def sign_rows(batches: Iterator[pa.RecordBatch], percent: int, n: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """A row for each text and, as soon as ``_PENDING`` signatures are held, their
+    ``_blocks``; what a task holds does not depend on the size of a batch."""
+    seen: set[int] = set()
+    pending, held, row = [], 0, 0
+
+    def packed() -> pa.RecordBatch:
+        made = _blocks(pending, parts, 6)
+        none = pa.nulls(len(made), pa.int64())
+        return pa.RecordBatch.from_arrays([*(pa.array(made[c], f.type) for c, f in zip(made, _SIGNED_ROW)), *[none] * 4], schema=_SIGNED_ROW)
+
+    for rows, sets in _set_batches(batches, n):
+        nodes: list[int | None] = []
+        new: dict[int, np.ndarray] = {}
+        for s in sets:
+            c = class_id(s) if len(s) else None
+            nodes.append(c)
+            if c is not None and c not in seen:
+                if len(seen) >= _SEEN_LIMIT:
+                    seen.clear()
+                seen.add(c)
+                new[c] = s
+        none = pa.nulls(len(sets), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((np.arange(row, row + len(sets)) % parts).astype(np.int32)), none, none, none, rows["doc_id"], rows["text_key"],
+             pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64())], schema=_SIGNED_ROW)
+        row += len(sets)
+        if new:
+            pending.append((*signatures_of(list(new.values()), percent), np.array(list(new))))
+            held += len(pending[-1][0])
+        if held >= _PENDING:
+            yield packed()
+            pending, held = [], 0
+    if pending:
+        yield packed()
 
 
 def _signed(docs: DataFrame, percent: int, n: int, parts: int) -> tuple[DataFrame, DataFrame]:
@@ -334,34 +373,6 @@ def _signed(docs: DataFrame, percent: int, n: int, parts: int) -> tuple[DataFram
     Texts are read once. A task signs each class about once (it repeats none that it has in
     mind); signatures travel in blocks by part, cut to six bytes besides their part.
     Signatures that are equal by that cut alone make a pair more to verify."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        pending, held = [], 0
-        for pdf in frames:
-            sizes, nodes = [], []
-            for _, sets in _set_batches(pdf, n):
-                new: dict[int, np.ndarray] = {}
-                for s in sets:
-                    c = class_id(s) if len(s) else None
-                    sizes.append(len(s))
-                    nodes.append(c)
-                    if c is not None and c not in seen:
-                        if len(seen) >= _SEEN_LIMIT:
-                            seen.clear()
-                        seen.add(c)
-                        new[c] = s
-                if new:
-                    pending.append((*signatures_of(list(new.values()), percent), np.array(list(new))))
-                    held += len(pending[-1][0])
-                if held >= _PENDING:
-                    yield _blocks(pending, parts, 6).assign(doc_id=None, text_key=None, n_shingles=None, node=None)
-                    pending, held = [], 0
-            yield pd.DataFrame({"part": np.arange(len(pdf)) % parts, "keys": None, "nodes": None, "counts": None,
-                                "doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
-                                "n_shingles": sizes, "node": pd.array(nodes, "Int64")})
-        if pending:
-            yield _blocks(pending, parts, 6).assign(doc_id=None, text_key=None, n_shingles=None, node=None)
-
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:   # Arrow: null ids stay whole numbers
         out = pa.schema([(c, pa.int64()) for c in ("doc_id", "text_key", "n_shingles", "node", "sig")])
         found = []
@@ -372,13 +383,15 @@ def _signed(docs: DataFrame, percent: int, n: int, parts: int) -> tuple[DataFram
             blocks = batch.filter(pc.invert(plain)).select(["part", "keys", "nodes", "counts"])
             found += [_unpacked(tuple(b.values()), 6) for b in blocks.to_pylist()]
         if found:
-            sig, node, _ = shared_keys(*map(np.concatenate, zip(*found)))
+            keys, nodes = map(np.concatenate, zip(*found))
+            found.clear()
+            sig, node, _ = shared_keys(keys, nodes)
             for at in range(0, len(sig), _PENDING):
                 part = slice(at, at + _PENDING)
                 none = pa.nulls(len(sig[part]), pa.int64())
                 yield pa.RecordBatch.from_arrays([none, none, none, pa.array(node[part]), pa.array(sig[part].view(np.int64))], schema=out)
 
-    packed = _bytes(docs).mapInPandas(run, f"{_BLOCK_ROW}, {_ROW}")
+    packed = _bytes(docs).mapInArrow(lambda batches: sign_rows(batches, percent, n, parts), f"{_BLOCK_ROW}, {_ROW}")
     made = stage(packed.repartitionById(parts, F.col("part")).mapInArrow(match, f"{_ROW}, sig long"), "signed")
     return (made.where("sig is null").select("doc_id", "text_key", "n_shingles", "node"),
             made.where("sig is not null").select("sig", "node"))
@@ -406,16 +419,18 @@ class Verifier:
                .agg(F.min(F.struct("doc_id", "n_shingles")).alias("r"))
                .select("node", "r.doc_id", "r.n_shingles"))
 
-        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in parts:
-                for _, made in _set_batches(pdf, n):
-                    yield pd.DataFrame({"node": [class_id(s) if len(s) else 0 for s in made],
-                                        "n": [len(s) for s in made], "s": [s.view(np.int64) for s in made],
-                                        "bits": [sketch(s) for s in made]})
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, sets in _set_batches(batches, n):
+                made = [s for s in sets if len(s)]
+                if made:
+                    sizes = np.array([len(s) for s in made])
+                    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(np.concatenate(made).view(np.int64)))
+                    bits = pa.ListArray.from_arrays(pa.array(np.arange(0, 16 * len(made) + 1, 16, dtype=np.int32)), pa.array(np.concatenate([sketch(s) for s in made])))
+                    yield pa.RecordBatch.from_arrays([pa.array([class_id(s) for s in made]), pa.array(sizes), lists, bits], names=["node", "n", "s", "bits"])
 
         chosen = _bytes(docs.join(rep.select("doc_id").distinct(), "doc_id", "left_semi")
                          .unionByName(docs.where("doc_id is null"), allowMissingColumns=True))
-        self.sets = stage(chosen.mapInPandas(run, "node long, n long, s array<bigint>, bits array<bigint>").where("n > 0")
+        self.sets = stage(chosen.mapInArrow(run, "node long, n long, s array<bigint>, bits array<bigint>")
                           .join(involved, "node", "left_semi").dropDuplicates(["node"]), "verify-sets")
         self.percent = percent
 
@@ -661,6 +676,12 @@ def _rounds(open_: DataFrame, check: Verifier, comp: DataFrame) -> tuple[DataFra
     return open_, comp
 
 
+def _no_components(spark: SparkSession) -> DataFrame:
+    """node, comp without rows, made by Spark alone: an empty list would start Python
+    workers of another kind, which stay beside those of the texts."""
+    return spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("comp"))
+
+
 def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFrame]:
     """``sets`` and the component of every class with a link."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
@@ -671,7 +692,7 @@ def _grouped(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFram
     drop(involved)
     forget(docs.sparkSession)
 
-    comp = docs.sparkSession.createDataFrame([], "node long, comp long")
+    comp = _no_components(docs.sparkSession)
     open_, comp = _rounds(members, check, comp)
     if not open_.isEmpty():
         was, open_ = open_, stage(_prefixes(open_, check, parts), "marks")
